@@ -356,3 +356,164 @@ def _p09h(spark, d):
 @register("p09_tail", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey DESC LIMIT 5")
 def _p09t(spark, d):
     return prof.tail(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey")
+
+
+# =========================================================== C1-C10 cleaning
+
+from ..operators import clean as cln  # noqa: E402
+from ..operators import split as spl  # noqa: E402
+
+
+@register("c01_drop_duplicates", oracle_with("SELECT DISTINCT * FROM lineitem_dup", "lineitem_dup"))
+def _c01(spark, d):
+    return cln.drop_duplicate_rows(table(spark, d, "lineitem_dup"))
+
+
+@register("c02_impute_mean", R(oracle_with("""
+    SELECT c_custkey,
+           coalesce(CAST(c_acctbal AS DOUBLE), (SELECT avg(c_acctbal) FROM customer_dirty)) AS c_acctbal,
+           coalesce(CAST(c_nationkey AS DOUBLE), (SELECT avg(c_nationkey) FROM customer_dirty)) AS c_nationkey
+    FROM customer_dirty""", "customer_dirty"), ["c_acctbal", "c_nationkey"]))
+def _c02(spark, d):
+    df = table(spark, d, "customer_dirty").select("c_custkey", "c_acctbal", "c_nationkey")
+    return cln.apply_impute(df, cln.fit_numeric_impute(df, ["c_acctbal", "c_nationkey"], "mean"))
+
+
+@register("c02_impute_median", R(oracle_with("""
+    SELECT c_custkey,
+           coalesce(CAST(c_acctbal AS DOUBLE), (SELECT quantile_cont(c_acctbal, 0.5) FROM customer_dirty)) AS c_acctbal,
+           coalesce(CAST(c_nationkey AS DOUBLE),
+                    (SELECT quantile_cont(CAST(c_nationkey AS DOUBLE), 0.5) FROM customer_dirty)) AS c_nationkey
+    FROM customer_dirty""", "customer_dirty"), ["c_acctbal", "c_nationkey"]))
+def _c02m(spark, d):
+    df = table(spark, d, "customer_dirty").select("c_custkey", "c_acctbal", "c_nationkey")
+    return cln.apply_impute(df, cln.fit_numeric_impute(df, ["c_acctbal", "c_nationkey"], "median"))
+
+
+@register("c03_impute_mode", oracle_with("""
+    SELECT c_custkey, coalesce(c_mktsegment, (
+        SELECT value FROM (SELECT c_mktsegment AS value, count(*) AS n FROM customer_dirty
+                           WHERE c_mktsegment IS NOT NULL GROUP BY 1) AS m
+        ORDER BY n DESC, value LIMIT 1)) AS c_mktsegment
+    FROM customer_dirty""", "customer_dirty"))
+def _c03(spark, d):
+    df = table(spark, d, "customer_dirty").select("c_custkey", "c_mktsegment")
+    return cln.apply_impute(df, categorical=cln.fit_mode_impute(df, ["c_mktsegment"]))
+
+
+def _one_hot_sql(levels: dict[str, list[str]], key: str, tbl: str) -> str:
+    cols = [f"CAST(coalesce({c} = '{lv}', false) AS INTEGER) AS \"{c}_{lv}\""
+            for c, lvs in levels.items() for lv in lvs[1:]]
+    return f"SELECT {key}, {', '.join(cols)} FROM {tbl}"
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+@register("c05_one_hot", oracle_with(_one_hot_sql({"c_mktsegment": SEGMENTS}, "c_custkey", "customer_dirty"),
+                                     "customer_dirty"))
+def _c05(spark, d):
+    df = table(spark, d, "customer_dirty").select("c_custkey", "c_mktsegment")
+    return cln.apply_one_hot(df, cln.fit_one_hot(df, ["c_mktsegment"]))
+
+
+@register("c05_one_hot_orders", """
+    SELECT o_orderkey, o_totalprice,
+        CAST(o_orderstatus = 'O' AS INTEGER) AS o_orderstatus_O,
+        CAST(o_orderstatus = 'P' AS INTEGER) AS o_orderstatus_P,
+        CAST(o_orderpriority = '2-HIGH' AS INTEGER) AS "o_orderpriority_2-HIGH",
+        CAST(o_orderpriority = '3-MEDIUM' AS INTEGER) AS "o_orderpriority_3-MEDIUM",
+        CAST(o_orderpriority = '4-NOT SPECIFIED' AS INTEGER) AS "o_orderpriority_4-NOT SPECIFIED",
+        CAST(o_orderpriority = '5-LOW' AS INTEGER) AS "o_orderpriority_5-LOW"
+    FROM orders""")
+def _c05o(spark, d):
+    df = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
+    return cln.apply_one_hot(df, cln.fit_one_hot(df, ["o_orderstatus", "o_orderpriority"]))
+
+
+@register("c08_iqr_bounds", R(f"""
+    SELECT column_name, q1, q3, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lower_bound, q3 + 1.5 * (q3 - q1) AS upper_bound
+    FROM ({iqr_bounds_sql('events', ['value', 'user_id'])}) AS q""",
+    ["q1", "q3", "iqr", "lower_bound", "upper_bound"]))
+def _c08(spark, d):
+    return qual.fit_iqr_bounds(table(spark, d, "events"), ["value", "user_id"])
+
+
+@register("c09_flag_outliers", f"""
+    WITH q AS ({iqr_bounds_sql('events', ['value', 'user_id'])}),
+    b AS (SELECT column_name, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+    SELECT e.event_id, CAST(
+        coalesce(e.value < bv.lo OR e.value > bv.hi, false)
+        OR coalesce(CAST(e.user_id AS DOUBLE) < bu.lo OR CAST(e.user_id AS DOUBLE) > bu.hi, false) AS INTEGER)
+        AS is_outlier
+    FROM events e, b bv, b bu WHERE bv.column_name = 'value' AND bu.column_name = 'user_id'""")
+def _c09(spark, d):
+    ev = table(spark, d, "events")
+    b = cln.fit_outlier_bounds(ev, ["value", "user_id"])
+    return cln.flag_outliers(ev, b).select("event_id", "is_outlier")
+
+
+@register("c10_log1p", R("""
+    SELECT c_custkey, c_acctbal,
+        CASE WHEN c_acctbal = -1 THEN CAST('-Infinity' AS DOUBLE)
+             WHEN c_acctbal < -1 THEN CAST('NaN' AS DOUBLE) ELSE ln(1 + c_acctbal) END AS c_acctbal_log
+    FROM customer""", ["c_acctbal", "c_acctbal_log"]))
+def _c10(spark, d):
+    return cln.log1p_columns(table(spark, d, "customer").select("c_custkey", "c_acctbal"), ["c_acctbal"])
+
+
+# =========================================================== C6, C7, L5, L6 splits and folds
+
+def _quota_sql(counts_cte: str, size: str, n_col: str, out: str) -> str:
+    return f"""(SELECT cls, {n_col}, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, cls)
+                     <= {size} - sum(base) OVER () THEN 1 ELSE 0 END AS {out}
+               FROM (SELECT *, ({size} * {n_col}) // (sum({n_col}) OVER ()) AS base,
+                            ({size} * {n_col}) % (sum({n_col}) OVER ()) AS rem FROM {counts_cte}) AS x)"""
+
+
+SPLIT_SQL = oracle_with(f"""
+    WITH c AS (SELECT is_purchase AS cls, count(*) AS n FROM events_labeled GROUP BY 1),
+    t AS {_quota_sql('c', '500', 'n', 'tq')},
+    r AS (SELECT cls, n - tq AS rest, tq FROM t),
+    dv AS {_quota_sql('r', '610', 'rest', 'dq')},
+    q AS (SELECT r.cls, r.tq, dv.dq FROM r JOIN dv ON r.cls = dv.cls),
+    ranked AS (SELECT e.*, row_number() OVER (PARTITION BY is_purchase
+                   ORDER BY md5(CAST(event_id AS VARCHAR) || '-42'), event_id) - 1 AS rk FROM events_labeled e)
+    SELECT ranked.event_id, ranked.user_id, ranked.event_type, ranked.value, ranked.is_purchase,
+           CASE WHEN rk < tq THEN 'test' WHEN rk < tq + dq THEN 'dev' ELSE 'train' END AS split
+    FROM ranked JOIN q ON ranked.is_purchase = q.cls""", "events_labeled")
+
+
+def _split_events(spark, d):
+    return spl.stratified_split(table(spark, d, "events_labeled"), "event_id", "is_purchase", 500, 610, "-42")
+
+
+@register("c06_stratified_split", R(SPLIT_SQL, ["value"]))
+def _c06(spark, d):
+    return _split_events(spark, d)
+
+
+@register("c07_split_report", R(f"""
+    WITH s AS ({SPLIT_SQL.replace('WITH ', 'WITH ', 1)}),
+    per AS (SELECT split, is_purchase, count(*) AS "count" FROM s GROUP BY 1, 2
+            UNION ALL SELECT 'full', is_purchase, count(*) FROM s GROUP BY 2)
+    SELECT split, is_purchase, "count", "count" / sum("count") OVER (PARTITION BY split) AS share,
+           CAST(sum("count") OVER (PARTITION BY split) AS BIGINT) AS split_rows FROM per""", ["share"]))
+def _c07(spark, d):
+    return spl.split_report(_split_events(spark, d), "is_purchase")
+
+
+@register("l05_class_weights", R("""
+    SELECT l.*, (SELECT count(*) FROM labels) / (2.0 * c.n) AS weight
+    FROM labels l JOIN (SELECT quality, count(*) AS n FROM labels GROUP BY 1) c ON l.quality = c.quality""",
+    ["weight"]))
+def _l05(spark, d):
+    return spl.class_weights(table(spark, d, "labels"), "quality")
+
+
+@register("l06_stratified_folds", oracle_with("""
+    SELECT event_id, user_id, event_type, value, is_purchase, CAST((row_number() OVER (PARTITION BY is_purchase
+               ORDER BY md5(CAST(event_id AS VARCHAR) || '-42'), event_id) - 1) % 10 AS INTEGER) AS fold
+    FROM events_labeled""", "events_labeled"))
+def _l06(spark, d):
+    return spl.stratified_folds(table(spark, d, "events_labeled"), "event_id", "is_purchase", 10, "-42")
