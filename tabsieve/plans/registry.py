@@ -517,3 +517,150 @@ def _l05(spark, d):
     FROM events_labeled""", "events_labeled"))
 def _l06(spark, d):
     return spl.stratified_folds(table(spark, d, "events_labeled"), "event_id", "is_purchase", 10, "-42")
+
+
+# =========================================================== T1-T11 statistical tests
+
+from ..operators import stat_tests as st  # noqa: E402
+
+
+def _long_sql(tbl: str, cols: list[str], extra: str = "", where: str = "") -> str:
+    w = f" AND {where}" if where else ""
+    return union_sql([f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x{extra} FROM {tbl} "
+                      f"WHERE {c} IS NOT NULL{w}" for c in cols])
+
+
+EV_COLS = ["value", "user_id"]
+
+
+@register("t01_normality_jb", R(f"""
+    WITH s AS ({_long_sql('events', EV_COLS)}),
+    m AS (SELECT column_name, count(*) AS n, avg(x) AS mu FROM s GROUP BY 1),
+    c AS (SELECT s.column_name, any_value(m.n) AS n, avg(power(x - mu, 2)) AS m2, avg(power(x - mu, 3)) AS m3,
+                 avg(power(x - mu, 4)) AS m4 FROM s JOIN m ON s.column_name = m.column_name GROUP BY 1),
+    k AS (SELECT column_name, n, m3 / power(m2, 1.5) AS skewness_pop, m4 / (m2 * m2) - 3 AS kurtosis_pop FROM c)
+    SELECT column_name, 'Jarque-Bera' AS test, n, skewness_pop, kurtosis_pop,
+           n / 6.0 * (skewness_pop * skewness_pop + kurtosis_pop * kurtosis_pop / 4.0) AS statistic,
+           exp(-(n / 6.0 * (skewness_pop * skewness_pop + kurtosis_pop * kurtosis_pop / 4.0)) / 2.0) AS p_value,
+           exp(-(n / 6.0 * (skewness_pop * skewness_pop + kurtosis_pop * kurtosis_pop / 4.0)) / 2.0) >= 0.05 AS normal
+    FROM k""", ["skewness_pop", "kurtosis_pop", "statistic", "p_value"], 4), digits=4)
+def _t01(spark, d):
+    return st.normality_jb(table(spark, d, "events"), EV_COLS)
+
+
+@register("t02_mean_std_error", R(f"""
+    SELECT column_name, count(*) AS n, avg(x) AS mean, stddev_samp(x) / sqrt(count(*)) AS std_error
+    FROM ({_long_sql('events', EV_COLS)}) AS s GROUP BY 1""", ["mean", "std_error"]))
+def _t02(spark, d):
+    return st.mean_standard_error(table(spark, d, "events"), EV_COLS)
+
+
+@register("t02_confidence_interval")
+def _t02ci(spark, d):
+    return st.confidence_interval(table(spark, d, "events"), EV_COLS, 0.95)
+
+
+_G_LONG = _long_sql("events_labeled", EV_COLS, ", CAST(is_purchase = 1 AS INTEGER) AS g1", "is_purchase IN (1, 0)")
+_G_MOM = f"""SELECT column_name,
+        count(*) FILTER (WHERE g1 = 1) AS group1_n, count(*) FILTER (WHERE g1 = 0) AS group2_n,
+        avg(x) FILTER (WHERE g1 = 1) AS group1_mean, avg(x) FILTER (WHERE g1 = 0) AS group2_mean,
+        stddev_samp(x) FILTER (WHERE g1 = 1) AS group1_std, stddev_samp(x) FILTER (WHERE g1 = 0) AS group2_std
+    FROM ({_G_LONG}) AS s GROUP BY 1"""
+
+
+@register("t04_welch_t", R(oracle_with(f"""
+    SELECT *, (group1_mean - group2_mean) / sqrt(a + b) AS t_statistic,
+           (a + b) * (a + b) / (a * a / (group1_n - 1) + b * b / (group2_n - 1)) AS welch_df
+    FROM (SELECT *, group1_std * group1_std / group1_n AS a, group2_std * group2_std / group2_n AS b
+          FROM ({_G_MOM}) AS m) AS w""".replace("SELECT *, (group1", "SELECT column_name, group1_n, group2_n, "
+                                                "group1_mean, group2_mean, group1_std, group2_std, (group1"),
+    "events_labeled"), ["group1_mean", "group2_mean", "group1_std", "group2_std", "t_statistic", "welch_df"]))
+def _t04(spark, d):
+    return st.welch_t(table(spark, d, "events_labeled"), EV_COLS, "is_purchase", 1, 0)
+
+
+@register("t05_mann_whitney", R(oracle_with(f"""
+    WITH s AS ({_G_LONG}),
+    r AS (SELECT column_name, x, g1, rank() OVER (PARTITION BY column_name ORDER BY x) AS rmin,
+                 count(*) OVER (PARTITION BY column_name, x) AS t FROM s),
+    a AS (SELECT column_name, sum(CASE WHEN g1 = 1 THEN rmin + (t - 1) / 2.0 ELSE 0 END) AS r1,
+                 CAST(sum(g1) AS DOUBLE) AS n1, CAST(count(*) AS DOUBLE) AS n FROM r GROUP BY 1),
+    ties AS (SELECT column_name, sum(power(t, 3) - t) AS tie FROM (SELECT DISTINCT column_name, x, t FROM r) AS d
+             GROUP BY 1),
+    u AS (SELECT a.*, ties.tie, r1 - n1 * (n1 + 1) / 2.0 AS u1 FROM a JOIN ties ON a.column_name = ties.column_name)
+    SELECT column_name, CAST(n1 AS BIGINT) AS group1_n, CAST(n - n1 AS BIGINT) AS group2_n, u1 AS u_statistic,
+           (greatest(u1, n1 * (n - n1) - u1) - n1 * (n - n1) / 2.0 - 0.5)
+             / sqrt(n1 * (n - n1) / 12.0 * ((n + 1) - tie / (n * (n - 1)))) AS z
+    FROM u""", "events_labeled"), ["u_statistic", "z"]))
+def _t05(spark, d):
+    return st.mann_whitney(table(spark, d, "events_labeled"), EV_COLS, "is_purchase", 1, 0)
+
+
+@register("t06_cohens_d", R(oracle_with(f"""
+    SELECT column_name, d AS cohens_d,
+           CASE WHEN d < 0.2 THEN 'negligible' WHEN d < 0.5 THEN 'small' WHEN d < 0.8 THEN 'medium'
+                ELSE 'large' END AS effect
+    FROM (SELECT column_name, abs(group1_mean - group2_mean)
+                 / sqrt((group1_std * group1_std + group2_std * group2_std) / 2.0) AS d
+          FROM ({_G_MOM}) AS m) AS x""", "events_labeled"), ["cohens_d"]))
+def _t06(spark, d):
+    return st.cohens_d(table(spark, d, "events_labeled"), EV_COLS, "is_purchase", 1, 0)
+
+
+@register("t03_compare_two_groups")
+def _t03(spark, d):
+    return st.compare_two_groups(table(spark, d, "events_labeled"), EV_COLS, "is_purchase", 1, 0)
+
+
+@register("t08_contingency", oracle_with("""
+    SELECT o_orderpriority, is_filled, count(*) AS "count" FROM orders_status GROUP BY 1, 2""", "orders_status"))
+def _t08(spark, d):
+    return st.contingency(table(spark, d, "orders_status"), "o_orderpriority", "is_filled")
+
+
+def chi_square_sql(tbl: str, cols: list[str], target: str) -> str:
+    long = union_sql([f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, {target} AS y FROM {tbl} "
+                      f"WHERE {c} IS NOT NULL AND {target} IS NOT NULL" for c in cols])
+    return f"""WITH long AS ({long}),
+    cells AS (SELECT column_name, value, y, count(*) AS o FROM long GROUP BY 1, 2, 3),
+    rt AS (SELECT column_name, value, sum(o) AS rt FROM cells GROUP BY 1, 2),
+    ct AS (SELECT column_name, y, sum(o) AS ct FROM cells GROUP BY 1, 2),
+    nn AS (SELECT column_name, sum(o) AS n FROM cells GROUP BY 1),
+    grid AS (SELECT rt.column_name, rt.value, ct.y, rt.rt, ct.ct, nn.n, coalesce(cells.o, 0) AS o,
+                    rt.rt * ct.ct / nn.n AS e
+             FROM rt JOIN ct ON rt.column_name = ct.column_name JOIN nn ON rt.column_name = nn.column_name
+             LEFT JOIN cells ON cells.column_name = rt.column_name AND cells.value = rt.value AND cells.y = ct.y),
+    s AS (SELECT column_name, any_value(n) AS n, count(DISTINCT value) AS r, count(DISTINCT y) AS c,
+                 sum((o - e) * (o - e) / e) AS plain, sum(power(greatest(abs(o - e) - 0.5, 0), 2) / e) AS yates,
+                 min(e) AS min_expected FROM grid GROUP BY 1),
+    f AS (SELECT *, CASE WHEN (r - 1) * (c - 1) = 1 THEN yates ELSE plain END AS chi2 FROM s)
+    SELECT column_name, chi2, CAST((r - 1) * (c - 1) AS BIGINT) AS dof, CAST(n AS BIGINT) AS n, min_expected,
+           sqrt(chi2 / (n * (least(r, c) - 1))) AS cramers_v,
+           CASE WHEN sqrt(chi2 / (n * (least(r, c) - 1))) < 0.1 THEN 'negligible'
+                WHEN sqrt(chi2 / (n * (least(r, c) - 1))) < 0.3 THEN 'small'
+                WHEN sqrt(chi2 / (n * (least(r, c) - 1))) < 0.5 THEN 'medium' ELSE 'high' END AS effect
+    FROM f"""
+
+
+@register("t09_chi_square", R(oracle_with(chi_square_sql("orders_status", ["o_orderpriority"], "is_filled"),
+                                          "orders_status"), ["chi2", "min_expected", "cramers_v"]))
+def _t09(spark, d):
+    return st.chi_square(table(spark, d, "orders_status"), ["o_orderpriority"], "is_filled")
+
+
+@register("t09_chi_square_yates", R(oracle_with(chi_square_sql("events_parity", ["user_parity", "event_type"],
+                                                               "is_purchase"), "events_parity"),
+                                    ["chi2", "min_expected", "cramers_v"]))
+def _t09y(spark, d):
+    return st.chi_square(table(spark, d, "events_parity"), ["user_parity", "event_type"], "is_purchase")
+
+
+@register("t09_chi_square_p")
+def _t09p(spark, d):
+    return st.chi_square_with_p(table(spark, d, "orders_status"), ["o_orderpriority"], "is_filled")
+
+
+@register("t11_chi_square_all", R(oracle_with(chi_square_sql("doc_features", ["lang", "source"], "quality"),
+                                              "doc_features"), ["chi2", "min_expected", "cramers_v"]))
+def _t11(spark, d):
+    return st.chi_square(table(spark, d, "doc_features"), None, "quality")

@@ -45,6 +45,11 @@ VIEWS: dict[str, str] = {
         SELECT event_id, user_id, event_type, value,
                CAST(event_type = 'purchase' AS INT) AS is_purchase
         FROM events""",
+    # a two-level category against the binary target (2 x 2 table)
+    "events_parity": """
+        SELECT event_id, CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS user_parity,
+               event_type, CAST(event_type = 'purchase' AS INT) AS is_purchase
+        FROM events""",
     # a scored table (label, prediction, probability) with many tied scores
     "events_scored": """
         SELECT event_id,
