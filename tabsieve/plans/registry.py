@@ -664,3 +664,303 @@ def _t09p(spark, d):
                                               "doc_features"), ["chi2", "min_expected", "cramers_v"]))
 def _t11(spark, d):
     return st.chi_square(table(spark, d, "doc_features"), None, "quality")
+
+
+# =========================================================== M2-M15 metrics, G1-G8 gates
+
+from ..operators import gates as gt  # noqa: E402
+from ..operators import metrics as mt  # noqa: E402
+from .views import VIEWS  # noqa: E402
+
+EPS_SQL = "2.220446049250313e-16"
+ONE_MINUS_EPS_SQL = "0.9999999999999998"
+BY = ["model", "split"]
+
+
+def _scored_runs(spark, d):
+    """Scored runs with the quota split of c06 attached (dev = validation)."""
+    runs = table(spark, d, "scored_runs")
+    sp = _split_events(spark, d).select("event_id", "split")
+    return (runs.join(sp, "event_id")
+            .withColumn("prediction", (F.col("probability") >= 0.5).cast("int")))
+
+
+SCORED_CTE = f"""WITH sp AS ({SPLIT_SQL}),
+    sr AS ({VIEWS['scored_runs']}),
+    s AS (SELECT sr.*, sp.split, CAST(sr.probability >= 0.5 AS INTEGER) AS prediction
+          FROM sr JOIN sp ON sr.event_id = sp.event_id)"""
+
+
+def _counts_sql(by: str) -> str:
+    return f"""SELECT {by},
+        count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn,
+        count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+        count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn,
+        count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) AS n,
+        avg((probability - label) * (probability - label)) AS brier_score,
+        avg(-(label * ln(least(greatest(probability, {EPS_SQL}), {ONE_MINUS_EPS_SQL})))
+            - (1 - label) * ln(1 - least(greatest(probability, {EPS_SQL}), {ONE_MINUS_EPS_SQL}))) AS log_loss
+        FROM s GROUP BY {by}"""
+
+
+def _auc_sql(by: str) -> str:
+    return f"""SELECT {by}, (sum(ar) FILTER (WHERE label = 1) - np * (np + 1) / 2.0) / (np * (n - np)) AS roc_auc
+        FROM (SELECT {by}, label,
+                     rank() OVER (PARTITION BY {by} ORDER BY probability)
+                       + (count(*) OVER (PARTITION BY {by}, probability) - 1) / 2.0 AS ar,
+                     CAST(sum(label) OVER (PARTITION BY {by}) AS DOUBLE) AS np,
+                     CAST(count(*) OVER (PARTITION BY {by}) AS DOUBLE) AS n
+              FROM s) AS r GROUP BY {by}, np, n"""
+
+
+def _cum_sql(by: str) -> str:
+    return f"""SELECT {by}, probability, cnt, pos,
+            sum(cnt) OVER (PARTITION BY {by} ORDER BY probability DESC ROWS UNBOUNDED PRECEDING) AS k,
+            sum(pos) OVER (PARTITION BY {by} ORDER BY probability DESC ROWS UNBOUNDED PRECEDING) AS tp,
+            sum(pos) OVER (PARTITION BY {by}) AS p_tot, sum(cnt) OVER (PARTITION BY {by}) AS n_tot
+        FROM (SELECT {by}, probability, count(*) AS cnt, sum(label) AS pos FROM s GROUP BY {by}, probability) AS g"""
+
+
+def _ap_sql(by: str) -> str:
+    return f"""SELECT {by}, sum((pos / p_tot) * (tp / k)) AS average_precision
+        FROM ({_cum_sql(by)}) AS c GROUP BY {by}"""
+
+
+def _evaluate_sql(by: str, keys: list[str]) -> str:
+    on = " AND ".join(f"c.{k} = {t}.{k}" for t in ("a", "p") for k in keys)
+    cols = ", ".join(f"c.{k}" for k in keys)
+    return f"""SELECT {cols}, (tp + tn) / n AS accuracy,
+        CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS "precision",
+        CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+        CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1_score,
+        a.roc_auc, p.average_precision, brier_score, log_loss
+        FROM ({_counts_sql(by)}) AS c JOIN ({_auc_sql(by)}) AS a ON {on.split(' AND c.')[0] if False else ' AND '.join(f'c.{k} = a.{k}' for k in keys)}
+        JOIN ({_ap_sql(by)}) AS p ON {' AND '.join(f'c.{k} = p.{k}' for k in keys)}"""
+
+
+METRIC_COLS = ["accuracy", "precision", "recall", "f1_score", "roc_auc", "average_precision", "brier_score",
+               "log_loss"]
+
+
+@register("m02_evaluate", R(f"{SCORED_CTE}\n{_evaluate_sql('model, split', BY)}", METRIC_COLS))
+def _m02(spark, d):
+    return mt.evaluate(_scored_runs(spark, d), BY)
+
+
+@register("m07_roc_auc", R(oracle_with(f"""
+    SELECT (sum(ar) FILTER (WHERE label = 1) - any_value(np) * (any_value(np) + 1) / 2.0)
+           / (any_value(np) * (any_value(n) - any_value(np))) AS roc_auc
+    FROM (SELECT label, rank() OVER (ORDER BY probability)
+                 + (count(*) OVER (PARTITION BY probability) - 1) / 2.0 AS ar,
+                 CAST(sum(label) OVER () AS DOUBLE) AS np, CAST(count(*) OVER () AS DOUBLE) AS n
+          FROM events_scored) AS r""", "events_scored"), ["roc_auc"], 9), digits=9)
+def _m07(spark, d):
+    return mt.roc_auc(table(spark, d, "events_scored"))
+
+
+@register("m08_average_precision", R(oracle_with(f"""
+    SELECT sum((pos / p_tot) * (tp / k)) AS average_precision FROM (
+        SELECT probability, cnt, pos,
+               sum(cnt) OVER (ORDER BY probability DESC ROWS UNBOUNDED PRECEDING) AS k,
+               sum(pos) OVER (ORDER BY probability DESC ROWS UNBOUNDED PRECEDING) AS tp,
+               sum(pos) OVER () AS p_tot
+        FROM (SELECT probability, count(*) AS cnt, sum(label) AS pos FROM events_scored GROUP BY 1) AS g) AS c""",
+    "events_scored"), ["average_precision"], 9), digits=9)
+def _m08(spark, d):
+    return mt.average_precision(table(spark, d, "events_scored"))
+
+
+@register("m03_threshold_metrics", R(oracle_with("""
+    SELECT (tp + tn) / n AS accuracy,
+        CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS "precision",
+        CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS recall,
+        CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1_score,
+        brier_score, log_loss
+    FROM (""" + _counts_sql("1 AS one").replace("GROUP BY 1 AS one", "").replace("FROM s", "FROM events_scored")
+    + ") AS c", "events_scored"), ["accuracy", "precision", "recall", "f1_score", "brier_score", "log_loss"]))
+def _m03(spark, d):
+    return mt.threshold_metrics(table(spark, d, "events_scored"))
+
+
+@register("m11_confusion_matrix", R(f"""{SCORED_CTE},
+    g AS (SELECT model, split, l.label, p.prediction FROM (SELECT DISTINCT model, split FROM s) AS k,
+          (VALUES (0), (1)) AS l(label), (VALUES (0), (1)) AS p(prediction)),
+    c AS (SELECT model, split, label, prediction, count(*) AS cnt FROM s GROUP BY ALL)
+    SELECT g.model, g.split, CAST(g.label AS INTEGER) AS label, CAST(g.prediction AS INTEGER) AS prediction,
+           coalesce(c.cnt, 0) AS "count",
+           CASE WHEN sum(coalesce(c.cnt, 0)) OVER (PARTITION BY g.model, g.split, g.label) > 0
+                THEN coalesce(c.cnt, 0) / sum(coalesce(c.cnt, 0)) OVER (PARTITION BY g.model, g.split, g.label)
+                ELSE 0.0 END AS share
+    FROM g LEFT JOIN c ON g.model = c.model AND g.split = c.split AND g.label = c.label
+                      AND g.prediction = c.prediction""", ["share"]))
+def _m11(spark, d):
+    return mt.confusion_matrix(_scored_runs(spark, d), BY)
+
+
+@register("m12_classification_report", R(f"""{SCORED_CTE},
+    c AS ({_counts_sql('model, split')}),
+    k AS (SELECT model, split, n, tn + fp AS s0, tp + fn AS s1,
+                 CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0.0 END AS p0,
+                 CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0.0 END AS r0,
+                 CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END AS p1,
+                 CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS r1, (tp + tn) / n AS acc FROM c),
+    f AS (SELECT *, CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0.0 END AS f0,
+                    CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0.0 END AS f1 FROM k)
+    SELECT model, split, '0' AS class_label, p0 AS "precision", r0 AS recall, f0 AS f1_score, s0 AS support FROM f
+    UNION ALL SELECT model, split, '1', p1, r1, f1, s1 FROM f
+    UNION ALL SELECT model, split, 'accuracy', NULL, NULL, acc, n FROM f
+    UNION ALL SELECT model, split, 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM f
+    UNION ALL SELECT model, split, 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n,
+                     (f0 * s0 + f1 * s1) / n, n FROM f""", ["precision", "recall", "f1_score"]))
+def _m12(spark, d):
+    return mt.classification_report(_scored_runs(spark, d), BY)
+
+
+@register("m13_roc_curve", R(f"""{SCORED_CTE}
+    SELECT model, probability AS threshold,
+           CASE WHEN n_tot - p_tot > 0 THEN (k - tp) / (n_tot - p_tot) ELSE 0.0 END AS fpr,
+           CASE WHEN p_tot > 0 THEN tp / p_tot ELSE 0.0 END AS tpr
+    FROM ({_cum_sql('model')}) AS c""", ["threshold", "fpr", "tpr"]))
+def _m13(spark, d):
+    return mt.roc_curve(_scored_runs(spark, d), ["model"])
+
+
+@register("m14_pr_curve", R(f"""{SCORED_CTE}
+    SELECT model, probability AS threshold, tp / k AS "precision",
+           CASE WHEN p_tot > 0 THEN tp / p_tot ELSE 0.0 END AS recall
+    FROM ({_cum_sql('model')}) AS c""", ["threshold", "precision", "recall"]))
+def _m14(spark, d):
+    return mt.pr_curve(_scored_runs(spark, d), ["model"])
+
+
+_EVAL_CTE = f"""{SCORED_CTE},
+    ev AS ({_evaluate_sql('model, split', BY)}),
+    dev AS (SELECT * FROM ev WHERE split = 'dev'),
+    gap AS (SELECT model, 'f1_score' AS metric, tr.f1_score AS train_score, dv.f1_score AS val_score,
+                   tr.f1_score - dv.f1_score AS gap,
+                   CASE WHEN tr.f1_score > 0 THEN (tr.f1_score - dv.f1_score) / tr.f1_score * 100 ELSE 0.0 END
+                     AS gap_percentage
+            FROM (SELECT model, f1_score FROM ev WHERE split = 'train') AS tr
+            JOIN (SELECT model, f1_score FROM ev WHERE split = 'dev') AS dv USING (model))"""
+
+
+def _gap_spark(spark, d):
+    long = mt.metrics_long(_scored_runs(spark, d), BY)
+    return mt.compare_train_val(long, "f1_score", ["model"], train="train", val="dev")
+
+
+@register("m15_train_val_gap", R(f"""{_EVAL_CTE}
+    SELECT *, CASE WHEN abs(gap) <= 0.10 THEN 'good' ELSE 'poor' END AS generalization_status,
+           CASE WHEN gap > 0.10 THEN 'overfitting' WHEN gap < -0.05 THEN 'unusual' ELSE 'acceptable' END AS note
+    FROM gap""", ["train_score", "val_score", "gap", "gap_percentage"]))
+def _m15(spark, d):
+    return _gap_spark(spark, d)
+
+
+def _dev_results(spark, d):
+    ev = mt.evaluate(_scored_runs(spark, d), BY).where(F.col("split") == "dev")
+    seq = table(spark, d, "scored_runs").select("model", "seq").distinct()
+    return ev.join(seq, "model").drop("split")
+
+
+@register("g01_leaderboard", R(f"""{_EVAL_CTE}
+    SELECT dev.* EXCLUDE (split), sr.seq FROM dev JOIN (SELECT DISTINCT model, seq FROM sr) AS sr USING (model)""",
+    METRIC_COLS))
+def _g01(spark, d):
+    return gt.leaderboard(_dev_results(spark, d), "f1_score")
+
+
+@register("g02_top_k", R(f"""{_EVAL_CTE}
+    SELECT dev.* EXCLUDE (split), sr.seq FROM dev JOIN (SELECT DISTINCT model, seq FROM sr) AS sr USING (model)
+    ORDER BY f1_score DESC, seq LIMIT 2""", METRIC_COLS))
+def _g02(spark, d):
+    return gt.top_k(_dev_results(spark, d), "f1_score", 2)
+
+
+@register("g03_select_best", R(f"""{_EVAL_CTE}
+    SELECT dev.* EXCLUDE (split), sr.seq, sr.model = 'm_tuned' AS is_tuned
+    FROM dev JOIN (SELECT DISTINCT model, seq FROM sr) AS sr USING (model)
+    ORDER BY roc_auc DESC, is_tuned, seq LIMIT 1""", METRIC_COLS))
+def _g03(spark, d):
+    res = _dev_results(spark, d)
+    return gt.select_best(res.where(F.col("model") != "m_tuned"), res.where(F.col("model") == "m_tuned"),
+                          "roc_auc")
+
+
+_PERF_SQL = f"""{_EVAL_CTE},
+    th AS (SELECT * FROM (VALUES ('f1_score', 0.70, 0.75, 0.85), ('roc_auc', 0.75, 0.80, 0.90))
+           AS t(metric, mn, wn, tg)),
+    lm AS (SELECT model, 'f1_score' AS metric, f1_score AS value FROM dev
+           UNION ALL SELECT model, 'roc_auc', roc_auc FROM dev),
+    perf AS (SELECT lm.model, lm.metric, lm.value, CAST(th.mn AS DOUBLE) AS "min", CAST(th.wn AS DOUBLE) AS warning,
+                    CAST(th.tg AS DOUBLE) AS target,
+                    CASE WHEN value < th.mn THEN 'FAIL' WHEN value < th.wn THEN 'WARNING'
+                         WHEN value >= th.tg THEN 'EXCELLENT' ELSE 'PASS' END AS status,
+                    value >= th.mn AS passed
+             FROM lm JOIN th ON lm.metric = th.metric)"""
+
+
+def _perf_spark(spark, d):
+    long = mt.metrics_long(_scored_runs(spark, d).where(F.col("split") == "dev"), ["model"],
+                           ["f1_score", "roc_auc"])
+    return gt.performance_gate(long, gt.thresholds_table(spark), ["model"])
+
+
+@register("g04_performance_gate", R(f"{_PERF_SQL}\nSELECT * FROM perf", ["value"]))
+def _g04(spark, d):
+    return _perf_spark(spark, d)
+
+
+_OVER_SQL = f"""{_PERF_SQL},
+    ovf AS (SELECT model, metric, gap, gap_percentage, 0.15 AS max_allowed, gap <= 0.15 AS passed,
+                   CASE WHEN gap > 0.15 THEN 'FAIL' WHEN gap > 0.10 THEN 'WARNING' ELSE 'PASS' END AS status
+            FROM gap)"""
+
+
+@register("g05_overfitting_gate", R(f"{_OVER_SQL}\nSELECT model, metric, gap, gap_percentage, "
+                                    f"CAST(max_allowed AS DOUBLE) AS max_allowed, passed, status FROM ovf",
+                                    ["gap", "gap_percentage"]))
+def _g05(spark, d):
+    return gt.overfitting_gate(_gap_spark(spark, d), ["model"])
+
+
+_RULES_SQL = f"""{_OVER_SQL},
+    cc AS ({_counts_sql('model').replace('FROM s GROUP', "FROM s WHERE split = 'dev' GROUP")}),
+    rules AS (SELECT model, 'recall' AS rule, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END AS value,
+                     0.80 AS lim FROM cc
+              UNION ALL SELECT model, 'false_positive_rate', CASE WHEN fp + tn > 0 THEN fp / (fp + tn) ELSE 0.0 END,
+                     0.30 FROM cc),
+    rr AS (SELECT model, rule, value, CAST(lim AS DOUBLE) AS "limit",
+                  CASE WHEN rule = 'recall' THEN value >= lim ELSE value <= lim END AS passed FROM rules)"""
+
+
+@register("g06_business_rules", R(f"""{_RULES_SQL}
+    SELECT *, CASE WHEN passed THEN 'PASS' ELSE 'FAIL' END AS status FROM rr""", ["value"]))
+def _g06(spark, d):
+    cc = mt.confusion_counts(_scored_runs(spark, d).where(F.col("split") == "dev"), ["model"])
+    return gt.business_rules_gate(cc, ["model"])
+
+
+@register("g07_compare_production", R(f"""{_EVAL_CTE},
+    prod AS (SELECT f1_score AS ps FROM dev WHERE model = 'm_random')
+    SELECT model, f1_score AS new_model_score, ps AS production_score, f1_score - ps AS improvement,
+           CASE WHEN ps > 0 THEN (f1_score - ps) / ps * 100 ELSE 0.0 END AS improvement_percentage,
+           f1_score - ps >= 0.01 AS should_replace,
+           CASE WHEN f1_score - ps >= 0.01 THEN 'better_performance' ELSE 'insufficient_improvement' END AS reason
+    FROM dev, prod""", ["new_model_score", "production_score", "improvement", "improvement_percentage"]))
+def _g07(spark, d):
+    scores = _dev_results(spark, d).select("model", F.col("f1_score").alias("value"))
+    stages = spark.createDataFrame([("m_random", "Production")], "model string, stage string")
+    return gt.compare_with_production(scores, stages, "model")
+
+
+@register("g08_overall_verdict", f"""{_RULES_SQL},
+    u AS (SELECT model, passed FROM perf UNION ALL SELECT model, passed FROM ovf UNION ALL SELECT model, passed FROM rr)
+    SELECT model, bool_and(passed) AS overall_passed, count(*) FILTER (WHERE NOT passed) AS failed_checks
+    FROM u GROUP BY model""")
+def _g08(spark, d):
+    perf = _perf_spark(spark, d)
+    over = gt.overfitting_gate(_gap_spark(spark, d), ["model"])
+    cc = mt.confusion_counts(_scored_runs(spark, d).where(F.col("split") == "dev"), ["model"])
+    rules = gt.business_rules_gate(cc, ["model"])
+    return gt.overall_verdict(perf, over, rules, ["model"])

@@ -57,6 +57,21 @@ VIEWS: dict[str, str] = {
                CAST(CAST(event_id * 37 % 1000 AS DOUBLE) / 1000 >= 0.5 AS INT) AS prediction,
                CAST(event_id * 37 % 1000 AS DOUBLE) / 1000 AS probability
         FROM events""",
+    # three scoring "models" over the same events, with many tied scores
+    "scored_runs": """
+        SELECT event_id, 'm_random' AS model, 1 AS seq, CAST(event_type = 'purchase' AS INT) AS label,
+               CAST(event_id * 37 % 1000 AS DOUBLE) / 1000 AS probability
+        FROM events
+        UNION ALL
+        SELECT event_id, 'm_signal', 2, CAST(event_type = 'purchase' AS INT),
+               CASE WHEN event_type = 'purchase' THEN 0.45 + CAST(event_id * 13 % 50 AS DOUBLE) / 100
+                    ELSE CAST(event_id * 7 % 60 AS DOUBLE) / 100 END
+        FROM events
+        UNION ALL
+        SELECT event_id, 'm_tuned', 3, CAST(event_type = 'purchase' AS INT),
+               CASE WHEN event_type = 'purchase' THEN 0.3 + CAST(event_id * 11 % 70 AS DOUBLE) / 100
+                    ELSE CAST(event_id * 3 % 55 AS DOUBLE) / 100 END
+        FROM events""",
     # imbalanced binary target with document features
     "doc_features": """
         SELECT d.doc_id, d.lang, d.source, CAST(d.n_chars AS DOUBLE) AS n_chars, l.quality, l.toxic
