@@ -964,3 +964,123 @@ def _g08(spark, d):
     cc = mt.confusion_counts(_scored_runs(spark, d).where(F.col("split") == "dev"), ["model"])
     rules = gt.business_rules_gate(cc, ["model"])
     return gt.overall_verdict(perf, over, rules, ["model"])
+
+
+# =========================================================== D1-D7 distributions
+
+from ..operators import distribution as dist  # noqa: E402
+
+
+def histogram_sql(tbl: str, cols: list[str], ints: set[str]) -> str:
+    parts = []
+    for c in cols:
+        w = ("greatest(w0, 1.0)" if c in ints else "w0")
+        parts.append(f"""SELECT * FROM (
+            WITH st AS (SELECT count(x) AS n, min(x) AS mn, max(x) AS mx, quantile_cont(x, 0.25) AS q1,
+                               quantile_cont(x, 0.75) AS q3 FROM (SELECT CAST({c} AS DOUBLE) AS x FROM {tbl}) AS t),
+            ww AS (SELECT *, CASE WHEN fd > 0 THEN least(fd, sturges) ELSE sturges END AS w0 FROM (
+                     SELECT *, 2.0 * (q3 - q1) * pow(CAST(n AS DOUBLE), -1.0 / 3.0) AS fd,
+                            (mx - mn) / (log2(CAST(n AS DOUBLE)) + 1.0) AS sturges FROM st) AS a),
+            nb AS (SELECT *, CAST(CASE WHEN mx - mn > 0 THEN greatest(ceil((mx - mn) / {w}), 1) ELSE 1 END AS INTEGER)
+                             AS n_bins FROM ww),
+            p AS (SELECT mn, mx, n_bins, (mx - mn) / n_bins AS bw FROM nb),
+            g AS (SELECT CAST(unnest(range(0, (SELECT n_bins FROM p))) AS INTEGER) AS bin),
+            c AS (SELECT CAST(CASE WHEN p.bw > 0 THEN least(floor((CAST({c} AS DOUBLE) - p.mn) / p.bw), p.n_bins - 1)
+                                   ELSE 0 END AS INTEGER) AS bin, count(*) AS cnt
+                  FROM {tbl}, p WHERE {c} IS NOT NULL GROUP BY 1)
+            SELECT '{c}' AS column_name, g.bin, p.mn + g.bin * p.bw AS lower, p.mn + (g.bin + 1) * p.bw AS upper,
+                   coalesce(c.cnt, 0) AS "count"
+            FROM g CROSS JOIN p LEFT JOIN c ON g.bin = c.bin) AS h{len(parts)}""")
+    return union_sql(parts)
+
+
+@register("d01_histogram", R(histogram_sql("events", ["value", "user_id"], {"user_id"}), ["lower", "upper"], 4),
+          digits=4)
+def _d01(spark, d):
+    return dist.histogram(table(spark, d, "events"), ["value", "user_id"])
+
+
+@register("d02_density_curve")
+def _d02(spark, d):
+    return dist.density_curve(table(spark, d, "events"), ["value", "user_id"])
+
+
+@register("d03_category_counts", union_sql([
+    f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, count(*) AS \"count\" FROM orders "
+    f"WHERE {c} IS NOT NULL GROUP BY 2" for c in ["o_orderstatus", "o_orderpriority"]]))
+def _d03(spark, d):
+    return dist.category_counts(table(spark, d, "orders"), ["o_orderstatus", "o_orderpriority"])
+
+
+def box_sql(tbl: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT '{c}' AS column_name, q1, med AS median, q3,
+            (SELECT min(x) FROM (SELECT CAST({c} AS DOUBLE) AS x FROM {tbl}) AS t WHERE x >= q1 - 1.5 * (q3 - q1))
+              AS whisker_low,
+            (SELECT max(x) FROM (SELECT CAST({c} AS DOUBLE) AS x FROM {tbl}) AS t WHERE x <= q3 + 1.5 * (q3 - q1))
+              AS whisker_high,
+            (SELECT count(*) FROM (SELECT CAST({c} AS DOUBLE) AS x FROM {tbl}) AS t
+              WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_fliers, mean
+            FROM (SELECT quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS med,
+                         quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3, avg(CAST({c} AS DOUBLE)) AS mean
+                  FROM {tbl}) AS s""")
+    return union_sql(parts)
+
+
+@register("d04_box_stats", R(box_sql("events", ["value", "user_id"]),
+                             ["q1", "median", "q3", "whisker_low", "whisker_high", "mean"]))
+def _d04(spark, d):
+    return dist.box_stats(table(spark, d, "events"), ["value", "user_id"])
+
+
+CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _pairs_sql(select_for_pair) -> str:
+    return union_sql([select_for_pair(a, b) for a in CORR_COLS for b in CORR_COLS])
+
+
+@register("d05_correlation_pearson", R(_pairs_sql(
+    lambda a, b: f"SELECT '{a}' AS column_a, '{b}' AS column_b, corr({a}, {b}) AS correlation FROM lineitem"),
+    ["correlation"], 9), digits=9)
+def _d05p(spark, d):
+    return dist.correlation_matrix(table(spark, d, "lineitem"), CORR_COLS, "pearson")
+
+
+_RANKED = "SELECT " + ", ".join(
+    f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / 2.0 AS {c}" for c in CORR_COLS
+) + " FROM lineitem"
+
+
+@register("d05_correlation_spearman", R(f"WITH rk AS ({_RANKED})\n" + _pairs_sql(
+    lambda a, b: f"SELECT '{a}' AS column_a, '{b}' AS column_b, corr({a}, {b}) AS correlation FROM rk"),
+    ["correlation"], 9), digits=9)
+def _d05s(spark, d):
+    return dist.correlation_matrix(table(spark, d, "lineitem"), CORR_COLS, "spearman")
+
+
+@register("d05_correlation_spearman_nulls", R(oracle_with(f"""
+    WITH b AS (SELECT CAST(c_acctbal AS DOUBLE) AS a, CAST(c_nationkey AS DOUBLE) AS k FROM customer_dirty
+               WHERE c_acctbal IS NOT NULL AND c_nationkey IS NOT NULL),
+    rk AS (SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS a,
+                  rank() OVER (ORDER BY k) + (count(*) OVER (PARTITION BY k) - 1) / 2.0 AS k FROM b)
+    SELECT 'c_acctbal' AS column_a, 'c_nationkey' AS column_b, corr(a, k) AS correlation FROM rk
+    UNION ALL SELECT 'c_nationkey', 'c_acctbal', corr(a, k) FROM rk
+    UNION ALL SELECT 'c_acctbal', 'c_acctbal', corr(c_acctbal, c_acctbal) FROM customer_dirty
+    UNION ALL SELECT 'c_nationkey', 'c_nationkey', corr(c_nationkey, c_nationkey) FROM customer_dirty""",
+    "customer_dirty"), ["correlation"], 9), digits=9)
+def _d05n(spark, d):
+    return dist.correlation_matrix(table(spark, d, "customer_dirty"), ["c_acctbal", "c_nationkey"], "spearman")
+
+
+@register("d06_target_distribution", R(oracle_with("""
+    SELECT quality, count(*) AS "count", count(*) * 100.0 / sum(count(*)) OVER () AS percent
+    FROM doc_features GROUP BY quality""", "doc_features"), ["percent"]))
+def _d06(spark, d):
+    return dist.target_bars(table(spark, d, "doc_features"), "quality")
+
+
+@register("d07_run_all")
+def _d07(spark, d):
+    return dist.run_all(table(spark, d, "events_labeled"), "is_purchase", ["value", "user_id"], ["event_type"])
