@@ -42,11 +42,18 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tupl
 
 def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                  weight_cols: Sequence[str], num_ranges: int | None = None,
-                 descending: bool = False) -> DataFrame:
+                 descending: bool = False, max_groups: int | None = None,
+                 with_offsets: bool = False):
     """For each weight ``w`` add ``<w>_before`` = sum of ``w`` over rows that
     sort strictly before this row inside its group, and ``<w>_total`` = the
     group's sum.  Rows must be unique per (group_cols, order_cols).
-    ``descending`` orders the keys from large to small."""
+    ``descending`` orders the keys from large to small.
+
+    The offset table has at most ``num_ranges + groups - 1`` rows.  Callers
+    that know the group count is bounded (columns, classes, runs) pass
+    ``max_groups``; otherwise the table is counted before it is broadcast.
+    ``with_offsets=True`` also returns the offset table (one row per
+    range and group, with the group totals)."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_ranges = num_ranges or max(shuffle_partitions(spark), 1)
@@ -65,28 +72,33 @@ def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
         PID, *g,
         *[F.coalesce(F.sum(f"_t_{w}").over(prior), F.lit(0)).alias(f"_o_{w}") for w in ws],
         *[F.sum(f"_t_{w}").over(whole).alias(f"{w}_total") for w in ws])
-    offsets, _ = checked_broadcast(offsets)
+    if max_groups is not None and max_groups + n_ranges <= MAX_BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    else:
+        offsets, _ = checked_broadcast(offsets)
 
     inside = (Window.partitionBy(PID, *g).orderBy(*keys)
               .rowsBetween(Window.unboundedPreceding, -1))
     out = ranged.join(offsets, [PID, *g], "inner")
     out = out.withColumns({
         f"{w}_before": F.col(f"_o_{w}") + F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in ws})
-    return out.drop(PID, *[f"_o_{w}" for w in ws])
+    out = out.drop(PID, *[f"_o_{w}" for w in ws])
+    return (out, offsets) if with_offsets else out
 
 
 def running_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                   weight_col: str, num_ranges: int | None = None) -> DataFrame:
+                   weight_col: str, num_ranges: int | None = None,
+                   max_groups: int | None = None) -> DataFrame:
     """:func:`running_sums` for one weight, named ``rows_before`` and
     ``group_total``."""
-    out = running_sums(df, group_cols, order_cols, [weight_col], num_ranges)
+    out = running_sums(df, group_cols, order_cols, [weight_col], num_ranges, max_groups=max_groups)
     return (out.withColumn(BEFORE, F.col(f"{weight_col}_before").cast("bigint"))
             .withColumn(GROUP_TOTAL, F.col(f"{weight_col}_total").cast("bigint"))
             .drop(f"{weight_col}_before", f"{weight_col}_total"))
 
 
 def value_ranks(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                extra_sums: Sequence[str] = ()) -> DataFrame:
+                extra_sums: Sequence[str] = (), max_groups: int | None = None) -> DataFrame:
     """One row per distinct (group, value): ``cnt``, ``rows_before`` and the
     average (tie-averaged, 1-based) rank ``avg_rank``.  NULL values are
     dropped.  ``extra_sums`` are summed per distinct value as well (for
@@ -95,7 +107,7 @@ def value_ranks(df: DataFrame, group_cols: Sequence[str], value_col: str,
     counted = (df.where(F.col(value_col).isNotNull())
                .groupBy(*g, value_col)
                .agg(F.count(F.lit(1)).alias("cnt"), *[F.sum(c).alias(c) for c in extra_sums]))
-    ranked = running_counts(counted, g, [value_col], "cnt")
+    ranked = running_counts(counted, g, [value_col], "cnt", max_groups=max_groups)
     return ranked.withColumn("avg_rank", F.col(BEFORE) + (F.col("cnt") + F.lit(1)) / F.lit(2.0))
 
 
@@ -109,16 +121,18 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     found with a range join against a broadcast table of
     ``len(cols)·len(probs)·2`` positions."""
     long = to_long(df, cols).where(F.col(VALUE).isNotNull())
-    return exact_quantiles_long(long, probs)
+    return exact_quantiles_long(long, probs, max_groups=len(cols))
 
 
 def exact_quantiles_long(long: DataFrame, probs: Sequence[float],
-                         group_cols: Sequence[str] = (COLUMN,)) -> DataFrame:
+                         group_cols: Sequence[str] = (COLUMN,), max_groups: int | None = None) -> DataFrame:
     g = list(group_cols)
     counted = long.groupBy(*g, VALUE).agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = running_counts(counted, g, [VALUE], "cnt")
+    ranked, offsets = running_sums(counted, g, [VALUE], ["cnt"], max_groups=max_groups, with_offsets=True)
+    ranked = ranked.withColumnRenamed("cnt_before", BEFORE)
 
-    n_tab = ranked.where(F.col(BEFORE) == 0).select(*g, F.col(GROUP_TOTAL).alias("n"))
+    # group sizes from the small offset table, not from the ranked rows
+    n_tab = offsets.select(*g, F.col("cnt_total").cast("bigint").alias("n")).distinct()
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     pos = (n_tab.select(*g, "n", F.explode(probs_arr).alias("prob"))
            .withColumn("_h", (F.col("n") - 1) * F.col("prob"))

@@ -148,7 +148,7 @@ def _ranked_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     base = (df.select(*[clean_double(c).alias(c) for c in cols])
             .withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True))
     long = to_long(base, cols, keep=["_rid"]).where(F.col(VALUE).isNotNull())
-    ranks = value_ranks(long, [COLUMN], VALUE).select(COLUMN, VALUE, "avg_rank")
+    ranks = value_ranks(long, [COLUMN], VALUE, max_groups=len(cols)).select(COLUMN, VALUE, "avg_rank")
     joined = long.join(ranks, [COLUMN, VALUE])
     return joined.groupBy("_rid").pivot(COLUMN, list(cols)).agg(F.first("avg_rank"))
 

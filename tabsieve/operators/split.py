@@ -39,11 +39,17 @@ def order_hash(key: str, seed: str | int) -> F.Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def class_ranks(df: DataFrame, key: str, label: str, seed: str | int) -> DataFrame:
+# Classes (of a split or fold label) expected at most; beyond it the offset
+# table is counted before it is broadcast.
+MAX_CLASSES = 10_000
+
+
+def class_ranks(df: DataFrame, key: str, label: str, seed: str | int,
+                max_classes: int | None = MAX_CLASSES) -> DataFrame:
     """0-based rank of each row inside its class in ``md5(key||seed), key``
     order; all columns are carried along."""
     w = df.withColumn(HASH, order_hash(key, seed)).withColumn("_one", F.lit(1))
-    ranked = running_counts(w, [label], [HASH, key], "_one")
+    ranked = running_counts(w, [label], [HASH, key], "_one", max_groups=max_classes)
     return ranked.withColumnRenamed("rows_before", RANK).drop("_one", "group_total", HASH)
 
 

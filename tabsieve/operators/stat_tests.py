@@ -131,7 +131,7 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) ->
     ``max(U1, U2)``).  Ranks per column come from :func:`value_ranks`: one
     row per distinct value, ranges spread over tasks."""
     long = _two_group_long(df, cols, group_col, v1, v2)
-    ranked = value_ranks(long, [COLUMN], VALUE, extra_sums=["_g1"])
+    ranked = value_ranks(long, [COLUMN], VALUE, extra_sums=["_g1"], max_groups=len(cols))
     agg = ranked.groupBy(COLUMN).agg(
         F.sum(F.col("avg_rank") * F.col("_g1")).alias("_r1"),
         F.sum("_g1").cast("double").alias("_n1"),
