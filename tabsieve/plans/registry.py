@@ -1084,3 +1084,112 @@ def _d06(spark, d):
 @register("d07_run_all")
 def _d07(spark, d):
     return dist.run_all(table(spark, d, "events_labeled"), "is_purchase", ["value", "user_id"], ["event_type"])
+
+
+# =========================================================== A3, A19-A21, P2, P5 and sinks
+
+import uuid  # noqa: E402
+
+from ..sources import io as sio  # noqa: E402
+from . import eda as eda_plan  # noqa: E402
+
+
+@register("a03_describe_all", R(oracle_with(f"""
+    SELECT *, 'numeric' AS kind, CAST(NULL AS BIGINT) AS "unique", CAST(NULL AS VARCHAR) AS top,
+           CAST(NULL AS BIGINT) AS freq, CAST(NULL AS BIGINT) AS unique_count, CAST(NULL AS DOUBLE) AS cardinality_pct
+    FROM ({numeric_profile_sql('customer_dirty', ['c_acctbal', 'c_nationkey'])}) AS n
+    UNION ALL BY NAME
+    SELECT *, 'categorical' AS kind FROM ({categorical_profile_sql('customer_dirty', ['c_mktsegment', 'c_name'])})
+    AS c""", "customer_dirty"), NUM_PROFILE_COLS + ["cardinality_pct"]))
+def _a03(spark, d):
+    return prof.describe_all(table(spark, d, "customer_dirty"), id_column="c_custkey")
+
+
+@register("a19_dataset_metadata", oracle_with(f"""
+    WITH s AS ({SPLIT_SQL})
+    SELECT split, CAST(sum(count(*)) OVER (PARTITION BY split) AS BIGINT) AS n_rows, 4 AS n_features,
+           CAST(is_purchase AS INTEGER) AS label, count(*) AS "count"
+    FROM s GROUP BY split, is_purchase""", "events_labeled"))
+def _a19(spark, d):
+    sp = _split_events(spark, d)
+    parts = {s: sp.where(F.col("split") == s).drop("split") for s in ("train", "dev", "test")}
+    return prof.dataset_metadata(parts, "is_purchase")
+
+
+@register("a20_eda_report", R(oracle_with(f"""
+    WITH nc AS ({null_counts_sql('customer_dirty', CUSTOMER_DIRTY_COLS)}),
+    dd AS (SELECT count(*) AS n_distinct FROM (SELECT DISTINCT * FROM customer_dirty) AS x)
+    SELECT CAST(max(n_rows) AS BIGINT) AS n_rows, 5 AS n_columns, 3 AS n_numeric, 2 AS n_categorical,
+           CAST(sum(missing_count) AS BIGINT) AS missing_total,
+           CAST(sum(missing_count) * 100.0 / (max(n_rows) * 5) AS DOUBLE) AS missing_pct_overall,
+           CAST(max(n_rows) - any_value(dd.n_distinct) AS BIGINT) AS n_duplicates,
+           CAST((max(n_rows) - any_value(dd.n_distinct)) * 100.0 / max(n_rows) AS DOUBLE) AS duplicate_pct
+    FROM nc, dd""", "customer_dirty"), ["missing_pct_overall", "duplicate_pct"]))
+def _a20(spark, d):
+    return eda_plan.eda_report(table(spark, d, "customer_dirty"))
+
+
+@register("a21_run_all_checks", R(oracle_with(f"""
+    SELECT 'missing' AS "check", column_name, 'missing_fraction' AS metric,
+           round_even(missing_count / n_rows, 4) AS value,
+           CASE WHEN round_even(missing_count / n_rows, 4) >= 0.30 THEN 'CRITICAL'
+                WHEN round_even(missing_count / n_rows, 4) >= 0.05 THEN 'WARNING' ELSE 'INFO' END AS status
+    FROM ({null_counts_sql('customer_dirty', CUSTOMER_DIRTY_COLS)}) AS t WHERE missing_count > 0
+    UNION ALL
+    SELECT 'duplicates', NULL, 'n_duplicates', CAST(n - nd AS DOUBLE), CASE WHEN n > nd THEN 'WARNING' ELSE 'OK' END
+    FROM (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT * FROM customer_dirty) AS x) AS nd
+          FROM customer_dirty) AS d
+    UNION ALL
+    SELECT 'outliers', column_name, 'percentage', percentage, CASE WHEN high_outliers THEN 'WARNING' ELSE 'OK' END
+    FROM ({iqr_summary_sql('customer_dirty', ['c_acctbal', 'c_nationkey'])}) AS o""", "customer_dirty"), ["value"]))
+def _a21(spark, d):
+    return qual.run_all_checks(table(spark, d, "customer_dirty"), exclude=["c_custkey"])
+
+
+@register("p02_column_kinds")
+def _p02(spark, d):
+    return prof.schema_overview(table(spark, d, "orders"))
+
+
+@register("p05_narrow_types")
+def _p05(spark, d):
+    narrowed = sch.narrow_types(table(spark, d, "lineitem"))
+    return prof.schema_overview(narrowed)
+
+
+def _scratch(spark, name: str) -> str:
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark)}/tabsieve-io/{name}-{uuid.uuid4().hex[:10]}"
+
+
+@register("s01_csv_roundtrip", oracle_with("""
+    SELECT o_orderkey, o_orderstatus, o_orderpriority, TRY_CAST(o_totalprice_text AS DOUBLE) AS o_totalprice_text
+    FROM orders_text""", "orders_text"))
+def _s01(spark, d):
+    path = _scratch(spark, "csv")
+    sio.write_csv(table(spark, d, "orders_text"), path)
+    return sio.read_csv(spark, path)
+
+
+@register("s04_splits_roundtrip", R(SPLIT_SQL, ["value"]))
+def _s04(spark, d):
+    sp = _split_events(spark, d)
+    parts = {s: sp.where(F.col("split") == s).drop("split") for s in ("train", "dev", "test")}
+    path = _scratch(spark, "splits")
+    sio.write_splits(parts, path)
+    back = sio.read_splits(spark, path)
+    out = None
+    for s, df in back.items():
+        part = df.withColumn("split", F.lit(s))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("s05_params_roundtrip", ORACLE["c02_impute_mean"])
+def _s05(spark, d):
+    df = table(spark, d, "customer_dirty").select("c_custkey", "c_acctbal", "c_nationkey")
+    params = {"impute_numeric": cln.fit_numeric_impute(df, ["c_acctbal", "c_nationkey"], "mean")}
+    path = _scratch(spark, "params")
+    sio.save_params(spark, params, path)
+    back = sio.load_params(spark, path)
+    return cln.apply_impute(df, back["impute_numeric"])
