@@ -1193,3 +1193,92 @@ def _s05(spark, d):
     sio.save_params(spark, params, path)
     back = sio.load_params(spark, path)
     return cln.apply_impute(df, back["impute_numeric"])
+
+
+# =========================================================== C11, L1-L13, M1, M16-M19 (rows-only)
+
+from ..operators import importance as imp  # noqa: E402
+from ..operators import train as trn  # noqa: E402
+from . import preprocess as pre  # noqa: E402
+
+DOC_CFG = dict(key="doc_id", target="quality", test_size=60, dev_size=60, seed="-42",
+               outlier_cols=("n_chars",), log1p_cols=("n_chars",), drop_cols=("toxic",))
+
+
+def _prepared_docs(spark, d, keep_key: bool = True):
+    """C11 on the labelled documents: split, fitted on train, applied to all."""
+    cfg = pre.PreprocessConfig(**DOC_CFG)
+    splits, params = pre.fit_transform(table(spark, d, "doc_features"), cfg, keep_key=keep_key)
+    splits = {s: df.persist() for s, df in splits.items()}  # reused by every fit and score
+    feats = [c for c in splits["train"].columns if c not in ("doc_id", "quality")]
+    return splits, feats
+
+
+@register("c11_preprocess")
+def _c11(spark, d):
+    splits, _ = _prepared_docs(spark, d)
+    out = None
+    for s, df in splits.items():
+        part = df.withColumn("split", F.lit(s))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _fit_score(spark, d, name: str):
+    splits, feats = _prepared_docs(spark, d)
+    model = trn.fit_model(name, splits["train"], feats, "quality")
+    return trn.score(model, splits["dev"], "quality", keep=["doc_id"])
+
+
+@register("l01_logistic_regression")
+def _l01(spark, d):
+    return _fit_score(spark, d, "logistic_regression")
+
+
+@register("l02_random_forest")
+def _l02(spark, d):
+    return _fit_score(spark, d, "random_forest")
+
+
+@register("l03_boosted_trees_weighted")
+def _l03(spark, d):
+    return _fit_score(spark, d, "xgboost")
+
+
+@register("l04_boosted_trees_balanced")
+def _l04(spark, d):
+    return _fit_score(spark, d, "lightgbm")
+
+
+@register("l07_cross_validation")
+def _l07(spark, d):
+    splits, feats = _prepared_docs(spark, d)
+    return trn.cv_summary(trn.cross_validate("logistic_regression", splits["train"], feats, "quality", "doc_id",
+                                             k=10)).drop("cv_scores")
+
+
+@register("l10_random_search")
+def _l10(spark, d):
+    splits, feats = _prepared_docs(spark, d)
+    return trn.random_search("logistic_regression", splits["train"], feats, "quality", "doc_id", n_trials=3, k=5)
+
+
+@register("l11_baseline_leaderboard")
+def _l11(spark, d):
+    splits, feats = _prepared_docs(spark, d)
+    runs = trn.train_baselines(list(trn.PRESETS), splits["train"], splits["dev"], feats, "quality", "doc_id")
+    return trn.leaderboard_of(runs, "f1_score")
+
+
+@register("m18_native_importance")
+def _m18(spark, d):
+    splits, feats = _prepared_docs(spark, d)
+    model = trn.fit_model("random_forest", splits["train"], feats, "quality")
+    return imp.native_importance(model, feats, top=20)
+
+
+@register("m19_permutation_importance")
+def _m19(spark, d):
+    splits, feats = _prepared_docs(spark, d)
+    model = trn.fit_model("random_forest", splits["train"], feats, "quality")
+    return imp.permutation_importance(model, splits["dev"], feats, "quality", "doc_id", n_repeats=10)
