@@ -32,6 +32,10 @@ BEFORE = "rows_before"
 GROUP_TOTAL = "group_total"
 # Largest offset table that is broadcast; beyond it a shuffle join is used.
 MAX_BROADCAST_ROWS = 2_000_000
+# Largest ordered table (rows, counted exactly) ranked by a plain window per
+# group or summarised by Spark's ``percentile`` buffer; above it the
+# range-partitioned path runs.  The bound keeps one group's task small.
+SMALL_ROWS = 1_000_000
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
@@ -40,20 +44,13 @@ def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tupl
     return (F.broadcast(df), True) if n <= max_rows else (df, False)
 
 
-def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                 weight_cols: Sequence[str], num_ranges: int | None = None,
-                 descending: bool = False, max_groups: int | None = None,
-                 with_offsets: bool = False):
-    """For each weight ``w`` add ``<w>_before`` = sum of ``w`` over rows that
-    sort strictly before this row inside its group, and ``<w>_total`` = the
-    group's sum.  Rows must be unique per (group_cols, order_cols).
-    ``descending`` orders the keys from large to small.
-
-    The offset table has at most ``num_ranges + groups - 1`` rows.  Callers
-    that know the group count is bounded (columns, classes, runs) pass
-    ``max_groups``; otherwise the table is counted before it is broadcast.
-    ``with_offsets=True`` also returns the offset table (one row per
-    range and group, with the group totals)."""
+def ranged_offsets(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                   weight_cols: Sequence[str], num_ranges: int | None = None,
+                   descending: bool = False, max_groups: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Steps 2-3 of the module docstring: the range-partitioned, checkpointed
+    rows (with ``_range_id``) and the small offset table ``(_range_id,
+    groups..., _t_<w>, _o_<w>, <w>_total)``, already marked for broadcast
+    when its size is proven small."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_ranges = num_ranges or max(shuffle_partitions(spark), 1)
@@ -69,17 +66,48 @@ def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
     prior = Window.partitionBy(*g).orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*g)
     offsets = totals.select(
-        PID, *g,
+        PID, *g, *[f"_t_{w}" for w in ws],
         *[F.coalesce(F.sum(f"_t_{w}").over(prior), F.lit(0)).alias(f"_o_{w}") for w in ws],
         *[F.sum(f"_t_{w}").over(whole).alias(f"{w}_total") for w in ws])
     if max_groups is not None and max_groups + n_ranges <= MAX_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     else:
         offsets, _ = checked_broadcast(offsets)
+    return ranged, offsets
+
+
+def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                 weight_cols: Sequence[str], num_ranges: int | None = None,
+                 descending: bool = False, max_groups: int | None = None,
+                 with_offsets: bool = False, known_rows: int | None = None):
+    """For each weight ``w`` add ``<w>_before`` = sum of ``w`` over rows that
+    sort strictly before this row inside its group, and ``<w>_total`` = the
+    group's sum.  Rows must be unique per (group_cols, order_cols).
+    ``descending`` orders the keys from large to small.
+
+    The offset table has at most ``num_ranges + groups - 1`` rows.  Callers
+    that know the group count is bounded (columns, classes, runs) pass
+    ``max_groups``; otherwise the table is counted before it is broadcast.
+    ``with_offsets=True`` also returns the offset table.
 
+    A table of at most SMALL_ROWS rows (``known_rows`` or an exact count)
+    is summed by a window per group directly: no group can hold more rows
+    than the checked total."""
+    g = list(group_cols)
+    ws = list(weight_cols)
+    keys = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
+    if not with_offsets:
+        n = known_rows if known_rows is not None else df.count()
+        if n <= SMALL_ROWS:
+            before = Window.partitionBy(*g).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+            whole = Window.partitionBy(*g)
+            return df.withColumns({
+                **{f"{w}_before": F.coalesce(F.sum(w).over(before), F.lit(0)) for w in ws},
+                **{f"{w}_total": F.sum(w).over(whole) for w in ws}})
+    ranged, offsets = ranged_offsets(df, g, order_cols, ws, num_ranges, descending, max_groups)
     inside = (Window.partitionBy(PID, *g).orderBy(*keys)
               .rowsBetween(Window.unboundedPreceding, -1))
-    out = ranged.join(offsets, [PID, *g], "inner")
+    out = ranged.join(offsets.drop(*[f"_t_{w}" for w in ws]), [PID, *g], "inner")
     out = out.withColumns({
         f"{w}_before": F.col(f"_o_{w}") + F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in ws})
     out = out.drop(PID, *[f"_o_{w}" for w in ws])
@@ -88,10 +116,11 @@ def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[
 
 def running_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                    weight_col: str, num_ranges: int | None = None,
-                   max_groups: int | None = None) -> DataFrame:
+                   max_groups: int | None = None, known_rows: int | None = None) -> DataFrame:
     """:func:`running_sums` for one weight, named ``rows_before`` and
     ``group_total``."""
-    out = running_sums(df, group_cols, order_cols, [weight_col], num_ranges, max_groups=max_groups)
+    out = running_sums(df, group_cols, order_cols, [weight_col], num_ranges, max_groups=max_groups,
+                       known_rows=known_rows)
     return (out.withColumn(BEFORE, F.col(f"{weight_col}_before").cast("bigint"))
             .withColumn(GROUP_TOTAL, F.col(f"{weight_col}_total").cast("bigint"))
             .drop(f"{weight_col}_before", f"{weight_col}_total"))
@@ -126,12 +155,25 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
 
 def exact_quantiles_long(long: DataFrame, probs: Sequence[float],
                          group_cols: Sequence[str] = (COLUMN,), max_groups: int | None = None) -> DataFrame:
+    """Quantiles of ``value`` per group of a long table.
+
+    Only the ranges that hold a wanted order statistic are ranked: the
+    offset table tells which range covers each position, a broadcast
+    semi-join keeps those ranges, and the window runs over them alone.  The
+    rest of the distinct values are written once (checkpoint) and never
+    shuffled again."""
     g = list(group_cols)
     counted = long.groupBy(*g, VALUE).agg(F.count(F.lit(1)).alias("cnt"))
-    ranked, offsets = running_sums(counted, g, [VALUE], ["cnt"], max_groups=max_groups, with_offsets=True)
-    ranked = ranked.withColumnRenamed("cnt_before", BEFORE)
+    if counted.count() <= SMALL_ROWS:
+        # every group has at most SMALL_ROWS distinct values: Spark's exact
+        # percentile with the counts as frequencies (same interpolation)
+        pa = F.percentile(F.col(VALUE), F.array(*[F.lit(float(p)) for p in probs]), F.col("cnt"))
+        agg = counted.groupBy(*g).agg(pa.alias("_q"), F.sum("cnt").cast("bigint").alias("n"))
+        return agg.select(*g, F.posexplode("_q").alias("_i", "quantile"), "n").select(
+            *g, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1).alias("prob"),
+            "quantile", "n")
+    ranged, offsets = ranged_offsets(counted, g, [VALUE], ["cnt"], max_groups=max_groups)
 
-    # group sizes from the small offset table, not from the ranked rows
     n_tab = offsets.select(*g, F.col("cnt_total").cast("bigint").alias("n")).distinct()
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
     pos = (n_tab.select(*g, "n", F.explode(probs_arr).alias("prob"))
@@ -143,13 +185,24 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float],
         F.struct(F.lit("lo").alias("side"), F.col("_lo").alias("pos")),
         F.struct(F.lit("hi").alias("side"), F.col("_hi").alias("pos")))).alias("w"))
     wanted = wanted.select(*g, "prob", "w.side", "w.pos")
-    # size is len(groups)·len(probs)·2, bounded by the caller's arguments
-    r, w = ranked.alias("r"), F.broadcast(wanted.alias("w"))
-    cond = [F.col(f"r.{c}") == F.col(f"w.{c}") for c in g] + [
-        F.col("w.pos") >= F.col(f"r.{BEFORE}"), F.col("w.pos") < F.col(f"r.{BEFORE}") + F.col("r.cnt")]
-    hits = r.join(w, cond, "inner").select(
-        *[F.col(f"w.{c}").alias(c) for c in g], F.col("w.prob").alias("prob"),
-        F.col("w.side").alias("side"), F.col(f"r.{VALUE}").alias(VALUE))
+    # which range holds each wanted position: small x small
+    o = offsets.alias("o")
+    hold = (wanted.alias("w").join(o, [F.col(f"w.{c}") == F.col(f"o.{c}") for c in g] + [
+        F.col("w.pos") >= F.col("o._o_cnt"), F.col("w.pos") < F.col("o._o_cnt") + F.col("o._t_cnt")])
+        .select(*[F.col(f"w.{c}").alias(c) for c in g], F.col(f"o.{PID}").alias(PID),
+                F.col("o._o_cnt").alias("_off"), "w.prob", "w.side", "w.pos"))
+    # len(groups)·len(probs)·2 rows at most
+    hold = F.broadcast(hold)
+    need = hold.select(PID, *g, "_off").distinct()
+    sub = ranged.join(F.broadcast(need), [PID, *g], "inner")
+    inside = Window.partitionBy(PID, *g).orderBy(VALUE).rowsBetween(Window.unboundedPreceding, -1)
+    sub = sub.withColumn(BEFORE, F.col("_off") + F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
+    r = sub.alias("r")
+    h = hold.alias("h")
+    hits = r.join(h, [F.col(f"r.{c}") == F.col(f"h.{c}") for c in [PID, *g]] + [
+        F.col("h.pos") >= F.col(f"r.{BEFORE}"), F.col("h.pos") < F.col(f"r.{BEFORE}") + F.col("r.cnt")]
+    ).select(*[F.col(f"h.{c}").alias(c) for c in g], F.col("h.prob").alias("prob"),
+             F.col("h.side").alias("side"), F.col(f"r.{VALUE}").alias(VALUE))
     picked = hits.groupBy(*g, "prob").agg(
         F.max(F.when(F.col("side") == "lo", F.col(VALUE))).alias("_vlo"),
         F.max(F.when(F.col("side") == "hi", F.col(VALUE))).alias("_vhi"))

@@ -45,11 +45,11 @@ MAX_CLASSES = 10_000
 
 
 def class_ranks(df: DataFrame, key: str, label: str, seed: str | int,
-                max_classes: int | None = MAX_CLASSES) -> DataFrame:
+                max_classes: int | None = MAX_CLASSES, known_rows: int | None = None) -> DataFrame:
     """0-based rank of each row inside its class in ``md5(key||seed), key``
     order; all columns are carried along."""
     w = df.withColumn(HASH, order_hash(key, seed)).withColumn("_one", F.lit(1))
-    ranked = running_counts(w, [label], [HASH, key], "_one", max_groups=max_classes)
+    ranked = running_counts(w, [label], [HASH, key], "_one", max_groups=max_classes, known_rows=known_rows)
     return ranked.withColumnRenamed("rows_before", RANK).drop("_one", "group_total", HASH)
 
 
@@ -68,7 +68,7 @@ def stratified_split(df: DataFrame, key: str, label: str | None, test_size: int,
     t_q = allocate(counts, test_size)
     rest = {k: counts[k] - t_q[k] for k in counts}
     d_q = allocate(rest, dev_size)
-    ranked = class_ranks(base, key, lab, seed)
+    ranked = class_ranks(base, key, lab, seed, known_rows=sum(counts.values()))
     quota = df.sparkSession.createDataFrame([(k, t_q[k], d_q[k]) for k in counts],
                                             schema=base.select(lab).schema.add("_tq", "long").add("_dq", "long"))
     # one row per class: bounded by the class count

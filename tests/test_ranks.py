@@ -6,7 +6,15 @@ from pyspark.sql import functions as F
 from tabsieve.functions import ranks
 
 
-def test_exact_quantiles_match_numpy_with_ties_and_nulls(spark):
+@pytest.fixture(params=["small", "ranged"])
+def path(request, monkeypatch):
+    """Run each test on the checked small path and on the range path."""
+    if request.param == "ranged":
+        monkeypatch.setattr(ranks, "SMALL_ROWS", 0)
+    return request.param
+
+
+def test_exact_quantiles_match_numpy_with_ties_and_nulls(spark, path):
     rng = np.random.default_rng(7)
     x = np.round(rng.exponential(3.0, 5000), 1)
     y = rng.integers(0, 20, 5000).astype(float)
@@ -21,13 +29,13 @@ def test_exact_quantiles_match_numpy_with_ties_and_nulls(spark):
             assert got[(c, p)] == pytest.approx(np.quantile(vals, p), abs=1e-12)
 
 
-def test_fixture_quartiles(spark):
+def test_fixture_quartiles(spark, path):
     df = spark.createDataFrame([(float(v),) for v in (1, 2, 4, 9, 16)], "x double")
     q = ranks.quantile_table(df, ["x"], [0.25, 0.75], ["q25", "q75"]).first()
     assert (q["q25"], q["q75"]) == (2.0, 9.0)
 
 
-def test_value_ranks_equal_pandas_average_ranks(spark):
+def test_value_ranks_equal_pandas_average_ranks(spark, path):
     rng = np.random.default_rng(3)
     pdf = pd.DataFrame({"g": rng.integers(0, 3, 3000), "v": rng.integers(0, 50, 3000).astype(float)})
     df = spark.createDataFrame(pdf)
@@ -38,7 +46,7 @@ def test_value_ranks_equal_pandas_average_ranks(spark):
         assert np.allclose(got.to_numpy(), expect.to_numpy())
 
 
-def test_running_sums_independent_of_partitioning(spark):
+def test_running_sums_independent_of_partitioning(spark, path):
     df = spark.range(0, 2000).select((F.col("id") % 3).alias("g"), F.col("id").alias("k"),
                                      (F.col("id") % 5).alias("w"))
     a = ranks.running_sums(df, ["g"], ["k"], ["w"], num_ranges=3).orderBy("g", "k").collect()
@@ -49,7 +57,7 @@ def test_running_sums_independent_of_partitioning(spark):
     assert [r["w_before"] for r in a] == expect.tolist()
 
 
-def test_descending_running_sums(spark):
+def test_descending_running_sums(spark, path):
     df = spark.createDataFrame([(1.0, 1), (2.0, 1), (3.0, 1)], "p double, c long")
     r = {row["p"]: row["c_before"] for row in ranks.running_sums(df, [], ["p"], ["c"], descending=True).collect()}
     assert r == {3.0: 0, 2.0: 1, 1.0: 2}

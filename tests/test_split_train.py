@@ -14,7 +14,11 @@ def test_allocate_largest_remainder():
     assert q == {"a": 1, "b": 1, "c": 0}
 
 
-def test_stratified_split_sizes_disjoint_deterministic(spark, sf001):
+@pytest.mark.parametrize("small_rows", [None, 0])
+def test_stratified_split_sizes_disjoint_deterministic(spark, sf001, small_rows, monkeypatch):
+    if small_rows is not None:
+        from tabsieve.functions import ranks
+        monkeypatch.setattr(ranks, "SMALL_ROWS", small_rows)
     ev = table(spark, sf001, "events_labeled")
     a = split.stratified_split(ev, "event_id", "is_purchase", 500, 610, "-42")
     counts = {(r["split"], r["is_purchase"]): r["count"]
