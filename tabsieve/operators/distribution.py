@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import COLUMN, VALUE, clean_double, numeric_columns, to_long
-from ..functions.ranks import quantile_table, value_ranks
+from ..functions.ranks import MAX_BROADCAST_ROWS, quantile_table, value_ranks
 from ..session import ensure_checkpoint_dir
 from .profile import target_distribution, value_counts_long
 
@@ -141,16 +141,24 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _ranked_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace every value by its tie-averaged rank within its column.  Rows
-    get an id that is frozen by a reliable checkpoint before ranks are joined
-    back and pivoted to the wide form."""
-    ensure_checkpoint_dir(df.sparkSession)
-    base = (df.select(*[clean_double(c).alias(c) for c in cols])
-            .withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True))
-    long = to_long(base, cols, keep=["_rid"]).where(F.col(VALUE).isNotNull())
+    """Replace every value by its tie-averaged rank within its column.  The
+    ranks of all columns come from one rank job on the long layout (one row
+    per distinct value); each column then looks its rank up by value: a
+    broadcast join when the column's distinct-value table is proven small,
+    a shuffle join otherwise.  No row id and no pivot are needed."""
+    d = df.select(*[clean_double(c).alias(c) for c in cols])
+    long = to_long(d, cols).where(F.col(VALUE).isNotNull())
     ranks = value_ranks(long, [COLUMN], VALUE, max_groups=len(cols)).select(COLUMN, VALUE, "avg_rank")
-    joined = long.join(ranks, [COLUMN, VALUE])
-    return joined.groupBy("_rid").pivot(COLUMN, list(cols)).agg(F.first("avg_rank"))
+    ensure_checkpoint_dir(df.sparkSession)
+    ranks = ranks.checkpoint(eager=True)
+    sizes = {r[COLUMN]: r["n"] for r in ranks.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("n")).collect()}
+    out = d
+    for c in cols:
+        rc = ranks.where(F.col(COLUMN) == c).select(F.col(VALUE).alias(f"_v_{c}"), F.col("avg_rank").alias(f"_r_{c}"))
+        if sizes.get(c, 0) <= MAX_BROADCAST_ROWS:
+            rc = F.broadcast(rc)
+        out = out.join(rc, out[c] == rc[f"_v_{c}"], "left")
+    return out.select(*[F.col(f"_r_{c}").alias(c) for c in cols])
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

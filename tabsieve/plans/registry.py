@@ -844,8 +844,9 @@ _EVAL_CTE = f"""{SCORED_CTE},
             JOIN (SELECT model, f1_score FROM ev WHERE split = 'dev') AS dv USING (model))"""
 
 
-def _gap_spark(spark, d):
-    long = mt.metrics_long(_scored_runs(spark, d), BY)
+def _gap_spark(spark, d, scored=None):
+    scored = scored if scored is not None else _scored_runs(spark, d)
+    long = mt.metrics_long(scored.where(F.col("split").isin("train", "dev")), BY, ["f1_score"])
     return mt.compare_train_val(long, "f1_score", ["model"], train="train", val="dev")
 
 
@@ -900,9 +901,9 @@ _PERF_SQL = f"""{_EVAL_CTE},
              FROM lm JOIN th ON lm.metric = th.metric)"""
 
 
-def _perf_spark(spark, d):
-    long = mt.metrics_long(_scored_runs(spark, d).where(F.col("split") == "dev"), ["model"],
-                           ["f1_score", "roc_auc"])
+def _perf_spark(spark, d, scored=None):
+    scored = scored if scored is not None else _scored_runs(spark, d)
+    long = mt.metrics_long(scored.where(F.col("split") == "dev"), ["model"], ["f1_score", "roc_auc"])
     return gt.performance_gate(long, gt.thresholds_table(spark), ["model"])
 
 
@@ -959,9 +960,10 @@ def _g07(spark, d):
     SELECT model, bool_and(passed) AS overall_passed, count(*) FILTER (WHERE NOT passed) AS failed_checks
     FROM u GROUP BY model""")
 def _g08(spark, d):
-    perf = _perf_spark(spark, d)
-    over = gt.overfitting_gate(_gap_spark(spark, d), ["model"])
-    cc = mt.confusion_counts(_scored_runs(spark, d).where(F.col("split") == "dev"), ["model"])
+    scored = _scored_runs(spark, d).persist()  # shared by the three gates
+    perf = _perf_spark(spark, d, scored)
+    over = gt.overfitting_gate(_gap_spark(spark, d, scored), ["model"])
+    cc = mt.confusion_counts(scored.where(F.col("split") == "dev"), ["model"])
     rules = gt.business_rules_gate(cc, ["model"])
     return gt.overall_verdict(perf, over, rules, ["model"])
 
