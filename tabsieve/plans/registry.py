@@ -1284,3 +1284,58 @@ def _m19(spark, d):
     splits, feats = _prepared_docs(spark, d)
     model = trn.fit_model("random_forest", splits["train"], feats, "quality")
     return imp.permutation_importance(model, splits["dev"], feats, "quality", "doc_id", n_repeats=10)
+
+
+# =========================================================== per-operator entries for A8, F1, F2, T7, T10, G9, L12, M17
+
+@register("a08_duplicate_pct", R(oracle_with("""
+    SELECT CAST((count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem_dup) AS d)) * 100.0 / count(*)
+                AS DOUBLE) AS duplicate_pct FROM lineitem_dup""", "lineitem_dup"), ["duplicate_pct"]))
+def _a08(spark, d):
+    return qual.duplicate_summary(table(spark, d, "lineitem_dup")).select("duplicate_pct")
+
+
+@register("f01_range_predicate", "SELECT event_id, value FROM events WHERE value < 10.0 OR value > 100.0")
+def _f01(spark, d):
+    ev = table(spark, d, "events")
+    return ev.where(prof.outside_range("value", 10.0, 100.0)).select("event_id", "value")
+
+
+@register("f02_group_values", "SELECT value FROM events WHERE event_type = 'purchase' AND value IS NOT NULL")
+def _f02(spark, d):
+    return prof.group_values(table(spark, d, "events"), "value", "event_type", "purchase")
+
+
+@register("t07_compare_all_columns")
+def _t07(spark, d):
+    return st.compare_two_groups(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                                 "l_returnflag", "R", "A")
+
+
+@register("t10_cramers_v", R(oracle_with(
+    f"SELECT column_name, cramers_v, effect FROM ({chi_square_sql('doc_features', ['lang', 'source'], 'quality')}) AS c",
+    "doc_features"), ["cramers_v"]))
+def _t10(spark, d):
+    return st.chi_square(table(spark, d, "doc_features"), None, "quality").select(COLUMN, "cramers_v", "effect")
+
+
+@register("g09_promote", ORACLE["g08_overall_verdict"].replace(
+    "SELECT model, bool_and(passed) AS overall_passed, count(*) FILTER (WHERE NOT passed) AS failed_checks\n"
+    "    FROM u GROUP BY model",
+    "SELECT model, 'Staging' AS stage FROM u GROUP BY model HAVING bool_and(passed)"))
+def _g09(spark, d):
+    return gt.promote(_g08(spark, d), "model").select("model", "stage")
+
+
+@register("l12_train_single")
+def _l12(spark, d):
+    splits, feats = _prepared_docs(spark, d)
+    run = trn.train_single("random_forest", splits["train"], splits["dev"], feats, "quality", "doc_id")
+    return run.metrics
+
+
+@register("m17_importance_analysis")
+def _m17(spark, d):
+    splits, feats = _prepared_docs(spark, d)
+    model = trn.fit_model("random_forest", splits["train"], feats, "quality")
+    return imp.analyze(model, splits["dev"], feats, "quality", "doc_id", n_repeats=10)
