@@ -13,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranks import running_sums, value_ranks
+from ..functions.ranks import running_sums
+from ..session import ensure_checkpoint_dir
 
 LABEL, PRED, PROB = "label", "prediction", "probability"
 # Fixed value: probabilities are clipped to [EPS, 1 - EPS] for the log loss
@@ -37,17 +38,39 @@ def scored_from_model(model, df: DataFrame, label: str, keep: Sequence[str] = ()
                       vector_to_array("probability")[1].alias(PROB))
 
 
+CNT = "_n"
+
+
+def compact(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per (group, probability, label, prediction) with its row
+    count: every metric below is a function of this table, which is at most
+    4 x (distinct scores) rows per group, so the scored rows are read once
+    (map-side combine) whatever the number of metrics."""
+    return scored.groupBy(*by, PROB, LABEL, PRED).agg(F.count(F.lit(1)).alias(CNT))
+
+
+def _is_compact(df: DataFrame) -> bool:
+    return CNT in df.columns
+
+
+def _c(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df if _is_compact(df) else compact(df, by)
+
+
 def confusion_counts(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """tn, fp, fn, tp, n per group in one aggregate."""
-    y, p = F.col(LABEL), F.col(PRED)
-    return scored.groupBy(*by).agg(
-        F.count_if((y == 0) & (p == 0)).alias("tn"), F.count_if((y == 0) & (p == 1)).alias("fp"),
-        F.count_if((y == 1) & (p == 0)).alias("fn"), F.count_if((y == 1) & (p == 1)).alias("tp"),
-        F.count(F.lit(1)).alias("n"),
-        F.avg((F.col(PROB) - y) ** 2).alias("brier_score"),
-        F.avg(-(y * F.log(F.least(F.greatest(F.col(PROB), F.lit(EPS)), F.lit(1 - EPS))))
-              - (1 - y) * F.log(1 - F.least(F.greatest(F.col(PROB), F.lit(EPS)), F.lit(1 - EPS))))
-        .alias("log_loss"))
+    """tn, fp, fn, tp, n, Brier score and log loss per group in one
+    aggregate (over the compact table)."""
+    c = _c(scored, by)
+    y, p, n = F.col(LABEL), F.col(PRED), F.col(CNT)
+    pc = F.least(F.greatest(F.col(PROB), F.lit(EPS)), F.lit(1 - EPS))
+    return c.groupBy(*by).agg(
+        F.sum(F.when((y == 0) & (p == 0), n).otherwise(0)).alias("tn"),
+        F.sum(F.when((y == 0) & (p == 1), n).otherwise(0)).alias("fp"),
+        F.sum(F.when((y == 1) & (p == 0), n).otherwise(0)).alias("fn"),
+        F.sum(F.when((y == 1) & (p == 1), n).otherwise(0)).alias("tp"),
+        F.sum(n).alias("n"),
+        (F.sum(n * (F.col(PROB) - y) ** 2) / F.sum(n)).alias("brier_score"),
+        (F.sum(n * (-(y * F.log(pc)) - (1 - y) * F.log(1 - pc))) / F.sum(n)).alias("log_loss"))
 
 
 def threshold_metrics(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -60,13 +83,21 @@ def threshold_metrics(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                     "brier_score", "log_loss")
 
 
+def _per_score(scored: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(group, probability, cnt, pos): rows and positives per distinct score."""
+    c = _c(scored, by)
+    return (c.where(F.col(PROB).isNotNull()).groupBy(*by, PROB)
+            .agg(F.sum(CNT).alias("cnt"), F.sum(F.when(F.col(LABEL) == 1, F.col(CNT)).otherwise(0)).alias("pos")))
+
+
 def roc_auc(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """M7: exact ROC AUC with ties, ``(R+ - n+(n+ + 1)/2) / (n+ n-)`` from
     tie-averaged ranks of the scores."""
-    s = scored.withColumn("_pos", F.col(LABEL).cast("long"))
-    r = value_ranks(s, list(by), PROB, extra_sums=["_pos"])
-    agg = r.groupBy(*by).agg(F.sum(F.col("avg_rank") * F.col("_pos")).alias("_rp"),
-                             F.sum("_pos").cast("double").alias("_np"), F.sum("cnt").cast("double").alias("_n"))
+    per = _per_score(scored, by)
+    r = running_sums(per, list(by), [PROB], ["cnt"])
+    r = r.withColumn("avg_rank", F.col("cnt_before") + (F.col("cnt") + 1) / 2.0)
+    agg = r.groupBy(*by).agg(F.sum(F.col("avg_rank") * F.col("pos")).alias("_rp"),
+                             F.sum("pos").cast("double").alias("_np"), F.sum("cnt").cast("double").alias("_n"))
     npos, nneg = F.col("_np"), F.col("_n") - F.col("_np")
     auc = F.when((npos > 0) & (nneg > 0), (F.col("_rp") - npos * (npos + 1) / 2.0) / (npos * nneg))
     return agg.select(*by, auc.alias("roc_auc"))
@@ -76,8 +107,7 @@ def _descending_counts(scored: DataFrame, by: Sequence[str]) -> DataFrame:
     """One row per (group, distinct score) with counts of rows and positives
     at or above the score (cumulative from the top)."""
     g = list(by)
-    per = (scored.where(F.col(PROB).isNotNull()).groupBy(*g, PROB)
-           .agg(F.count(F.lit(1)).alias("cnt"), F.sum(F.col(LABEL).cast("long")).alias("pos")))
+    per = _per_score(scored, by)
     cum = running_sums(per, g, [PROB], ["cnt", "pos"], descending=True)
     return cum.select(*g, PROB, "cnt", "pos",
                       (F.col("cnt_before") + F.col("cnt")).alias("_k"),
@@ -94,13 +124,20 @@ def average_precision(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def evaluate(scored: DataFrame, by: Sequence[str] = (), metrics: Sequence[str] = METRIC_NAMES) -> DataFrame:
-    """M2: the requested metrics per group, wide; unknown names are skipped."""
+    """M2: the requested metrics per group, wide; unknown names are skipped.
+    The scored rows are compacted once and frozen; every metric reads the
+    compact table."""
     want = [m for m in metrics if m in METRIC_NAMES]
-    out = threshold_metrics(scored, by)
+    c = _c(scored, by)
+    if any(m in want for m in ("roc_auc", "average_precision")) and not _is_compact(scored):
+        ensure_checkpoint_dir(scored.sparkSession)
+        c = c.checkpoint(eager=True)
+    out = threshold_metrics(c, by)
     if "roc_auc" in want:
-        out = out.join(roc_auc(scored, by), list(by), "left") if by else _join1(out, roc_auc(scored, by))
+        auc = roc_auc(c, by)
+        out = out.join(auc, list(by), "left") if by else _join1(out, auc)
     if "average_precision" in want:
-        ap = average_precision(scored, by)
+        ap = average_precision(c, by)
         out = out.join(ap, list(by), "left") if by else _join1(out, ap)
     return out.select(*by, *want)
 

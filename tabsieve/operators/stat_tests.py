@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from ..functions.columns import COLUMN, VALUE, categorical_columns, clean_double, to_long
 from ..functions.ranks import value_ranks
 from ..functions.stats import chi2_sf, norm_sf, t_ppf, t_two_sided_p
+from ..session import ensure_checkpoint_dir
 
 # Labels for Cohen's d and Cramer's V, by upper limit.
 COHEN_LABELS = ((0.2, "negligible"), (0.5, "small"), (0.8, "medium"), (math.inf, "large"))
@@ -225,14 +226,18 @@ def chi_square(df: DataFrame, cols: Sequence[str] | None, target: str, correctio
     cols = list(cols) if cols is not None else categorical_columns(df, [target])
     base = df.where(F.col(target).isNotNull())
     long = to_long(base, cols, as_type="string", keep=[target]).where(F.col(VALUE).isNotNull())
-    cells = long.groupBy(COLUMN, VALUE, target).agg(F.count(F.lit(1)).alias("o"))
+    ensure_checkpoint_dir(df.sparkSession)
+    # the observed cells are read by every total below: one scan, frozen
+    cells = (long.groupBy(COLUMN, VALUE, target).agg(F.count(F.lit(1)).alias("o"))
+             .checkpoint(eager=True))
     rows_t = cells.groupBy(COLUMN, VALUE).agg(F.sum("o").alias("row_total"))
-    cols_t = cells.groupBy(COLUMN, target).agg(F.sum("o").alias("col_total"))
-    per = cells.groupBy(COLUMN).agg(F.sum("o").alias("n"))
-    dims = (rows_t.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("r"), F.min("row_total").alias("_rmin"))
-            .join(cols_t.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("c"), F.min("col_total").alias("_cmin")),
-                  COLUMN)
-            .join(per, COLUMN))
+    # per column and class, and per column: bounded by columns x classes
+    cols_t = F.broadcast(cells.groupBy(COLUMN, target).agg(F.sum("o").alias("col_total")))
+    dims = F.broadcast(
+        rows_t.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("r"), F.min("row_total").alias("_rmin"),
+                                   F.sum("row_total").alias("n"))
+        .join(cols_t.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("c"), F.min("col_total").alias("_cmin")),
+              COLUMN))
     e = F.col("row_total") * F.col("col_total") / F.col("n")
     obs = (cells.join(rows_t, [COLUMN, VALUE]).join(cols_t, [COLUMN, target]).join(dims, COLUMN)
            .withColumn("e", e))
@@ -241,9 +246,8 @@ def chi_square(df: DataFrame, cols: Sequence[str] | None, target: str, correctio
     chi = F.col("_s") - F.col("n")
     if correction:
         # 2 x 2 tables: complete the 4 cells (bounded) and apply Yates
-        two = dims.where((F.col("r") == 2) & (F.col("c") == 2)).select(COLUMN)
+        two = F.broadcast(dims.where((F.col("r") == 2) & (F.col("c") == 2)).select(COLUMN, "n"))
         grid = (rows_t.join(two, COLUMN).join(cols_t, COLUMN)
-                .join(per, COLUMN)
                 .join(cells, [COLUMN, VALUE, target], "left")
                 .withColumn("o", F.coalesce("o", F.lit(0))).withColumn("e", e))
         yates = grid.groupBy(COLUMN).agg(F.sum(
