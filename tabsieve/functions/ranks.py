@@ -165,13 +165,25 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float],
     g = list(group_cols)
     counted = long.groupBy(*g, VALUE).agg(F.count(F.lit(1)).alias("cnt"))
     if counted.count() <= SMALL_ROWS:
-        # every group has at most SMALL_ROWS distinct values: Spark's exact
-        # percentile with the counts as frequencies (same interpolation)
-        pa = F.percentile(F.col(VALUE), F.array(*[F.lit(float(p)) for p in probs]), F.col("cnt"))
-        agg = counted.groupBy(*g).agg(pa.alias("_q"), F.sum("cnt").cast("bigint").alias("n"))
-        return agg.select(*g, F.posexplode("_q").alias("_i", "quantile"), "n").select(
-            *g, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1).alias("prob"),
-            "quantile", "n")
+        # every group has at most SMALL_ROWS distinct values (checked): one
+        # window per group gives the running count; keep only the rows that
+        # hold a wanted order statistic
+        before = Window.partitionBy(*g).orderBy(VALUE).rowsBetween(Window.unboundedPreceding, -1)
+        r = (counted.withColumn(BEFORE, F.coalesce(F.sum("cnt").over(before), F.lit(0)))
+             .withColumn("n", F.sum("cnt").over(Window.partitionBy(*g))))
+        x = (r.select(*g, VALUE, "cnt", BEFORE, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+                      .alias("prob"))
+             .withColumn("_h", (F.col("n") - 1) * F.col("prob"))
+             .withColumn("_lo", F.floor("_h"))
+             .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("n") - 1)))
+        has_lo = (F.col("_lo") >= F.col(BEFORE)) & (F.col("_lo") < F.col(BEFORE) + F.col("cnt"))
+        has_hi = (F.col("_hi") >= F.col(BEFORE)) & (F.col("_hi") < F.col(BEFORE) + F.col("cnt"))
+        agg = x.where(has_lo | has_hi).groupBy(*g, "prob").agg(
+            F.max(F.when(has_lo, F.col(VALUE))).alias("_vlo"), F.max(F.when(has_hi, F.col(VALUE))).alias("_vhi"),
+            F.max("_h").alias("_h"), F.max("_lo").alias("_lo"), F.max("n").cast("bigint").alias("n"))
+        return agg.select(*g, "prob",
+                          (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_h") - F.col("_lo")))
+                          .alias("quantile"), "n")
     ranged, offsets = ranged_offsets(counted, g, [VALUE], ["cnt"], max_groups=max_groups)
 
     n_tab = offsets.select(*g, F.col("cnt_total").cast("bigint").alias("n")).distinct()
