@@ -146,12 +146,19 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
             .select(F.col(VALUE).alias(target), "count", (F.col("share") * 100).alias("percent")))
 
 
+# Largest integer label class_counts expands to (labels are class ids).
+MAX_LABEL = 100_000
+
+
 def class_counts(df: DataFrame, label: str) -> DataFrame:
-    """Counts for integer labels 0..max, zero classes kept (bincount)."""
+    """Counts for integer labels 0..max, zero classes kept (bincount).
+    A label above MAX_LABEL is an error rather than a huge grid."""
     counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("int").alias("label")) \
         .agg(F.count(F.lit(1)).alias("count"))
-    grid = counts.agg(F.max("label").alias("_m")).select(
-        F.explode(F.sequence(F.lit(0), F.greatest(F.col("_m"), F.lit(0)))).alias("label"))
+    top = F.greatest(F.col("_m"), F.lit(0))
+    top = F.when(top <= MAX_LABEL, top).otherwise(
+        F.raise_error(F.lit(f"class labels above {MAX_LABEL}: not class ids")).cast("int"))
+    grid = counts.agg(F.max("label").alias("_m")).select(F.explode(F.sequence(F.lit(0), top)).alias("label"))
     return grid.join(counts, "label", "left").select("label", F.coalesce("count", F.lit(0)).alias("count"))
 
 

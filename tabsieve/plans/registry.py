@@ -1148,7 +1148,15 @@ def _a21(spark, d):
     return qual.run_all_checks(table(spark, d, "customer_dirty"), exclude=["c_custkey"])
 
 
-@register("p02_column_kinds")
+@register("p02_column_kinds", """
+    SELECT column_name,
+           CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'BOOLEAN' THEN 'boolean'
+                ELSE lower(data_type) END AS data_type,
+           CASE WHEN data_type IN ('BIGINT', 'INTEGER', 'DOUBLE', 'SMALLINT', 'TINYINT', 'FLOAT', 'HUGEINT')
+                     OR data_type LIKE 'DECIMAL%' THEN 'numeric'
+                WHEN data_type IN ('VARCHAR', 'BOOLEAN') THEN 'categorical' ELSE 'other' END AS kind
+    FROM information_schema.columns WHERE table_name = 'orders'""")
 def _p02(spark, d):
     return prof.schema_overview(table(spark, d, "orders"))
 
