@@ -222,3 +222,30 @@ def compare_train_val(metrics: DataFrame, metric: str, by: Sequence[str] = (), s
                       F.when(F.abs(gap) <= good_gap, "good").otherwise("poor").alias("generalization_status"),
                       F.when(gap > good_gap, "overfitting").when(gap < -0.05, "unusual")
                       .otherwise("acceptable").alias("note"))
+
+
+def model_plot_data(scored: DataFrame, by: Sequence[str] = (), importance: DataFrame | None = None) -> DataFrame:
+    """The data behind the confusion-matrix, ROC, precision-recall and
+    importance charts as one long table ``(by..., chart, x, y, threshold,
+    count, feature)``.  The scored rows are compacted once for all charts."""
+    if not _is_compact(scored):
+        ensure_checkpoint_dir(scored.sparkSession)
+        scored = compact(scored, by).checkpoint(eager=True)
+    cm = confusion_matrix(scored, by).select(
+        *by, F.lit("confusion").alias("chart"), F.col(LABEL).cast("double").alias("x"),
+        F.col(PRED).cast("double").alias("y"), F.lit(None).cast("double").alias("threshold"),
+        F.col("count").cast("bigint").alias("count"), F.lit(None).cast("string").alias("feature"))
+    roc = roc_curve(scored, by).select(
+        *by, F.lit("roc").alias("chart"), F.col("fpr").alias("x"), F.col("tpr").alias("y"), "threshold",
+        F.lit(None).cast("bigint").alias("count"), F.lit(None).cast("string").alias("feature"))
+    pr = pr_curve(scored, by).select(
+        *by, F.lit("pr").alias("chart"), F.col("recall").alias("x"), F.col("precision").alias("y"), "threshold",
+        F.lit(None).cast("bigint").alias("count"), F.lit(None).cast("string").alias("feature"))
+    out = cm.unionByName(roc).unionByName(pr)
+    if importance is not None:
+        imp = importance.where(F.col("rank") <= 20).select(
+            *[F.lit(None).cast("string").alias(b) for b in by], F.lit("importance").alias("chart"),
+            F.col("rank").cast("double").alias("x"), F.col("importance").alias("y"),
+            F.lit(None).cast("double").alias("threshold"), F.lit(None).cast("bigint").alias("count"), "feature")
+        out = out.unionByName(imp)
+    return out

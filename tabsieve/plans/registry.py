@@ -1347,3 +1347,21 @@ def _m17(spark, d):
     splits, feats = _prepared_docs(spark, d)
     model = trn.fit_model("random_forest", splits["train"], feats, "quality")
     return imp.analyze(model, splits["dev"], feats, "quality", "doc_id", n_repeats=10)
+
+
+@register("d08_model_plot_data", R(f"""{SCORED_CTE},
+    g AS (SELECT model, l.label, p.prediction FROM (SELECT DISTINCT model FROM s) AS k,
+          (VALUES (0), (1)) AS l(label), (VALUES (0), (1)) AS p(prediction)),
+    c AS (SELECT model, label, prediction, count(*) AS cnt FROM s GROUP BY ALL),
+    cum AS ({_cum_sql('model')})
+    SELECT g.model, 'confusion' AS chart, CAST(g.label AS DOUBLE) AS x, CAST(g.prediction AS DOUBLE) AS y,
+           CAST(NULL AS DOUBLE) AS threshold, coalesce(c.cnt, 0) AS "count", CAST(NULL AS VARCHAR) AS feature
+    FROM g LEFT JOIN c ON g.model = c.model AND g.label = c.label AND g.prediction = c.prediction
+    UNION ALL
+    SELECT model, 'roc', CASE WHEN n_tot - p_tot > 0 THEN (k - tp) / (n_tot - p_tot) ELSE 0.0 END,
+           CASE WHEN p_tot > 0 THEN tp / p_tot ELSE 0.0 END, probability, NULL, NULL FROM cum
+    UNION ALL
+    SELECT model, 'pr', CASE WHEN p_tot > 0 THEN tp / p_tot ELSE 0.0 END, tp / k, probability, NULL, NULL
+    FROM cum""", ["x", "y", "threshold"]))
+def _d08(spark, d):
+    return mt.model_plot_data(_scored_runs(spark, d), ["model"])
