@@ -7,8 +7,6 @@ holds most rows is still spread over many tasks."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
