@@ -1002,7 +1002,24 @@ def _d01(spark, d):
     return dist.histogram(table(spark, d, "events"), ["value", "user_id"])
 
 
-@register("d02_density_curve")
+def density_sql(tbl: str, cols: list[str]) -> str:
+    parts = []
+    for c in cols:
+        parts.append(f"""SELECT * FROM (
+            WITH v AS (SELECT CAST({c} AS DOUBLE) AS x FROM {tbl} WHERE {c} IS NOT NULL),
+            p AS (SELECT count(*) AS n, stddev_samp(x) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw,
+                         min(x) AS mn, max(x) AS mx FROM v),
+            g AS (SELECT CAST(unnest(range(0, 200)) AS INTEGER) AS point),
+            gx AS (SELECT point, p.mn - 3.0 * p.bw + point * (((p.mx + 3.0 * p.bw) - (p.mn - 3.0 * p.bw)) / 199)
+                          AS gx FROM g, p)
+            SELECT '{c}' AS column_name, gx.point, gx.gx AS x,
+                   sum(exp(-0.5 * ((gx.gx - v.x) / p.bw) * ((gx.gx - v.x) / p.bw)))
+                     / (any_value(p.n) * any_value(p.bw) * sqrt(2 * pi())) AS density
+            FROM gx, v, p GROUP BY gx.point, gx.gx) AS k{len(parts)}""")
+    return union_sql(parts)
+
+
+@register("d02_density_curve", R(density_sql("events", ["value", "user_id"]), ["x", "density"], 9), digits=9)
 def _d02(spark, d):
     return dist.density_curve(table(spark, d, "events"), ["value", "user_id"])
 
