@@ -1178,7 +1178,18 @@ def _p02(spark, d):
     return prof.schema_overview(table(spark, d, "orders"))
 
 
-@register("p05_narrow_types")
+def _narrow_sql() -> str:
+    ints = ['l_orderkey', 'l_partkey', 'l_suppkey', 'l_linenumber']
+    rest = [('l_quantity', 'double', 'numeric'), ('l_extendedprice', 'double', 'numeric'), ('l_discount', 'double', 'numeric'), ('l_tax', 'double', 'numeric'), ('l_returnflag', 'string', 'categorical'), ('l_linestatus', 'string', 'categorical'), ('l_shipdate', 'timestamp_ntz', 'other')]
+    parts = [f"""SELECT '{c}' AS column_name, CASE WHEN min({c}) >= -128 AND max({c}) <= 127 THEN 'tinyint'
+                     WHEN min({c}) >= -32768 AND max({c}) <= 32767 THEN 'smallint'
+                     WHEN min({c}) >= -2147483648 AND max({c}) <= 2147483647 THEN 'int' ELSE 'bigint' END
+                     AS data_type, 'numeric' AS kind FROM lineitem""" for c in ints]
+    parts += [f"SELECT '{c}', '{t}', '{k}'" for c, t, k in rest]
+    return union_sql(parts)
+
+
+@register("p05_narrow_types", _narrow_sql())
 def _p05(spark, d):
     narrowed = sch.narrow_types(table(spark, d, "lineitem"))
     return prof.schema_overview(narrowed)
