@@ -69,6 +69,8 @@ def ranged_offsets(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
         PID, *g, *[f"_t_{w}" for w in ws],
         *[F.coalesce(F.sum(f"_t_{w}").over(prior), F.lit(0)).alias(f"_o_{w}") for w in ws],
         *[F.sum(f"_t_{w}").over(whole).alias(f"{w}_total") for w in ws])
+    # frozen once: every later use reads this small table, not the ranges
+    offsets = offsets.checkpoint(eager=True)
     if max_groups is not None and max_groups + n_ranges <= MAX_BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     else:
