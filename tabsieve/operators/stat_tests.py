@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -230,7 +230,9 @@ def chi_square(df: DataFrame, cols: Sequence[str] | None, target: str, correctio
     # the observed cells are read by every total below: one scan, frozen
     cells = (long.groupBy(COLUMN, VALUE, target).agg(F.count(F.lit(1)).alias("o"))
              .checkpoint(eager=True))
-    rows_t = cells.groupBy(COLUMN, VALUE).agg(F.sum("o").alias("row_total"))
+    # row total of a level: a window over its cells (one per class, bounded)
+    cells_rt = cells.withColumn("row_total", F.sum("o").over(Window.partitionBy(COLUMN, VALUE)))
+    rows_t = cells_rt.select(COLUMN, VALUE, "row_total").distinct()
     # per column and class, and per column: bounded by columns x classes
     cols_t = F.broadcast(cells.groupBy(COLUMN, target).agg(F.sum("o").alias("col_total")))
     dims = F.broadcast(
@@ -239,8 +241,7 @@ def chi_square(df: DataFrame, cols: Sequence[str] | None, target: str, correctio
         .join(cols_t.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("c"), F.min("col_total").alias("_cmin")),
               COLUMN))
     e = F.col("row_total") * F.col("col_total") / F.col("n")
-    obs = (cells.join(rows_t, [COLUMN, VALUE]).join(cols_t, [COLUMN, target]).join(dims, COLUMN)
-           .withColumn("e", e))
+    obs = cells_rt.join(cols_t, [COLUMN, target]).join(dims, COLUMN).withColumn("e", e)
     plain = obs.groupBy(COLUMN).agg((F.sum(F.col("o") ** 2 / F.col("e"))).alias("_s"))
     out = dims.join(plain, COLUMN).withColumn("dof", ((F.col("r") - 1) * (F.col("c") - 1)).cast("bigint"))
     chi = F.col("_s") - F.col("n")
