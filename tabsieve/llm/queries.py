@@ -3,21 +3,45 @@ express the result."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabsieve.llm import simhash_anchor
+from tabsieve.llm import arrow_tokens, chunked_bpe, simhash_anchor
 from tabsieve.llm.common import prepare, table
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_arrow_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{prepare(spark)}/tokens-{uuid.uuid4().hex}"
+    manifest = arrow_tokens.write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"))
+    return arrow_tokens.read_documents(manifest, folder)
+
+
+def op10_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    prepare(spark)
+    ranks, pattern = vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    return chunked_bpe.digest(chunked_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
+
+
 def op8_simhash_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return simhash_anchor.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_arrow_tokens": op2_arrow_tokens,
     "op8_simhash_anchor": op8_simhash_anchor,
+    "op10_chunked_bpe": op10_chunked_bpe,
 }
 
 ORACLE: dict[str, str] = {}
