@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabsieve.llm import arrow_tokens, chunked_bpe, simhash_anchor
+from tabsieve.llm import arrow_tokens, chunked_bpe, quality_gam, simhash_anchor
 from tabsieve.llm.common import prepare, table
 
 
@@ -19,6 +19,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_gam.train(docs, table(spark, sf_dir, "labels"))
+    return quality_gam.score(docs, model).select("doc_id", quality_gam.held_out_column(), "score", "predicted")
+
+
 def op2_arrow_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{prepare(spark)}/tokens-{uuid.uuid4().hex}"
     manifest = arrow_tokens.write_tokens(table(spark, sf_dir, "documents"), folder, vocabulary("word_bpe_49k.json"))
@@ -39,6 +45,7 @@ def op8_simhash_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_gam": op1_quality_gam,
     "op2_arrow_tokens": op2_arrow_tokens,
     "op8_simhash_anchor": op8_simhash_anchor,
     "op10_chunked_bpe": op10_chunked_bpe,
