@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabsieve.llm import arrow_tokens, chunked_bpe, quality_gam, simhash_anchor
+from tabsieve.llm import arrow_tokens, byte_convnet, chunked_bpe, quality_gam, simhash_anchor
 from tabsieve.llm.common import prepare, table
 
 
@@ -39,6 +39,12 @@ def op10_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked_bpe.digest(chunked_bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern), ranks, pattern)
 
 
+def op3_byte_convnet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return byte_convnet.identify(docs, byte_convnet.train(docs)).select(
+        "doc_id", byte_convnet.held_out_column(), "lang_pred", "score")
+
+
 def op8_simhash_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return simhash_anchor.near_duplicates(table(spark, sf_dir, "documents"))
@@ -47,6 +53,7 @@ def op8_simhash_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_arrow_tokens": op2_arrow_tokens,
+    "op3_byte_convnet": op3_byte_convnet,
     "op8_simhash_anchor": op8_simhash_anchor,
     "op10_chunked_bpe": op10_chunked_bpe,
 }
