@@ -37,7 +37,7 @@ from tabsieve.session import shuffle_partitions
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
 #: Distinct pieces whose ids a task remembers.
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabsieve.llm import arrow_tokens, byte_convnet, chunked_bpe, quality_gam, simhash_anchor, toxicity
+from tabsieve.llm import arrow_tokens, byte_convnet, chunked_bpe, divergence, quality_gam, simhash_anchor, toxicity
 from tabsieve.llm.common import prepare, table
 
 
@@ -45,6 +45,11 @@ def op3_byte_convnet(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", byte_convnet.held_out_column(), "lang_pred", "score")
 
 
+def op4_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return divergence.apply_rules(docs, divergence.references(docs))
+
+
 def op5_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_arrow_tokens": op2_arrow_tokens,
     "op3_byte_convnet": op3_byte_convnet,
+    "op4_divergence_rules": op4_divergence_rules,
     "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
     "op8_simhash_anchor": op8_simhash_anchor,
     "op10_chunked_bpe": op10_chunked_bpe,
