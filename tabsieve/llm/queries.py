@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabsieve.llm import arrow_tokens, byte_convnet, chunked_bpe, divergence, quality_gam, simhash_anchor, toxicity
+from tabsieve.llm import arrow_tokens, byte_convnet, chunked_bpe, divergence, metric_join, quality_gam, simhash_anchor, toxicity
 from tabsieve.llm.common import prepare, table
 
 
@@ -56,6 +56,10 @@ def op5_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out_column(), "score", "predicted")
 
 
+def op7_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_simhash_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return simhash_anchor.near_duplicates(table(spark, sf_dir, "documents"))
@@ -67,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_convnet": op3_byte_convnet,
     "op4_divergence_rules": op4_divergence_rules,
     "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
+    "op7_metric_join": op7_metric_join,
     "op8_simhash_anchor": op8_simhash_anchor,
     "op10_chunked_bpe": op10_chunked_bpe,
 }
