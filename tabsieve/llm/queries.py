@@ -7,8 +7,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabsieve.llm import arrow_tokens, byte_convnet, chunked_bpe, divergence, metric_join, quality_gam, simhash_anchor, toxicity
+from tabsieve.llm import arrow_tokens, byte_convnet, chunked_bpe, divergence, metric_join, pfair_mix, quality_gam, simhash_anchor, toxicity
 from tabsieve.llm.common import prepare, table
 
 
@@ -31,6 +32,12 @@ def op2_arrow_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arrow_tokens.read_documents(manifest, folder)
 
 
+def op9_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schedule of every document; the texts stand in by their hash."""
+    docs = table(spark, sf_dir, "documents").withColumn("text", F.xxhash64("text"))
+    return pfair_mix.mix(docs).select("row.doc_id", "row.source", "block", "slot", "position")
+
+
 def op10_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -73,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
     "op7_metric_join": op7_metric_join,
     "op8_simhash_anchor": op8_simhash_anchor,
+    "op9_pfair_mix": op9_pfair_mix,
     "op10_chunked_bpe": op10_chunked_bpe,
 }
 
