@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsieve.llm import arrow_tokens, byte_convnet, chunked_bpe, divergence, metric_join, pfair_mix, quality_gam, simhash_anchor, toxicity
+from tabsieve.llm import arrow_tokens, byte_convnet, chunked_bpe, divergence, metric_join, pfair_mix, quality_gam, secrets_forest, simhash_anchor, toxicity
 from tabsieve.llm.common import prepare, table
 
 
@@ -63,6 +63,14 @@ def op5_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out_column(), "score", "predicted")
 
 
+def op6_secrets_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a finding; the finding itself only as its hash."""
+    prepare(spark)
+    return secrets_forest.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"),
+        "word_before", "score", "predicted")
+
+
 def op7_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -78,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_convnet": op3_byte_convnet,
     "op4_divergence_rules": op4_divergence_rules,
     "op5_counterfactual_toxicity": op5_counterfactual_toxicity,
+    "op6_secrets_forest": op6_secrets_forest,
     "op7_metric_join": op7_metric_join,
     "op8_simhash_anchor": op8_simhash_anchor,
     "op9_pfair_mix": op9_pfair_mix,
