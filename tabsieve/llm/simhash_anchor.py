@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tabsieve.llm.common import LocalForest, connected_components, prepare, segments, text_slices, texts_of
 from tabsieve.session import shuffle_partitions
@@ -338,5 +339,5 @@ def _with_fingerprint(rows: DataFrame, shingle_words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("r"),
                                                   pa.array(fp.view(np.int64))], names=["doc_id", "r", "fp"])
 
-    schema = rows.select("doc_id", "r").schema.add("fp", "bigint")
+    schema = rows.select("doc_id", "r").schema.add("fp", LongType())
     return rows.mapInArrow(run, schema)
