@@ -1,0 +1,68 @@
+import random
+import re
+
+from tabsieve.llm import secrets_forest as S
+
+
+def corpus(n=150):
+    rng = random.Random(9)
+    rows = []
+    for i in range(n):
+        hexa = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        kind = i % 5
+        piece = {0: f'token = "{hexa}"', 1: f"card {rng.randint(10**15, 10**16 - 1)}",
+                 2: f"mail ann.{i}@mail{i % 9}.example.com", 3: f"password={hexa[:18]}",
+                 4: "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))}[kind]
+        rows.append((i, f"plain words before {piece} and plain words after.", kind in (0, 3, 4)))
+    return rows
+
+
+def test_candidates_lie_where_they_say(spark):
+    rows = [(i, t) for i, t, _ in corpus()] + [(900, None), (901, ""), (902, 'x=abcdefghijk "1234567890ab" é 漢 a1b2c3d4e5f6')]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id bigint, text string, start int")
+    text = dict(rows)
+    found = S.candidates(docs).collect()
+    for r in found:
+        assert text[r.doc_id][r.start:r.start + len(r.candidate)] == r.candidate
+    assert sorted(r.candidate for r in found if r.doc_id == 902) == ["1234567890ab", "a1b2c3d4e5f6", "abcdefghijk"]
+    plain = sum(len(re.findall(S.CANDIDATE, t or "")) for _, t in rows)
+    assert len(found) == plain and not [r for r in found if r.doc_id in (900, 901)]
+
+
+def test_forest_tells_secrets_and_redaction_keeps_the_rest(spark):
+    rows = corpus()
+    extra = [(900, None), (901, ""), (None, "password=0123456789abcdef01 here"), (3, rows[3][1]), (902, "clean text")]
+    docs = spark.createDataFrame([(i, t, "x", k) for k, (i, t) in enumerate([(i, t) for i, t, _ in rows] + extra)],
+                                 "doc_id bigint, text string, score string, candidate int")
+    truth = {i: s for i, _, s in rows}
+    got = S.scan(docs).collect()
+    assert all((r.predicted == 1) == truth[r.doc_id] for r in got if r.doc_id in truth)
+    assert {r.doc_id for r in got if r.predicted} >= {i for i, s in truth.items() if s}
+    out = S.redact(docs)
+    assert out.columns == docs.columns
+    back = {r.candidate: r.text for r in out.collect()}
+    assert len(back) == docs.count()
+    for k, (i, t) in enumerate([(i, t) for i, t, _ in rows] + extra):
+        if truth.get(i) or i is None:
+            assert S.REDACTED in back[k] and back[k].startswith("plain words" if i is not None else "password=")
+        else:
+            assert back[k] == t
+
+
+def test_longer_secret_goes_first(spark):
+    short, long = "0123456789abcdef01", "0123456789abcdef0123456789"
+    rows = [(i, t) for i, t, _ in corpus()] + [(950, f"password={short} then password={long} end")]
+    out = S.redact(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("doc_id = 950").first()
+    assert out.text == f"password={S.REDACTED} then password={S.REDACTED} end"
+
+
+def test_without_labels_every_finding_stays(spark):
+    docs = spark.createDataFrame([(1, "card 1234567890123456 only")], "doc_id bigint, text string")
+    assert [(r.predicted, r.score) for r in S.scan(docs).collect()] == [(1, 1.0)]
+    assert S.scan(docs.limit(0)).count() == 0 and S.redact(docs.limit(0)).count() == 0
+
+
+def test_no_python_in_the_plan(spark, capsys):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in corpus(40)], "doc_id bigint, text string")
+    S.redact(docs).explain()
+    assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
