@@ -64,9 +64,11 @@ def nan_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def to_long(df: DataFrame, cols: Sequence[str], as_type: str = "double",
             keep: Sequence[str] = ()) -> DataFrame:
     """Unpivot ``cols`` into ``(keep..., column_name, value)`` rows (one per input
-    row and column) with values cast to one type; NaN becomes NULL for doubles."""
+    row and column) with values cast to one type; NaN becomes NULL for doubles.
+    No columns give an empty table of that schema."""
     if not cols:
-        raise ValueError("no columns to unpivot")
+        return (df.select(*keep).limit(0).withColumn(COLUMN, F.lit(None).cast("string"))
+                .withColumn(VALUE, F.lit(None).cast(as_type)))
     if as_type == "double":
         vals = [clean_double(c).alias(c) for c in cols]
     else:

@@ -14,14 +14,15 @@ split into ranges instead:
 4. a window partitioned by range adds the running sum inside each range.
 
 Every step is a DataFrame operation; nothing but the offset table's row count
-reaches the driver.
+reaches the driver.  The same path runs at every table size, and a NULL group is
+a group like any other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, shuffle_partitions
@@ -30,27 +31,35 @@ from .columns import COLUMN, VALUE, to_long
 PID = "_range_id"
 BEFORE = "rows_before"
 GROUP_TOTAL = "group_total"
-# Largest offset table that is broadcast; beyond it a shuffle join is used.
-MAX_BROADCAST_ROWS = 2_000_000
-# Largest ordered table (rows, counted exactly) ranked by a plain window per
-# group or summarised by Spark's ``percentile`` buffer; above it the
-# range-partitioned path runs.  The bound keeps one group's task small.
-SMALL_ROWS = 1_000_000
+# Largest table that is broadcast, by its counted rows and a width of
+# BYTES_PER_CELL; beyond it a shuffle join is used.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+BYTES_PER_CELL = 32
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only when its row count is proven small."""
-    n = df.count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
+def checked_broadcast(df: DataFrame) -> DataFrame:
+    """Mark ``df`` for broadcast only when its counted size is small."""
+    small = df.count() * len(df.columns) * BYTES_PER_CELL <= MAX_BROADCAST_BYTES
+    return F.broadcast(df) if small else df
+
+
+def same_group(left: DataFrame, right: DataFrame, cols: Sequence[str], prefix: str) -> tuple[DataFrame, Column]:
+    """``right`` with ``cols`` renamed by ``prefix`` and the NULL-safe condition
+    that joins it to ``left``."""
+    renamed = right.withColumnsRenamed({c: f"{prefix}{c}" for c in cols})
+    on = F.lit(True)
+    for c in cols:
+        on = on & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
+    return renamed, on
 
 
 def ranged_offsets(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                    weight_cols: Sequence[str], num_ranges: int | None = None,
-                   descending: bool = False, max_groups: int | None = None) -> tuple[DataFrame, DataFrame]:
+                   descending: bool = False) -> tuple[DataFrame, DataFrame]:
     """Steps 2-3 of the module docstring: the range-partitioned, checkpointed
     rows (with ``_range_id``) and the small offset table ``(_range_id,
-    groups..., _t_<w>, _o_<w>, <w>_total)``, already marked for broadcast
-    when its size is proven small."""
+    groups..., _t_<w>, _o_<w>, <w>_total)``, marked for broadcast when its
+    counted size is small."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_ranges = num_ranges or max(shuffle_partitions(spark), 1)
@@ -70,66 +79,44 @@ def ranged_offsets(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
         *[F.coalesce(F.sum(f"_t_{w}").over(prior), F.lit(0)).alias(f"_o_{w}") for w in ws],
         *[F.sum(f"_t_{w}").over(whole).alias(f"{w}_total") for w in ws])
     # frozen once: every later use reads this small table, not the ranges
-    offsets = offsets.checkpoint(eager=True)
-    if max_groups is not None and max_groups + n_ranges <= MAX_BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
-    else:
-        offsets, _ = checked_broadcast(offsets)
-    return ranged, offsets
+    return ranged, checked_broadcast(offsets.checkpoint(eager=True))
 
 
 def running_sums(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                  weight_cols: Sequence[str], num_ranges: int | None = None,
-                 descending: bool = False, max_groups: int | None = None,
-                 with_offsets: bool = False, known_rows: int | None = None):
+                 descending: bool = False) -> DataFrame:
     """For each weight ``w`` add ``<w>_before`` = sum of ``w`` over rows that
     sort strictly before this row inside its group, and ``<w>_total`` = the
     group's sum.  Rows must be unique per (group_cols, order_cols).
     ``descending`` orders the keys from large to small.
 
-    The offset table has at most ``num_ranges + groups - 1`` rows.  Callers
-    that know the group count is bounded (columns, classes, runs) pass
-    ``max_groups``; otherwise the table is counted before it is broadcast.
-    ``with_offsets=True`` also returns the offset table.
-
-    A table of at most SMALL_ROWS rows (``known_rows`` or an exact count)
-    is summed by a window per group directly: no group can hold more rows
-    than the checked total."""
+    The offset table has at most ``num_ranges + groups - 1`` rows; it is
+    counted before it is broadcast."""
     g = list(group_cols)
     ws = list(weight_cols)
     keys = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
-    if not with_offsets:
-        n = known_rows if known_rows is not None else df.count()
-        if n <= SMALL_ROWS:
-            before = Window.partitionBy(*g).orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-            whole = Window.partitionBy(*g)
-            return df.withColumns({
-                **{f"{w}_before": F.coalesce(F.sum(w).over(before), F.lit(0)) for w in ws},
-                **{f"{w}_total": F.sum(w).over(whole) for w in ws}})
-    ranged, offsets = ranged_offsets(df, g, order_cols, ws, num_ranges, descending, max_groups)
+    ranged, offsets = ranged_offsets(df, g, order_cols, ws, num_ranges, descending)
     inside = (Window.partitionBy(PID, *g).orderBy(*keys)
               .rowsBetween(Window.unboundedPreceding, -1))
-    out = ranged.join(offsets.drop(*[f"_t_{w}" for w in ws]), [PID, *g], "inner")
+    right, on = same_group(ranged, offsets.drop(*[f"_t_{w}" for w in ws]), [PID, *g], "_off_")
+    out = ranged.join(right, on, "inner").drop(*[f"_off_{c}" for c in [PID, *g]])
     out = out.withColumns({
         f"{w}_before": F.col(f"_o_{w}") + F.coalesce(F.sum(w).over(inside), F.lit(0)) for w in ws})
-    out = out.drop(PID, *[f"_o_{w}" for w in ws])
-    return (out, offsets) if with_offsets else out
+    return out.drop(PID, *[f"_o_{w}" for w in ws])
 
 
 def running_counts(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                   weight_col: str, num_ranges: int | None = None,
-                   max_groups: int | None = None, known_rows: int | None = None) -> DataFrame:
+                   weight_col: str, num_ranges: int | None = None) -> DataFrame:
     """:func:`running_sums` for one weight, named ``rows_before`` and
     ``group_total``."""
-    out = running_sums(df, group_cols, order_cols, [weight_col], num_ranges, max_groups=max_groups,
-                       known_rows=known_rows)
+    out = running_sums(df, group_cols, order_cols, [weight_col], num_ranges)
     return (out.withColumn(BEFORE, F.col(f"{weight_col}_before").cast("bigint"))
             .withColumn(GROUP_TOTAL, F.col(f"{weight_col}_total").cast("bigint"))
             .drop(f"{weight_col}_before", f"{weight_col}_total"))
 
 
 def value_ranks(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                extra_sums: Sequence[str] = (), max_groups: int | None = None) -> DataFrame:
+                extra_sums: Sequence[str] = ()) -> DataFrame:
     """One row per distinct (group, value): ``cnt``, ``rows_before`` and the
     average (tie-averaged, 1-based) rank ``avg_rank``.  NULL values are
     dropped.  ``extra_sums`` are summed per distinct value as well (for
@@ -138,7 +125,7 @@ def value_ranks(df: DataFrame, group_cols: Sequence[str], value_col: str,
     counted = (df.where(F.col(value_col).isNotNull())
                .groupBy(*g, value_col)
                .agg(F.count(F.lit(1)).alias("cnt"), *[F.sum(c).alias(c) for c in extra_sums]))
-    ranked = running_counts(counted, g, [value_col], "cnt", max_groups=max_groups)
+    ranked = running_counts(counted, g, [value_col], "cnt")
     return ranked.withColumn("avg_rank", F.col(BEFORE) + (F.col("cnt") + F.lit(1)) / F.lit(2.0))
 
 
@@ -152,45 +139,24 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float])
     found with a range join against a broadcast table of
     ``len(cols)·len(probs)·2`` positions."""
     long = to_long(df, cols).where(F.col(VALUE).isNotNull())
-    return exact_quantiles_long(long, probs, max_groups=len(cols))
+    return exact_quantiles_long(long, probs)
 
 
 def exact_quantiles_long(long: DataFrame, probs: Sequence[float],
-                         group_cols: Sequence[str] = (COLUMN,), max_groups: int | None = None) -> DataFrame:
+                         group_cols: Sequence[str] = (COLUMN,)) -> DataFrame:
     """Quantiles of ``value`` per group of a long table.
 
     Only the ranges that hold a wanted order statistic are ranked: the
-    offset table tells which range covers each position, a broadcast
-    semi-join keeps those ranges, and the window runs over them alone.  The
+    offset table tells which range covers each position, a join with those
+    few rows keeps the ranges, and the window runs over them alone.  The
     rest of the distinct values are written once (checkpoint) and never
     shuffled again."""
     g = list(group_cols)
     counted = long.groupBy(*g, VALUE).agg(F.count(F.lit(1)).alias("cnt"))
-    if counted.count() <= SMALL_ROWS:
-        # every group has at most SMALL_ROWS distinct values (checked): one
-        # window per group gives the running count; keep only the rows that
-        # hold a wanted order statistic
-        before = Window.partitionBy(*g).orderBy(VALUE).rowsBetween(Window.unboundedPreceding, -1)
-        r = (counted.withColumn(BEFORE, F.coalesce(F.sum("cnt").over(before), F.lit(0)))
-             .withColumn("n", F.sum("cnt").over(Window.partitionBy(*g))))
-        x = (r.select(*g, VALUE, "cnt", BEFORE, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-                      .alias("prob"))
-             .withColumn("_h", (F.col("n") - 1) * F.col("prob"))
-             .withColumn("_lo", F.floor("_h"))
-             .withColumn("_hi", F.least(F.col("_lo") + 1, F.col("n") - 1)))
-        has_lo = (F.col("_lo") >= F.col(BEFORE)) & (F.col("_lo") < F.col(BEFORE) + F.col("cnt"))
-        has_hi = (F.col("_hi") >= F.col(BEFORE)) & (F.col("_hi") < F.col(BEFORE) + F.col("cnt"))
-        agg = x.where(has_lo | has_hi).groupBy(*g, "prob").agg(
-            F.max(F.when(has_lo, F.col(VALUE))).alias("_vlo"), F.max(F.when(has_hi, F.col(VALUE))).alias("_vhi"),
-            F.max("_h").alias("_h"), F.max("_lo").alias("_lo"), F.max("n").cast("bigint").alias("n"))
-        return agg.select(*g, "prob",
-                          (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * (F.col("_h") - F.col("_lo")))
-                          .alias("quantile"), "n")
-    ranged, offsets = ranged_offsets(counted, g, [VALUE], ["cnt"], max_groups=max_groups)
+    ranged, offsets = ranged_offsets(counted, g, [VALUE], ["cnt"])
 
     n_tab = offsets.select(*g, F.col("cnt_total").cast("bigint").alias("n")).distinct()
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    pos = (n_tab.select(*g, "n", F.explode(probs_arr).alias("prob"))
+    pos = (n_tab.select(*g, "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
            .withColumn("_h", (F.col("n") - 1) * F.col("prob"))
            .withColumn("_lo", F.floor("_h"))
            .withColumn("_frac", F.col("_h") - F.col("_lo"))
@@ -199,28 +165,23 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float],
         F.struct(F.lit("lo").alias("side"), F.col("_lo").alias("pos")),
         F.struct(F.lit("hi").alias("side"), F.col("_hi").alias("pos")))).alias("w"))
     wanted = wanted.select(*g, "prob", "w.side", "w.pos")
-    # which range holds each wanted position: small x small
-    o = offsets.alias("o")
-    hold = (wanted.alias("w").join(o, [F.col(f"w.{c}") == F.col(f"o.{c}") for c in g] + [
-        F.col("w.pos") >= F.col("o._o_cnt"), F.col("w.pos") < F.col("o._o_cnt") + F.col("o._t_cnt")])
-        .select(*[F.col(f"w.{c}").alias(c) for c in g], F.col(f"o.{PID}").alias(PID),
-                F.col("o._o_cnt").alias("_off"), "w.prob", "w.side", "w.pos"))
-    # len(groups)·len(probs)·2 rows at most
-    hold = F.broadcast(hold)
-    need = hold.select(PID, *g, "_off").distinct()
-    sub = ranged.join(F.broadcast(need), [PID, *g], "inner")
+    # which range holds each wanted position: small x small, groups x probs x 2 rows
+    right, on = same_group(wanted, offsets, g, "_off_")
+    hold = (wanted.join(right, on & (F.col("pos") >= F.col("_o_cnt"))
+                        & (F.col("pos") < F.col("_o_cnt") + F.col("_t_cnt")))
+            .select(*g, PID, F.col("_o_cnt").alias("_off"), "prob", "side", "pos").checkpoint(eager=True))
+    need, on = same_group(ranged, hold.select(PID, *g, "_off").distinct(), [PID, *g], "_need_")
     inside = Window.partitionBy(PID, *g).orderBy(VALUE).rowsBetween(Window.unboundedPreceding, -1)
-    sub = sub.withColumn(BEFORE, F.col("_off") + F.coalesce(F.sum("cnt").over(inside), F.lit(0)))
-    r = sub.alias("r")
-    h = hold.alias("h")
-    hits = r.join(h, [F.col(f"r.{c}") == F.col(f"h.{c}") for c in [PID, *g]] + [
-        F.col("h.pos") >= F.col(f"r.{BEFORE}"), F.col("h.pos") < F.col(f"r.{BEFORE}") + F.col("r.cnt")]
-    ).select(*[F.col(f"h.{c}").alias(c) for c in g], F.col("h.prob").alias("prob"),
-             F.col("h.side").alias("side"), F.col(f"r.{VALUE}").alias(VALUE))
+    sub = (ranged.join(checked_broadcast(need), on, "inner").drop(*[f"_need_{c}" for c in [PID, *g]])
+           .withColumn(BEFORE, F.col("_off") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))).drop("_off"))
+    right, on = same_group(sub, hold.drop("_off"), [PID, *g], "_hold_")
+    hits = sub.join(checked_broadcast(right), on & (F.col("pos") >= F.col(BEFORE))
+                    & (F.col("pos") < F.col(BEFORE) + F.col("cnt")))
     picked = hits.groupBy(*g, "prob").agg(
         F.max(F.when(F.col("side") == "lo", F.col(VALUE))).alias("_vlo"),
         F.max(F.when(F.col("side") == "hi", F.col(VALUE))).alias("_vhi"))
-    return (pos.join(picked, [*g, "prob"], "left")
+    right, on = same_group(pos, picked, [*g, "prob"], "_got_")
+    return (pos.join(right, on, "left")
             .select(*g, "prob",
                     (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("quantile"),
                     "n"))

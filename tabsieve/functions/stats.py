@@ -7,6 +7,7 @@ one aggregate; they never see rows."""
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -106,9 +107,16 @@ def norm_sf(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2.0))
 
 
+# Degrees of freedom from which Student's t is taken as a corrected normal.
+LARGE_DF = 1e6
+
+
 def t_two_sided_p(t: float, df: float) -> float:
     if t is None or df is None or not math.isfinite(t) or df <= 0:
         return float("nan")
+    if df >= LARGE_DF:
+        z = abs(t) * (1 - 1 / (4 * df)) / math.sqrt(1 + t * t / (2 * df))
+        return 2 * norm_sf(z)
     return betainc(df / 2.0, 0.5, df / (df + t * t))
 
 
@@ -118,8 +126,17 @@ def t_cdf(t: float, df: float) -> float:
 
 
 def t_ppf(q: float, df: float) -> float:
-    """Quantile of Student's t by bisection on the CDF."""
-    lo, hi = -1e3, 1e3
+    """Quantile of Student's t: bisection on the CDF inside a bracket found by
+    doubling; for many degrees of freedom the normal quantile with its first
+    Cornish-Fisher terms."""
+    if df >= LARGE_DF:
+        z = NormalDist().inv_cdf(q)
+        return z + (z ** 3 + z) / (4 * df) + (5 * z ** 5 + 16 * z ** 3 + 3 * z) / (96 * df * df)
+    lo, hi = -1.0, 1.0
+    while t_cdf(lo, df) > q:
+        lo *= 2
+    while t_cdf(hi, df) < q:
+        hi *= 2
     for _ in range(200):
         mid = 0.5 * (lo + hi)
         if t_cdf(mid, df) < q:

@@ -29,15 +29,15 @@ MAX_LEVELS = 1000
 
 def drop_duplicate_rows(df: DataFrame, enabled: bool = True, ignore: Sequence[str] = ()) -> DataFrame:
     """Keep one row of each set of identical rows.  With ``ignore`` the
-    listed columns (an id) are left out of the comparison and the smallest
-    id of each set is kept."""
+    listed columns (an id) are left out of the comparison and the row with
+    the smallest ignored values, taken together in order, is kept."""
     if not enabled:
         return df
     if not ignore:
         return df.dropDuplicates()
     cols = [c for c in df.columns if c not in set(ignore)]
-    keep = df.groupBy(*cols).agg(*[F.min(c).alias(c) for c in ignore])
-    return keep.select(*df.columns)
+    keep = df.groupBy(*cols).agg(F.min(F.struct(*ignore)).alias("_first"))
+    return keep.select(*cols, "_first.*").select(*df.columns)
 
 
 # ----------------------------------------------------------------- C2, C3 imputation

@@ -7,12 +7,12 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import COLUMN, VALUE, clean_double, numeric_columns, to_long
-from ..functions.ranks import MAX_BROADCAST_ROWS, quantile_table, value_ranks
+from ..functions.ranks import quantile_table, running_sums, value_ranks
 from ..session import ensure_checkpoint_dir
 from .profile import target_distribution, value_counts_long
 
@@ -21,6 +21,10 @@ from .profile import target_distribution, value_counts_long
 KDE_GRID = 200
 KDE_CUT = 3.0
 BOX_WHIS = 1.5
+# Bins a histogram may have unless the caller allows more.
+MAX_BINS = 1_000_000
+# Bandwidths beyond which the Gaussian kernel is 0 in double precision.
+KERNEL_REACH = 39.0
 
 
 def _integer_cols(df: DataFrame) -> set[str]:
@@ -28,10 +32,11 @@ def _integer_cols(df: DataFrame) -> set[str]:
             if isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))}
 
 
-def histogram_params(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def histogram_params(df: DataFrame, cols: Sequence[str], max_bins: int = MAX_BINS) -> DataFrame:
     """Per column: n, min, max, quartiles and the automatic bin count
     (min of Freedman-Diaconis and Sturges widths; integer columns at least 1
-    wide).  One small row per column."""
+    wide).  One small row per column.  More than ``max_bins`` bins (far
+    outliers beside a narrow bulk) are an error that names the column."""
     long = to_long(df, cols).where(F.col(VALUE).isNotNull())
     mm = long.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("n"), F.min(VALUE).alias("min"),
                                   F.max(VALUE).alias("max"))
@@ -44,16 +49,20 @@ def histogram_params(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     ints = _integer_cols(df)
     is_int = F.col(COLUMN).isin(*ints) if ints else F.lit(False)
     width = F.when(is_int, F.greatest(width, F.lit(1.0))).otherwise(width)
-    bins = F.when(rng > 0, F.greatest(F.ceil(rng / width), F.lit(1))).otherwise(F.lit(1)).cast("int")
+    want = F.when(rng > 0, F.greatest(F.ceil(F.try_divide(rng, width)), F.lit(1))).otherwise(F.lit(1)).cast("bigint")
+    bins = F.when(want <= max_bins, want).otherwise(F.raise_error(F.concat(
+        F.lit("histogram of "), COLUMN, F.lit(" needs "), want.cast("string"),
+        F.lit(f" bins, over max_bins = {max_bins}"))).cast("bigint"))
     return p.select(COLUMN, "n", "min", "max", "q1", "q3", bins.alias("n_bins"))
 
 
-def histogram(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def histogram(df: DataFrame, cols: Sequence[str] | None = None, max_bins: int = MAX_BINS) -> DataFrame:
     """``(column_name, bin, lower, upper, count)`` with every bin present
     (empty bins have count 0); equal-width bins from min to max, the last
     one closed.  Parameters are a broadcast table of one row per column."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    params = histogram_params(df, cols)
+    ensure_checkpoint_dir(df.sparkSession)
+    params = histogram_params(df, cols, max_bins).checkpoint(eager=True)
     long = to_long(df, cols).where(F.col(VALUE).isNotNull())
     w = (F.col("max") - F.col("min")) / F.col("n_bins")
     idx = F.when(w > 0, F.least(F.floor((F.col(VALUE) - F.col("min")) / w), F.col("n_bins") - 1)).otherwise(0)
@@ -75,9 +84,9 @@ def density_curve(df: DataFrame, cols: Sequence[str] | None = None, grid: int =
 
     Values are first reduced to ``(column, value, count)`` (map-side
     combine, so a value held by many rows is one row); each distinct value
-    then adds its weighted kernel to the ``grid`` points (a fixed fan-out,
-    aggregated per point before the shuffle).  The per-column parameters
-    are one small row per column."""
+    then adds its weighted kernel to the grid points within reach (at most
+    ``grid``, aggregated per point before the shuffle).  The per-column
+    parameters are one small row per column."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     long = to_long(df, cols).where(F.col(VALUE).isNotNull())
     st = long.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(VALUE).alias("sd"),
@@ -87,13 +96,19 @@ def density_curve(df: DataFrame, cols: Sequence[str] | None = None, grid: int =
     step = ((F.col("max") + cut * F.col("bw")) - lo) / (grid - 1)
     params = st.select(COLUMN, "n", "bw", lo.alias("_lo"), step.alias("_step"))
     distinct = long.groupBy(COLUMN, VALUE).agg(F.count(F.lit(1)).alias("_c"))
+    # only the grid points that the kernel reaches: beyond, it adds exactly 0
+    reach = KERNEL_REACH * F.col("bw")
+    first = F.greatest(F.ceil((F.col(VALUE) - reach - F.col("_lo")) / F.col("_step")), F.lit(0)).cast("int")
+    last = F.least(F.floor((F.col(VALUE) + reach - F.col("_lo")) / F.col("_step")), F.lit(grid - 1)).cast("int")
     fan = (distinct.join(F.broadcast(params), COLUMN)
            .select(COLUMN, VALUE, "_c", "bw", "_lo", "_step",
-                   F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point")))
+                   F.explode(F.sequence(first, F.greatest(first, last))).alias("point")))
+    points = params.select(COLUMN, F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("point"))
     x = F.col("_lo") + F.col("point") * F.col("_step")
     z = (x - F.col(VALUE)) / F.col("bw")
     sums = fan.groupBy(COLUMN, "point").agg(F.sum(F.col("_c") * F.exp(-0.5 * z * z)).alias("_s"))
-    out = sums.join(F.broadcast(params), COLUMN)
+    out = (points.join(sums, [COLUMN, "point"], "left").withColumn("_s", F.coalesce("_s", F.lit(0.0)))
+           .join(F.broadcast(params), COLUMN))
     return out.select(COLUMN, "point", (F.col("_lo") + F.col("point") * F.col("_step")).alias("x"),
                       (F.col("_s") / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))).alias("density"))
 
@@ -129,57 +144,87 @@ def _pair_structs(cols: Sequence[str], fn: Callable[[str, str], F.Column]) -> li
             for a in cols for b in cols]
 
 
+PAIR_SCHEMA = "column_a string, column_b string, correlation double"
+
+
+def _correlation(a: Column, b: Column) -> Column:
+    """Pearson over rows that hold both values; NULL where one is constant."""
+    spread = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spread)
+
+
 def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson for all ordered pairs in one aggregate; ``corr`` skips rows
-    where either value is NULL (pairwise complete)."""
+    """Pearson for all ordered pairs in one aggregate over the rows where
+    neither value is NULL (pairwise complete)."""
+    if not cols:
+        return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
     d = df.select(*[clean_double(c).alias(c) for c in cols])
-    return (d.agg(F.array(*_pair_structs(cols, lambda a, b: F.corr(a, b))).alias("_m"))
+    return (d.agg(F.array(*_pair_structs(cols, lambda a, b: _correlation(F.col(a), F.col(b)))).alias("_m"))
             .select(F.explode("_m").alias("_p")).select("_p.*"))
 
 
 def _ranked_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace every value by its tie-averaged rank within its column.  The
     ranks of all columns come from one rank job on the long layout (one row
-    per distinct value); each column then looks its rank up by value: a
-    broadcast join when the column's distinct-value table is proven small,
-    a shuffle join otherwise.  No row id and no pivot are needed."""
+    per distinct value); each column then looks its rank up by value.  Spark
+    picks the join at run time: a broadcast when a column's rank table turns
+    out small, else a shuffle join whose hot values are split as skewed."""
     d = df.select(*[clean_double(c).alias(c) for c in cols])
     long = to_long(d, cols).where(F.col(VALUE).isNotNull())
-    ranks = value_ranks(long, [COLUMN], VALUE, max_groups=len(cols)).select(COLUMN, VALUE, "avg_rank")
     ensure_checkpoint_dir(df.sparkSession)
-    ranks = ranks.checkpoint(eager=True)
-    sizes = {r[COLUMN]: r["n"] for r in ranks.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("n")).collect()}
+    ranks = value_ranks(long, [COLUMN], VALUE).select(COLUMN, VALUE, "avg_rank").checkpoint(eager=True)
     out = d
     for c in cols:
         rc = ranks.where(F.col(COLUMN) == c).select(F.col(VALUE).alias(f"_v_{c}"), F.col("avg_rank").alias(f"_r_{c}"))
-        if sizes.get(c, 0) <= MAX_BROADCAST_ROWS:
-            rc = F.broadcast(rc)
         out = out.join(rc, out[c] == rc[f"_v_{c}"], "left")
     return out.select(*[F.col(f"_r_{c}").alias(c) for c in cols])
 
 
+def _spearman_pairs(d: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Spearman of the given pairs, each ranked on its complete rows, in one
+    rank job: a row becomes one entry for each pair it completes."""
+    entries = F.array(*[F.struct(F.lit(i).alias("pair"), F.col(a).alias("va"), F.col(b).alias("vb"))
+                        for i, (a, b) in enumerate(pairs)])
+    cells = (d.select(F.explode(entries).alias("e")).select("e.*").where("va is not null and vb is not null")
+             .groupBy("pair", "va", "vb").agg(F.count(F.lit(1)).alias("c")))
+    ensure_checkpoint_dir(d.sparkSession)
+    cells = cells.checkpoint(eager=True)
+    sides = cells.select("pair", "c", F.explode(F.array(
+        F.struct(F.lit("a").alias("side"), F.col("va").alias(VALUE)),
+        F.struct(F.lit("b").alias("side"), F.col("vb").alias(VALUE)))).alias("s")).select("pair", "c", "s.*")
+    counted = sides.groupBy("pair", "side", VALUE).agg(F.sum("c").alias("cnt"))
+    ranks = running_sums(counted, ["pair", "side"], [VALUE], ["cnt"]).select(
+        "pair", "side", VALUE, (F.col("cnt_before") + (F.col("cnt") + 1) / 2.0).alias("r"))
+    ra = ranks.where("side = 'a'").select("pair", F.col(VALUE).alias("va"), F.col("r").alias("ra"))
+    rb = ranks.where("side = 'b'").select("pair", F.col(VALUE).alias("vb"), F.col("r").alias("rb"))
+    # ranks are centred on their mean (n + 1) / 2, known from the counts
+    totals = cells.groupBy("pair").agg(F.sum("c").alias("n"))
+    w = (cells.join(ra, ["pair", "va"]).join(rb, ["pair", "vb"]).join(F.broadcast(totals), "pair")
+         .withColumn("x", F.col("ra") - (F.col("n") + 1) / 2.0).withColumn("y", F.col("rb") - (F.col("n") + 1) / 2.0))
+    got = w.groupBy("pair").agg(F.try_divide(
+        F.sum(F.col("c") * F.col("x") * F.col("y")),
+        F.sqrt(F.sum(F.col("c") * F.col("x") ** 2)) * F.sqrt(F.sum(F.col("c") * F.col("y") ** 2))).alias("correlation"))
+    names = d.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
+                                           "pair int, column_a string, column_b string")
+    one = names.join(got, "pair", "left").select("column_a", "column_b", "correlation")
+    return one.unionByName(one.where("column_a <> column_b").select(
+        F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "correlation"))
+
+
 def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Spearman = Pearson of tie-averaged ranks.  Without NULLs every column
-    is ranked once for all pairs; with NULLs each pair is ranked on its
-    complete rows (pairwise complete, as pandas)."""
+    """Spearman = Pearson of tie-averaged ranks, pairwise complete as pandas.
+    Columns without NULL are ranked once for all their pairs; only pairs with a
+    NULL-bearing column get ranks of their own, all in one job."""
+    if not cols:
+        return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
     d = df.select(*[clean_double(c).alias(c) for c in cols])
     nulls = d.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-    if all(nulls[c] == 0 for c in cols):
+    whole = [c for c in cols if nulls[c] == 0]
+    own = [(a, b) for i, a in enumerate(cols) for b in cols[i:] if nulls[a] or nulls[b]]
+    if not own:
         return pearson_matrix(_ranked_wide(d, cols), cols)
-    out = None
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            both = d.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(a, b)
-            if a == b:
-                r = both.agg(F.corr(a, a).alias("correlation"))
-            else:
-                rw = _ranked_wide(both, [a, b])
-                r = rw.agg(F.corr(a, b).alias("correlation"))
-            pairs = [(a, b)] if a == b else [(a, b), (b, a)]
-            for x, y in pairs:
-                part = r.select(F.lit(x).alias("column_a"), F.lit(y).alias("column_b"), "correlation")
-                out = part if out is None else out.unionByName(part)
-    return out
+    out = _spearman_pairs(d, own)
+    return out.unionByName(pearson_matrix(_ranked_wide(d, whole), whole)) if whole else out
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, method: str = "spearman") -> DataFrame:
@@ -218,5 +263,5 @@ def run_all(df: DataFrame, target: str | None = None, numeric: Sequence[str] | N
             n = fn().count()
             rows.append((name, "ok", int(n), None))
         except Exception as e:  # noqa: BLE001 - reported, not raised
-            rows.append((name, "failed", None, f"{type(e).__name__}: {e}"[:500]))
+            rows.append((name, "failed", None, f"{type(e).__name__}: {e}"))
     return df.sparkSession.createDataFrame(rows, "item string, status string, rows bigint, error string")

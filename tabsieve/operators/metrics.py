@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranks import running_sums
+from ..functions.ranks import running_sums, same_group
 from ..session import ensure_checkpoint_dir
 
 LABEL, PRED, PROB = "label", "prediction", "probability"
@@ -26,7 +26,7 @@ METRIC_NAMES = ("accuracy", "precision", "recall", "f1_score", "roc_auc", "avera
 
 def _div0(a: Column, b: Column) -> Column:
     """a / b with 0 when b is 0 (``zero_division=0``)."""
-    return F.when(b != 0, a / b).otherwise(F.lit(0.0))
+    return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
 
 def scored_from_model(model, df: DataFrame, label: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -58,10 +58,10 @@ def _c(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def confusion_counts(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """tn, fp, fn, tp, n, Brier score and log loss per group in one
-    aggregate (over the compact table)."""
-    c = _c(scored, by)
-    y, p, n = F.col(LABEL), F.col(PRED), F.col(CNT)
+    """tn, fp, fn, tp, n, Brier score and log loss per group in one aggregate,
+    straight from the scored rows (or from their compact table)."""
+    c = scored
+    y, p, n = F.col(LABEL), F.col(PRED), F.col(CNT) if _is_compact(scored) else F.lit(1)
     pc = F.least(F.greatest(F.col(PROB), F.lit(EPS)), F.lit(1 - EPS))
     return c.groupBy(*by).agg(
         F.sum(F.when((y == 0) & (p == 0), n).otherwise(0)).alias("tn"),
@@ -69,8 +69,8 @@ def confusion_counts(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.sum(F.when((y == 1) & (p == 0), n).otherwise(0)).alias("fn"),
         F.sum(F.when((y == 1) & (p == 1), n).otherwise(0)).alias("tp"),
         F.sum(n).alias("n"),
-        (F.sum(n * (F.col(PROB) - y) ** 2) / F.sum(n)).alias("brier_score"),
-        (F.sum(n * (-(y * F.log(pc)) - (1 - y) * F.log(1 - pc))) / F.sum(n)).alias("log_loss"))
+        F.try_divide(F.sum(n * (F.col(PROB) - y) ** 2), F.sum(n)).alias("brier_score"),
+        F.try_divide(F.sum(n * (-(y * F.log(pc)) - (1 - y) * F.log(1 - pc))), F.sum(n)).alias("log_loss"))
 
 
 def threshold_metrics(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -78,7 +78,7 @@ def threshold_metrics(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Brier score and log loss per group."""
     c = confusion_counts(scored, by)
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
-    return c.select(*by, ((tp + tn) / F.col("n")).alias("accuracy"), _div0(tp, tp + fp).alias("precision"),
+    return c.select(*by, F.try_divide(tp + tn, F.col("n")).alias("accuracy"), _div0(tp, tp + fp).alias("precision"),
                     _div0(tp, tp + fn).alias("recall"), _div0(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
                     "brier_score", "log_loss")
 
@@ -90,17 +90,24 @@ def _per_score(scored: DataFrame, by: Sequence[str]) -> DataFrame:
             .agg(F.sum(CNT).alias("cnt"), F.sum(F.when(F.col(LABEL) == 1, F.col(CNT)).otherwise(0)).alias("pos")))
 
 
+def _auc(c: DataFrame, by: Sequence[str]) -> DataFrame:
+    """ROC AUC with ties from cumulative counts: each positive beats the
+    negatives below its score and half of those at it."""
+    npos, nneg = F.col("_P"), F.col("_N") - F.col("_P")
+    at = F.col("cnt") - F.col("pos")
+    below = nneg - (F.col("_k") - F.col("tp"))
+    won = F.sum(F.col("pos") * (below + at / 2.0))
+    return c.groupBy(*by).agg(F.try_divide(won, F.max(npos).cast("double") * F.max(nneg)).alias("roc_auc"))
+
+
+def _ap(c: DataFrame, by: Sequence[str]) -> DataFrame:
+    term = F.try_divide(F.col("pos"), F.col("_P")) * (F.col("tp") / F.col("_k"))
+    return c.groupBy(*by).agg(F.when(F.max("_P") > 0, F.sum(term)).alias("average_precision"))
+
+
 def roc_auc(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """M7: exact ROC AUC with ties, ``(R+ - n+(n+ + 1)/2) / (n+ n-)`` from
-    tie-averaged ranks of the scores."""
-    per = _per_score(scored, by)
-    r = running_sums(per, list(by), [PROB], ["cnt"])
-    r = r.withColumn("avg_rank", F.col("cnt_before") + (F.col("cnt") + 1) / 2.0)
-    agg = r.groupBy(*by).agg(F.sum(F.col("avg_rank") * F.col("pos")).alias("_rp"),
-                             F.sum("pos").cast("double").alias("_np"), F.sum("cnt").cast("double").alias("_n"))
-    npos, nneg = F.col("_np"), F.col("_n") - F.col("_np")
-    auc = F.when((npos > 0) & (nneg > 0), (F.col("_rp") - npos * (npos + 1) / 2.0) / (npos * nneg))
-    return agg.select(*by, auc.alias("roc_auc"))
+    """M7: exact ROC AUC with ties; NULL for a group of one class."""
+    return _auc(_descending_counts(scored, by), by)
 
 
 def _descending_counts(scored: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -117,28 +124,35 @@ def _descending_counts(scored: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def average_precision(scored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """M8: step-wise ``sum (R_n - R_{n-1}) P_n`` over distinct thresholds
-    (not the trapezoid of ``areaUnderPR``)."""
-    c = _descending_counts(scored, by)
-    term = (F.col("pos") / F.col("_P")) * (F.col("tp") / F.col("_k"))
-    return c.groupBy(*by).agg(F.when(F.max("_P") > 0, F.sum(term)).alias("average_precision"))
+    (not the trapezoid of ``areaUnderPR``); NULL for a group without
+    positives."""
+    return _ap(_descending_counts(scored, by), by)
 
 
 def evaluate(scored: DataFrame, by: Sequence[str] = (), metrics: Sequence[str] = METRIC_NAMES) -> DataFrame:
     """M2: the requested metrics per group, wide; unknown names are skipped.
-    The scored rows are compacted once and frozen; every metric reads the
-    compact table."""
+    Without a ranking metric the scored rows are aggregated directly; with one
+    they are compacted once and frozen, and every metric reads that table."""
     want = [m for m in metrics if m in METRIC_NAMES]
-    c = _c(scored, by)
-    if any(m in want for m in ("roc_auc", "average_precision")) and not _is_compact(scored):
+    ranked = [m for m in ("roc_auc", "average_precision") if m in want]
+    if not ranked:
+        return threshold_metrics(scored, by).select(*by, *want)
+    c = scored
+    if not _is_compact(scored):
         ensure_checkpoint_dir(scored.sparkSession)
-        c = c.checkpoint(eager=True)
+        c = compact(scored, by).checkpoint(eager=True)
     out = threshold_metrics(c, by)
-    if "roc_auc" in want:
-        auc = roc_auc(c, by)
-        out = out.join(auc, list(by), "left") if by else _join1(out, auc)
-    if "average_precision" in want:
-        ap = average_precision(c, by)
-        out = out.join(ap, list(by), "left") if by else _join1(out, ap)
+    # one ranking serves both metrics
+    cumulative = _descending_counts(c, by)
+    if len(ranked) == 2:
+        cumulative = cumulative.checkpoint(eager=True)
+    for name in ranked:
+        part = {"roc_auc": _auc, "average_precision": _ap}[name](cumulative, by)
+        if by:
+            right, on = same_group(out, part, by, "_by_")
+            out = out.join(right, on, "left").drop(*[f"_by_{b}" for b in by])
+        else:
+            out = _join1(out, part)
     return out.select(*by, *want)
 
 
@@ -185,9 +199,10 @@ def classification_report(scored: DataFrame, by: Sequence[str] = ()) -> DataFram
                         f.alias("f1_score"), s.cast("bigint").alias("support"))
     rows = F.array(
         row("0", p0, r0, f0, s0), row("1", p1, r1, f1, s1),
-        row("accuracy", F.lit(None).cast("double"), F.lit(None).cast("double"), (tp + tn) / n, n),
+        row("accuracy", F.lit(None).cast("double"), F.lit(None).cast("double"), F.try_divide(tp + tn, n), n),
         row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n),
-        row("weighted avg", (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n, (f0 * s0 + f1 * s1) / n, n))
+        row("weighted avg", F.try_divide(p0 * s0 + p1 * s1, n), F.try_divide(r0 * s0 + r1 * s1, n),
+            F.try_divide(f0 * s0 + f1 * s1, n), n))
     return c.select(*by, F.explode(rows).alias("_r")).select(*by, "_r.*")
 
 

@@ -21,19 +21,27 @@ N_ROWS = "_n_rows"
 
 
 def _explode_structs(df: DataFrame, structs: list[Column], extra: Sequence[Column] = ()) -> DataFrame:
+    """One row per struct; at least one struct."""
     row = df.agg(F.count(F.lit(1)).alias(N_ROWS), *extra, F.array(*structs).alias("_s"))
     return row.select("*", F.explode("_s").alias("_one")).drop("_s").select("*", "_one.*").drop("_one")
 
 
 # ----------------------------------------------------------------- A1 numeric profile
 
+NUMERIC_PROFILE_SCHEMA = (
+    f"{COLUMN} string, count bigint, mean double, std double, min double, q25 double, q50 double, q75 double, "
+    "max double, range double, missing_count bigint, missing_pct double, skewness double, kurtosis double")
+
+
 def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, id_column: str | None = None,
                     quantile_method: str = "exact") -> DataFrame:
-    """Per numeric column: count, mean, std (n-1), min, q25, q50, q75 (linear
+    """No numeric column gives an empty table.  Per numeric column: count, mean, std (n-1), min, q25, q50, q75 (linear
     interpolation), max, range, missing_count, missing_pct (of all rows),
     bias-corrected skewness and excess kurtosis.  The id column is left out."""
     cols = list(cols) if cols is not None else numeric_columns(df, [id_column] if id_column else [])
     require_columns(df, cols)
+    if not cols:
+        return df.sparkSession.createDataFrame([], NUMERIC_PROFILE_SCHEMA)
     structs = []
     for c in cols:
         x = clean_double(c)
@@ -50,7 +58,7 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None, id_column:
         COLUMN, "count", "mean", "std", "min", "q25", "q50", "q75", "max",
         (F.col("max") - F.col("min")).alias("range"),
         "missing_count",
-        (F.col("missing_count") * 100.0 / F.col(N_ROWS)).alias("missing_pct"),
+        F.try_divide(F.col("missing_count") * 100.0, F.col(N_ROWS)).alias("missing_pct"),
         sample_skewness(F.col("_g1"), n).alias("skewness"),
         sample_excess_kurtosis(F.col("_g2"), n).alias("kurtosis"))
 
@@ -86,9 +94,9 @@ def categorical_profile(df: DataFrame, cols: Sequence[str] | None = None) -> Dat
         COLUMN, F.col("count").cast("bigint").alias("count"), F.col("unique").cast("bigint").alias("unique"),
         "top", F.col("freq").cast("bigint").alias("freq"),
         F.col("missing_count").cast("bigint").alias("missing_count"),
-        (F.col("missing_count") * 100.0 / F.col(N_ROWS)).alias("missing_pct"),
+        F.try_divide(F.col("missing_count") * 100.0, F.col(N_ROWS)).alias("missing_pct"),
         F.col("unique").cast("bigint").alias("unique_count"),
-        (F.col("unique") * 100.0 / F.col(N_ROWS)).alias("cardinality_pct"))
+        F.try_divide(F.col("unique") * 100.0, F.col(N_ROWS)).alias("cardinality_pct"))
 
 
 # ----------------------------------------------------------------- A3 describe everything
@@ -120,7 +128,7 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 def overall_missing_pct(df: DataFrame) -> DataFrame:
     """Nulls / (rows · columns) · 100 as one row."""
     nc = null_counts(df)
-    return nc.agg((F.sum("missing_count") * 100.0 / (F.max("n_rows") * F.lit(len(df.columns))))
+    return nc.agg(F.try_divide(F.sum("missing_count") * 100.0, F.max("n_rows") * F.lit(len(df.columns)))
                   .alias("missing_pct_overall"),
                   F.sum("missing_count").alias("missing_total"))
 
@@ -137,7 +145,7 @@ def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
     base = df.where(F.col(col).isNotNull()) if dropna else df
     vc = base.groupBy(F.col(col).alias(VALUE)).agg(F.count(F.lit(1)).alias("count"))
     tot = vc.agg(F.sum("count")).scalar()
-    return vc.select(VALUE, "count", (F.col("count") / tot).alias("share"))
+    return vc.select(VALUE, "count", F.try_divide(F.col("count"), tot).alias("share"))
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
@@ -146,19 +154,13 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
             .select(F.col(VALUE).alias(target), "count", (F.col("share") * 100).alias("percent")))
 
 
-# Largest integer label class_counts expands to (labels are class ids).
-MAX_LABEL = 100_000
-
-
 def class_counts(df: DataFrame, label: str) -> DataFrame:
     """Counts for integer labels 0..max, zero classes kept (bincount).
-    A label above MAX_LABEL is an error rather than a huge grid."""
+    The label range is a distributed ``spark.range``, whatever its length."""
     counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("int").alias("label")) \
         .agg(F.count(F.lit(1)).alias("count"))
-    top = F.greatest(F.col("_m"), F.lit(0))
-    top = F.when(top <= MAX_LABEL, top).otherwise(
-        F.raise_error(F.lit(f"class labels above {MAX_LABEL}: not class ids")).cast("int"))
-    grid = counts.agg(F.max("label").alias("_m")).select(F.explode(F.sequence(F.lit(0), top)).alias("label"))
+    top = counts.agg(F.max("label")).first()[0]
+    grid = df.sparkSession.range(0, 0 if top is None else max(top, 0) + 1).select(F.col("id").cast("int").alias("label"))
     return grid.join(counts, "label", "left").select("label", F.coalesce("count", F.lit(0)).alias("count"))
 
 
@@ -243,9 +245,15 @@ def outlier_rows(df: DataFrame, bounds: DataFrame, key: str) -> DataFrame:
     """every (row, column) outside its bounds, stacked long:
     ``(key, column_name, value, lower_bound, upper_bound)``.  ``bounds`` has one
     row per column (small, broadcast)."""
-    cols = [r[COLUMN] for r in bounds.select(COLUMN).collect()]
-    long = to_long(df, cols, keep=[key])
-    j = long.join(F.broadcast(bounds.select(COLUMN, "lower_bound", "upper_bound")), COLUMN)
+    # the bounds are fitted once; their few rows go in as literals
+    fixed = {r[COLUMN]: (r["lower_bound"], r["upper_bound"]) for r in bounds.collect()}
+    long = to_long(df, list(fixed), keep=[key])
+    if not fixed:
+        return long.withColumn("lower_bound", F.lit(None).cast("double")).withColumn(
+            "upper_bound", F.lit(None).cast("double"))
+    limits = F.create_map(*[x for c, (lo, hi) in fixed.items() for x in (
+        F.lit(c), F.struct(F.lit(lo).cast("double").alias("lo"), F.lit(hi).cast("double").alias("hi")))])[F.col(COLUMN)]
+    j = long.withColumn("lower_bound", limits["lo"]).withColumn("upper_bound", limits["hi"])
     return j.where(outside_range(F.col(VALUE), F.col("lower_bound"), F.col("upper_bound"))).select(
         key, COLUMN, VALUE, "lower_bound", "upper_bound")
 

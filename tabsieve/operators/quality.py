@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import COLUMN, clean_double, numeric_columns, require_columns
 from ..functions.ranks import quantile_table
+from ..session import shuffle_partitions
 from .profile import N_ROWS, _explode_structs, null_counts, outside_range
 
 # Severity thresholds on the missing fraction, and the IQR fence.
@@ -28,7 +29,7 @@ def missing_report(df: DataFrame, warning: float = MISSING_WARNING,
     places, severity (CRITICAL >= critical, WARNING >= warning, else INFO) on
     the rounded fraction; ordered by count descending.  No nulls -> no rows."""
     nc = null_counts(df).where(F.col("missing_count") > 0)
-    frac = F.bround(F.col("missing_count") / F.col("n_rows"), 4)
+    frac = F.bround(F.try_divide(F.col("missing_count"), F.col("n_rows")), 4)
     sev = (F.when(frac >= critical, "CRITICAL").when(frac >= warning, "WARNING").otherwise("INFO"))
     return (nc.select(COLUMN, "missing_count", frac.alias("missing_fraction"), sev.alias("severity"))
             .orderBy(F.col("missing_count").desc(), F.col(COLUMN)))
@@ -53,7 +54,8 @@ def duplicate_summary(df: DataFrame, ignore: Sequence[str] = ()) -> DataFrame:
         F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
         F.col("n_distinct").cast("bigint").alias("n_distinct"),
         F.coalesce("n_duplicates", F.lit(0)).cast("bigint").alias("n_duplicates"),
-        (F.coalesce("n_duplicates", F.lit(0)) * 100.0 / F.col("n_rows")).alias("duplicate_pct"))
+        F.coalesce(F.try_divide(F.coalesce("n_duplicates", F.lit(0)) * 100.0, F.col("n_rows")), F.lit(0.0))
+        .alias("duplicate_pct"))
 
 
 def _expand(groups: DataFrame, cols: list[str], first_copy: int) -> DataFrame:
@@ -64,7 +66,9 @@ def _expand(groups: DataFrame, cols: list[str], first_copy: int) -> DataFrame:
     chunk = F.lit(EXPAND_CHUNK)
     n_chunks = F.floor((F.col("_copies") - 1) / chunk).cast("int")
     chunks = g.select(*cols, "_copies", F.explode(F.sequence(F.lit(0), n_chunks)).alias("_chunk"))
-    chunks = chunks.repartition(F.xxhash64(*[F.col(c) for c in cols], F.col("_chunk")))
+    # a partition number, so that the few chunk rows are not merged into one task
+    n = max(shuffle_partitions(groups.sparkSession), groups.sparkSession.sparkContext.defaultParallelism)
+    chunks = chunks.repartition(n, F.xxhash64(*[F.col(c) for c in cols], F.col("_chunk")))
     lo = F.greatest(F.col("_chunk") * chunk + 1, F.lit(first_copy))
     hi = F.least((F.col("_chunk") + 1) * chunk, F.col("_copies"))
     rows = chunks.where(lo <= hi).select(*cols, F.explode(F.sequence(lo, hi)).alias("copy_no"))
@@ -101,27 +105,34 @@ def bounds_dict(bounds: DataFrame) -> dict[str, tuple[float, float]]:
     return {r[COLUMN]: (r["lower_bound"], r["upper_bound"]) for r in bounds.collect()}
 
 
+OUTLIER_SCHEMA = (f"{COLUMN} string, count bigint, percentage double, lower_bound double, upper_bound double, "
+                  "q1 double, q3 double, iqr double, high_outliers boolean")
+
+
 def iqr_outlier_summary(df: DataFrame, cols: Sequence[str] | None = None,
                         exclude: Sequence[str] = (), fence: float = IQR_FENCE) -> DataFrame:
     """Per numeric column (minus ``exclude``): outlier count, percent of
-    all rows, bounds, q1, q3, iqr and a flag for more than 10 %.  Pass 1 finds
+    all rows, bounds, q1, q3, iqr and a flag for more than 10 %; a column
+    without values has none and NULL bounds.  Pass 1 finds
     the quartiles; pass 2 is one aggregate with the bounds as literals."""
     cols = list(cols) if cols is not None else numeric_columns(df, exclude)
     require_columns(df, cols)
     bounds = fit_iqr_bounds(df, cols, fence)
-    b = {r[COLUMN]: r for r in bounds.collect()}
+    if not cols:
+        return df.sparkSession.createDataFrame([], OUTLIER_SCHEMA)
+    b = {r[COLUMN]: r.asDict() for r in bounds.collect()}
+    nothing = dict.fromkeys(("q1", "q3", "iqr", "lower_bound", "upper_bound"), F.lit(None).cast("double"))
     structs = []
     for c in cols:
         r = b.get(c)
         if r is None or r["q1"] is None:
-            continue
+            r = nothing  # a column without values: no bounds, no outliers
         structs.append(F.struct(
             F.lit(c).alias(COLUMN),
             F.count_if(outside_range(clean_double(c), r["lower_bound"], r["upper_bound"])).alias("count"),
-            F.lit(r["lower_bound"]).alias("lower_bound"), F.lit(r["upper_bound"]).alias("upper_bound"),
-            F.lit(r["q1"]).alias("q1"), F.lit(r["q3"]).alias("q3"), F.lit(r["iqr"]).alias("iqr")))
+            *(F.lit(r[k]).alias(k) for k in ("lower_bound", "upper_bound", "q1", "q3", "iqr"))))
     out = _explode_structs(df, structs)
-    pct = F.col("count") * 100.0 / F.col(N_ROWS)
+    pct = F.coalesce(F.try_divide(F.col("count") * 100.0, F.col(N_ROWS)), F.lit(0.0))
     return out.select(COLUMN, "count", pct.alias("percentage"), "lower_bound", "upper_bound",
                       "q1", "q3", "iqr", (pct > HIGH_OUTLIER_PCT).alias("high_outliers"))
 

@@ -46,8 +46,9 @@ def coerce_to_int(df: DataFrame, cols: Sequence[str], plain: bool = False) -> Da
     present = [c for c in cols if c in df.columns]
     conv = {}
     for c in present:
-        d = F.expr(f"try_cast(`{c}` AS DOUBLE)")
-        conv[c] = d.cast("bigint") if plain else F.coalesce(d, F.lit(0.0)).cast("bigint")
+        # whole numbers go straight to bigint: a double holds them only up to 2^53
+        x = F.coalesce(F.col(f"`{c}`").try_cast("bigint"), F.col(f"`{c}`").try_cast("double").try_cast("bigint"))
+        conv[c] = x if plain else F.coalesce(x, F.lit(0).cast("bigint"))
     return df.withColumns(conv) if conv else df
 
 

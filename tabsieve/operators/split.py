@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ranks import running_counts
+from ..functions.ranks import checked_broadcast, running_counts, same_group
 
 RANK = "class_rank"
 HASH = "_order_hash"
@@ -18,7 +18,8 @@ HASH = "_order_hash"
 
 def allocate(counts: dict, total: int) -> dict:
     """Largest-remainder quotas: ``total`` rows shared over classes in
-    proportion to ``counts``; ties of remainder go to the smaller class value.
+    proportion to ``counts``; ties of remainder go to the smaller class value
+    (the NULL class first).
     The quotas add up to ``total`` exactly (integer arithmetic)."""
     n = sum(counts.values())
     if total > n:
@@ -28,7 +29,7 @@ def allocate(counts: dict, total: int) -> dict:
     base = {k: (total * v) // n for k, v in counts.items()}
     rem = {k: (total * v) % n for k, v in counts.items()}
     left = total - sum(base.values())
-    for k in sorted(counts, key=lambda k: (-rem[k], k))[:left]:
+    for k in sorted(counts, key=lambda k: (-rem[k], k is not None, k))[:left]:
         base[k] += 1
     return base
 
@@ -37,22 +38,24 @@ def order_hash(key: str, seed: str | int) -> F.Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
 
 
-# Classes (of a split or fold label) expected at most; beyond it the offset
-# table is counted before it is broadcast.
-MAX_CLASSES = 10_000
+# Classes whose counts a split brings to the driver at most; a label with more
+# is an identifier, not a class.
+MAX_CLASSES = 100_000
 
 
-def class_ranks(df: DataFrame, key: str, label: str, seed: str | int,
-                max_classes: int | None = MAX_CLASSES, known_rows: int | None = None) -> DataFrame:
+def class_ranks(df: DataFrame, key: str, label: str, seed: str | int) -> DataFrame:
     """0-based rank of each row inside its class in ``md5(key||seed), key``
-    order; all columns are carried along."""
+    order; all columns are carried along and a NULL class is a class."""
     w = df.withColumn(HASH, order_hash(key, seed)).withColumn("_one", F.lit(1))
-    ranked = running_counts(w, [label], [HASH, key], "_one", max_groups=max_classes, known_rows=known_rows)
+    ranked = running_counts(w, [label], [HASH, key], "_one")
     return ranked.withColumnRenamed("rows_before", RANK).drop("_one", "group_total", HASH)
 
 
 def _class_counts(df: DataFrame, label: str) -> dict:
-    return {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes")
+    return {r[label]: r["n"] for r in rows}
 
 
 def stratified_split(df: DataFrame, key: str, label: str | None, test_size: int, dev_size: int,
@@ -66,11 +69,11 @@ def stratified_split(df: DataFrame, key: str, label: str | None, test_size: int,
     t_q = allocate(counts, test_size)
     rest = {k: counts[k] - t_q[k] for k in counts}
     d_q = allocate(rest, dev_size)
-    ranked = class_ranks(base, key, lab, seed, known_rows=sum(counts.values()))
+    ranked = class_ranks(base, key, lab, seed)
     quota = df.sparkSession.createDataFrame([(k, t_q[k], d_q[k]) for k in counts],
                                             schema=base.select(lab).schema.add("_tq", "long").add("_dq", "long"))
-    # one row per class: bounded by the class count
-    out = ranked.join(F.broadcast(quota), lab)
+    right, on = same_group(ranked, quota, [lab], "_quota_")
+    out = ranked.join(checked_broadcast(right), on).drop(f"_quota_{lab}")
     sp = (F.when(F.col(RANK) < F.col("_tq"), "test")
           .when(F.col(RANK) < F.col("_tq") + F.col("_dq"), "dev").otherwise("train"))
     out = out.withColumn(split_col, sp).drop("_tq", "_dq", RANK)
@@ -104,12 +107,13 @@ def split_report(df: DataFrame, label: str, split_col: str = "split") -> DataFra
 
 def class_weights(df: DataFrame, label: str, weight_col: str = "weight") -> DataFrame:
     """Balanced weight ``n / (k * n_c)`` per row, from a per-class table
-    (k rows, broadcast)."""
+    (k rows, broadcast when counted small); NULL is a class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    n = df.agg(F.count(F.lit(1))).scalar()
-    k = counts.agg(F.count(F.lit(1))).scalar()
-    w = counts.select(label, (n / (k * F.col("_nc"))).alias(weight_col))
-    return df.join(F.broadcast(w), label)
+    # one scan for the classes; n and k are sums over them
+    total = counts.agg(F.sum("_nc").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    w = counts.select(label, (F.lit(float(total["n"] or 0)) / (total["k"] * F.col("_nc"))).alias(weight_col))
+    right, on = same_group(df, w, [label], "_w_")
+    return df.join(checked_broadcast(right), on).drop(f"_w_{label}")
 
 
 def stratified_folds(df: DataFrame, key: str, label: str, k: int = 10, seed: str | int = "-42",

@@ -11,12 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import COLUMN, VALUE, categorical_columns, clean_double, to_long
-from ..functions.ranks import value_ranks
+from ..functions.ranks import checked_broadcast, same_group, value_ranks
 from ..functions.stats import chi2_sf, norm_sf, t_ppf, t_two_sided_p
 from ..session import ensure_checkpoint_dir
 
@@ -68,7 +68,7 @@ def mean_standard_error(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     long = to_long(df, cols).where(F.col(VALUE).isNotNull())
     return long.groupBy(COLUMN).agg(
         F.count(F.lit(1)).alias("n"), F.avg(VALUE).alias("mean"),
-        (F.stddev_samp(VALUE) / F.sqrt(F.count(F.lit(1)))).alias("std_error"))
+        F.try_divide(F.stddev_samp(VALUE), F.sqrt(F.count(F.lit(1)))).alias("std_error"))
 
 
 def confidence_interval(df: DataFrame, cols: Sequence[str], confidence: float = 0.95) -> DataFrame:
@@ -108,12 +108,17 @@ def group_moments(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) ->
 
 
 def welch_t(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) -> DataFrame:
-    """T4: Welch's t and its degrees of freedom per column."""
-    m = group_moments(df, cols, group_col, v1, v2)
-    a = F.col("group1_std") ** 2 / F.col("group1_n")
-    b = F.col("group2_std") ** 2 / F.col("group2_n")
-    t = (F.col("group1_mean") - F.col("group2_mean")) / F.sqrt(a + b)
-    dof = (a + b) ** 2 / (a ** 2 / (F.col("group1_n") - 1) + b ** 2 / (F.col("group2_n") - 1))
+    """T4: Welch's t and its degrees of freedom per column; NULL where both
+    groups are constant."""
+    return _welch(group_moments(df, cols, group_col, v1, v2))
+
+
+def _welch(m: DataFrame) -> DataFrame:
+    a = F.try_divide(F.col("group1_std") ** 2, F.col("group1_n"))
+    b = F.try_divide(F.col("group2_std") ** 2, F.col("group2_n"))
+    t = F.try_divide(F.col("group1_mean") - F.col("group2_mean"), F.sqrt(a + b))
+    dof = F.try_divide((a + b) ** 2, F.try_divide(a ** 2, F.col("group1_n") - 1)
+                       + F.try_divide(b ** 2, F.col("group2_n") - 1))
     return m.select(COLUMN, "group1_n", "group2_n", "group1_mean", "group2_mean", "group1_std", "group2_std",
                     t.alias("t_statistic"), dof.alias("welch_df"))
 
@@ -122,7 +127,7 @@ def cohens_d(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) -> Data
     """``|m1 - m2| / sqrt((s1^2 + s2^2) / 2)`` and its label."""
     m = group_moments(df, cols, group_col, v1, v2)
     pooled = F.sqrt((F.col("group1_std") ** 2 + F.col("group2_std") ** 2) / 2.0)
-    d = F.when(pooled > 0, F.abs(F.col("group1_mean") - F.col("group2_mean")) / pooled).otherwise(F.lit(0.0))
+    d = F.coalesce(F.try_divide(F.abs(F.col("group1_mean") - F.col("group2_mean")), pooled), F.lit(0.0))
     return m.select(COLUMN, d.alias("cohens_d"), _label(d, COHEN_LABELS).alias("effect"))
 
 
@@ -132,7 +137,7 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) ->
     ``max(U1, U2)``).  Ranks per column come from :func:`value_ranks`: one
     row per distinct value, ranges spread over tasks."""
     long = _two_group_long(df, cols, group_col, v1, v2)
-    ranked = value_ranks(long, [COLUMN], VALUE, extra_sums=["_g1"], max_groups=len(cols))
+    ranked = value_ranks(long, [COLUMN], VALUE, extra_sums=["_g1"])
     agg = ranked.groupBy(COLUMN).agg(
         F.sum(F.col("avg_rank") * F.col("_g1")).alias("_r1"),
         F.sum("_g1").cast("double").alias("_n1"),
@@ -142,8 +147,8 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) ->
     n2 = n - n1
     u1 = F.col("_r1") - n1 * (n1 + 1) / 2.0
     mu = n1 * n2 / 2.0
-    s = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.col("_ties") / (n * (n - 1))))
-    z = (F.greatest(u1, n1 * n2 - u1) - mu - 0.5) / s
+    s = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("_ties"), n * (n - 1))))
+    z = F.try_divide(F.greatest(u1, n1 * n2 - u1) - mu - 0.5, s)
     return agg.select(COLUMN, n1.cast("bigint").alias("group1_n"), n2.cast("bigint").alias("group2_n"),
                       u1.alias("u_statistic"), z.alias("z"))
 
@@ -156,8 +161,11 @@ def compare_two_groups(df: DataFrame, cols: Sequence[str], group_col: str, v1, v
     get test_type ``insufficient data``.  All columns share one moment
     aggregate and one rank job; the per-column choice is made on the
     driver from those few scalars."""
-    m = {r[COLUMN]: r for r in group_moments(df, cols, group_col, v1, v2).collect()}
-    w = {r[COLUMN]: r for r in welch_t(df, cols, group_col, v1, v2).collect()}
+    # one moment aggregate: Welch's t is a projection of its few rows
+    moments = df.sparkSession.createDataFrame(
+        (got := group_moments(df, cols, group_col, v1, v2)).collect(), got.schema)
+    m = {r[COLUMN]: r for r in moments.collect()}
+    w = {r[COLUMN]: r for r in _welch(moments).collect()}
     u = {r[COLUMN]: r for r in mann_whitney(df, cols, group_col, v1, v2).collect()}
     rows = []
     for c in cols:
@@ -173,13 +181,13 @@ def compare_two_groups(df: DataFrame, cols: Sequence[str], group_col: str, v1, v
             continue
 
         def jb_p(n, sk, ku):
-            if sk is None or ku is None:
-                return 0.0
+            if sk is None or ku is None or math.isnan(sk) or math.isnan(ku):
+                return 0.0  # a constant group is not normal
             return math.exp(-(n / 6.0 * (sk ** 2 + ku ** 2 / 4.0)) / 2.0)
         normal = jb_p(n1, r["_g1_skew"], r["_g1_kurt"]) >= alpha and jb_p(n2, r["_g2_skew"], r["_g2_kurt"]) >= alpha
         if normal:
             test, stat = "Welch's t-test", w[c]["t_statistic"]
-            p = t_two_sided_p(stat, w[c]["welch_df"])
+            p = t_two_sided_p(stat, w[c]["welch_df"]) if stat is not None else None
         else:
             test, stat = "mannwhitneyu", u[c]["u_statistic"]
             p = min(1.0, 2.0 * norm_sf(u[c]["z"])) if u[c]["z"] is not None else None
@@ -187,7 +195,8 @@ def compare_two_groups(df: DataFrame, cols: Sequence[str], group_col: str, v1, v
         pooled = math.sqrt((s1 ** 2 + s2 ** 2) / 2.0)
         d = abs(r["group1_mean"] - r["group2_mean"]) / pooled if pooled else 0.0
         eff = next(name for lim, name in COHEN_LABELS if d < lim)
-        rows.append({**rec, "test_type": test, "statistic": float(stat), "p_value": p,
+        rows.append({**rec, "test_type": test, "statistic": None if stat is None else float(stat),
+                     "p_value": p,
                      "significant": p is not None and p < alpha, "cohens_d": d, "effect": eff})
     schema = T.StructType([
         T.StructField(COLUMN, T.StringType()), T.StructField("test_type", T.StringType()),
@@ -220,9 +229,9 @@ def chi_square(df: DataFrame, cols: Sequence[str] | None, target: str, correctio
     column against ``target``: chi2 (Yates-corrected when dof = 1), dof,
     n, smallest expected count, Cramer's V and its label.
 
-    ``chi2 = sum(o^2 / e) - n`` over the observed cells only, so the full
-    level x class grid is never built; only a 2 x 2 table (dof = 1) is
-    completed with its zero cells for the Yates correction."""
+    ``chi2 = sum(o^2 / e) - n`` over the observed cells only, so the level x
+    class grid is never built; the Yates correction of a 2 x 2 table follows
+    from its plain chi2 and totals."""
     cols = list(cols) if cols is not None else categorical_columns(df, [target])
     base = df.where(F.col(target).isNotNull())
     long = to_long(base, cols, as_type="string", keep=[target]).where(F.col(VALUE).isNotNull())
@@ -230,31 +239,23 @@ def chi_square(df: DataFrame, cols: Sequence[str] | None, target: str, correctio
     # the observed cells are read by every total below: one scan, frozen
     cells = (long.groupBy(COLUMN, VALUE, target).agg(F.count(F.lit(1)).alias("o"))
              .checkpoint(eager=True))
-    # row total of a level: a window over its cells (one per class, bounded)
-    cells_rt = cells.withColumn("row_total", F.sum("o").over(Window.partitionBy(COLUMN, VALUE)))
-    rows_t = cells_rt.select(COLUMN, VALUE, "row_total").distinct()
-    # per column and class, and per column: bounded by columns x classes
-    cols_t = F.broadcast(cells.groupBy(COLUMN, target).agg(F.sum("o").alias("col_total")))
-    dims = F.broadcast(
-        rows_t.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("r"), F.min("row_total").alias("_rmin"),
-                                   F.sum("row_total").alias("n"))
-        .join(cols_t.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("c"), F.min("col_total").alias("_cmin")),
-              COLUMN))
-    e = F.col("row_total") * F.col("col_total") / F.col("n")
-    obs = cells_rt.join(cols_t, [COLUMN, target]).join(dims, COLUMN).withColumn("e", e)
-    plain = obs.groupBy(COLUMN).agg((F.sum(F.col("o") ** 2 / F.col("e"))).alias("_s"))
-    out = dims.join(plain, COLUMN).withColumn("dof", ((F.col("r") - 1) * (F.col("c") - 1)).cast("bigint"))
-    chi = F.col("_s") - F.col("n")
+    classes = cells.groupBy(COLUMN, target).agg(F.sum("o").alias("col_total")).checkpoint(eager=True)
+    right, on = same_group(cells, classes, [COLUMN, target], "_t_")
+    levels = (cells.join(checked_broadcast(right), on).groupBy(COLUMN, VALUE)
+              .agg(F.sum("o").alias("row_total"), F.sum(F.col("o") * F.col("o") / F.col("col_total")).alias("_s")))
+    # sum(o^2 / e) = n * sum over levels of sum(o^2 / column total) / row total
+    out = (levels.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("r"), F.min("row_total").alias("_rmin"),
+                                      F.sum("row_total").alias("n"),
+                                      F.sum(F.col("_s") / F.col("row_total")).alias("_q"))
+           .join(classes.groupBy(COLUMN).agg(F.count(F.lit(1)).alias("c"), F.min("col_total").alias("_cmin")), COLUMN)
+           .withColumn("dof", ((F.col("r") - 1) * (F.col("c") - 1)).cast("bigint")))
+    n = F.col("n").cast("double")
+    chi = F.greatest(n * F.col("_q") - n, F.lit(0.0))
     if correction:
-        # 2 x 2 tables: complete the 4 cells (bounded) and apply Yates
-        two = F.broadcast(dims.where((F.col("r") == 2) & (F.col("c") == 2)).select(COLUMN, "n"))
-        grid = (rows_t.join(two, COLUMN).join(cols_t, COLUMN)
-                .join(cells, [COLUMN, VALUE, target], "left")
-                .withColumn("o", F.coalesce("o", F.lit(0))).withColumn("e", e))
-        yates = grid.groupBy(COLUMN).agg(F.sum(
-            F.greatest(F.abs(F.col("o") - F.col("e")) - 0.5, F.lit(0.0)) ** 2 / F.col("e")).alias("_y"))
-        out = out.join(yates, COLUMN, "left")
-        chi = F.when(F.col("dof") == 1, F.col("_y")).otherwise(chi)
+        # 2 x 2: |o - e| is the same d in all four cells, so chi2 = d^2 * sum(1 / e)
+        inverse = (n ** 3) / (F.col("_rmin") * (n - F.col("_rmin")) * F.col("_cmin") * (n - F.col("_cmin")))
+        d = F.sqrt(chi / inverse)
+        chi = F.when(F.col("dof") == 1, F.greatest(d - 0.5, F.lit(0.0)) ** 2 * inverse).otherwise(chi)
     k = F.least(F.col("r"), F.col("c")) - 1
     v = F.when(k > 0, F.sqrt(chi / (F.col("n") * k))).otherwise(F.lit(0.0))
     return out.select(COLUMN, chi.alias("chi2"), "dof", F.col("n").cast("bigint").alias("n"),

@@ -45,30 +45,23 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 def infer_types(text: DataFrame) -> T.StructType:
     """Type of each text column from one aggregate: bigint if every value
-    parses as a whole number, double if every value parses as a number,
-    else string."""
+    itself reads as a bigint (``67.0`` and numbers beyond 2^63 do not), double
+    if every value reads as a number, else string."""
     aggs = []
-    for c in text.columns:
-        v = F.col(c)
-        d = F.expr(f"try_cast(`{c}` AS DOUBLE)")
-        aggs += [F.count_if(v.isNotNull() & d.isNull()).alias(f"{c}__bad"),
-                 F.count_if(d.isNotNull() & (d != F.floor(d))).alias(f"{c}__frac")]
+    for i, c in enumerate(text.columns):
+        v = F.col(f"`{c}`")
+        aggs += [F.count_if(v.isNotNull() & v.try_cast("double").isNull()).alias(f"bad_{i}"),
+                 F.count_if(v.isNotNull() & v.try_cast("bigint").isNull()).alias(f"whole_{i}")]
     r = text.agg(*aggs).first()
-    fields = []
-    for c in text.columns:
-        if r[f"{c}__bad"] > 0:
-            t = T.StringType()
-        elif r[f"{c}__frac"] > 0:
-            t = T.DoubleType()
-        else:
-            t = T.LongType()
-        fields.append(T.StructField(c, t))
-    return T.StructType(fields)
+    return T.StructType([T.StructField(
+        c, T.StringType() if r[f"bad_{i}"] else T.DoubleType() if r[f"whole_{i}"] else T.LongType())
+        for i, c in enumerate(text.columns)])
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A prepared table or split directory (parquet by default)."""
-    return spark.read.format(fmt).load(path)
+    """A prepared table or split directory (parquet by default).  A CSV has
+    a header and gets its types as in S1."""
+    return read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
 
 
 def read_splits(spark: SparkSession, path: str, split_col: str = "split") -> dict[str, DataFrame]:

@@ -27,12 +27,6 @@ def test_quantiles_match_numpy(spark, values):
     pdf = pd.DataFrame({"x": [float(v) for v in values]})
     df = spark.createDataFrame(pdf)
     probs = [0.0, 0.3, 0.5, 0.9, 1.0]
-    old = ranks.SMALL_ROWS
-    try:
-        for small in (old, 0):
-            ranks.SMALL_ROWS = small
-            got = {r["prob"]: r["quantile"] for r in ranks.exact_quantiles(df, ["x"], probs).collect()}
-            for p in probs:
-                assert abs(got[p] - np.quantile(pdf["x"], p)) < 1e-9
-    finally:
-        ranks.SMALL_ROWS = old
+    got = {r["prob"]: r["quantile"] for r in ranks.exact_quantiles(df, ["x"], probs).collect()}
+    for p in probs:
+        assert abs(got[p] - np.quantile(pdf["x"], p)) < 1e-9
