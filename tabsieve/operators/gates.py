@@ -83,22 +83,35 @@ def business_rules_gate(confusion: DataFrame, by: Sequence[str] = (), min_recall
     return out.withColumn("status", F.when(F.col("passed"), "PASS").otherwise("FAIL"))
 
 
-def compare_with_production(scores: DataFrame, stages: DataFrame, run_col: str, metric_col: str = "value",
-                            min_improvement: float = MIN_IMPROVEMENT) -> DataFrame:
+def compare_with_production(scores: DataFrame, stages: DataFrame | None, run_col: str, metric_col: str = "value",
+                            min_improvement: float = MIN_IMPROVEMENT, enabled: bool = True) -> DataFrame:
     """Every run against the run tagged ``Production`` in ``stages``
     ``(run, stage)``: improvement, percent, should_replace (improvement >=
     ``min_improvement``) and reason; no production run -> replace.  The
-    production score is a scalar subquery (one row)."""
-    prod = (scores.join(stages.where(F.col("stage") == "Production").select(run_col), run_col)
-            .agg(F.max(metric_col)))
-    prod_score = prod.scalar()
+    production score is a scalar subquery (one row).  ``enabled=False``: replace,
+    ``comparison_disabled``.  No stage table, or a production run without a
+    score: keep, ``comparison_failed``."""
+    none = F.lit(None).cast("double")
+
+    def fixed(replace: bool, reason: str) -> DataFrame:
+        return scores.select(run_col, F.col(metric_col).alias("new_model_score"), none.alias("production_score"),
+                             none.alias("improvement"), none.alias("improvement_percentage"),
+                             F.lit(replace).alias("should_replace"), F.lit(reason).alias("reason"))
+    if not enabled:
+        return fixed(True, "comparison_disabled")
+    if stages is None:
+        return fixed(False, "comparison_failed")
+    production = stages.where(F.col("stage") == "Production").select(run_col)
+    prod_score = production.join(scores, run_col).agg(F.max(metric_col)).scalar()
+    tagged = production.agg(F.count(F.lit(1))).scalar()
     imp = F.col(metric_col) - prod_score
+    lost = (tagged > 0) & prod_score.isNull()
     return scores.select(
         run_col, F.col(metric_col).alias("new_model_score"), prod_score.alias("production_score"),
         imp.alias("improvement"),
         F.when(prod_score > 0, imp / prod_score * 100).otherwise(F.lit(0.0)).alias("improvement_percentage"),
-        F.when(prod_score.isNull(), True).otherwise(imp >= min_improvement).alias("should_replace"),
-        F.when(prod_score.isNull(), "no_production_model")
+        F.when(lost, False).when(prod_score.isNull(), True).otherwise(imp >= min_improvement).alias("should_replace"),
+        F.when(lost, "comparison_failed").when(prod_score.isNull(), "no_production_model")
         .when(imp >= min_improvement, "better_performance").otherwise("insufficient_improvement").alias("reason"))
 
 

@@ -27,6 +27,9 @@ class PreprocessConfig:
     dev_size: int
     seed: str = "-42"
     deduplicate: bool = True
+    # compare whole rows; True leaves the key out, so rows that differ only in
+    # their key count as copies
+    dedup_ignores_key: bool = False
     impute: bool = True
     numeric_strategy: str = "mean"
     encode: bool = True
@@ -74,7 +77,7 @@ def transform(df: DataFrame, params: dict, drop_original: bool = False) -> DataF
 
 def fit_transform(df: DataFrame, cfg: PreprocessConfig, keep_key: bool = False) -> tuple[dict, dict]:
     """Whole plan; returns ``({'train','dev','test'} -> DataFrame, params)``."""
-    base = cln.drop_duplicate_rows(df, cfg.deduplicate, ignore=[cfg.key]) if cfg.deduplicate else df
+    base = cln.drop_duplicate_rows(df, cfg.deduplicate, ignore=[cfg.key] if cfg.dedup_ignores_key else [])
     split = stratified_split(base, cfg.key, cfg.target, cfg.test_size, cfg.dev_size, cfg.seed)
     parts = {s: split.where(split["split"] == s).drop("split") for s in ("train", "dev", "test")}
     params = fit(parts["train"], cfg, base)

@@ -555,7 +555,19 @@ def _t02(spark, d):
     return st.mean_standard_error(table(spark, d, "events"), EV_COLS)
 
 
-@register("t02_confidence_interval")
+# t quantile of the 95 % interval: the normal quantile with its first terms in 1 / df
+_Z = 1.959963984540054
+_T_CRIT = (f"({_Z} + {(_Z ** 3 + _Z) / 4!r} / ({{df}}) + {(5 * _Z ** 5 + 16 * _Z ** 3 + 3 * _Z) / 96!r} "
+           "/ power({df}, 2))")
+
+
+@register("t02_confidence_interval", R(f"""
+    SELECT column_name, n, mean, std_error, {_T_CRIT.format(df='n - 1')} AS t_critical,
+           mean - {_T_CRIT.format(df='n - 1')} * std_error AS lower_bound,
+           mean + {_T_CRIT.format(df='n - 1')} * std_error AS upper_bound, 0.95::DOUBLE AS confidence
+    FROM (SELECT column_name, count(*) AS n, avg(x) AS mean, stddev_samp(x) / sqrt(count(*)) AS std_error
+          FROM ({_long_sql('events', EV_COLS)}) AS s GROUP BY 1) AS m""",
+    ["mean", "std_error", "t_critical", "lower_bound", "upper_bound", "confidence"]))
 def _t02ci(spark, d):
     return st.confidence_interval(table(spark, d, "events"), EV_COLS, 0.95)
 
@@ -607,9 +619,50 @@ def _t06(spark, d):
     return st.cohens_d(table(spark, d, "events_labeled"), EV_COLS, "is_purchase", 1, 0)
 
 
-@register("t03_compare_two_groups")
+def compare_sql(long: str) -> str:
+    """Every column of the two-group comparison but the p-value; significance
+    from the critical values instead of p."""
+    def jb(g: int) -> str:
+        return (f"exp(-(n{g} / 6.0 * (power(c{g} / power(v{g}, 1.5), 2) + power(q{g} / (v{g} * v{g}) - 3, 2) / 4.0))"
+                " / 2.0)")
+    sides = ", ".join(
+        f"""count(*) FILTER (WHERE g1 = {f}) AS n{g}, avg(x) FILTER (WHERE g1 = {f}) AS mean{g},
+            stddev_samp(x) FILTER (WHERE g1 = {f}) AS sd{g},
+            avg(power(x - mu, 2)) FILTER (WHERE g1 = {f}) AS v{g}, avg(power(x - mu, 3)) FILTER (WHERE g1 = {f}) AS c{g},
+            avg(power(x - mu, 4)) FILTER (WHERE g1 = {f}) AS q{g}""" for g, f in ((1, 1), (2, 0)))
+    return f"""WITH s AS ({long}),
+    m AS (SELECT column_name, {sides}
+          FROM (SELECT *, avg(x) OVER (PARTITION BY column_name, g1) AS mu FROM s) AS w GROUP BY 1),
+    r AS (SELECT column_name, x, g1, rank() OVER (PARTITION BY column_name ORDER BY x) AS rmin,
+                 count(*) OVER (PARTITION BY column_name, x) AS t FROM s),
+    a AS (SELECT column_name, sum(CASE WHEN g1 = 1 THEN rmin + (t - 1) / 2.0 ELSE 0 END) AS r1 FROM r GROUP BY 1),
+    ties AS (SELECT column_name, sum(power(t, 3) - t) AS tie FROM (SELECT DISTINCT column_name, x, t FROM r) AS d
+             GROUP BY 1),
+    u AS (SELECT m.*, r1 - n1 * (n1 + 1) / 2.0 AS u1, CAST(n1 AS DOUBLE) * n2 AS nn, n1 + n2 AS n, tie,
+                 sd1 * sd1 / n1 AS w1, sd2 * sd2 / n2 AS w2,
+                 abs(mean1 - mean2) / sqrt((sd1 * sd1 + sd2 * sd2) / 2.0) AS d,
+                 {jb(1)} >= 0.05 AND {jb(2)} >= 0.05 AS normal
+          FROM m JOIN a ON m.column_name = a.column_name JOIN ties ON m.column_name = ties.column_name),
+    z AS (SELECT *, (mean1 - mean2) / sqrt(w1 + w2) AS t,
+                 power(w1 + w2, 2) / (w1 * w1 / (n1 - 1) + w2 * w2 / (n2 - 1)) AS df,
+                 (greatest(u1, nn - u1) - nn / 2.0 - 0.5)
+                   / sqrt(nn / 12.0 * ((n + 1) - tie / (CAST(n AS DOUBLE) * (n - 1)))) AS z FROM u)
+    SELECT column_name, CASE WHEN normal THEN 'Welch''s t-test' ELSE 'mannwhitneyu' END AS test_type,
+           mean1 AS group1_mean, mean2 AS group2_mean, sd1 AS group1_std, sd2 AS group2_std,
+           n1 AS group1_n, n2 AS group2_n, CASE WHEN normal THEN t ELSE u1 END AS statistic,
+           CASE WHEN normal THEN abs(t) > {_T_CRIT.format(df='df')} ELSE z > {_Z} END AS significant, d AS cohens_d,
+           CASE WHEN d < 0.2 THEN 'negligible' WHEN d < 0.5 THEN 'small' WHEN d < 0.8 THEN 'medium' ELSE 'large' END
+             AS effect
+    FROM z"""
+
+
+_COMPARE_COLS = ["group1_mean", "group2_mean", "group1_std", "group2_std", "statistic", "cohens_d"]
+
+
+@register("t03_compare_two_groups", R(oracle_with(compare_sql(_G_LONG), "events_labeled"), _COMPARE_COLS))
 def _t03(spark, d):
-    return st.compare_two_groups(table(spark, d, "events_labeled"), EV_COLS, "is_purchase", 1, 0)
+    """All columns but the p-value, which SQL has no function for (tests hold it)."""
+    return st.compare_two_groups(table(spark, d, "events_labeled"), EV_COLS, "is_purchase", 1, 0).drop("p_value")
 
 
 @register("t08_contingency", oracle_with("""
@@ -1252,7 +1305,30 @@ def _prepared_docs(spark, d, keep_key: bool = True):
     return splits, feats
 
 
-@register("c11_preprocess")
+LANGS = ["de", "en", "es", "fr"]
+SOURCES = sorted(f"src{i}" for i in range(20))
+_HOT = ", ".join(f"CAST({c} = '{v}' AS INTEGER) AS {c}_{v}" for c, vs in (("lang", LANGS), ("source", SOURCES))
+                 for v in vs[1:])
+
+
+@register("c11_preprocess", R(oracle_with(f"""
+    WITH c AS (SELECT quality AS cls, count(*) AS n FROM doc_features GROUP BY 1),
+    t AS {_quota_sql('c', '60', 'n', 'tq')},
+    r AS (SELECT cls, n - tq AS rest, tq FROM t),
+    dv AS {_quota_sql('r', '60', 'rest', 'dq')},
+    q AS (SELECT r.cls, r.tq, dv.dq FROM r JOIN dv ON r.cls = dv.cls),
+    ranked AS (SELECT e.*, row_number() OVER (PARTITION BY quality
+                   ORDER BY md5(CAST(doc_id AS VARCHAR) || '-42'), doc_id) - 1 AS rk FROM doc_features e),
+    sp AS (SELECT ranked.*, CASE WHEN rk < tq THEN 'test' WHEN rk < tq + dq THEN 'dev' ELSE 'train' END AS split
+           FROM ranked JOIN q ON ranked.quality = q.cls),
+    f AS (SELECT avg(n_chars) AS fill, mode(lang) AS fill_lang FROM sp WHERE split = 'train'),
+    b AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
+          FROM (SELECT quantile_cont(n_chars, 0.25) AS q1, quantile_cont(n_chars, 0.75) AS q3 FROM sp
+                WHERE split = 'train') AS x)
+    SELECT doc_id, coalesce(n_chars, fill) AS n_chars, quality, {_HOT},
+           CAST(coalesce(n_chars < lo OR n_chars > hi, false) AS INTEGER) AS is_outlier,
+           ln(1 + coalesce(n_chars, fill)) AS n_chars_log, split
+    FROM sp, f, b""", "doc_features"), ["n_chars", "n_chars_log"]))
 def _c11(spark, d):
     splits, _ = _prepared_docs(spark, d)
     out = None
@@ -1298,14 +1374,14 @@ def _l07(spark, d):
 @register("l10_random_search")
 def _l10(spark, d):
     splits, feats = _prepared_docs(spark, d)
-    return trn.random_search("logistic_regression", splits["train"], feats, "quality", "doc_id", n_trials=3, k=5)
+    return trn.random_search("logistic_regression", splits["train"], feats, "quality", "doc_id", n_trials=50, k=5)
 
 
 @register("l11_baseline_leaderboard")
 def _l11(spark, d):
     splits, feats = _prepared_docs(spark, d)
     runs = trn.train_baselines(list(trn.PRESETS), splits["train"], splits["dev"], feats, "quality", "doc_id")
-    return trn.leaderboard_of(runs, "f1_score")
+    return trn.run_status(runs).join(trn.leaderboard_of(runs, "f1_score").drop("model_name"), "seq", "left")
 
 
 @register("m18_native_importance")
@@ -1342,10 +1418,13 @@ def _f02(spark, d):
     return prof.group_values(table(spark, d, "events"), "value", "event_type", "purchase")
 
 
-@register("t07_compare_all_columns")
+LI_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("t07_compare_all_columns", R(compare_sql(_long_sql(
+    "lineitem", LI_COLS, ", CAST(l_returnflag = 'R' AS INTEGER) AS g1", "l_returnflag IN ('R', 'A')")), _COMPARE_COLS))
 def _t07(spark, d):
-    return st.compare_two_groups(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
-                                 "l_returnflag", "R", "A")
+    return st.compare_two_groups(table(spark, d, "lineitem"), LI_COLS, "l_returnflag", "R", "A").drop("p_value")
 
 
 @register("t10_cramers_v", R(oracle_with(
@@ -1366,8 +1445,7 @@ def _g09(spark, d):
 @register("l12_train_single")
 def _l12(spark, d):
     splits, feats = _prepared_docs(spark, d)
-    run = trn.train_single("random_forest", splits["train"], splits["dev"], feats, "quality", "doc_id")
-    return run.metrics
+    return trn.run_record(trn.train_single("random_forest", splits["train"], splits["dev"], feats, "quality", "doc_id"))
 
 
 @register("m17_importance_analysis")

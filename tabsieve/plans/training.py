@@ -29,17 +29,20 @@ def validate_run(run: tr.RunResult, val: DataFrame, label: str, primary: str = "
 
 def run(train: DataFrame, val: DataFrame, features: Sequence[str], label: str, key: str, out_dir: str,
         models: Sequence[str] = tuple(tr.PRESETS), tune_top_n: int = 3, n_trials: int = 50,
-        timeout_s: float = 3600.0, primary: str = "f1_score") -> dict:
+        timeout_s: float = 3600.0, primary: str = "f1_score", cv_folds: int = 10) -> dict:
     """Whole plan; writes the run log, the best model and the stage row."""
     spark = train.sparkSession
     train, val = train.persist(), val.persist()
-    baselines = tr.train_baselines(models, train, val, features, label, key)
+    baselines = tr.train_baselines(models, train, val, features, label, key, cv_folds=cv_folds)
     tuned = tr.tune_top(baselines, train, val, features, label, key, tune_top_n, n_trials, timeout_s,
-                        metric=primary) if tune_top_n else []
+                        metric=primary, cv_folds=cv_folds) if tune_top_n else []
     runs = baselines + tuned
     for r in runs:
-        io.log_run(spark, out_dir, r.run_id, {"model_name": r.model_name, "is_tuned": r.is_tuned, **r.params},
-                   r.metrics)
+        if r.error is not None:
+            io.log_run(spark, out_dir, r.run_id, {"model_name": r.model_name, "status": "failed", "error": r.error}, None)
+            continue
+        io.log_run(spark, out_dir, r.run_id, {"model_name": r.model_name, "is_tuned": r.is_tuned, "status": "ok",
+                                              **r.params}, tr.run_record(r))
     base_board = tr.leaderboard_of(baselines, primary).withColumn("is_tuned", F.lit(False))
     best_row = (gt.select_best(base_board.drop("is_tuned"), tr.leaderboard_of(tuned, primary).drop("is_tuned"),
                                primary, "seq") if tuned else base_board.limit(1)).first()
@@ -47,5 +50,8 @@ def run(train: DataFrame, val: DataFrame, features: Sequence[str], label: str, k
     verdict = validate_run(best, val, label, primary)
     io.save_model(best.model, f"{out_dir}/best_model", features, best.metrics)
     io.append_stage(gt.promote(verdict, "run_id"), out_dir)
-    return {"best_run": best.run_id, "model_name": best.model_name,
-            "passed": bool(verdict.first()["overall_passed"])}
+    out = {"best_run": best.run_id, "model_name": best.model_name,
+           "passed": bool(verdict.first()["overall_passed"])}
+    train.unpersist()
+    val.unpersist()
+    return out

@@ -188,11 +188,14 @@ RUN_PARAMS_SCHEMA = "run_id string, key string, value string"
 RUN_METRICS_SCHEMA = "run_id string, split string, metric string, value double"
 
 
-def log_run(spark: SparkSession, root: str, run_id: str, params: dict, metrics: DataFrame) -> None:
+def log_run(spark: SparkSession, root: str, run_id: str, params: dict, metrics: DataFrame | None) -> None:
     """Append a run's parameters ``(run_id, key, value)`` and metrics
-    ``(run_id, split, metric, value)`` to two Parquet tables under ``root``."""
+    ``(run_id, split, metric, value)`` to two Parquet tables under ``root``; a
+    failed run has parameters (with its error) only."""
     spark.createDataFrame([(run_id, str(k), json.dumps(v, default=str)) for k, v in params.items()],
                           RUN_PARAMS_SCHEMA).write.mode("append").parquet(f"{root}/run_params")
+    if metrics is None:
+        return
     (metrics.select(F.lit(run_id).alias("run_id"), F.col("split").cast("string"), F.col("metric").cast("string"),
                     F.col("value").cast("double"))
      .write.mode("append").parquet(f"{root}/run_metrics"))

@@ -54,11 +54,15 @@ def test_run_log_stage_and_training_plan(spark, sf001, tmp_path):
     feats = [c for c in splits["train"].columns if c not in ("doc_id", "quality")]
     out = str(tmp_path / "runs")
     res = training.run(splits["train"], splits["dev"], feats, "quality", "doc_id", out,
-                       models=["logistic_regression", "random_forest"], tune_top_n=1, n_trials=1)
+                       models=["logistic_regression", "random_forest"], tune_top_n=1, n_trials=1, cv_folds=3)
     assert res["model_name"] in ("logistic_regression", "random_forest")
     rm = spark.read.parquet(f"{out}/run_metrics")
     assert rm.select("run_id").distinct().count() == 3          # two baselines and one tuned run
     assert rm.where(F.col("metric") == "training_time").count() == 3
+    for split, metric in (("cv", "f1_score_mean"), ("cv", "f1_score_fold_2"), ("gap", "f1_score"), ("train", "n_rows"),
+                          ("val", "n_class_1"), ("importance", "permutation:n_chars")):
+        assert rm.where((F.col("split") == split) & (F.col("metric") == metric)).count() == 3, metric
+    assert rm.where(F.col("metric") == "native:n_chars").count() >= 1
     assert spark.read.parquet(f"{out}/run_params").count() > 0
     from pyspark.ml import PipelineModel
     m = PipelineModel.load(f"{out}/best_model/model")
@@ -82,3 +86,29 @@ def test_compare_with_production_without_production(spark):
     stages = spark.createDataFrame([("a", "Staging")], "run string, stage string")
     r = gates.compare_with_production(scores, stages, "run").first()
     assert r["should_replace"] and r["reason"] == "no_production_model"
+
+
+def test_failed_learner_leaves_a_record(spark):
+    df = spark.createDataFrame([(i, float(i % 7), i % 2) for i in range(40)], "k bigint, x double, y int")
+    runs = train.train_baselines(["logistic_regression", "nonsense"], df, df, ["x"], "y", "k", cv_folds=0,
+                                 importance=False)
+    status = {r["model_name"]: r for r in train.run_status(runs).collect()}
+    assert status["logistic_regression"]["status"] == "ok" and "nonsense" in status["nonsense"]["error"]
+    assert train.leaderboard_of(runs).count() == 1
+
+
+def test_depth_beyond_spark_is_an_error():
+    with pytest.raises(ValueError, match="depth"):
+        train.make_estimator("random_forest", {"max_depth": 31}, "y", False)
+
+
+def test_production_comparison_outcomes(spark):
+    from tabsieve.operators import gates
+
+    scores = spark.createDataFrame([("a", 0.8), ("b", 0.5)], "run string, value double")
+    stages = spark.createDataFrame([("gone", "Production")], "run string, stage string")
+    reasons = lambda df: {(r["should_replace"], r["reason"]) for r in df.collect()}
+    assert reasons(gates.compare_with_production(scores, stages, "run", enabled=False)) == {(True, "comparison_disabled")}
+    assert reasons(gates.compare_with_production(scores, None, "run")) == {(False, "comparison_failed")}
+    assert reasons(gates.compare_with_production(scores, stages, "run")) == {(False, "comparison_failed")}
+    assert reasons(gates.compare_with_production(scores, stages.limit(0), "run")) == {(True, "no_production_model")}
