@@ -81,3 +81,11 @@ def require_columns(df: DataFrame, cols: Iterable[str]) -> None:
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise KeyError(f"columns not in table: {missing}")
+
+
+def display_round(df: DataFrame, digits: int = 4, cols: Sequence[str] | None = None) -> DataFrame:
+    """Floating columns rounded half-even for display; operators themselves
+    return unrounded values."""
+    fl = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
+    conv = {c: F.bround(F.col(c), digits) for c in (cols or fl) if c in fl}
+    return df.withColumns(conv) if conv else df

@@ -93,7 +93,7 @@ def apply_impute(df: DataFrame, numeric: dict[str, float] | None = None,
 def fit_one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list[str]]:
     """C5 fit: sorted distinct non-null levels per column.  A column with more
     than ``max_levels`` levels is an error, checked before any level is
-    fetched."""
+    fetched: give a larger limit, or use :func:`one_hot_vectors`."""
     require_columns(df, cols)
     if not cols:
         return {}
@@ -114,6 +114,34 @@ def fit_one_hot(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS
     return out
 
 
+def one_hot_vectors(df: DataFrame, cols: Sequence[str], drop_first: bool = True):
+    """C5 for columns of many levels: a fitted Spark ML pipeline that adds
+    ``<col>_vector``, one sparse 0/1 vector a column over its sorted levels
+    (first level dropped; NULL and unseen levels all zeros), so the table does
+    not grow a column a level and no level count is too large."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer
+
+    require_columns(df, cols)
+    idx = [f"_{c}_index" for c in cols]
+    last = "alphabetDesc" if drop_first else "alphabetAsc"  # the encoder drops the last category
+    indexer = StringIndexer(inputCols=list(cols), outputCols=idx, stringOrderType=last, handleInvalid="keep")
+    stages = [indexer]
+    if drop_first:
+        # categories by falling level: [..., first level, unseen]; both end as zeros through slicing
+        from pyspark.ml.feature import VectorSlicer
+        fitted = indexer.fit(df)
+        hot = OneHotEncoder(inputCols=idx, outputCols=[f"_{c}_all" for c in cols], dropLast=True)
+        stages = [fitted, hot]
+        for c, levels in zip(cols, fitted.labelsArray):
+            stages.append(VectorSlicer(inputCol=f"_{c}_all", outputCol=f"{c}_vector",
+                                       indices=list(range(len(levels) - 2, -1, -1))))
+    else:
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=[f"{c}_vector" for c in cols], dropLast=True))
+    keep = ", ".join(f"`{c}`" for c in [*df.columns, *(f"{c}_vector" for c in cols)])
+    return Pipeline(stages=[*stages, SQLTransformer(statement=f"SELECT {keep} FROM __THIS__")]).fit(df)
+
+
 def apply_one_hot(df: DataFrame, levels: dict[str, list[str]], drop_first: bool = True) -> DataFrame:
     """C5 apply: 0/1 int columns ``<col>_<level>`` for the fitted levels (first
     level dropped), originals removed, new columns at the end.  NULL and

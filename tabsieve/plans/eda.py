@@ -36,7 +36,7 @@ def eda_report(df: DataFrame, target: str | None = None, ignore_for_duplicates:
         F.lit(sum(1 for k in kinds.values() if k == "numeric")).alias("n_numeric"),
         F.lit(sum(1 for k in kinds.values() if k == "categorical")).alias("n_categorical"),
         F.col("missing_total").cast("bigint").alias("missing_total"),
-        (F.col("missing_total") * 100.0 / (F.col("n_rows") * n_cols)).alias("missing_pct_overall"))
+        F.try_divide(F.col("missing_total") * 100.0, F.col("n_rows") * n_cols).alias("missing_pct_overall"))
     row = row.withColumns({"n_duplicates": dup.select("n_duplicates").scalar(),
                            "duplicate_pct": dup.select("duplicate_pct").scalar()})
     if target:
@@ -51,7 +51,8 @@ def run(spark: SparkSession, df: DataFrame, out_dir: str, target: str | None = N
         outlier_exclude: Sequence[str] = ()) -> dict:
     """The whole EDA with its sinks: numeric and categorical profiles,
     missing report, outlier summary, duplicate rows (S6) and the report
-    (S7).  Returns the report as a dict."""
+    (S7), and the list of feature names for later schema checks.  Returns the
+    report as a dict."""
     df = nan_to_null(df)
     num = prof.numeric_profile(df, numeric_columns(df, [c for c in (id_column, target) if c]))
     cat = prof.categorical_profile(df, categorical_columns(df))
@@ -63,4 +64,5 @@ def run(spark: SparkSession, df: DataFrame, out_dir: str, target: str | None = N
     io.write_csv(qual.duplicate_rows(df), f"{out_dir}/duplicate_rows")
     report = eda_report(df, target, [id_column] if id_column else []).first().asDict(recursive=True)
     io.write_json_report(spark, report, f"{out_dir}/report")
+    io.write_json_report(spark, {"expected_columns": df.columns}, f"{out_dir}/expected_columns")
     return report

@@ -1013,7 +1013,7 @@ def _g07(spark, d):
     SELECT model, bool_and(passed) AS overall_passed, count(*) FILTER (WHERE NOT passed) AS failed_checks
     FROM u GROUP BY model""")
 def _g08(spark, d):
-    scored = _scored_runs(spark, d).persist()  # shared by the three gates
+    scored = mt.compact(_scored_runs(spark, d), BY).checkpoint(eager=True)  # shared by the three gates
     perf = _perf_spark(spark, d, scored)
     over = gt.overfitting_gate(_gap_spark(spark, d, scored), ["model"])
     cc = mt.confusion_counts(scored.where(F.col("split") == "dev"), ["model"])
@@ -1300,7 +1300,7 @@ def _prepared_docs(spark, d, keep_key: bool = True):
     """C11 on the labelled documents: split, fitted on train, applied to all."""
     cfg = pre.PreprocessConfig(**DOC_CFG)
     splits, params = pre.fit_transform(table(spark, d, "doc_features"), cfg, keep_key=keep_key)
-    splits = {s: df.persist() for s, df in splits.items()}  # reused by every fit and score
+    splits = {s: df.checkpoint(eager=True) for s, df in splits.items()}  # reused by every fit and score
     feats = [c for c in splits["train"].columns if c not in ("doc_id", "quality")]
     return splits, feats
 

@@ -140,3 +140,20 @@ def test_density_reaches_every_point(spark):
     for p in (0, 50, 120, 199):
         want = np.exp(-0.5 * ((got[p]["x"] - x) / bw) ** 2).sum() / (len(x) * bw * math.sqrt(2 * math.pi))
         assert got[p]["density"] == pytest.approx(want, rel=1e-9, abs=1e-300)
+
+
+def test_one_hot_vectors_equal_the_columns(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (4, "c"), (5, "b")], "k int, g string")
+    out = clean.one_hot_vectors(df, ["g"]).transform(df)
+    assert out.columns == ["k", "g", "g_vector"]
+    wide = {r["k"]: [r["g_b"], r["g_c"]] for r in clean.apply_one_hot(df, clean.fit_one_hot(df, ["g"])).collect()}
+    assert {r["k"]: r["g_vector"].toArray().tolist() for r in out.collect()} == wide
+    unseen = clean.one_hot_vectors(df, ["g"]).transform(spark.createDataFrame([(9, "zz")], "k int, g string"))
+    assert unseen.first()["g_vector"].toArray().tolist() == [0, 0]
+
+
+def test_display_rounding_is_half_even(spark):
+    from tabsieve.functions.columns import display_round
+
+    df = spark.createDataFrame([(0.125, "x"), (0.375, "y")], "v double, s string")
+    assert [r["v"] for r in display_round(df, 2).collect()] == [0.12, 0.38]
