@@ -93,4 +93,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_chunked_bpe": op10_chunked_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+OP7_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+sound AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+          WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id
+          WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+reach AS (SELECT vec_id, vec_id AS other FROM v
+          UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+low AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1)
+SELECT low.vec_id, coalesce(n.n_links, 0) AS n_links, component_id, low.vec_id = component_id AS kept
+FROM low LEFT JOIN n ON n.vec_id = low.vec_id"""
+
+# Order of rows is by XXH64 (op8 fingerprints, op9 places), merges and trained models: beyond SQL.
+ORACLE: dict[str, str] = {"op7_metric_join": OP7_SQL}
