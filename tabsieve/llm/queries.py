@@ -54,7 +54,8 @@ def op3_byte_convnet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return divergence.apply_rules(docs, divergence.references(docs))
+    judged = divergence.apply_rules(docs, divergence.references(docs))
+    return judged.withColumns({c: F.round(c, 6) for c in ("char_distance", "word_distance")})
 
 
 def op5_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,5 +108,84 @@ n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1)
 SELECT low.vec_id, coalesce(n.n_links, 0) AS n_links, component_id, low.vec_id = component_id AS kept
 FROM low LEFT JOIN n ON n.vec_id = low.vec_id"""
 
+_SPACE = r"[^\x20\x09-\x0D]"
+_KINDS = {"lower": "a-z", "upper": "A-Z", "digit": "0-9", "space": r"\x20\x09-\x0D",
+          "punctuation": r"!\"''(),\-./:;?\[\]_", "symbol": "#*$%&|<>", "other_ascii": None,
+          "beyond_ascii": r"^\x00-\x7F"}
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _count(chars: str) -> str:
+    """Characters of a class in ``text``."""
+    negated = chars[1:] if chars.startswith("^") else "^" + chars
+    return f"length(regexp_replace(text, '[{negated}]', '', 'g'))"
+
+
+def _divergence_sql() -> str:
+    d = divergence
+    counted = {k: _count(c) for k, c in _KINDS.items() if c}
+    kinds = ", ".join(f"CAST({c} AS DOUBLE) AS {k}" for k, c in counted.items())
+    js = """sqrt(greatest(0, least(1, 0.5 * sum((CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END)
+                                             + (CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END)))))"""
+    limit = lambda base, bins, n: f"{base} + {d.NOISE_WEIGHT} * sqrt(({bins}) / (8 * {n} * ln(2)))"
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, text IS NOT NULL AS has, lang
+           FROM documents),
+w AS (SELECT rid, regexp_extract_all(text, '{_SPACE}+') AS ws FROM t),
+lines AS (SELECT rid, sum(n - 1) AS dup FROM (
+              SELECT rid, line, count(*) AS n FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM t)
+              WHERE regexp_matches(line, '{_SPACE}') GROUP BY 1, 2) GROUP BY 1),
+pos AS (SELECT rid, ws, unnest(range(1, len(ws) - {d.WINDOW_WORDS - 2})) AS i FROM w WHERE len(ws) >= {d.WINDOW_WORDS}),
+win AS (SELECT rid, i, array_to_string(ws[i:i + {d.WINDOW_WORDS - 1}], ' ') AS g FROM pos),
+twice AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+covered AS (SELECT rid, count(DISTINCT k) AS repeat FROM (
+                SELECT rid, unnest(range(i, i + {d.WINDOW_WORDS})) AS k FROM twice) GROUP BY 1),
+base AS (SELECT t.rid, doc_id, len(ws) AS n_words,
+                coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS word_chars,
+                {_count(_KINDS['symbol'])} AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+                coalesce(repeat, 0) AS n_repeat_words
+         FROM t JOIN w ON t.rid = w.rid LEFT JOIN lines ON t.rid = lines.rid LEFT JOIN covered ON t.rid = covered.rid),
+bare AS (SELECT * FROM (
+             SELECT t.rid, lang, has, unnest(list_transform(w.ws, lambda x: trim(translate(x, '{_LETTERS}',
+                    '{_LETTERS.lower()}'), '!"''(),-./:;?[]_#*$%&|<>'))) AS word
+             FROM t JOIN w ON t.rid = w.rid) WHERE word <> ''),
+lang_n AS (SELECT lang, count(*) AS n FROM bare WHERE has AND lang IS NOT NULL GROUP BY 1),
+langs AS (SELECT lang, n FROM lang_n WHERE n >= {d.LANGUAGE_SHARE} * (SELECT sum(n) FROM lang_n)),
+common AS (SELECT bare.lang, word, count(*) AS c, any_value(n) AS n FROM bare JOIN langs ON bare.lang = langs.lang
+           WHERE has GROUP BY 1, 2 HAVING count(*) >= {d.COMMON_SHARE} * any_value(n)),
+k AS (SELECT rid, {kinds}, length(text) AS n_chars, lang, has FROM t),
+kt AS (SELECT k.*, n_chars - {' - '.join(counted)} AS other_ascii FROM k),
+klong AS (SELECT rid, n_chars, lang, has, kind, v FROM kt UNPIVOT (v FOR kind IN ({', '.join(_KINDS)}))),
+kref AS (SELECT langs.lang, kind, sum(v) AS v FROM klong JOIN langs ON klong.lang = langs.lang WHERE has GROUP BY 1, 2),
+kq AS (SELECT lang, kind, v / sum(v) OVER (PARTITION BY lang) AS q FROM kref),
+cd AS (SELECT rid, lang, n_chars, {js} AS dist FROM (
+           SELECT klong.rid, kq.lang, n_chars, v / n_chars AS p, q FROM klong JOIN kq ON klong.kind = kq.kind
+           WHERE n_chars >= {d.MIN_CHARS}) GROUP BY 1, 2, 3),
+seen AS (SELECT rid, word, count(*) AS c FROM bare GROUP BY 1, 2),
+totals AS (SELECT seen.rid, sum(c) AS total FROM seen JOIN w ON seen.rid = w.rid WHERE len(ws) >= {d.MIN_WORDS}
+           GROUP BY 1 HAVING sum(c) >= {d.MIN_WORDS}),
+cells AS (SELECT totals.rid, common.lang, total, coalesce(seen.c, 0) / total AS p, common.c / common.n AS q
+          FROM totals CROSS JOIN common LEFT JOIN seen ON seen.rid = totals.rid AND seen.word = common.word),
+filled AS (SELECT rid, lang, total, p, q FROM cells
+           UNION ALL SELECT rid, lang, total, 1 - sum(p), 1 - sum(q) FROM cells GROUP BY 1, 2, 3),
+wd AS (SELECT rid, lang, total, count(*) AS bins, {js} AS dist FROM filled GROUP BY 1, 2, 3),
+best AS (SELECT rid, arg_min(lang, (dist, lang)) AS lang FROM (
+             SELECT rid, lang, dist FROM wd
+             UNION ALL SELECT rid, lang, dist FROM cd WHERE rid NOT IN (SELECT rid FROM wd)) GROUP BY 1),
+judged AS (SELECT base.*, n_words < {d.BASE_MIN_WORDS} OR 100 * n_repeat_words > {d.BASE_MAX_REPEAT_PERCENT} * n_words
+                      AS base_failed,
+                  cd.dist AS cdist, wd.dist AS wdist, best.lang AS nearest_lang,
+                  coalesce(cd.dist > {limit(d.MAX_CHAR_DISTANCE, len(_KINDS), 'n_chars')}, false)
+                  OR coalesce(wd.dist > {limit(d.MAX_WORD_DISTANCE, 'bins', 'total')}, false) AS far
+           FROM base LEFT JOIN best ON base.rid = best.rid
+           LEFT JOIN cd ON cd.rid = best.rid AND cd.lang = best.lang
+           LEFT JOIN wd ON wd.rid = best.rid AND wd.lang = best.lang)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT far AS kept,
+       round(cdist, 6) AS char_distance, round(wdist, 6) AS word_distance, nearest_lang
+FROM judged"""
+
+
 # Order of rows is by XXH64 (op8 fingerprints, op9 places), merges and trained models: beyond SQL.
-ORACLE: dict[str, str] = {"op7_metric_join": OP7_SQL}
+ORACLE: dict[str, str] = {"op4_divergence_rules": _divergence_sql(), "op7_metric_join": OP7_SQL}
