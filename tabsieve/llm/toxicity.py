@@ -182,14 +182,51 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(other, pa.list_(pa.int32()))], names=["id", "y", "x", "twin"])
 
 
+def _only(chosen: list[int]):
+    """Feature lists cut down to the chosen features."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = np.zeros(SPACE, dtype=bool)
+        keep[chosen] = True
+        for batch in batches:
+            for part in text_slices(batch):
+                cut = [[None if r is None else [f for f in r if keep[f]] for r in part.column(c).to_pylist()]
+                       for c in ("x", "twin")]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), part.column("y"), *(pa.array(c, pa.list_(pa.int32())) for c in cut)],
+                    names=["id", "y", "x", "twin"])
+
+    return run
+
+
+FEATURE_ROWS = "id string, y int, x array<int>, twin array<int>"
+
+
+def screen(sample: DataFrame) -> list[int]:
+    """The at most ``SCREENED`` features most strongly associated with the
+    label, counted on the executors."""
+    n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    n1, n0 = n.get(1, 0), n.get(0, 0)
+    if not n1 or not n0:
+        return []
+    counts = (sample.select("y", F.explode("x").alias("f")).groupBy("f")
+              .agg(F.count("*").alias("texts"), F.sum("y").alias("pos")).filter(F.col("texts") >= MIN_TEXTS))
+    share = F.col("texts") / (n1 + n0)
+    z = F.abs(F.col("pos") / n1 - (F.col("texts") - F.col("pos")) / n0) / F.sqrt(
+        F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / n1 + 1 / n0))
+    best = counts.withColumn("z", z).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "f").limit(SCREENED)
+    return sorted(r["f"] for r in best.select("f").collect())
+
+
 def train(docs: DataFrame, labels: DataFrame, mod: int = 5, held_out: int = 0,
           per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
-    """Model from documents outside the held-out remainder; features are made on
-    the executors, those of at most 2 * ``per_class`` texts (each at most
-    ``SPACE`` numbers) come to the driver."""
+    """Model from documents outside the held-out remainder.  Features are made
+    and screened on the executors; of at most 2 * ``per_class`` texts the
+    screened features (at most ``SCREENED`` each) come to the driver."""
     prepare(docs.sparkSession)
-    sample = labelled_sample(docs, labels, "toxic", mod, held_out, per_class)
-    got = (sample.mapInArrow(_featurise, "id string, y int, x array<int>, twin array<int>").toArrow()
+    sample = labelled_sample(docs, labels, "toxic", mod, held_out, per_class).mapInArrow(
+        _featurise, FEATURE_ROWS).checkpoint()
+    got = (sample.mapInArrow(_only(screen(sample)), FEATURE_ROWS).toArrow()
            .combine_chunks().sort_by([("id", "ascending"), ("y", "ascending")]))
     x = [np.asarray(r, dtype=np.int64) for r in _lists(got, "x")]
     twins = _lists(got, "twin")
