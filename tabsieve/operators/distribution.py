@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import COLUMN, VALUE, clean_double, numeric_columns, to_long
-from ..functions.ranks import quantile_table, running_sums, value_ranks
+from ..functions.ranks import BYTES_PER_CELL, MAX_BROADCAST_BYTES, quantile_table, running_sums, value_ranks
 from ..session import ensure_checkpoint_dir
 from .profile import target_distribution, value_counts_long
 
@@ -166,17 +166,19 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def _ranked_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace every value by its tie-averaged rank within its column.  The
     ranks of all columns come from one rank job on the long layout (one row
-    per distinct value); each column then looks its rank up by value.  Spark
-    picks the join at run time: a broadcast when a column's rank table turns
-    out small, else a shuffle join whose hot values are split as skewed."""
+    per distinct value); each column then looks its rank up by value: broadcast
+    joins when the rank tables of all columns together are counted small, else
+    shuffle joins whose hot values Spark splits as skewed."""
     d = df.select(*[clean_double(c).alias(c) for c in cols])
     long = to_long(d, cols).where(F.col(VALUE).isNotNull())
     ensure_checkpoint_dir(df.sparkSession)
     ranks = value_ranks(long, [COLUMN], VALUE).select(COLUMN, VALUE, "avg_rank").checkpoint(eager=True)
+    # the tables of all columns together, counted, decide
+    small = ranks.count() * 2 * BYTES_PER_CELL <= MAX_BROADCAST_BYTES
     out = d
     for c in cols:
         rc = ranks.where(F.col(COLUMN) == c).select(F.col(VALUE).alias(f"_v_{c}"), F.col("avg_rank").alias(f"_r_{c}"))
-        out = out.join(rc, out[c] == rc[f"_v_{c}"], "left")
+        out = out.join(F.broadcast(rc) if small else rc, out[c] == rc[f"_v_{c}"], "left")
     return out.select(*[F.col(f"_r_{c}").alias(c) for c in cols])
 
 
