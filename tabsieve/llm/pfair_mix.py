@@ -7,13 +7,22 @@ floor(k / w) and no later than slot ceil((k + 1) / w); of the blocks that may
 run, the one with the earliest deadline takes the slot.  At every slot each
 source is then less than one block away from its share.
 
-The schedule is periodic: weights are rounded to whole blocks a period, so a
-period of the same sources is the same slots again.  Sources run dry at known
-periods; only the periods where that happens, and the one after, differ.  At
-most 2 * sources + 1 kinds of period are scheduled, slot by slot, over a table
-with one row a source; every block's slot then follows by arithmetic.  In the
-period where a source runs dry the weights are the blocks that are left, and
-from then on the others keep their proportions.  All rows come back.
+Weights are used unrounded over the whole run.  Let every source's share grow
+by weight * v with a common v until its blocks are used up; v(t) is where the
+shares sum to t.  Block k is released when the share passes k and due when it
+reaches k + 1, so a source that runs dry leaves the others' proportions as they
+are, and at every slot a source is less than one block from its share.
+
+The slots are decided one after another from each source's count alone, one
+step a slot over all sources.  A first pass keeps the counts at the beginning
+of each stretch of slots; the stretches are then scheduled side by side.  All
+rows come back.
+
+With a ``period`` the schedule is periodic instead, with weights rounded to
+whole blocks a period: a source may then drift from its share, by up to half a
+block a period (more below half a block a period).  Only the periods where a
+source runs dry, and the one after, differ: at most 2 * sources + 1 kinds are
+scheduled.
 """
 
 from __future__ import annotations
@@ -24,8 +33,10 @@ from pyspark.sql import functions as F
 from tabsieve.session import ensure_checkpoint_dir, shuffle_partitions
 
 BLOCK_ROWS = 64
-#: Blocks of a period, about: weights are kept to 1 / PERIOD.
+#: A source without a positive weight gets one block in so many of the others'.
 PERIOD = 200
+#: Slots of a stretch, at least.
+STRETCH = 1_000
 #: Weight of a source without a given one: its rows to this power.
 TEMPERATURE = 0.5
 #: Rows of one source that one task numbers, about.
@@ -34,8 +45,8 @@ BUCKET_ROWS = 20_000
 
 def target_weights(counts: DataFrame, weights: DataFrame | None, temperature: float = TEMPERATURE) -> DataFrame:
     """(src, n, weight): given weights of (source, weight), else n ** temperature.
-    A source that ``weights`` leaves out, or gives no positive weight, runs at
-    the lowest rate (one block a period)."""
+    A source that ``weights`` leaves out, or gives no positive weight, has 0: it
+    gets one block a period, or in ``PERIOD`` of the others'."""
     if weights is None:
         return counts.withColumn("weight", F.pow(F.col("n").cast("double"), F.lit(float(temperature))))
     given = weights.groupBy(source_key(F.col("source")).alias("src")).agg(F.max("weight").cast("double").alias("weight"))
@@ -87,8 +98,82 @@ aggregate(
 """
 
 
-def block_slots(targets: DataFrame, block_rows: int, period: int) -> DataFrame:
+def source_lines(targets: DataFrame, block_rows: int) -> DataFrame:
+    """(src, nb: blocks, w: share of the weights, used, open) a source.  While
+    this source is the next to run dry, ``used`` blocks belong to sources that
+    have, and the others' weights sum to ``open``; so v(t) is the largest
+    (t - used) / open of all sources."""
+    sound = (F.col("weight") > 0) & (F.col("weight") < float("inf"))
+    top = F.max(F.when(sound, F.col("weight"))).over(Window.partitionBy(F.lit(0)))
+    w = targets.withColumn("w", F.when(sound, F.col("weight") / top))
+    given = F.coalesce(F.sum("w").over(Window.partitionBy(F.lit(0))), F.lit(float(PERIOD)))
+    rows = (w.withColumn("w", F.coalesce("w", given / PERIOD))
+            .select("src", F.ceil(F.col("n") / block_rows).cast("bigint").alias("nb"), "w"))
+    dry = Window.partitionBy(F.lit(0)).orderBy(F.col("nb") / F.col("w"), "src")
+    late = Window.partitionBy(F.lit(0)).orderBy((F.col("nb") / F.col("w")).desc(), F.col("src").desc())
+    return rows.select("src", "nb", "w",
+                       F.coalesce(F.sum("nb").over(dry.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+                       .alias("used"),
+                       F.sum("w").over(late.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("open"))
+
+
+#: Slot t over the sources ``s``, of which ``{done}`` blocks have run: of those
+#: with a block that is released before the slot ends, the one whose next block
+#: is due first; the first source on a tie.  Shares sum to the slots, so one is
+#: always at least 1 / sources ahead of its blocks, far above the tolerance that
+#: keeps rounding errors from releasing a block early.
+DUE_FIRST = """
+array_min(filter(transform(
+    array(array_max(transform(s, x -> (t + 1 - x.used) / x.open))),
+    v -> transform(s, (x, i) -> if({done}[i] < x.nb and x.w * v - {done}[i] > 1e-6,
+      named_struct('due', ({done}[i] + 1) / x.w, 'i', i, 'k', {done}[i]), null)))[0],
+  y -> y is not null))
+"""
+STEP = "transform(array(%s), y -> transform({done}, (d, i) -> if(i = y.i, d + 1L, d)))[0]" % DUE_FIRST
+
+#: (first, done) of every stretch of ``stretch`` slots.
+STRETCHES = f"""
+aggregate(
+  sequence(0L, total - 1L, stretch),
+  named_struct('done', transform(s, x -> 0L), 'out', cast(array() as array<struct<first: bigint, done: array<bigint>>>)),
+  (st, f) -> named_struct(
+    'done', aggregate(sequence(f, least(total, f + stretch) - 1L), st.done, (c, t) -> {STEP.format(done='c')}),
+    'out', concat(st.out, array(named_struct('first', f, 'done', st.done))))
+).out
+"""
+
+#: The runs of one stretch, slot by slot.
+RUNS = f"""
+aggregate(
+  sequence(first, least(total, first + stretch) - 1L),
+  named_struct('done', done, 'runs', cast(array() as array<struct<i: int, k: bigint>>)),
+  (st, t) -> transform(array({DUE_FIRST.format(done='st.done')}), z -> named_struct(
+    'done', transform(st.done, (d, i) -> if(i = z.i, d + 1L, d)),
+    'runs', concat(st.runs, array(named_struct('i', z.i, 'k', z.k)))))[0]
+).runs
+"""
+
+
+def block_slots(targets: DataFrame, block_rows: int, period: int | None = None) -> DataFrame:
     """(src, b, slot): the slot of every block of every source."""
+    if period is not None:
+        return periodic_slots(targets, block_rows, period)
+    # one entry a source is gathered in one row
+    one = (source_lines(targets, block_rows)
+           .agg(F.sort_array(F.collect_list(F.struct("src", "nb", "w", "used", "open"))).alias("s"),
+                F.sum("nb").alias("total")).filter("total > 0")
+           # stretches and slots of a stretch grow alike, as do the sources a stretch carries
+           .withColumn("stretch", F.expr(f"greatest({STRETCH}L, cast(size(s) as bigint), cast(sqrt(total) as bigint))")))
+    stretches = (one.select("s", "total", "stretch", F.explode(F.expr(STRETCHES)).alias("z"))
+                 .select("s", "total", "stretch", "z.first", "z.done")
+                 .repartition(shuffle_partitions(targets.sparkSession), "first").checkpoint())
+    return (stretches.select("s", "first", F.posexplode(F.expr(RUNS)).alias("t", "run"))
+            .select(F.expr("s[run.i].src").alias("src"), F.col("run.k").alias("b"),
+                    (F.col("first") + F.col("t")).alias("slot")))
+
+
+def periodic_slots(targets: DataFrame, block_rows: int, period: int) -> DataFrame:
+    """(src, b, slot) of the periodic schedule."""
     kinds = period_kinds(targets, block_rows, period).repartition(
         shuffle_partitions(targets.sparkSession), "first").checkpoint()
     runs = (kinds.select("first", "src", F.posexplode(F.expr(EARLIEST_DEADLINE)).alias("t", "run"))
@@ -112,7 +197,7 @@ def block_slots(targets: DataFrame, block_rows: int, period: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, source: str = "source", block_rows: int = BLOCK_ROWS,
-        period: int = PERIOD, temperature: float = TEMPERATURE) -> DataFrame:
+        period: int | None = None, temperature: float = TEMPERATURE) -> DataFrame:
     """(row: struct of all columns of ``docs``, block, slot, position) of every
     row.  ``position`` orders the rows: slot * block_rows + place in the block
     (numbers are left out where a source's last block is short).
@@ -123,7 +208,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, source: str = "source
 
 
 def _mix(docs: DataFrame, weights: DataFrame | None = None, source: str = "source", block_rows: int = BLOCK_ROWS,
-         period: int = PERIOD, temperature: float = TEMPERATURE) -> tuple[DataFrame, int]:
+         period: int | None = None, temperature: float = TEMPERATURE) -> tuple[DataFrame, int]:
     """The mixed rows and the number of slots."""
     ensure_checkpoint_dir(docs.sparkSession)
     keyed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")).select(

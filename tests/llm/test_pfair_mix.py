@@ -69,3 +69,45 @@ def test_empty_table_and_one_row(spark):
     docs = spark.createDataFrame([(None, None, None)], "doc_id bigint, text string, source string")
     assert [tuple(r) for r in P.mixed_documents(docs).collect()] == [(None, None, None)]
     assert P.mix(docs.limit(0)).count() == 0 and P.mixed_documents(docs.limit(0)).count() == 0
+
+
+def shares(nb, w, t):
+    """Blocks due to each source by slot t: in proportion to w, at most nb."""
+    out, live, left = dict.fromkeys(nb, 0.0), set(nb), t
+    while live and left > 1e-9:
+        v = min(left / sum(w[s] for s in live), min((nb[s] - out[s]) / w[s] for s in live))
+        for s in live:
+            out[s] += w[s] * v
+        left -= v * sum(w[s] for s in live)
+        live = {s for s in live if nb[s] - out[s] > 1e-9}
+    return out
+
+
+@pytest.mark.parametrize("sizes,given", [
+    ({"hot": 200_000, **{f"s{i:02}": 400_000 // 19 for i in range(19)}}, None),         # 47 times 200 slots, some after all but one ran dry
+    ({f"s{i:03}": 64 * (1 + i % 9) for i in range(230)}, {f"s{i:03}": 1.0 + 40 * (i < 3) for i in range(230)}),
+    ({"a": 64_000, "b": 640, "c": 6_400}, {"a": 1000.0, "b": 1.0, "c": 90.0}),            # b: far under one block in 400
+])
+def test_share_holds_over_the_whole_run(spark, sizes, given):
+    w = given or {s: n ** 0.5 for s, n in sizes.items()}
+    targets = spark.createDataFrame([(s, n, float(w[s])) for s, n in sizes.items()], "src string, n bigint, weight double")
+    rows = sorted((r.slot, r.src, r.b) for r in P.block_slots(targets, P.BLOCK_ROWS).collect())
+    nb = {s: math.ceil(n / P.BLOCK_ROWS) for s, n in sizes.items()}
+    assert [r[0] for r in rows] == list(range(sum(nb.values())))
+    done, worst = Counter(), 0.0
+    for t, s, b in rows:
+        assert b == done[s]
+        done[s] += 1
+        if t % 7 == 0 or t < 500:
+            due = shares(nb, w, t + 1)
+            worst = max(worst, *(abs(done[x] - due[x]) for x in nb))
+    assert done == nb and worst < 1
+
+
+def test_default_run_returns_every_row_at_its_own_position(spark):
+    rows = [(i, "t", None if i % 3 == 0 else f"s{i % 7}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    weights = spark.createDataFrame([("s1", 3.0), ("s2", float("nan")), ("s3", -1.0)], "source string, weight double")
+    for given in (None, weights):
+        got = P.mix(docs, given, block_rows=4).collect()
+        assert Counter(tuple(r.row) for r in got) == Counter(rows) and len({r.position for r in got}) == len(rows)
