@@ -12,6 +12,9 @@ each segment of the corpus lists its words of at least half that share; a word
 that reaches the share overall must be listed with half of it in sum, so the
 second pass counts at most 2 / COMMON_SHARE words a language.
 
+A document whose language has no reference, for want of words, is not judged by
+distance; one without a language is held against the nearest reference.
+
 Length guards: a histogram is judged only if the text is long enough for it
 (``MIN_CHARS`` characters, ``MIN_WORDS`` words), and the limit is widened by
 the distance that drawing so few items from the reference itself would show,
@@ -35,7 +38,11 @@ from tabsieve.llm.common import prepare, text_slices, texts_of
 COMMON_SHARE = 0.004
 #: Words of a segment of the first pass.
 SEGMENT_WORDS = 200_000
-#: A language is a reference if it holds at least this share of all words.
+#: A language is a reference if it holds at least so many words, whatever its
+#: share of the corpus: a common word has 8 of them.
+REFERENCE_WORDS = 2_000
+#: Share of all words below which the SQL comparison leaves a language out; not
+#: used here, so the two agree where every language has both.
 LANGUAGE_SHARE = 0.005
 MIN_CHARS = 200
 MIN_WORDS = 60
@@ -139,6 +146,10 @@ class References:
     words: dict[str, dict[bytes, int]] = field(default_factory=dict)
     rest: dict[str, int] = field(default_factory=dict)
 
+    def judges(self, lang: str | None) -> bool:
+        """Whether texts of ``lang`` (null: unknown) are held against the references."""
+        return lang is None or lang in self.chars
+
     def compare(self, raw: bytes, words: list[bytes]) -> tuple[float | None, float | None, str | None, bool]:
         """(character distance, word distance, language, far) for the nearest
         reference; a distance is None where the text is too short for it or
@@ -231,25 +242,28 @@ def references(docs: DataFrame) -> References:
     segments = rows.mapInArrow(_list_segments, "lang string, word string, n bigint, chars array<bigint>").checkpoint()
     sums = (segments.filter("word is null").groupBy("lang")
             .agg(F.sum("n").alias("n"), *(F.sum(F.col("chars")[i]).alias(c) for i, c in enumerate(CLASSES))))
-    # at most 1 / LANGUAGE_SHARE languages pass
-    total = sums.agg(F.sum("n")).first()[0] or 0
-    langs = {r["lang"]: r for r in sums.filter(F.col("n") >= LANGUAGE_SHARE * total).filter("n > 0").collect()}
+    # one row a language
+    sums = sums.filter(F.col("n") >= REFERENCE_WORDS).checkpoint()
+    langs = {r["lang"]: r for r in sums.collect()}
     out = References(chars={k: np.array([r[c] for c in CLASSES], dtype=float) for k, r in sorted(langs.items())})
     if not langs:
         return out
-    sizes = F.create_map(*(F.lit(x) for k, r in langs.items() for x in (k, r["n"])))
     # at most 2 / COMMON_SHARE words a language pass
-    listed = (segments.filter(F.col("word").isNotNull() & F.col("lang").isin(list(langs)))
-              .groupBy("lang", "word").agg(F.sum("n").alias("n"))
-              .filter(F.col("n") >= COMMON_SHARE / 2 * sizes[F.col("lang")]).collect())
-    wanted = {k: sorted(r["word"].encode() for r in listed if r["lang"] == k) for k in langs}
+    listed = (segments.filter("word is not null").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+              .join(sums.select("lang", F.col("n").alias("total")), "lang")
+              .filter(F.col("n") >= COMMON_SHARE / 2 * F.col("total")).select("lang", "word").collect())
+    wanted: dict[str, list[bytes]] = {k: [] for k in langs}
+    for r in sorted(listed):
+        wanted[r["lang"]].append(r["word"].encode())
     counted = (rows.mapInArrow(_count_words(wanted), "lang string, word string, n bigint")
                .groupBy("lang", "word").agg(F.sum("n").alias("n")).collect())
+    common: dict[str, dict[bytes, int]] = {k: {} for k in langs}
+    for x in sorted((r["lang"], r["word"].encode(), r["n"]) for r in counted):
+        if x[2] >= COMMON_SHARE * langs[x[0]]["n"]:
+            common[x[0]][x[1]] = x[2]
     for k, r in sorted(langs.items()):
-        common = sorted((x["word"].encode(), x["n"]) for x in counted
-                        if x["lang"] == k and x["n"] >= COMMON_SHARE * r["n"])
-        out.words[k] = dict(common)
-        out.rest[k] = r["n"] - sum(n for _, n in common)
+        out.words[k] = common[k]
+        out.rest[k] = r["n"] - sum(common[k].values())
     return out
 
 
@@ -259,33 +273,35 @@ SCHEMA = ("n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigi
           "base_failed boolean, kept boolean, char_distance double, word_distance double, nearest_lang string")
 
 
-def judge(text: str, ref: References) -> tuple:
+def judge(text: str, ref: References, lang: str | None = None) -> tuple:
     raw = text.encode("utf-8", "surrogatepass")
     words = words_of(raw)
     n = len(words)
     spaces = sum(map(raw.count, (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")))
     repeat = repeated_words(words)
     failed = n < BASE_MIN_WORDS or 100 * repeat > BASE_MAX_REPEAT_PERCENT * n
-    by_char, by_word, lang, far = ref.compare(raw, words)
+    by_char, by_word, nearest, far = ref.compare(raw, words) if ref.judges(lang) else (None, None, None, False)
     return (n, len(text) - spaces, sum(map(text.count, SYMBOLS)), duplicate_lines(text), repeat, failed,
-            not failed and not far, by_char, by_word, lang)
+            not failed and not far, by_char, by_word, nearest)
 
 
 def apply_rules(docs: DataFrame, ref: References) -> DataFrame:
     """(doc_id, base figures, base_failed, kept, distances) of every row by its
     whole text.  A null text counts as empty (fails the base rules); a text too
-    short for a histogram is not judged by it; without references only the
-    base rules speak.  Repeated rows each get a row; other columns are not
-    read."""
+    short for a histogram is not judged by it; without references, or for a
+    ``lang`` (if there is one) that has none, only the base rules speak, and
+    distances and language are null.  Repeated rows each get a row; other
+    columns are not read."""
     prepare(docs.sparkSession)
-    rows = docs.select("doc_id", "text")
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select("doc_id", "text", lang.alias("lang"))
     names = [x.split()[0] for x in SCHEMA.split(", ")]
     kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2 + [pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch):
-                found = list(zip(*(judge(t, ref) for t in texts_of(part)))) or [()] * len(names)
+                found = list(zip(*(judge(t, ref, k) for t, k in zip(texts_of(part), part.column("lang").to_pylist())))) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), *(pa.array(c, k) for c, k in zip(found, kinds))], names=["doc_id", *names])
 

@@ -79,3 +79,27 @@ def test_verdicts(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     assert D.apply_rules(docs, D.references(docs)).count() == 0
+
+
+def rare(n, lang, letters, seed):
+    rng = np.random.default_rng(seed)
+    common = ["".join(rng.choice(list(letters), 3)) for _ in range(6)]
+    return [(f"{lang}{i}", " ".join(common[int(rng.integers(6))] if rng.random() < 0.4 else
+                                   "".join(rng.choice(list(letters), int(rng.integers(4, 9)))) for _ in range(150)), lang)
+            for i in range(n)]
+
+
+def test_rare_languages_are_judged_by_their_own_words_or_not_at_all(spark):
+    big = [(str(i), t + " the of and to in" * 3, k) for i, (_, t, k) in enumerate(corpus() * 70)]
+    cc, dd = rare(20, "cc", "uvwxyzjkq", 1), rare(3, "dd", "mnpfgr", 2)  # 3,000 and 450 words, under 0.5 % of all
+    rows = big + cc + dd
+    ref = D.references(spark.createDataFrame(rows, "doc_id string, text string, lang string"))
+    words = {k: sum(len(t.split()) for _, t, x in rows if x == k) for k in ("aa", "bb", "cc", "dd")}
+    assert words["cc"] < 0.005 * sum(words.values()) and set(ref.words) == {"aa", "bb", "cc"}
+    odd = [("table", " | ".join("1234567" for _ in range(300)), "cc"), ("null", dd[0][1], None)]
+    docs = spark.createDataFrame(cc + dd + odd, "doc_id string, text string, lang string")
+    got = {r.doc_id: r for r in D.apply_rules(docs, ref).collect()}
+    assert all(got[i].kept and got[i].nearest_lang == "cc" for i, _, _ in cc)
+    assert all(got[i].kept and (got[i].char_distance, got[i].word_distance, got[i].nearest_lang) == (None, None, None)
+               for i, _, _ in dd)
+    assert not got["table"].kept and got["null"].nearest_lang is not None and not got["null"].kept
