@@ -1,8 +1,10 @@
 """Secret scan with a random forest against false positives, in DataFrame and
 SQL operations and Spark ML only.
 
-A pattern finds candidates in every text: runs of key-like characters that
-hold a digit, follow an assignment mark or have a known key format.  Each is
+A pattern finds candidates in every text: whatever is assigned to a name with a
+credential word in it (quoted, or up to white space) or follows "Bearer", and
+runs of key-like characters that hold a digit, follow an assignment mark or have
+a known key format.  Each is
 described by its length, changes of character class, share of digits, capitals,
 hexadecimal and distinct characters, share covered by dictionary words (the
 words common in the corpus itself), marks of a path or address, and its
@@ -29,10 +31,23 @@ RUN = "[A-Za-z0-9_+/.@-]"
 CANDIDATE = rf"(?:(?<!{RUN})(?=[A-Za-z_+/.@-]*+[0-9])|(?<=[=:])){RUN}{{10,}}+|AKIA[A-Z0-9]{{16}}"
 CREDENTIAL_WORDS = ["access_key", "api_key", "apikey", "auth", "bearer", "credential", "key", "passwd", "password",
                     "private_key", "pwd", "secret", "token"]
+#: Before a value: a name with a credential word and an assignment mark, or "Bearer".
+MARK = r"""["']?[ \t]{0,4}(?:=>|:=|[:=])"""
+KEYED = (rf"(?i:(?<!{RUN})(?:{RUN}++{MARK}(?<=(?:{'|'.join(CREDENTIAL_WORDS)})[A-Za-z0-9_.-]{{0,20}}{MARK})[ \t]*+"
+         r"(?:(?:bearer|basic|token)[ \t]++)?|bearer[ \t]++))")
+#: A value, without its quotes or the marks of the sentence after it.
+VALUE = r"""(?:"[^"\n]++(?=")|'[^'\n]++(?=')|[^\s"']*[^\s"',;.)\]}>])"""
+FIND = f"{KEYED}{VALUE}|{CANDIDATE}"
 KEY_FORMATS = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}$|^xox[abpr]-[A-Za-z0-9-]{20,}$|^sk_live_[A-Za-z0-9]{20,}$"
 HARMLESS_FORMATS = r"^[0-9./_+-]+$|@[A-Za-z0-9-]+\.[A-Za-z.]+$|^[A-Za-z]+[.]?$|^(www\.)?[A-Za-z0-9-]+(\.[A-Za-z]{2,})+(/.*)?$"
 
+#: Text before a value that is assigned.
+ASSIGNED = r"""(?i)(?:=>|[=:])\s*["']?$|[=:][ \t]*(?:basic|token)[ \t]+$|(?<![a-z])bearer[ \t]+$"""
+
 REDACTED = "[SECRET]"
+#: A secret of at least so many characters is replaced wherever its text has it,
+#: a shorter one where it was found.
+EVERYWHERE_CHARS = 10
 #: Characters around a candidate in which neighbours are sought.
 CONTEXT_CHARS = 48
 #: A word is in the dictionary if it makes up this share of the corpus' words,
@@ -52,24 +67,31 @@ def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, start, candidate, before, after) of every candidate in
     every whole text; ``start`` counts characters from 0.  A null or empty text
     has none; repeated rows have theirs each."""
-    pattern = F.lit(CANDIDATE)
-    found = (docs.select("doc_id", "text").filter(F.col("text").rlike(CANDIDATE))
+    found = (docs.select("doc_id", "text").filter(F.col("text").rlike(FIND))
              .select("doc_id", F.xxhash64("text").alias("text_key"),
-                     F.regexp_extract_all("text", pattern, F.lit(0)).alias("hits"),
-                     F.split("text", CANDIDATE, -1).alias("gaps")))
-    # lengths of hits and gaps give positions: one running sum a text
-    return (found.select(
+                     F.regexp_extract_all("text", F.lit(FIND), F.lit(0)).alias("hits"),
+                     F.split("text", FIND, -1).alias("gaps")))
+    # lengths of hits and gaps give positions, their ends the surroundings: one running fold a text each way
+    ahead = F.expr(f"""aggregate(sequence(1, size(hits)), array(named_struct('offset', 0L, 'near', '')),
+        (a, i) -> concat(a, array(named_struct(
+            'offset', a[i - 1].offset + length(gaps[i - 1]) + length(hits[i - 1]),
+            'near', right(concat(a[i - 1].near, right(gaps[i - 1], {CONTEXT_CHARS}),
+                                 right(hits[i - 1], {CONTEXT_CHARS})), {CONTEXT_CHARS})))))""")
+    behind = F.expr(f"""slice(reverse(aggregate(sequence(1, size(hits)), array(left(gaps[size(hits)], {CONTEXT_CHARS})),
+        (a, i) -> concat(a, array(left(concat(left(gaps[size(hits) - i], {CONTEXT_CHARS}),
+            left(hits[size(hits) - i], {CONTEXT_CHARS}), a[i - 1]), {CONTEXT_CHARS}))))), 2, size(hits))""")
+    hits = (found.withColumn("ahead", ahead).withColumn("behind", behind).select(
         "doc_id", "text_key", F.posexplode(F.arrays_zip(
-            F.col("hits").alias("hit"), F.slice("gaps", 1, F.size("hits")).alias("before"),
-            F.slice("gaps", 2, F.size("hits")).alias("after"),
-            F.expr("""aggregate(sequence(1, size(hits)), array(0L),
-                      (a, i) -> concat(a, array(a[i - 1] + length(gaps[i - 1]) + length(hits[i - 1]))))""")
-            .alias("offset"))).alias("no", "z"))
-        .filter("z.hit is not null")
-        .select("doc_id", "text_key", (F.col("z.offset") + F.length("z.before")).alias("start"),
-                F.col("z.hit").alias("candidate"),
-                F.expr(f"right(z.before, {CONTEXT_CHARS})").alias("before"),
-                F.expr(f"left(z.after, {CONTEXT_CHARS})").alias("after")))
+            F.col("hits").alias("hit"), F.slice("gaps", 1, F.size("hits")).alias("gap"),
+            F.slice("ahead", 1, F.size("hits")).alias("ahead"),
+            F.slice("behind", 1, F.size("hits")).alias("after"))).alias("no", "z")))
+    # a value's name is a part of the hit
+    return (hits.withColumn("name", F.regexp_extract("z.hit", f"^{KEYED}[\"']?", 0))
+            .select("doc_id", "text_key",
+                    (F.col("z.ahead.offset") + F.length("z.gap") + F.length("name")).alias("start"),
+                    F.expr("substring(z.hit, length(name) + 1)").alias("candidate"),
+                    F.expr(f"right(concat(z.ahead.near, z.gap, name), {CONTEXT_CHARS})").alias("before"),
+                    F.col("z.after").alias("after")))
 
 
 def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
@@ -107,19 +129,22 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         (F.size(F.array_distinct(F.split(c, ""))) / n).alias("f_distinct"),
         (F.coalesce("covered", F.lit(0)) / n).alias("f_dictionary"), share("/.@").alias("f_path"),
         F.col("before").rlike(r"[/@.\\]$").cast("double").alias("f_in_path"),
-        F.col("before").rlike("[=:]\\s*[\"']?$").cast("double").alias("f_assigned"),
+        F.col("before").rlike(ASSIGNED).cast("double").alias("f_assigned"),
         (F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double").alias("f_quoted"))
 
 
 def context_labels(described: DataFrame) -> DataFrame:
     """Findings labelled where the text itself settles it: 1 for a value assigned
-    to a credential word and for known key formats, 0 for plain numbers, mail
+    to a credential word, unless it is made of dictionary words only, and for known
+    key formats, 0 for plain numbers, mail
     and network addresses and host names outside such assignments.  Others stay
     unlabelled and are left out."""
-    assigned = (F.col("f_assigned") == 1) & F.col("word_before").isin(CREDENTIAL_WORDS)
+    assigned = (F.col("f_assigned") == 1) & F.col("word_before").rlike(
+        rf"(^|_)({'|'.join(CREDENTIAL_WORDS)})s?(_|$)")
+    plain = (F.col("f_dictionary") >= 1) | F.col("candidate").rlike("^[A-Za-z]{1,2}$")
     return described.withColumn("label", F.when(
-        assigned | F.col("candidate").rlike(KEY_FORMATS), 1.0).when(
-        F.col("candidate").rlike(HARMLESS_FORMATS), 0.0)).filter("label is not null")
+        assigned & ~plain | F.col("candidate").rlike(KEY_FORMATS), 1.0).when(
+        ~assigned & F.col("candidate").rlike(HARMLESS_FORMATS), 0.0)).filter("label is not null")
 
 
 @dataclass
@@ -194,12 +219,16 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     with a candidate are shuffled."""
     secrets = (scan(docs, labelled).filter("predicted = 1")
                .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-               .agg(F.sort_array(F.collect_set("candidate"), asc=False).alias("_found")))
-    has = F.coalesce(F.col("text").rlike(CANDIDATE), F.lit(False))
+               .agg(F.sort_array(F.collect_set(F.struct("start", "candidate")), asc=False).alias("_found")))
+    has = F.coalesce(F.col("text").rlike(FIND), F.lit(False))
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("r")
     hit = docs.filter(has).select(row, F.xxhash64("text").alias("k"))
-    # longer secrets first, so that one inside another is not cut up
-    clean = F.aggregate(F.array_sort("_found", lambda a, b: F.length(b) - F.length(a)), F.col("r.text"),
+    # each where it was found, from the end; then longer ones first, so that one inside another is not cut up
+    placed = F.aggregate("_found", F.col("r.text"), lambda t, s: F.concat(
+        F.substring(t, F.lit(1), s["start"].cast("int")), F.lit(REDACTED),
+        F.substring(t, (s["start"] + F.length(s["candidate"]) + 1).cast("int"), F.length(t))))
+    long = F.filter(F.transform("_found", lambda s: s["candidate"]), lambda c: F.length(c) >= EVERYWHERE_CHARS)
+    clean = F.aggregate(F.array_sort(F.array_distinct(long), lambda a, b: F.length(b) - F.length(a)), placed,
                         lambda t, s: F.replace(t, s, F.lit(REDACTED)))
     joined = (hit.join(secrets, F.col("r.doc_id").eqNullSafe(F.col("_id")) & (F.col("k") == F.col("_key")), "left")
               .withColumn("r", F.when(F.col("_found").isNull(), F.col("r")).otherwise(

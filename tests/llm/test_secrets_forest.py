@@ -66,3 +66,33 @@ def test_no_python_in_the_plan(spark, capsys):
     docs = spark.createDataFrame([(i, t) for i, t, _ in corpus(40)], "doc_id bigint, text string")
     S.redact(docs).explain()
     assert not re.search("Python|Arrow|Pandas", capsys.readouterr().out)
+
+
+def test_values_after_credential_words_are_found_whatever_they_look_like(spark):
+    texts = {"password: correcthorsebattery": "correcthorsebattery", 'api_key: "QwErTyUiOpAsDfGhJkLz"': "QwErTyUiOpAsDfGhJkLz",
+             "Bearer abcdefGHIJKLmnopQRSTuv": "abcdefGHIJKLmnopQRSTuv", 'password = "S3cr!etP@ss#42"': "S3cr!etP@ss#42",
+             "password=Ab1!Cd2$Ef3%Gh4": "Ab1!Cd2$Ef3%Gh4", "passwd=hunter22": "hunter22",
+             'API_TOKEN_2024="9f8a7b6c5d4e3f2a"': "9f8a7b6c5d4e3f2a", "Authorization: Bearer qqwweerrtt": "qqwweerrtt",
+             '{"secret": "é x1"}': "é x1"}
+    rows = [(1000 + i, f"é some words, {t} and more 1234567890123 plain words") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in corpus()] + rows, "doc_id bigint, text string")
+    text = dict(rows)
+    found = [r for r in S.candidates(docs).collect() if r.doc_id >= 1000]
+    for i, want in enumerate(texts.values()):
+        mine = sorted((r for r in found if r.doc_id == 1000 + i), key=lambda r: r.start)
+        assert [r.candidate for r in mine] == [want, "1234567890123"]
+        for r in mine:
+            t, end = text[r.doc_id], r.start + len(r.candidate)
+            assert t[r.start:end] == r.candidate
+            assert t[:r.start].endswith(r.before) and len(r.before) == min(48, r.start) and t[end:end + 48] == r.after
+    named = S.describe(S.candidates(docs), S.dictionary(docs)).filter("candidate = '9f8a7b6c5d4e3f2a'").first()
+    assert named.word_before == "api_token_" and named.f_assigned == 1
+    out = {r.doc_id: r.text for r in S.redact(docs).collect()}
+    for i, want in enumerate(texts.values()):
+        assert out[1000 + i] == text[1000 + i].replace(want, S.REDACTED)
+
+
+def test_short_secret_is_replaced_only_where_it_stands(spark):
+    rows = [(i, t) for i, t, _ in corpus()] + [(950, "an a1 and password=a1 a1")]
+    out = S.redact(spark.createDataFrame(rows, "doc_id bigint, text string")).filter("doc_id = 950").first()
+    assert out.text == f"an a1 and password={S.REDACTED} a1"
