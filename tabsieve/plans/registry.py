@@ -1374,9 +1374,8 @@ def _l07(spark, d):
 @register("l10_random_search")
 def _l10(spark, d):
     splits, feats = _prepared_docs(spark, d)
-    # the configured 50 trials, under a time limit of its own (the operator stops at whichever comes first)
-    return trn.random_search("logistic_regression", splits["train"], feats, "quality", "doc_id", n_trials=50,
-                             timeout_s=60.0, k=5)
+    # the configured search: 50 trials, 3,600 s (the operator stops at whichever comes first)
+    return trn.random_search("logistic_regression", splits["train"], feats, "quality", "doc_id", n_trials=50, k=5)
 
 
 @register("l11_baseline_leaderboard")
