@@ -10,3 +10,22 @@ def test_search_query_has_the_operators_own_limits(monkeypatch):
     registry._l10(None, None)
     for name in ("n_trials", "timeout_s", "k"):
         assert seen.get(name, real.parameters[name].default) == real.parameters[name].default
+
+
+def test_leaderboard_query_trains_whole_runs(monkeypatch):
+    class Stop(Exception):
+        pass
+
+    seen = {}
+
+    def baselines(*a, **k):
+        seen.update(k)
+        raise Stop
+
+    monkeypatch.setattr(registry, "_prepared_docs", lambda spark, d: ({"train": None, "dev": None}, []))
+    monkeypatch.setattr(registry.trn, "train_baselines", baselines)
+    try:
+        registry._l11(None, None)
+    except Stop:
+        pass
+    assert seen.get("cv_folds", 10) == 10 and seen.get("importance", True)
