@@ -33,9 +33,9 @@ def op2_arrow_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schedule of every document; the texts stand in by their hash."""
-    docs = table(spark, sf_dir, "documents").withColumn("text", F.xxhash64("text"))
-    return pfair_mix.mix(docs).select("row.doc_id", "row.source", "block", "slot", "position")
+    """Schedule of every document, mixed as a whole row; its text as a hash."""
+    return pfair_mix.mix(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", "row.source", F.xxhash64("row.text").alias("text_hash"), "block", "slot", "position")
 
 
 def op10_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

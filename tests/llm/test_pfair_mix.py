@@ -111,3 +111,15 @@ def test_default_run_returns_every_row_at_its_own_position(spark):
     for given in (None, weights):
         got = P.mix(docs, given, block_rows=4).collect()
         assert Counter(tuple(r.row) for r in got) == Counter(rows) and len({r.position for r in got}) == len(rows)
+
+
+def test_query_mixes_whole_rows(spark):
+    from pyspark.sql import functions as F
+
+    from tabsieve.llm.queries import op9_pfair_mix
+
+    small = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    want = P.mix(docs).select("row.doc_id", F.xxhash64("row.text"), "position").collect()
+    got = op9_pfair_mix(spark, small).select("doc_id", "text_hash", "position").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
