@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabsieve.llm import arrow_tokens, byte_convnet, chunked_bpe, divergence, metric_join, pfair_mix, quality_gam, secrets_forest, simhash_anchor, toxicity
+from tabsieve.llm import (arrow_tokens, byte_convnet, chunked_bpe, collocations, divergence, metric_join, pfair_mix, quality_gam,
+                          secrets_forest, simhash_anchor, spelling_tree, toxicity, url_filter)
 from tabsieve.llm.common import prepare, table
 
 
@@ -81,6 +82,28 @@ def op8_simhash_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_anchor.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_tree.variants(spelling_tree.misspelt_words(table(spark, sf_dir, "documents")))
+
+
+# The rules of the query.
+URL_RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
+             url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page; listed are the URLs of pages full of marks."""
+    prepare(spark)
+    pages = table(spark, sf_dir, "pages")
+    listed = url_filter.listing(url_filter.junk_urls(pages))
+    return url_filter.judge(pages.select("page_id", "url"), listed, URL_RULES).select(
+        "row.page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_gam": op1_quality_gam,
     "op2_arrow_tokens": op2_arrow_tokens,
@@ -92,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_anchor": op8_simhash_anchor,
     "op9_pfair_mix": op9_pfair_mix,
     "op10_chunked_bpe": op10_chunked_bpe,
+    "op11_collocations": op11_collocations,
+    "op12_spelling_tree": op12_spelling_tree,
+    "op13_url_filter": op13_url_filter,
 }
 
 OP7_SQL = """
@@ -187,5 +213,88 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM judged"""
 
 
+_LOWER = f"translate(coalesce(text, ''), '{_LETTERS}', '{_LETTERS.lower()}')"
+
+OP11_SQL = f"""
+WITH p AS (SELECT row_number() OVER () AS pid, lang, piece FROM (
+               SELECT coalesce(lang, 'und') AS lang,
+                      unnest(regexp_extract_all({_LOWER}, '[^.,;:!?\\x0A-\\x0D]+')) AS piece FROM documents)),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+f1 AS (SELECT lang, w1, count(*) AS c FROM (SELECT lang, unnest(ws) AS w1 FROM w) GROUP BY 1, 2),
+at2 AS (SELECT lang, ws, unnest(range(1, len(ws))) AS i FROM w WHERE len(ws) > 1),
+f2 AS (SELECT lang, w1, w2, count(*) AS c FROM (SELECT lang, ws[i] AS w1, ws[i + 1] AS w2 FROM at2) GROUP BY 1, 2, 3),
+at3 AS (SELECT lang, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) > 2),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS c FROM (
+           SELECT lang, ws[i] AS w1, ws[i + 1] AS w2, ws[i + 2] AS w3 FROM at3) GROUP BY 1, 2, 3, 4 HAVING count(*) >= 10),
+longer AS (SELECT lang, w1, w2, max(c) AS c FROM (
+               SELECT lang, w1, w2, c FROM f3 UNION ALL SELECT lang, w2, w3, c FROM f3) GROUP BY 1, 2, 3),
+two AS (SELECT f2.lang, f2.w1 || ' ' || f2.w2 AS phrase, f2.c AS a, x.c AS l, y.c AS r,
+               1000000::HUGEINT * f2.c * f2.c // (x.c::HUGEINT * y.c) AS score
+        FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.w1 = f2.w1 JOIN f1 y ON y.lang = f2.lang AND y.w1 = f2.w2
+        LEFT JOIN longer g ON g.lang = f2.lang AND g.w1 = f2.w1 AND g.w2 = f2.w2
+        WHERE f2.c >= 10 AND (g.c IS NULL OR 100 * g.c < 50 * f2.c)),
+cut AS (SELECT f3.lang, f3.w1 || ' ' || f3.w2 || ' ' || f3.w3 AS phrase, f3.c AS a, x.c AS l1, q.c AS r1, p.c AS l2, z.c AS r2,
+               1000000::HUGEINT * f3.c * f3.c // (x.c::HUGEINT * q.c) AS s1,
+               1000000::HUGEINT * f3.c * f3.c // (p.c::HUGEINT * z.c) AS s2
+        FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.w1 = f3.w1 JOIN f1 z ON z.lang = f3.lang AND z.w1 = f3.w3
+        JOIN f2 p ON p.lang = f3.lang AND p.w1 = f3.w1 AND p.w2 = f3.w2
+        JOIN f2 q ON q.lang = f3.lang AND q.w1 = f3.w2 AND q.w2 = f3.w3),
+found AS (SELECT * FROM two
+          UNION ALL SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END,
+                           least(s1, s2) FROM cut),
+total AS (SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f1 GROUP BY 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM found)
+SELECT ranked.lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000"""
+
+OP12_SQL = f"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda c, k:
+                 CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+run AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all({_LOWER}, '[a-zA-Z\u00C0-\u00FF]+')) AS w
+        FROM documents),
+seen AS (SELECT w, hex(encode(d || ':' || w)) AS h, count(*) AS n FROM run WHERE length(w) >= 7 GROUP BY d, w),
+crc AS (SELECT w, n, xor(4294967295, list_reduce(
+            list_prepend(4294967295, list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT))),
+            lambda c, b: xor(c >> 8, tab.t[(xor(c, b) & 255) + 1]))) AS c FROM seen, tab),
+word AS MATERIALIZED (SELECT w AS word, CAST(sum(n) AS BIGINT) AS n FROM (
+             SELECT CASE WHEN c % 31 = 0 THEN left(w, c % length(w)) || substr(w, c % length(w) + 2) ELSE w END AS w, n FROM crc)
+         WHERE length(w) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+less AS MATERIALIZED (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+         FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)),
+shorter AS (SELECT DISTINCT less.word AS y, less.n AS yn, word.word AS x, word.n AS xn FROM less JOIN word ON word.word = less.rest),
+near AS (SELECT a.word AS word, b.word AS other, b.n AS m FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+         UNION ALL SELECT y, x, xn FROM shorter UNION ALL SELECT x, y, yn FROM shorter),
+best AS (SELECT word, count(*) AS n_near, arg_min(other, (-m, other)) AS form, max(m) AS m FROM near GROUP BY 1),
+formed AS MATERIALIZED (SELECT word.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * n THEN form END AS form,
+                  CASE WHEN m >= 10 * n THEN m END AS form_n FROM word LEFT JOIN best ON best.word = word.word),
+walk AS (SELECT word, word AS here, 0 AS steps FROM formed
+         UNION ALL SELECT walk.word, formed.form, steps + 1 FROM walk JOIN formed ON formed.word = walk.here WHERE formed.form IS NOT NULL),
+root AS (SELECT word, arg_max(here, steps) AS root FROM walk GROUP BY 1)
+SELECT formed.word, form, root, n, n_near, form_n FROM formed JOIN root ON root.word = formed.word"""
+
+
+def _url_sql() -> str:
+    u = url_filter
+    rules = ", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)
+    host = f"""translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), '{_LETTERS}', '{_LETTERS.lower()}')"""
+    return f"""
+WITH rules AS (SELECT * FROM (VALUES {rules}) AS v(verdict, rh, rp)),
+part AS (SELECT row_number() OVER () AS rid, page_id, html, coalesce({host}, '') AS host,
+                coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path,
+                list_sort(list_filter(string_split(regexp_extract(url, '^[^#?]*[?]([^#]*)', 1), '&'), lambda q:
+                    q <> '' AND NOT regexp_matches(q, '^(utm_[^=]*|gclid|fbclid|ref)(=|$)'))) AS asked FROM pages),
+page AS (SELECT *, CASE WHEN bare <> '' THEN bare || regexp_replace(path, '/+$', '')
+                        || CASE WHEN len(asked) > 0 THEN '?' || array_to_string(asked, '&') ELSE '' END END AS canonical
+         FROM (SELECT *, regexp_replace(regexp_replace(host, '^www[.]', ''), '[.]?(:80|:443)?$', '') AS bare FROM part)),
+listed AS (SELECT DISTINCT canonical FROM page WHERE canonical IS NOT NULL
+           AND length(html) - length(translate(html, '{u.JUNK_MARKS}', '')) >= {u.JUNK_SHARE} * greatest(length(html), 1)),
+fits AS (SELECT rid, arg_max(rh || rp, (length(rh || rp), rh || rp)) AS rule, arg_max(verdict, (length(rh || rp), rh || rp)) AS verdict
+         FROM page JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY 1)
+SELECT page_id, host, path, rule,
+       coalesce(fits.verdict, CASE WHEN listed.canonical IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM page LEFT JOIN fits ON fits.rid = page.rid LEFT JOIN listed ON listed.canonical = page.canonical"""
+
+
 # Order of rows is by XXH64 (op8 fingerprints, op9 places), merges and trained models: beyond SQL.
-ORACLE: dict[str, str] = {"op4_divergence_rules": _divergence_sql(), "op7_metric_join": OP7_SQL}
+ORACLE: dict[str, str] = {"op4_divergence_rules": _divergence_sql(), "op7_metric_join": OP7_SQL, "op11_collocations": OP11_SQL,
+                          "op12_spelling_tree": OP12_SQL, "op13_url_filter": _url_sql()}
