@@ -41,7 +41,7 @@ COVERED_PERCENT = 50
 TOP = 2_000
 SCALE = 1_000_000
 #: Words and pairs that get ids; more frequent ones are counted by their words.
-HEAD_WORDS = 200_000
+HEAD_WORDS = 1 << 19
 HEAD_PAIRS = 1 << 21
 MAX_WORD_BYTES = 64
 TILE = 1 << 10
@@ -49,9 +49,9 @@ TILE = 1 << 10
 DENSE = TILE * TILE // 64
 #: Occurrences counted at a time, bytes of a text read at a time and distinct
 #: words that a task gathers.
-BUFFER = 1 << 22
-SLICE_BYTES = 1 << 22
-GATHER = 400_000
+BUFFER = 1 << 20
+SLICE_BYTES = 1 << 20
+GATHER = 150_000
 
 BREAK, UNKNOWN = -1, -2
 _STOP = b"."
@@ -226,13 +226,13 @@ def _phrases(ids: Ids, words: int, batches: Iterator[pa.RecordBatch]) -> Iterato
     def batch_of(cell: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
         if len(n):
             nothing = pa.nulls(len(n), pa.string())
-            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cell), nothing, *[nothing] * words,
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in cell), nothing, *[nothing] * words,
                                               pa.array(n, pa.int64())], names)
 
     def spelled() -> Iterator[pa.RecordBatch]:
         if by_words:
             keys, n = list(by_words), list(by_words.values())
-            nothing = pa.nulls(len(n), pa.int64())
+            nothing = pa.nulls(len(n), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [*[nothing] * words, pa.array([k[0] for k in keys], pa.string()),
                  *(_utf8([k[i + 1] for k in keys]) for i in range(words)), pa.array(n, pa.int64())], names)
@@ -260,7 +260,7 @@ def _phrases(ids: Ids, words: int, batches: Iterator[pa.RecordBatch]) -> Iterato
 def _count_phrases(docs: DataFrame, ids: Ids, words: int, min_count: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ids)
     names = [*(f"id{k + 1}" for k in range(words)), "lang", *(f"word{k + 1}" for k in range(words))]
-    schema = ", ".join(f"{c} {'long' if c.startswith('id') else 'string'}" for c in names) + ", n long"
+    schema = ", ".join(f"{c} {'int' if c.startswith('id') else 'string'}" for c in names) + ", n long"
     counted = docs.mapInArrow(lambda batches: _phrases(shared.value, words, batches), schema)
     return counted.groupBy(*names).agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).checkpoint()
 
@@ -316,7 +316,7 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, co
     table = short.toPandas().sort_values(["n", "lang", "word"], ascending=[False, True, True], ignore_index=True)
     all_words = all_short and n_short == words.count()
     ids = Ids(table, all_words)
-    head = spark.createDataFrame(table.assign(id=np.arange(len(table))), "lang string, word string, n long, id long")
+    head = spark.createDataFrame(table.assign(id=np.arange(len(table))), "lang string, word string, n long, id int")
 
     pair_cells = _count_phrases(docs, ids, 2, min_count)
     ranked, all_ranked = most_frequent(pair_cells.filter("id1 is not null").select("id1", "id2", "n"), head_pairs)
