@@ -7,6 +7,7 @@ one aggregate; they never see rows."""
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 from statistics import NormalDist
 
 from pyspark.sql import Column
@@ -150,3 +151,80 @@ def chi2_sf(x: float, dof: float) -> float:
     if x is None or dof is None or dof <= 0:
         return float("nan")
     return gammaincc(dof / 2.0, x / 2.0)
+
+
+# ---------------------------------------------------------------- inverse normal
+
+# Coefficients of Wichura's algorithm AS241 (highest power first)
+# for the middle, the tails and the far tails of the normal quantile.
+_MIDDLE = ((2509.0809287301226727, 33430.575583588128105, 67265.770927008700853, 45921.953931549871457,
+            13731.693765509461125, 1971.5909503065514427, 133.14166789178437745, 3.387132872796366608),
+           (5226.495278852854561, 28729.085735721942674, 39307.89580009271061, 21213.794301586595867,
+            5394.1960214247511077, 687.1870074920579083, 42.313330701600911252, 1.0))
+_TAIL = ((0.000774545014278341407640, 0.0227238449892691845833, 0.241780725177450611770, 1.27045825245236838258,
+          3.64784832476320460504, 5.76949722146069140550, 4.63033784615654529590, 1.42343711074968357734),
+         (0.00000000105075007164441684324, 0.000547593808499534494600, 0.0151986665636164571966, 0.148103976427480074590,
+          0.689767334985100004550, 1.67638483018380384940, 2.05319162663775882187, 1.0))
+_FAR = ((0.000000201033439929228813265, 0.0000271155556874348757815, 0.00124266094738807843860, 0.0265321895265761230930,
+         0.296560571828504891230, 1.78482653991729133580, 5.46378491116411436990, 6.65790464350110377720),
+        (0.00000000000000204426310338993978564, 0.000000142151175831644588870, 0.0000184631831751005468180, 0.000786869131145613259100,
+         0.0148753612908506148525, 0.136929880922735805310, 0.599832206555887937690, 1.0))
+
+
+def _ratio(parts: tuple, r: str) -> str:
+    def horner(c: tuple) -> str:
+        out = f"CAST({c[0]!r} AS DOUBLE)"
+        for x in c[1:]:
+            out = f"({out} * {r} + CAST({x!r} AS DOUBLE))"
+        return out
+    return f"({horner(parts[0])} / {horner(parts[1])})"
+
+
+def inverse_normal_sql(p: str) -> str:
+    """SQL text of the standard normal quantile of ``p`` (a column name, in
+    (0, 1)); plain arithmetic, so any engine takes it."""
+    q = f"({p} - 0.5)"
+    r = f"sqrt(-ln(least({p}, 1.0 - {p})))"
+    tail = f"(CASE WHEN {r} <= 5.0 THEN {_ratio(_TAIL, f'({r} - 1.6)')} ELSE {_ratio(_FAR, f'({r} - 5.0)')} END)"
+    return (f"(CASE WHEN abs({q}) <= 0.425 THEN {q} * {_ratio(_MIDDLE, f'(0.180625 - {q} * {q})')} "
+            f"WHEN {q} < 0 THEN -{tail} ELSE {tail} END)")
+
+
+# ---------------------------------------------------------------- Mann-Whitney
+
+#: Largest n1 * n2 for which the null distribution of U is counted.
+EXACT_U = 200_000
+
+
+@lru_cache(maxsize=32)
+def _u_counts(m: int, n: int) -> tuple[int, ...]:
+    """How many ways two groups of m and n untied values give each U, up to the
+    middle: coefficients of the product of (1 - q^(n+i)) / (1 - q^i)."""
+    top = m * n // 2
+    ways = [1] + [0] * top
+    for i in range(1, m + 1):
+        for k in range(top, n + i - 1, -1):
+            ways[k] -= ways[k - n - i]
+        for k in range(i, top + 1):
+            ways[k] += ways[k - i]
+    return tuple(ways)
+
+
+def mann_whitney_exact_p(u: float, n1: int, n2: int) -> float:
+    """Exact two-sided p-value of U for groups without ties."""
+    m, n = sorted((int(n1), int(n2)))
+    low = int(min(u, n1 * n2 - u))
+    ways = _u_counts(m, n)
+    return min(1.0, 2.0 * (sum(ways[:low + 1]) / math.comb(m + n, m)))
+
+
+def shapiro_francia_p(w: float, n: int) -> float:
+    """Royston's normal approximation for the Shapiro-Francia statistic (made
+    for 5 to 5,000 values; beyond that it is carried on)."""
+    if n < 5 or w is None or not math.isfinite(w):
+        return float("nan")
+    if w >= 1.0:
+        return 1.0
+    u = math.log(n)
+    v = math.log(u)
+    return norm_sf((math.log(1.0 - w) + 1.2725 - 1.0521 * (v - u)) / (1.0308 - 0.26758 * (v + 2.0 / u)))

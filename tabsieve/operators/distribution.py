@@ -7,13 +7,15 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import COLUMN, VALUE, clean_double, numeric_columns, to_long
 from ..functions.ranks import BYTES_PER_CELL, MAX_BROADCAST_BYTES, quantile_table, running_sums, value_ranks
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shuffle_partitions
 from .profile import target_distribution, value_counts_long
 
 # Density grid size and how far the grid reaches past the data
@@ -229,14 +231,110 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out.unionByName(pearson_matrix(_ranked_wide(d, whole), whole)) if whole else out
 
 
+def _inversions(order: np.ndarray, weight: np.ndarray) -> float:
+    """Sum of w_i * w_j over i < j with order[i] > order[j] (distinct whole
+    numbers from 0), bit by bit: rows that agree in the higher bits stay
+    together in their first order, and a row with bit 0 meets those before it
+    with bit 1."""
+    total, n = 0.0, len(order)
+    if not n:
+        return total
+    rows = np.arange(n)
+    for bit in range(max(1, int(n).bit_length()) - 1, -1, -1):
+        value = order[rows]
+        group, ones = value >> (bit + 1), (value >> bit) & 1
+        w = weight[rows]
+        heavier = np.cumsum(w * ones)
+        start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        base = np.repeat((heavier - w * ones)[start], np.diff(np.r_[start, n]))
+        total += float(((heavier - base) * w)[ones == 0].sum())
+        rows = rows[np.argsort(value >> bit, kind="stable")]
+    return total
+
+
+def _discordant(group: pd.DataFrame, first: list[str]) -> pd.DataFrame:
+    """Discordant weight inside one range of rows: ordered by ``first``, against
+    the order by (b, a)."""
+    g = group.sort_values(first).reset_index(drop=True)
+    order = np.empty(len(g), dtype=np.int64)
+    order[np.lexsort((g["va"].to_numpy(), g["vb"].to_numpy()))] = np.arange(len(g))
+    return pd.DataFrame({"pair": [int(g["pair"].iloc[0])], "d": [_inversions(order, g["c"].to_numpy(dtype=np.float64))]})
+
+
+def _between_ranges(grid: pd.DataFrame) -> float:
+    """Discordant weight of rows in different ranges of both orders, from the
+    counts of the grid of ranges."""
+    xs, x = np.unique(grid["rx"], return_inverse=True)
+    ys, y = np.unique(grid["ry"], return_inverse=True)
+    counts = np.zeros((len(xs), len(ys)))
+    np.add.at(counts, (x, y), grid["c"].to_numpy(dtype=np.float64))
+    later = np.zeros_like(counts)  # weight in later x-ranges and earlier y-ranges
+    later[:-1, 1:] = counts[::-1].cumsum(axis=0)[::-1][1:].cumsum(axis=1)[:, :-1]
+    return float((counts * later).sum())
+
+
+def kendall_matrix(df: DataFrame, cols: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """Kendall's tau-b for all ordered pairs, pairwise complete; NULL where a
+    column is constant.
+
+    Rows become one cell for each distinct pair of values, with its count.
+    Discordant pairs are counted as inversions between the order by (a, b) and
+    the order by (b, a), in which tied values never invert.  Both orders are cut
+    into ranges: cells that differ in both ranges are counted from the grid of
+    ranges (at most ``ranges`` squared numbers, on the driver), those that share
+    a range within the group of that range.  Ties come from counts.  No pairs of
+    rows are made."""
+    if not cols:
+        return df.sparkSession.createDataFrame([], PAIR_SCHEMA)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    d = df.select(*[clean_double(c).alias(c) for c in cols])
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    entries = F.array(*[F.struct(F.lit(i).alias("pair"), F.col(a).alias("va"), F.col(b).alias("vb"))
+                        for i, (a, b) in enumerate(pairs)])
+    cells = (d.select(F.explode(entries).alias("e")).select("e.*").where("va is not null and vb is not null")
+             .groupBy("pair", "va", "vb").agg(F.count(F.lit(1)).alias("c")))
+    n_ranges = ranges or shuffle_partitions(spark)
+    cells = cells.repartitionByRange(n_ranges, "pair", "va", "vb").withColumn("rx", F.spark_partition_id()).checkpoint(eager=True)
+    cells = cells.repartitionByRange(n_ranges, "pair", "vb", "va").withColumn("ry", F.spark_partition_id()).checkpoint(eager=True)
+
+    def ties(by: list[str]) -> dict[int, float]:
+        t = cells.groupBy("pair", *by).agg(F.sum("c").cast("double").alias("t"))
+        return {r["pair"]: r["s"] for r in t.groupBy("pair").agg(F.sum(F.col("t") * (F.col("t") - 1) / 2).alias("s")).collect()}
+    same_x = cells.groupBy("pair", "rx").applyInPandas(lambda g: _discordant(g, ["va", "vb"]), "pair int, d double")
+    same_y = cells.groupBy("pair", "ry").applyInPandas(lambda g: _across(g), "pair int, d double")
+    inside = {r["pair"]: r["d"] for r in same_x.unionByName(same_y).groupBy("pair").agg(F.sum("d").alias("d")).collect()}
+    grid = {k: g for k, g in cells.groupBy("pair", "rx", "ry").agg(F.sum("c").alias("c")).toPandas().groupby("pair")}
+    all_, tx, ty, txy = ties([]), ties(["va"]), ties(["vb"]), ties(["va", "vb"])
+    rows = []
+    for i, (a, b) in enumerate(pairs):
+        tau = None
+        if i in all_:
+            n0, n1, n2, n3 = all_[i], tx[i], ty[i], txy[i]
+            below = math.sqrt(n0 - n1) * math.sqrt(n0 - n2)
+            if below > 0:
+                tau = (n0 - n1 - n2 + n3 - 2 * (inside.get(i, 0.0) + _between_ranges(grid[i]))) / below
+        rows += [(a, b, tau)] + ([(b, a, tau)] if a != b else [])
+    return spark.createDataFrame(rows, PAIR_SCHEMA)
+
+
+def _across(group: pd.DataFrame) -> pd.DataFrame:
+    """Discordant weight of cells that share a range of the order by (b, a) but
+    lie in different ranges of the order by (a, b): within such a range cells
+    are put in the order of (b, a), so they do not invert."""
+    return _discordant(group, ["rx", "vb", "va"])
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None, method: str = "spearman") -> DataFrame:
-    """``(column_a, column_b, correlation)`` for all ordered pairs.
-    Kendall's tau needs all pairs of rows and is not offered."""
+    """``(column_a, column_b, correlation)`` for all ordered pairs, by
+    ``pearson``, ``spearman`` or ``kendall`` (tau-b)."""
     cols = list(cols) if cols is not None else numeric_columns(df)
     if method == "pearson":
         return pearson_matrix(df, cols)
     if method == "spearman":
         return spearman_matrix(df, cols)
+    if method == "kendall":
+        return kendall_matrix(df, cols)
     raise ValueError(f"unsupported method {method!r}")
 
 

@@ -155,11 +155,14 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
 
 
 def class_counts(df: DataFrame, label: str) -> DataFrame:
-    """Counts for integer labels 0..max, zero classes kept (bincount).
-    The label range is a distributed ``spark.range``, whatever its length."""
+    """Counts for integer labels 0..max, zero classes kept (bincount); a
+    negative label is an error.  The label range is a distributed
+    ``spark.range``, whatever its length."""
     counts = df.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("int").alias("label")) \
         .agg(F.count(F.lit(1)).alias("count"))
-    top = counts.agg(F.max("label")).first()[0]
+    low, top = counts.agg(F.min("label"), F.max("label")).first()
+    if low is not None and low < 0:
+        raise ValueError(f"{label!r} has the negative label {low}")
     grid = df.sparkSession.range(0, 0 if top is None else max(top, 0) + 1).select(F.col("id").cast("int").alias("label"))
     return grid.join(counts, "label", "left").select("label", F.coalesce("count", F.lit(0)).alias("count"))
 

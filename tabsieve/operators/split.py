@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranks import checked_broadcast, running_counts, same_group
+from ..session import ensure_checkpoint_dir
 
 RANK = "class_rank"
 HASH = "_order_hash"
@@ -38,11 +39,6 @@ def order_hash(key: str, seed: str | int) -> F.Column:
     return F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))
 
 
-# Classes whose counts a split brings to the driver at most; a label with more
-# is an identifier, not a class.
-MAX_CLASSES = 100_000
-
-
 def class_ranks(df: DataFrame, key: str, label: str, seed: str | int) -> DataFrame:
     """0-based rank of each row inside its class in ``md5(key||seed), key``
     order; all columns are carried along and a NULL class is a class."""
@@ -51,11 +47,24 @@ def class_ranks(df: DataFrame, key: str, label: str, seed: str | int) -> DataFra
     return ranked.withColumnRenamed("rows_before", RANK).drop("_one", "group_total", HASH)
 
 
-def _class_counts(df: DataFrame, label: str) -> dict:
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes")
-    return {r[label]: r["n"] for r in rows}
+def quota_column(counts: DataFrame, label: str, size: str, total: int, name: str) -> DataFrame:
+    """``counts`` (a row a class, ``size`` rows each) with the class's quota of
+    ``total`` as ``name``: :func:`allocate` for any number of classes, none of
+    which reach the driver.  The classes that get one more are found by
+    distributed ranks."""
+    n = counts.agg(F.sum(size)).first()[0] or 0
+    if total > n:
+        raise ValueError(f"cannot take {total} rows out of {n}")
+    if not n:
+        return counts.withColumn(name, F.lit(0).cast("bigint"))
+    wide = F.lit(total).cast("decimal(19,0)") * F.col(size).cast("decimal(19,0)")
+    based = counts.withColumns({"_base": F.call_function("div", wide, F.lit(n).cast("decimal(19,0)")),
+                                "_rest": (-(wide % F.lit(n).cast("decimal(19,0)"))).cast("bigint"),
+                                "_some": F.col(label).isNotNull(), "_one": F.lit(1)}).checkpoint(eager=True)
+    left = total - based.agg(F.sum("_base")).first()[0]
+    ranked = running_counts(based, [], ["_rest", "_some", label], "_one")
+    return (ranked.withColumn(name, (F.col("_base") + (F.col("rows_before") < left).cast("int")).cast("bigint"))
+            .drop("_base", "_rest", "_some", "_one", "rows_before", "group_total"))
 
 
 def stratified_split(df: DataFrame, key: str, label: str | None, test_size: int, dev_size: int,
@@ -65,13 +74,11 @@ def stratified_split(df: DataFrame, key: str, label: str | None, test_size: int,
     label the whole table is one class (plain seeded random split)."""
     lab = label or "_all"
     base = df if label else df.withColumn(lab, F.lit(0))
-    counts = _class_counts(base, lab)
-    t_q = allocate(counts, test_size)
-    rest = {k: counts[k] - t_q[k] for k in counts}
-    d_q = allocate(rest, dev_size)
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = base.groupBy(lab).agg(F.count(F.lit(1)).alias("_n"))
+    counts = quota_column(counts, lab, "_n", test_size, "_tq").withColumn("_rest_n", F.col("_n") - F.col("_tq"))
+    quota = quota_column(counts, lab, "_rest_n", dev_size, "_dq").drop("_n", "_rest_n").checkpoint(eager=True)
     ranked = class_ranks(base, key, lab, seed)
-    quota = df.sparkSession.createDataFrame([(k, t_q[k], d_q[k]) for k in counts],
-                                            schema=base.select(lab).schema.add("_tq", "long").add("_dq", "long"))
     right, on = same_group(ranked, quota, [lab], "_quota_")
     out = ranked.join(checked_broadcast(right), on).drop(f"_quota_{lab}")
     sp = (F.when(F.col(RANK) < F.col("_tq"), "test")

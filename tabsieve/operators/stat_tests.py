@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import COLUMN, VALUE, categorical_columns, clean_double, to_long
-from ..functions.ranks import checked_broadcast, same_group, value_ranks
-from ..functions.stats import chi2_sf, norm_sf, t_ppf, t_two_sided_p
+from ..functions.ranks import BEFORE, checked_broadcast, same_group, value_ranks
+from ..functions.stats import (EXACT_U, chi2_sf, inverse_normal_sql, mann_whitney_exact_p, norm_sf, shapiro_francia_p, t_ppf,
+                               t_two_sided_p)
 from ..session import ensure_checkpoint_dir
 
 # Labels for Cohen's d and Cramer's V, by upper limit.
@@ -61,6 +62,39 @@ def normality_ks(df: DataFrame, col: str) -> dict:
             "normal": float(r["pValue"]) >= ALPHA}
 
 
+# Normal scores summed in one expression; longer runs of equal values are cut.
+SCORES_AT_ONCE = 4_096
+
+
+def normality_order(df: DataFrame, cols: Sequence[str], alpha: float = ALPHA) -> DataFrame:
+    """T1 from order statistics, on all rows: Shapiro-Francia W', the squared
+    correlation of the ordered values with the normal scores of their places,
+    ``quantile((i - 3/8) / (n + 1/4))``.
+
+    Places come from the distributed ranks, one row for each distinct value; a
+    run of equal values takes the sum of the scores of its places, in pieces
+    of ``SCORES_AT_ONCE`` spread over tasks.  W' is NULL for constant columns,
+    p (Royston's approximation) for under 5 values."""
+    long = to_long(df, cols).where(F.col(VALUE).isNotNull())
+    runs = value_ranks(long, [COLUMN], VALUE).select(COLUMN, VALUE, "cnt", BEFORE, F.col("group_total").alias("n"))
+    pieces = (runs.withColumn("from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cnt") - 1, F.lit(SCORES_AT_ONCE).cast("bigint"))))
+              .withColumn("to", F.least(F.col("from") + SCORES_AT_ONCE, F.col("cnt"))))
+    score = f"transform(sequence(from + 1, to), i -> ({BEFORE} + i - 0.375D) / (n + 0.25D))"
+    scores = f"transform({score}, p -> {inverse_normal_sql('p')})"
+    sums = pieces.selectExpr(COLUMN, VALUE, "to - from AS c", "n", f"{scores} AS m").selectExpr(
+        COLUMN, VALUE, "c", "n", "aggregate(m, 0D, (s, x) -> s + x) AS m", "aggregate(m, 0D, (s, x) -> s + x * x) AS mm")
+    # values are taken from the mean, which the scores (symmetric about 0) do not need
+    means = long.groupBy(COLUMN).agg(F.avg(VALUE).alias("mean"))
+    x = F.col(VALUE) - F.col("mean")
+    w = (sums.join(checked_broadcast(means), COLUMN).groupBy(COLUMN)
+         .agg(F.max("n").alias("n"), F.try_divide(F.sum(x * F.col("m")) ** 2, F.sum(F.col("c") * x * x) * F.sum("mm")).alias("statistic")))
+    ps = {r[COLUMN]: shapiro_francia_p(r["statistic"], r["n"]) for r in w.collect()}
+    p = F.lit(None).cast("double")
+    for c, v in ps.items():
+        p = F.when(F.col(COLUMN) == c, F.lit(None if math.isnan(v) else v).cast("double")).otherwise(p)
+    return w.select(COLUMN, F.lit("Shapiro-Francia").alias("test"), "n", "statistic", p.alias("p_value"), (p >= alpha).alias("normal"))
+
+
 # ----------------------------------------------------------------- T2 confidence interval
 
 def mean_standard_error(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -131,11 +165,7 @@ def cohens_d(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) -> Data
     return m.select(COLUMN, d.alias("cohens_d"), _label(d, COHEN_LABELS).alias("effect"))
 
 
-def mann_whitney(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) -> DataFrame:
-    """T5: Mann-Whitney U of group 1 with tie-averaged ranks, and the
-    tie-corrected normal z of the two-sided test (continuity corrected, on
-    ``max(U1, U2)``).  Ranks per column come from :func:`value_ranks`: one
-    row per distinct value, ranges spread over tasks."""
+def _u_table(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) -> DataFrame:
     long = _two_group_long(df, cols, group_col, v1, v2)
     ranked = value_ranks(long, [COLUMN], VALUE, extra_sums=["_g1"])
     agg = ranked.groupBy(COLUMN).agg(
@@ -150,7 +180,37 @@ def mann_whitney(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) ->
     s = F.sqrt(n1 * n2 / 12.0 * ((n + 1) - F.try_divide(F.col("_ties"), n * (n - 1))))
     z = F.try_divide(F.greatest(u1, n1 * n2 - u1) - mu - 0.5, s)
     return agg.select(COLUMN, n1.cast("bigint").alias("group1_n"), n2.cast("bigint").alias("group2_n"),
-                      u1.alias("u_statistic"), z.alias("z"))
+                      u1.alias("u_statistic"), z.alias("z"), (F.col("_ties") > 0).alias("tied"))
+
+
+def mann_whitney(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) -> DataFrame:
+    """T5: Mann-Whitney U of group 1 with tie-averaged ranks, and the
+    tie-corrected normal z of the two-sided test (continuity corrected, on
+    ``max(U1, U2)``).  Ranks per column come from :func:`value_ranks`: one
+    row per distinct value, ranges spread over tasks."""
+    return _u_table(df, cols, group_col, v1, v2).drop("tied")
+
+
+# Size of the smaller group up to which the p-value is exact, if no values tie.
+EXACT_GROUP = 8
+
+
+def _u_p(r) -> float | None:
+    """Two-sided p-value: counted for a group of at most ``EXACT_GROUP`` values
+    without ties, else from the normal approximation."""
+    n1, n2 = r["group1_n"], r["group2_n"]
+    if 0 < min(n1, n2) <= EXACT_GROUP and not r["tied"] and n1 * n2 <= EXACT_U:
+        return mann_whitney_exact_p(r["u_statistic"], n1, n2)
+    return min(1.0, 2.0 * norm_sf(r["z"])) if r["z"] is not None else None
+
+
+def mann_whitney_test(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2) -> DataFrame:
+    """T5 with its two-sided ``p_value``: :func:`mann_whitney`, whose few rows
+    get their p on the driver."""
+    rows = _u_table(df, cols, group_col, v1, v2).collect()
+    return df.sparkSession.createDataFrame(
+        [(r[COLUMN], r["group1_n"], r["group2_n"], r["u_statistic"], r["z"], _u_p(r)) for r in rows],
+        f"{COLUMN} string, group1_n bigint, group2_n bigint, u_statistic double, z double, p_value double")
 
 
 def compare_two_groups(df: DataFrame, cols: Sequence[str], group_col: str, v1, v2,
@@ -166,7 +226,7 @@ def compare_two_groups(df: DataFrame, cols: Sequence[str], group_col: str, v1, v
         (got := group_moments(df, cols, group_col, v1, v2)).collect(), got.schema)
     m = {r[COLUMN]: r for r in moments.collect()}
     w = {r[COLUMN]: r for r in _welch(moments).collect()}
-    u = {r[COLUMN]: r for r in mann_whitney(df, cols, group_col, v1, v2).collect()}
+    u = {r[COLUMN]: r for r in _u_table(df, cols, group_col, v1, v2).collect()}
     rows = []
     for c in cols:
         r = m.get(c)
@@ -190,7 +250,7 @@ def compare_two_groups(df: DataFrame, cols: Sequence[str], group_col: str, v1, v
             p = t_two_sided_p(stat, w[c]["welch_df"]) if stat is not None else None
         else:
             test, stat = "mannwhitneyu", u[c]["u_statistic"]
-            p = min(1.0, 2.0 * norm_sf(u[c]["z"])) if u[c]["z"] is not None else None
+            p = _u_p(u[c])
         s1, s2 = r["group1_std"] or 0.0, r["group2_std"] or 0.0
         pooled = math.sqrt((s1 ** 2 + s2 ** 2) / 2.0)
         d = abs(r["group1_mean"] - r["group2_mean"]) / pooled if pooled else 0.0

@@ -172,8 +172,8 @@ def read_json_report(spark: SparkSession, path: str) -> dict:
 # ----------------------------------------------------------------- S8 model and artifacts
 
 def save_model(model, path: str, feature_names: Sequence[str], metrics: DataFrame | None = None) -> None:
-    """Spark ML model (``write().overwrite()``), the feature-name list and
-    the metrics summary next to it."""
+    """The model (``write().overwrite()``), the feature-name list and the
+    metrics summary next to it."""
     model.write().overwrite().save(f"{path}/model")
     spark = SparkSession.getActiveSession()
     spark.createDataFrame([(i, n) for i, n in enumerate(feature_names)], "position int, feature string") \
@@ -182,6 +182,17 @@ def save_model(model, path: str, feature_names: Sequence[str], metrics: DataFram
         metrics.coalesce(1).write.mode("overwrite").parquet(f"{path}/metrics")
 
 
+def load_model(spark: SparkSession, path: str):
+    """The model that :func:`save_model` wrote, a tree model or a Spark ML
+    pipeline."""
+    from pyspark.ml import PipelineModel
+
+    from ..operators.tree_model import TreeModel
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/model/nodes")
+    is_tree = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return TreeModel.load(spark, f"{path}/model") if is_tree else PipelineModel.load(f"{path}/model")
+
+
 # ----------------------------------------------------------------- S9 run log
 
 RUN_PARAMS_SCHEMA = "run_id string, key string, value string"
@@ -189,16 +200,32 @@ RUN_METRICS_SCHEMA = "run_id string, split string, metric string, value double"
 
 
 def log_run(spark: SparkSession, root: str, run_id: str, params: dict, metrics: DataFrame | None) -> None:
-    """Append a run's parameters ``(run_id, key, value)`` and metrics
-    ``(run_id, split, metric, value)`` to two Parquet tables under ``root``; a
-    failed run has parameters (with its error) only."""
+    """Record a run's parameters ``(run_id, key, value)`` and metrics
+    ``(run_id, split, metric, value)`` in two Parquet tables under ``root``; a
+    failed run has parameters (with its error) only.
+
+    Each run has a folder of its own in both tables, so writing it again
+    replaces it and writers of other runs do not meet.  The parameters, one
+    file that appears by a rename, are written last: they are the run's
+    manifest, and a run without them counts as unwritten in :func:`read_runs`."""
+    if metrics is not None:
+        (metrics.select(F.lit(run_id).alias("run_id"), F.col("split").cast("string"), F.col("metric").cast("string"),
+                        F.col("value").cast("double"))
+         .write.mode("overwrite").parquet(_run_folder(root, "run_metrics", run_id)))
     spark.createDataFrame([(run_id, str(k), json.dumps(v, default=str)) for k, v in params.items()],
-                          RUN_PARAMS_SCHEMA).write.mode("append").parquet(f"{root}/run_params")
-    if metrics is None:
-        return
-    (metrics.select(F.lit(run_id).alias("run_id"), F.col("split").cast("string"), F.col("metric").cast("string"),
-                    F.col("value").cast("double"))
-     .write.mode("append").parquet(f"{root}/run_metrics"))
+                          RUN_PARAMS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(_run_folder(root, "run_params", run_id))
+
+
+def _run_folder(root: str, table: str, run_id: str) -> str:
+    # a partition of its own; the letter keeps the value a string
+    return f"{root}/{table}/run=r-{run_id}"
+
+
+def read_runs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """(parameters, metrics) of the runs that are written completely."""
+    params = spark.read.parquet(f"{root}/run_params").drop("run")
+    metrics = spark.read.parquet(f"{root}/run_metrics").drop("run")
+    return params, metrics.join(params.select("run_id").distinct(), "run_id", "left_semi")
 
 
 def append_stage(stage_rows: DataFrame, root: str) -> None:

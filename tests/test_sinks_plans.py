@@ -64,8 +64,7 @@ def test_run_log_stage_and_training_plan(spark, sf001, tmp_path):
         assert rm.where((F.col("split") == split) & (F.col("metric") == metric)).count() == 3, metric
     assert rm.where(F.col("metric") == "native:n_chars").count() >= 1
     assert spark.read.parquet(f"{out}/run_params").count() > 0
-    from pyspark.ml import PipelineModel
-    m = PipelineModel.load(f"{out}/best_model/model")
+    m = io.load_model(spark, f"{out}/best_model")
     assert train.score(m, splits["test"], "quality").count() == 60
     feats_back = [r["feature"] for r in spark.read.parquet(f"{out}/best_model/features").orderBy("position").collect()]
     assert feats_back == feats
@@ -97,9 +96,27 @@ def test_failed_learner_leaves_a_record(spark):
     assert train.leaderboard_of(runs).count() == 1
 
 
-def test_depth_beyond_spark_is_an_error():
-    with pytest.raises(ValueError, match="depth"):
-        train.make_estimator("random_forest", {"max_depth": 31}, "y", False)
+def test_run_written_twice_counts_once(spark, tmp_path):
+    root = str(tmp_path / "log")
+    metrics = spark.createDataFrame([("val", "f1_score", 0.5), ("val", "recall", 0.25)], "split string, metric string, value double")
+    for run, times in (("aa11", 2), ("1234567", 1)):
+        for _ in range(times):
+            io.log_run(spark, root, run, {"model_name": "x", "n": 3}, metrics)
+    io.log_run(spark, root, "failed", {"error": "y"}, None)
+    # a writer that stopped before the manifest
+    metrics.selectExpr("'half' AS run_id", "*").write.parquet(io._run_folder(root, "run_metrics", "half"))
+    params, got = io.read_runs(spark, root)
+    assert params.columns == ["run_id", "key", "value"] and got.columns == ["run_id", "split", "metric", "value"]
+    assert sorted((r["run_id"], r["key"]) for r in params.collect()) == [
+        ("1234567", "model_name"), ("1234567", "n"), ("aa11", "model_name"), ("aa11", "n"), ("failed", "error")]
+    assert sorted((r["run_id"], r["metric"]) for r in got.collect()) == [
+        ("1234567", "f1_score"), ("1234567", "recall"), ("aa11", "f1_score"), ("aa11", "recall")]
+
+
+def test_depth_has_no_limit(spark):
+    df = spark.createDataFrame([(i, float(i), i % 2) for i in range(80)], "k bigint, x double, y int")
+    m = train.fit_model("random_forest", df, ["x"], "y", {"n_estimators": 5, "max_depth": 79, "max_features": None}, key="k")
+    assert train.score(m, df, "y").where("label = prediction").count() > 60
 
 
 def test_production_comparison_outcomes(spark):

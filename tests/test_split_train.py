@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -109,3 +111,23 @@ def test_permutation_is_a_permutation(spark):
     p = importance.permuted(df, "k", ["x"], seed=5)
     assert sorted(r["x__perm"] for r in p.collect()) == sorted(r["x"] for r in df.collect())
     assert p.where(F.col("x") != F.col("x__perm")).count() > 900
+
+
+def test_quotas_without_the_driver_equal_allocate(spark):
+    rng = random.Random(3)
+    for total in (0, 1, 57, 500):
+        counts = {None: 7, **{f"c{i}": rng.randint(1, 40) for i in range(60)}}
+        df = spark.createDataFrame(list(counts.items()), "c string, n bigint")
+        got = {r["c"]: r["q"] for r in split.quota_column(df, "c", "n", total, "q").collect()}
+        assert got == split.allocate(counts, total)
+    with pytest.raises(ValueError, match="cannot take"):
+        split.quota_column(df, "c", "n", 10 ** 6, "q")
+    many = spark.range(150_000).selectExpr("id", "id AS cls")
+    parts = split.stratified_split(many, "id", "cls", 500, 610).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in parts} == {"test": 500, "dev": 610, "train": 148_890}
+
+
+def test_negative_labels_are_an_error(spark):
+    from tabsieve.operators import profile
+    with pytest.raises(ValueError, match="negative"):
+        profile.class_counts(spark.createDataFrame([(1,), (-2,)], "y int"), "y")
