@@ -62,7 +62,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        # texts with the string of a special token (in any case) go whole through the library
+        self.special = [t["content"].lower() for t in json.loads(self.tok.to_str()).get("added_tokens", [])]
         self.tok.no_padding()
         self.tok.no_truncation()
         with open(path, encoding="utf-8") as f:
@@ -110,7 +111,7 @@ class WordEncoder:
         return got
 
     def encode(self, text: str) -> bytes:
-        if not self.whole_words:
+        if not self.whole_words or any(x in text.lower() for x in self.special):
             return self._library(text)
         known = self.words
         return b"".join([known[w] if w in known else self._word(w) for w in _ascii_words(text)])

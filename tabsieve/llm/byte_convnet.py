@@ -15,19 +15,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabsieve.functions.ranks import checked_broadcast
 from tabsieve.llm.common import id_crc_mod, prepare, text_slices, texts_of
 
 WINDOW = 128
 VECTOR = 8
 #: Filters of each width.
 FILTERS = {2: 8, 3: 12, 4: 12}
-#: Training windows of each language, at most.
+#: Training windows of each language, at most, and of all languages together
+#: (but at least one of each).
 WINDOWS_PER_LANGUAGE = 3_000
-#: Languages that are learned: the most frequent of the training rows.
-MAX_LANGUAGES = 200
+TRAINING_WINDOWS = 60_000
 EPOCHS = 6
 UNKNOWN = "und"
 #: Windows that go through the network at once.
@@ -206,21 +207,23 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def training_windows(docs: DataFrame, mod: int = 5, held_out: int = 0,
                      per_language: int = WINDOWS_PER_LANGUAGE) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, windows and labels to learn from: at most ``per_language``
-    windows of each of the ``MAX_LANGUAGES`` most frequent languages, from
-    documents outside the held-out remainder.  Documents and the windows of
-    a text are taken by hash, so the choice is the same on every run."""
+    windows of each non-null language of documents outside the held-out
+    remainder, fewer where ``TRAINING_WINDOWS`` are shared by many languages.
+    Documents and the windows of a text are taken by hash, so the choice is the
+    same on every run."""
     prepare(docs.sparkSession)
     rows = (docs.select("doc_id", "text", "lang")
             .filter("lang is not null and text is not null")
             .filter(id_crc_mod(F.col("doc_id"), mod) != held_out))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
-    languages = sorted(counts)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).checkpoint()
+    n_languages = counts.count()
+    per_language = max(1, min(per_language, TRAINING_WINDOWS // max(1, n_languages)))
     per_text = 3
-    want = F.lit(0.0)
-    for lang, n in counts.items():  # expected number of texts: enough for per_language windows
-        want = F.when(F.col("lang") == lang, F.lit(min(1.0, 1.5 * per_language / n))).otherwise(want)
-    chosen = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_003)) < want * 1_000_003)
+    # expected number of texts: enough for per_language windows, some more of rare languages
+    share = F.least(F.lit(1.0), (1.5 * per_language + 20) / F.col("n"))
+    # one row a language, broadcast when counted small, so texts stay where they are
+    chosen = (rows.join(checked_broadcast(counts), "lang").filter(
+        F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_003)) < share * 1_000_003))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -242,12 +245,15 @@ def training_windows(docs: DataFrame, mod: int = 5, held_out: int = 0,
                     [pa.array(lang, pa.string()), pa.array(order, pa.int64()), pa.array(window, pa.binary())],
                     names=["lang", "h", "window"])
 
-    found = chosen.select("text", "lang").mapInArrow(run, "lang string, h bigint, window binary").checkpoint()
-    parts = [found.filter(F.col("lang") == lang).orderBy("h", "window").limit(per_language).collect()
-             for lang in languages]
-    labels = np.concatenate([np.zeros(0, dtype=np.int64), *(np.full(len(p), i) for i, p in enumerate(parts))])
-    grid = b"".join(r["window"] for p in parts for r in p)
-    return languages, np.frombuffer(grid, dtype=np.uint8).reshape(-1, WINDOW), labels.astype(np.int64)
+    found = chosen.select("text", "lang").mapInArrow(run, "lang string, h bigint, window binary")
+    # a sample of bounded size for each language
+    first = Window.partitionBy("lang").orderBy("h", "window")
+    got = (found.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= per_language)
+           .select("lang", "place", "window").toPandas().sort_values(["lang", "place"]))
+    languages = sorted(r["lang"] for r in counts.select("lang").collect())
+    number = {lang: i for i, lang in enumerate(languages)}
+    labels = np.array([number[x] for x in got["lang"]], dtype=np.int64)
+    return languages, np.frombuffer(b"".join(got["window"]), dtype=np.uint8).reshape(-1, WINDOW), labels
 
 
 def train(docs: DataFrame, mod: int = 5, held_out: int = 0) -> ByteConvNet:

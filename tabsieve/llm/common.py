@@ -99,6 +99,22 @@ def segments(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tup
             yield tuple(c[lo] for c in cols), batch.slice(lo, hi - lo)
 
 
+#: A key with more than one in so many rows is joined by broadcast.
+HOT_SHARE = 1_000
+
+
+def join_facts(rows: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of ``facts`` (one row a key), joined so that no
+    task gets all rows of a key that many rows share: such keys, at most
+    ``HOT_SHARE`` of them, meet their facts by broadcast, others by shuffle.
+    Both inputs are read more than once and should be written tables."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("_n")).checkpoint()
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.filter(F.col("_n") > max(1, total // HOT_SHARE)).select(key)
+    often = rows.join(F.broadcast(facts.join(F.broadcast(hot), key, "left_semi")), key)
+    return often.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(facts, key))
+
+
 class LocalForest:
     """Union-find over row numbers 0..n-1 of one task's bounded block."""
 

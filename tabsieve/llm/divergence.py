@@ -41,9 +41,6 @@ SEGMENT_WORDS = 200_000
 #: A language is a reference if it holds at least so many words, whatever its
 #: share of the corpus: a common word has 8 of them.
 REFERENCE_WORDS = 2_000
-#: Share of all words below which the SQL comparison leaves a language out; not
-#: used here, so the two agree where every language has both.
-LANGUAGE_SHARE = 0.005
 MIN_CHARS = 200
 MIN_WORDS = 60
 MAX_CHAR_DISTANCE = 0.24

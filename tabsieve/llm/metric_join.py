@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabsieve.llm.common import LocalForest, connected_components, prepare, segments
+from tabsieve.llm.common import LocalForest, connected_components, join_facts, prepare, segments
 from tabsieve.session import shuffle_partitions
 
 COSINE = 0.9
@@ -122,8 +122,16 @@ def _join_blocks(cosine: float):
                 r, h = r[keep], h[keep]
                 np.add.at(state["links"], r, copies[h])
                 np.add.at(state["links"], h, copies[r])
-                for a, b in zip(r.tolist(), h.tolist()):
+                if not len(r):
+                    continue
+                # each row joins its first partner; the partners of one such leader are told to it once
+                first = np.concatenate([[True], r[1:] != r[:-1]])
+                lead = h[first][np.cumsum(first) - 1]
+                n = len(ids)
+                for a, b in zip(r[first].tolist(), h[first].tolist()):
                     state["forest"].join(a, b)
+                for key in np.unique(lead * n + h).tolist():
+                    state["forest"].join(*divmod(key, n))
             return state
 
         def _alike(x, norm, state):
@@ -214,11 +222,11 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cell_rows: int = CE
              .join(links, "class_id", "left")
              .join(component.withColumnRenamed("node", "class_id"), "class_id", "left")
              .select("class_id", F.coalesce("component", "class_id").alias("component"), "first_id",
-                     (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
-    lowest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_class = named.join(lowest, "component").select("class_id", "n_links", "component_id")
-    linked = (sound.select("vec_id", F.xxhash64("vec", F.lit(1)).alias("class_id")).join(by_class, "class_id")
-              .select("vec_id", "n_links", "component_id"))
+                     (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))).checkpoint()
+    lowest = named.groupBy("component").agg(F.min("first_id").alias("component_id")).checkpoint()
+    by_class = join_facts(named, lowest, "component").select("class_id", "n_links", "component_id").checkpoint()
+    members = sound.select("vec_id", F.xxhash64("vec", F.lit(1)).alias("class_id")).checkpoint()
+    linked = join_facts(members, by_class, "class_id").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~usable(F.col("vec"))).select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

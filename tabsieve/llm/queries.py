@@ -176,7 +176,7 @@ bare AS (SELECT * FROM (
                     '{_LETTERS.lower()}'), '!"''(),-./:;?[]_#*$%&|<>'))) AS word
              FROM t JOIN w ON t.rid = w.rid) WHERE word <> ''),
 lang_n AS (SELECT lang, count(*) AS n FROM bare WHERE has AND lang IS NOT NULL GROUP BY 1),
-langs AS (SELECT lang, n FROM lang_n WHERE n >= {d.LANGUAGE_SHARE} * (SELECT sum(n) FROM lang_n)),
+langs AS (SELECT lang, n FROM lang_n WHERE n >= {d.REFERENCE_WORDS}),
 common AS (SELECT bare.lang, word, count(*) AS c, any_value(n) AS n FROM bare JOIN langs ON bare.lang = langs.lang
            WHERE has GROUP BY 1, 2 HAVING count(*) >= {d.COMMON_SHARE} * any_value(n)),
 k AS (SELECT rid, {kinds}, length(text) AS n_chars, lang, has FROM t),
@@ -197,7 +197,8 @@ filled AS (SELECT rid, lang, total, p, q FROM cells
 wd AS (SELECT rid, lang, total, count(*) AS bins, {js} AS dist FROM filled GROUP BY 1, 2, 3),
 best AS (SELECT rid, arg_min(lang, (dist, lang)) AS lang FROM (
              SELECT rid, lang, dist FROM wd
-             UNION ALL SELECT rid, lang, dist FROM cd WHERE rid NOT IN (SELECT rid FROM wd)) GROUP BY 1),
+             UNION ALL SELECT rid, lang, dist FROM cd WHERE rid NOT IN (SELECT rid FROM wd))
+         WHERE rid NOT IN (SELECT rid FROM t WHERE lang IS NOT NULL AND lang NOT IN (SELECT lang FROM langs)) GROUP BY 1),
 judged AS (SELECT base.*, n_words < {d.BASE_MIN_WORDS} OR 100 * n_repeat_words > {d.BASE_MAX_REPEAT_PERCENT} * n_words
                       AS base_failed,
                   cd.dist AS cdist, wd.dist AS wdist, best.lang AS nearest_lang,

@@ -11,6 +11,22 @@ words common in the corpus itself), marks of a path or address, and its
 neighbours: how often findings after that word, or before that one, were
 secrets among the labelled ones, and whether it is assigned or quoted.  A
 random forest trained on labelled findings then says which are secrets.
+
+Without a table of labelled findings two sources serve, and neither takes its
+label from a feature of the finding: findings of the corpus whose format alone
+settles them (known key formats against plain numbers, addresses and host names
+that no credential word assigns), and *planted* findings (:func:`planted`), values made
+as secrets are made and words, numbers, calls and addresses as prose has them,
+both put after the same credential words, so that there the neighbours tell
+nothing and the value has to.
+
+The pattern runs once over a text: it marks the hits, the text is split at the
+marks, and everything else is taken from the parts by running sums and the parts
+before and after, in time linear in the text and its hits.
+
+Rows: null and empty texts have no findings and come back as they are; repeated
+rows have theirs each; a null id is an id like any other.  Text of any length is
+handled whole.
 """
 
 from __future__ import annotations
@@ -20,7 +36,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsieve.llm.common import id_crc_mod
@@ -53,8 +69,11 @@ CONTEXT_CHARS = 48
 #: A word is in the dictionary if it makes up this share of the corpus' words,
 #: so the dictionary has at most 1 / share words.
 DICTIONARY_SHARE = 2e-5
-#: Labelled findings of each class that the forest is trained on, at most.
-SAMPLE_PER_CLASS = 5_000
+WORD = r"\p{L}{3,}"
+#: Labelled findings of each class that the forest is trained on, at most, and
+#: those of them that are planted.
+SAMPLE_PER_CLASS = 8_000
+PLANTED_PER_CLASS = 4_000
 #: Labelled findings that a neighbouring word needs to count.
 MIN_NEIGHBOURS = 5
 TREES, DEPTH, SEED = 24, 6, 7
@@ -63,46 +82,121 @@ FEATURES = ["f_length", "f_changes", "f_digits", "f_capitals", "f_hex", "f_disti
             "f_in_path", "f_before", "f_after", "f_assigned", "f_quoted"]
 
 
+#: Set around hits; a text's own marks are read as REPLACEMENT.
+HIT_MARK, REPLACEMENT = "\ue000", "\ufffd"
+#: A hit has five characters or more, so so many parts of a text (hits and the
+#: text between) hold the characters around a candidate.
+CONTEXT_PARTS = 2 * (CONTEXT_CHARS // 5 + 1) + 1
+
+
+def marked_parts(text: Column) -> Column:
+    """The text split before and after every hit of the pattern: text and hits
+    by turns.  One element if there is no hit; null for null."""
+    return F.split(F.regexp_replace(F.translate(text, HIT_MARK, REPLACEMENT), FIND, f"{HIT_MARK}$0{HIT_MARK}"), HIT_MARK, -1)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, start, candidate, before, after) of every candidate in
     every whole text; ``start`` counts characters from 0.  A null or empty text
     has none; repeated rows have theirs each."""
-    found = (docs.select("doc_id", "text").filter(F.col("text").rlike(FIND))
-             .select("doc_id", F.xxhash64("text").alias("text_key"),
-                     F.regexp_extract_all("text", F.lit(FIND), F.lit(0)).alias("hits"),
-                     F.split("text", FIND, -1).alias("gaps")))
-    # lengths of hits and gaps give positions, their ends the surroundings: one running fold a text each way
-    ahead = F.expr(f"""aggregate(sequence(1, size(hits)), array(named_struct('offset', 0L, 'near', '')),
-        (a, i) -> concat(a, array(named_struct(
-            'offset', a[i - 1].offset + length(gaps[i - 1]) + length(hits[i - 1]),
-            'near', right(concat(a[i - 1].near, right(gaps[i - 1], {CONTEXT_CHARS}),
-                                 right(hits[i - 1], {CONTEXT_CHARS})), {CONTEXT_CHARS})))))""")
-    behind = F.expr(f"""slice(reverse(aggregate(sequence(1, size(hits)), array(left(gaps[size(hits)], {CONTEXT_CHARS})),
-        (a, i) -> concat(a, array(left(concat(left(gaps[size(hits) - i], {CONTEXT_CHARS}),
-            left(hits[size(hits) - i], {CONTEXT_CHARS}), a[i - 1]), {CONTEXT_CHARS}))))), 2, size(hits))""")
-    hits = (found.withColumn("ahead", ahead).withColumn("behind", behind).select(
-        "doc_id", "text_key", F.posexplode(F.arrays_zip(
-            F.col("hits").alias("hit"), F.slice("gaps", 1, F.size("hits")).alias("gap"),
-            F.slice("ahead", 1, F.size("hits")).alias("ahead"),
-            F.slice("behind", 1, F.size("hits")).alias("after"))).alias("no", "z")))
+    ensure_checkpoint_dir(docs.sparkSession)
+    parts = (docs.select("doc_id", F.xxhash64("text").alias("text_key"), marked_parts(F.col("text")).alias("parts"))
+             .filter(F.size("parts") > 1).withColumn("row_id", F.monotonically_increasing_id()).checkpoint())
+    return _candidates(parts).drop("row_id", "no", "name")
+
+
+def _candidates(parts: DataFrame) -> DataFrame:
+    """Candidates of marked texts (row_id, doc_id, text_key, parts); ``no`` is
+    the place of the hit among the parts, ``name`` its beginning that stays."""
+    cut = parts.select("row_id", "doc_id", "text_key", F.posexplode("parts").alias("no", "part")).select(
+        "row_id", "doc_id", "text_key", "no", F.length("part").cast("long").alias("length"),
+        F.when(F.col("no") % 2 == 1, F.col("part")).alias("hit"),
+        F.left("part", F.lit(CONTEXT_CHARS)).alias("head"), F.right("part", F.lit(CONTEXT_CHARS)).alias("tail"))
+    order = Window.partitionBy("row_id").orderBy("no")
+    near = cut.withColumns({
+        "offset": F.coalesce(F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "ahead": F.array_join(F.collect_list("tail").over(order.rowsBetween(-CONTEXT_PARTS, -1)), ""),
+        "behind": F.array_join(F.collect_list("head").over(order.rowsBetween(1, CONTEXT_PARTS)), "")})
     # a value's name is a part of the hit
-    return (hits.withColumn("name", F.regexp_extract("z.hit", f"^{KEYED}[\"']?", 0))
-            .select("doc_id", "text_key",
-                    (F.col("z.ahead.offset") + F.length("z.gap") + F.length("name")).alias("start"),
-                    F.expr("substring(z.hit, length(name) + 1)").alias("candidate"),
-                    F.expr(f"right(concat(z.ahead.near, z.gap, name), {CONTEXT_CHARS})").alias("before"),
-                    F.col("z.after").alias("after")))
+    return (near.filter("hit is not null").withColumn("name", F.regexp_extract("hit", f"^{KEYED}[\"']?", 0))
+            .select("row_id", "no", "name", "doc_id", "text_key", (F.col("offset") + F.length("name")).alias("start"),
+                    F.expr("substring(hit, length(name) + 1)").alias("candidate"),
+                    F.expr(f"right(concat(ahead, name), {CONTEXT_CHARS})").alias("before"),
+                    F.expr(f"left(behind, {CONTEXT_CHARS})").alias("after")))
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n): lower-case words of three or more letters."""
+    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("word"))
+    return words.groupBy("word").agg(F.count("*").alias("n")).checkpoint()
 
 
 def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
-    """(word): lower-case words of three or more letters that make up at least
-    ``share`` of all such words in the corpus; at most 1 / share words."""
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0))).alias("word"))
-    counts = words.groupBy("word").agg(F.count("*").alias("n")).checkpoint()
+    """(word): words that make up at least ``share`` of all words of the corpus;
+    at most 1 / share words."""
+    return _common(word_counts(docs), share)
+
+
+def _common(counts: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
     total = counts.agg(F.sum("n")).first()[0] or 0
     return counts.filter(F.col("n") >= share * total).select("word")
 
 
+def planted(counts: DataFrame, per_class: int = PLANTED_PER_CLASS) -> DataFrame:
+    """Labelled findings (doc_id, text_key, start, candidate, before, after,
+    label) made from at most ``per_class`` words of the corpus: one value of
+    each label for each word (more for few words), both after the same
+    credential word and mark.  Fewer than three words give none: a pass phrase
+    takes as many."""
+    words = counts.filter((F.length("word") <= 32) & (F.col("n") >= 2)).orderBy(F.xxhash64("word"), "word").limit(per_class).checkpoint()
+    n = words.count()
+    if n < 3:
+        words, n = counts.filter(F.length("word") <= 32).orderBy(F.xxhash64("word"), "word").limit(per_class).checkpoint(), 0
+        if (n := words.count()) < 3:
+            words, n = words.limit(0), 1
+    order = Window.orderBy(F.xxhash64("word"), "word")  # at most per_class rows
+    near = (words.select("word", F.coalesce(F.lead("word", 1).over(order), F.lit("alpha")).alias("second"),
+                         F.coalesce(F.lead("word", 2).over(order), F.lit("omega")).alias("third"))
+            .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(min(500, per_class // 2 // n))))))
+
+    def draw(salt: int, n: int) -> Column:
+        return F.pmod(F.xxhash64("word", "copy", F.lit(salt)), F.lit(n)).cast("int")
+
+    digest = F.sha2(F.concat_ws("/", "word", "copy"), 512)
+    mixed = F.translate(F.base64(F.unhex(digest)), "+/=", "")
+    upto = lambda c, low, high, salt: F.substring(c, F.lit(1), F.lit(low) + draw(salt, high - low + 1))
+    digits = lambda low, high, salt: F.rpad(F.substring(
+        F.regexp_replace(digest, "[a-f]", ""), F.lit(1), F.lit(low) + draw(salt, high - low + 1)), low, "7")
+    secret = [upto(digest, 16, 64, 1), upto(mixed, 8, 40, 2), upto(F.translate(mixed, "aeiouAEIO", "!@#$%^&*?"), 6, 24, 3),
+              F.concat(upto(F.col("word"), 4, 8, 8), upto(F.col("second"), 4, 8, 9), upto(F.col("third"), 4, 8, 10)),
+              F.concat("word", digits(1, 4, 4)),
+              upto(F.translate(mixed, "0123456789", "qWzXvBnMkJ"), 12, 40, 5),
+              F.concat_ws("-", F.substring(digest, 1, 8), F.substring(digest, 9, 4), F.substring(digest, 13, 12)),
+              F.concat(F.substring(F.translate(mixed, "0123456789", "qWzXvBnMkJ"), 1, 1), F.lit(" "), F.substring(mixed, 5, 1), digits(1, 2, 6)),
+              F.concat(F.substring("word", 1, 1), digits(1, 3, 7))]
+    harmless = [F.col("word"), F.initcap("word"), F.col("word"), digits(1, 6, 11), F.concat("word", F.lit("("), "second", F.lit(")")),
+                F.concat(F.lit("https://"), "word", F.lit(".org/"), "second", F.lit("/"), "third", F.lit(".html")),
+                F.concat("word", F.lit("."), "second"), F.concat("word", F.lit("_"), "second"), F.concat("word", F.lit("-"), "second"),
+                F.initcap("word"), F.concat(F.lit("20"), F.lpad(digits(2, 2, 12), 2, "1"), F.lit("-0"), digits(1, 1, 13), F.lit("-1"), digits(1, 1, 14)),
+                F.concat("word", F.lit("@"), "second", F.lit(".org"))]
+
+    def pick(values: list[Column], salt: int) -> Column:
+        return F.element_at(F.array(*values), 1 + draw(salt, len(values)))
+
+    # the words that follow findings in prose are the common ones
+    following = [F.lit(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(50).collect()] or [F.lit("end")]
+    name = pick([F.lit(w) for w in CREDENTIAL_WORDS], 21)
+    mark = pick([F.lit(m) for m in (": ", " = ", "=", ': "', ' = "', "='")], 22)
+    before = F.when(draw(23, 8) == 0, F.lit("Bearer ")).otherwise(F.concat("third", F.lit(" "), name, mark))
+    after = F.concat(F.when(F.col("before").rlike("[\"\']$"), F.substring("before", -1, 1)).otherwise(F.lit("")), F.lit(" "), pick(following, 26))
+    return near.withColumn("before", before).select(
+        F.lit(None).cast("long").alias("doc_id"), F.xxhash64("word", "copy").alias("text_key"), F.length("before").cast("long").alias("start"),
+        "before", after.alias("after"),
+        F.explode(F.array(F.struct(pick(secret, 24).alias("candidate"), F.lit(1.0).alias("label")),
+                          F.struct(pick(harmless, 25).alias("candidate"), F.lit(0.0).alias("label")))).alias("v")).select(
+        "doc_id", "text_key", "start", "v.candidate", "before", "after", "v.label")
+
+
 def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     """``found`` with the features that need no labels, and the neighbours."""
     c = F.col("candidate")
@@ -114,8 +208,9 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         c, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "9"), "[^aA9]", "-")
     runs = F.length(F.regexp_replace(classes, r"(.)\1+", "$1"))
-    pieces = F.regexp_extract_all(F.lower(c), F.lit("[a-z]{3,}"), F.lit(0))
-    keys = ["doc_id", "text_key", "start", "candidate", "before", "after"]
+    pieces = F.regexp_extract_all(F.lower(c), F.lit(WORD), F.lit(0))
+    keys = [x for x in ("row_id", "no", "name", "doc_id", "text_key", "start", "candidate", "before", "after", "label")
+            if x in found.columns]
     # a candidate's pieces meet the dictionary once for each distinct candidate
     covered = (found.select("candidate").distinct().select("candidate", F.explode(pieces).alias("word"))
                .join(F.broadcast(words), "word").groupBy("candidate")
@@ -133,17 +228,13 @@ def describe(found: DataFrame, words: DataFrame) -> DataFrame:
         (F.col("before").rlike("[\"']$") & F.col("after").rlike("^[\"']")).cast("double").alias("f_quoted"))
 
 
-def context_labels(described: DataFrame) -> DataFrame:
-    """Findings labelled where the text itself settles it: 1 for a value assigned
-    to a credential word, unless it is made of dictionary words only, and for known
-    key formats, 0 for plain numbers, mail
-    and network addresses and host names outside such assignments.  Others stay
-    unlabelled and are left out."""
+def format_labels(described: DataFrame) -> DataFrame:
+    """Findings labelled where their format alone settles it: 1 for known key
+    formats, 0 for plain numbers, mail and network addresses and host names that
+    no credential word assigns.  Others stay unlabelled and are left out."""
     assigned = (F.col("f_assigned") == 1) & F.col("word_before").rlike(
         rf"(^|_)({'|'.join(CREDENTIAL_WORDS)})s?(_|$)")
-    plain = (F.col("f_dictionary") >= 1) | F.col("candidate").rlike("^[A-Za-z]{1,2}$")
-    return described.withColumn("label", F.when(
-        assigned & ~plain | F.col("candidate").rlike(KEY_FORMATS), 1.0).when(
+    return described.withColumn("label", F.when(F.col("candidate").rlike(KEY_FORMATS), 1.0).when(
         ~assigned & F.col("candidate").rlike(HARMLESS_FORMATS), 0.0)).filter("label is not null")
 
 
@@ -204,33 +295,49 @@ def train(labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> SecretFores
 def scan(docs: DataFrame, labelled: DataFrame | None = None, mod: int = 5, held_out: int = 0) -> DataFrame:
     """(doc_id, text_key, start, candidate, before, after, features, score,
     predicted) of every finding in ``docs``.  ``labelled``: described findings
-    with a label; by default those that `context_labels` settles in documents
-    outside the held-out remainder."""
+    with a label; by default those that `format_labels` settles in documents
+    outside the held-out remainder, and the planted ones."""
     ensure_checkpoint_dir(docs.sparkSession)
-    described = describe(candidates(docs), dictionary(docs)).checkpoint()
+    return _scan(candidates(docs), docs, labelled, mod, held_out)
+
+
+def _scan(found: DataFrame, docs: DataFrame, labelled: DataFrame | None, mod: int = 5, held_out: int = 0) -> DataFrame:
+    counts = word_counts(docs)
+    words = _common(counts)
+    described = describe(found.checkpoint(), words).checkpoint()
     if labelled is None:
-        labelled = context_labels(described.filter(id_crc_mod(F.col("doc_id"), mod) != held_out))
+        settled = format_labels(described.filter(id_crc_mod(F.col("doc_id"), mod) != held_out))
+        made = describe(planted(counts).checkpoint(), words)
+        shared = [c for c in made.columns if c in settled.columns]
+        labelled = settled.withColumn("doc_id", F.col("doc_id").cast("string")).select(shared).unionByName(
+            made.withColumn("doc_id", F.col("doc_id").cast("string")).select(shared))
     return train(labelled).score(described)
 
 
 def redact(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``[SECRET]``; all rows
-    and columns come back, and texts without a secret are unchanged.  Only texts
-    with a candidate are shuffled."""
-    secrets = (scan(docs, labelled).filter("predicted = 1")
-               .groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-               .agg(F.sort_array(F.collect_set(F.struct("start", "candidate")), asc=False).alias("_found")))
-    has = F.coalesce(F.col("text").rlike(FIND), F.lit(False))
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("r")
-    hit = docs.filter(has).select(row, F.xxhash64("text").alias("k"))
-    # each where it was found, from the end; then longer ones first, so that one inside another is not cut up
-    placed = F.aggregate("_found", F.col("r.text"), lambda t, s: F.concat(
-        F.substring(t, F.lit(1), s["start"].cast("int")), F.lit(REDACTED),
-        F.substring(t, (s["start"] + F.length(s["candidate"]) + 1).cast("int"), F.length(t))))
-    long = F.filter(F.transform("_found", lambda s: s["candidate"]), lambda c: F.length(c) >= EVERYWHERE_CHARS)
-    clean = F.aggregate(F.array_sort(F.array_distinct(long), lambda a, b: F.length(b) - F.length(a)), placed,
+    and columns come back, and texts without a secret are unchanged.
+
+    Rows are written once with the parts that the pattern cut their texts into;
+    only hits are shuffled, and a text is put together from its parts again."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    cut = marked_parts(F.col("text"))
+    rows = (docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("r"), "doc_id", F.xxhash64("text").alias("text_key"),
+                        F.col("text"))
+            .withColumn("parts", cut).withColumn("parts", F.when(F.size("parts") > 1, F.col("parts")))
+            .drop("text").withColumn("row_id", F.monotonically_increasing_id()).checkpoint())
+    scored = _scan(_candidates(rows.filter("parts is not null").drop("r")), rows.select("r.text"), labelled)
+    hits = scored.select("row_id", "no", "candidate", (F.col("predicted") == 1).alias("secret"),
+                         F.concat("name", F.when(F.col("predicted") == 1, F.lit(REDACTED)).otherwise(F.col("candidate"))).alias("new"))
+    found = (hits.groupBy("row_id").agg(
+        F.sort_array(F.collect_list(F.struct("no", "new"))).alias("_hits"),
+        F.collect_set(F.when(F.col("secret") & (F.length("candidate") >= EVERYWHERE_CHARS), F.col("candidate"))).alias("_long"),
+        F.max("secret").alias("_any")).filter("_any"))
+    # text and hits by turns
+    text = F.expr("""concat(array_join(transform(_hits, (h, i) -> concat(parts[2 * i], h.new)), ''), element_at(parts, -1))""")
+    # longer ones first, so that one inside another is not cut up
+    clean = F.aggregate(F.array_sort("_long", lambda a, b: F.length(b) - F.length(a)), text,
                         lambda t, s: F.replace(t, s, F.lit(REDACTED)))
-    joined = (hit.join(secrets, F.col("r.doc_id").eqNullSafe(F.col("_id")) & (F.col("k") == F.col("_key")), "left")
-              .withColumn("r", F.when(F.col("_found").isNull(), F.col("r")).otherwise(
-                  F.col("r").withField("text", clean))))
-    return docs.filter(~has).unionByName(joined.select("r.*"))
+    changed = (rows.filter("parts is not null").join(found, "row_id", "left")
+               .withColumn("r", F.when(F.col("_hits").isNull(), F.col("r")).otherwise(F.col("r").withField("text", clean))))
+    return rows.filter("parts is null").select("r.*").unionByName(changed.select("r.*"))

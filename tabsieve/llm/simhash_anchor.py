@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from tabsieve.llm.common import LocalForest, connected_components, prepare, segments, text_slices, texts_of
+from tabsieve.llm.common import LocalForest, connected_components, join_facts, prepare, segments, text_slices, texts_of
 from tabsieve.session import shuffle_partitions
 
 SHINGLE_WORDS = 4
@@ -284,9 +284,9 @@ def _groups(fp: DataFrame, max_bits: int) -> DataFrame:
     classes = fp.groupBy("fp").agg(F.min("doc_id").alias("first_id")).checkpoint()
     linked = connected_components(fingerprint_links(classes, max_bits))
     named = classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("component", "fp").alias("component"))
-    lowest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return named.join(lowest, "component").select("fp", "component", "component_id")
+        "fp", "first_id", F.coalesce("component", "fp").alias("component")).checkpoint()
+    lowest = named.groupBy("component").agg(F.min("first_id").alias("component_id")).checkpoint()
+    return join_facts(named, lowest, "component").select("fp", "component", "component_id").checkpoint()
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -299,7 +299,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bit
     are not read.  An empty table gives an empty result."""
     prepare(docs.sparkSession)
     fp = fingerprints(docs, shingle_words).checkpoint()
-    return fp.join(_groups(fp, max_bits), "fp").select(
+    return join_facts(fp, _groups(fp, max_bits), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -312,7 +312,7 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int
     prepare(docs.sparkSession)
     fp = fingerprints(docs, shingle_words).checkpoint()
     groups = _groups(fp, max_bits)
-    member = fp.join(groups, "fp")
+    member = join_facts(fp, groups, "fp")
     kept = (member.groupBy("component")
             .agg(F.min_by(F.struct("doc_id", "fp"),
                           F.struct(F.col("doc_id").isNull(), "doc_id", "fp")).alias("k"))

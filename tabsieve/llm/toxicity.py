@@ -11,6 +11,7 @@ real toxicity can.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -28,10 +29,9 @@ SAMPLE_PER_CLASS = 4_000
 SPACE = 1 << 20
 #: Lengths of word beginnings that are features.
 PREFIXES = (3, 4, 5, 6, 7, 8)
-#: Features that enter the fit: the most strongly associated with the label.
-SCREENED = 4_096
+#: Features that enter the fit: those in so many texts whose association with
+#: the label is above the largest that chance gives among all features counted.
 MIN_TEXTS = 3
-MIN_Z = 6.0
 L1 = 3e-4
 L2 = 1e-5
 COUNTERFACTUAL = 1.0
@@ -102,10 +102,15 @@ class ToxicityModel:
         return score
 
 
+def chance_z(n_features: int) -> float:
+    """About the largest of ``n_features`` standard scores under chance alone."""
+    return math.sqrt(2 * math.log(max(2, n_features)))
+
+
 def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]],
-        counterfactual: float = COUNTERFACTUAL) -> ToxicityModel:
+        counterfactual: float = COUNTERFACTUAL, least_z: float | None = None) -> ToxicityModel:
     """Fit on feature lists and labels; ``pairs`` are features of texts and of
-    their counterfactuals.  The L1 penalty picks the features; a second run
+    their counterfactuals.  Features under ``least_z`` (by default `chance_z`) are left out.  The L1 penalty picks the features; a second run
     without it frees their weights from its pull.  No rows give the constant 0.5, one class its own label."""
     if not len(y) or y.min() == y.max():
         return ToxicityModel(constant=float(y[0]) if len(y) else 0.5)
@@ -117,8 +122,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.
     p1, p0, p = pos / n1, (all_ - pos) / n0, all_ / len(y)
     z = np.abs(p1 - p0) / np.sqrt(np.maximum(p * (1 - p), 1e-9) * (1 / n1 + 1 / n0))
     z[all_ < MIN_TEXTS] = 0
-    chosen = np.sort(np.argsort(-z, kind="stable")[:SCREENED])
-    chosen = chosen[z[chosen] >= MIN_Z]
+    chosen = np.flatnonzero((z >= (chance_z(int((all_ >= MIN_TEXTS).sum())) if least_z is None else least_z)) & (z > 0))
     place = np.full(SPACE, -1)
     place[chosen] = np.arange(len(chosen))
 
@@ -202,36 +206,37 @@ def _only(chosen: list[int]):
 FEATURE_ROWS = "id string, y int, x array<int>, twin array<int>"
 
 
-def screen(sample: DataFrame) -> list[int]:
-    """The at most ``SCREENED`` features most strongly associated with the
-    label, counted on the executors."""
+def screen(sample: DataFrame) -> tuple[list[int], float]:
+    """The features above the level of chance, counted on the executors, and
+    that level."""
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
-        return []
+        return [], 0.0
     counts = (sample.select("y", F.explode("x").alias("f")).groupBy("f")
-              .agg(F.count("*").alias("texts"), F.sum("y").alias("pos")).filter(F.col("texts") >= MIN_TEXTS))
+              .agg(F.count("*").alias("texts"), F.sum("y").alias("pos")).filter(F.col("texts") >= MIN_TEXTS)).checkpoint()
+    level = chance_z(counts.count())
     share = F.col("texts") / (n1 + n0)
     z = F.abs(F.col("pos") / n1 - (F.col("texts") - F.col("pos")) / n0) / F.sqrt(
         F.greatest(share * (1 - share), F.lit(1e-9)) * (1 / n1 + 1 / n0))
-    best = counts.withColumn("z", z).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "f").limit(SCREENED)
-    return sorted(r["f"] for r in best.select("f").collect())
+    return sorted(r["f"] for r in counts.filter(z >= level).select("f").collect()), level
 
 
 def train(docs: DataFrame, labels: DataFrame, mod: int = 5, held_out: int = 0,
           per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
     """Model from documents outside the held-out remainder.  Features are made
     and screened on the executors; of at most 2 * ``per_class`` texts the
-    screened features (at most ``SCREENED`` each) come to the driver."""
+    screened features come to the driver."""
     prepare(docs.sparkSession)
     sample = labelled_sample(docs, labels, "toxic", mod, held_out, per_class).mapInArrow(
         _featurise, FEATURE_ROWS).checkpoint()
-    got = (sample.mapInArrow(_only(screen(sample)), FEATURE_ROWS).toArrow()
+    chosen, level = screen(sample)
+    got = (sample.mapInArrow(_only(chosen), FEATURE_ROWS).toArrow()
            .combine_chunks().sort_by([("id", "ascending"), ("y", "ascending")]))
     x = [np.asarray(r, dtype=np.int64) for r in _lists(got, "x")]
     twins = _lists(got, "twin")
     pairs = [(a, np.asarray(b, dtype=np.int64)) for a, b in zip(x, twins) if b is not None]
-    return fit(x, np.array(got.column("y").to_pylist(), dtype=np.float64), pairs)
+    return fit(x, np.array(got.column("y").to_pylist(), dtype=np.float64), pairs, least_z=level)
 
 
 def _lists(got: pa.Table, name: str) -> list:

@@ -9,15 +9,13 @@ from tabsieve.llm import arrow_tokens as A
 
 PATH = P.path("word_bpe_49k.json")
 ODD = ["Ünïcode ÀÉ ß ẞ İstanbul ΣΑΣ ﬁ", "a\x1cb c\x1dd", "x y 　z \u0085q", "don't I'LL we'Ve '", "é a ̈x",
-       "<|endoftext|> a", "１２3 ½ x²", "​zero", "日本語 テスト 😀!!", "tab\tnew\nline\r\n\v\f x", "", " ", "µ ª º × ÷ ¿¡",
+       "<|endoftext|> a", "hello <|endoftext|> world", "a<|startoftext|><|ENDOFTEXT|>b", "<|endoftext|>", "１２3 ½ x²", "​zero", "日本語 テスト 😀!!", "tab\tnew\nline\r\n\v\f x", "", " ", "µ ª º × ÷ ¿¡",
        "ÀB", "각", "-" * 300]
 
 
 @pytest.fixture(scope="module")
 def library():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)  # as it comes: strings of special tokens are their ids
 
 
 @pytest.mark.parametrize("text", ODD)
@@ -30,8 +28,7 @@ def test_other_vocabularies_go_through_the_library():
     path = P.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
     enc = A.WordEncoder(path)
-    for text in ODD[:4]:
-        t.encode_special_tokens = True
+    for text in [*ODD[:4], "hello <|endoftext|> world"]:
         assert np.frombuffer(enc.encode(text), enc.width).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
@@ -61,3 +58,8 @@ def test_files_hold_every_document_in_order(spark, library, tmp_path):
 def test_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert A.read_documents(A.write_tokens(docs, str(tmp_path), PATH), str(tmp_path)).count() == 0
+
+
+def test_special_tokens_are_read_as_the_library_reads_them(library):
+    enc = A.WordEncoder.get(PATH)
+    assert np.frombuffer(enc.encode("hello <|endoftext|> world"), enc.width).tolist() == [3306, 49407, 1002]

@@ -69,3 +69,13 @@ def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     net = B.train(docs)
     assert B.identify(docs, net).count() == 0 and net.predict(["text"]) == (["und"], [0.0])
+
+
+def test_every_language_is_learned(spark):
+    """300 languages, a few texts each: all are known, and the sample stays in bounds."""
+    names = [f"l{i:03d}" for i in range(300)]
+    rows = [(i * 300 + k, f"{name} " * 20 + "x" * (k % 7), name) for i in range(6) for k, name in enumerate(names)]
+    docs = spark.createDataFrame(rows + [(9_000, "no language", None)], "doc_id bigint, text string, lang string")
+    languages, x, y = B.training_windows(docs)
+    assert languages == names and len(x) == len(y) <= B.TRAINING_WINDOWS
+    assert set(y.tolist()) == set(range(300))

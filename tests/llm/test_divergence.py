@@ -103,3 +103,26 @@ def test_rare_languages_are_judged_by_their_own_words_or_not_at_all(spark):
     assert all(got[i].kept and (got[i].char_distance, got[i].word_distance, got[i].nearest_lang) == (None, None, None)
                for i, _, _ in dd)
     assert not got["table"].kept and got["null"].nearest_lang is not None and not got["null"].kept
+
+
+def test_oracle_states_the_rule_of_the_code(spark, tmp_path):
+    """A language under 0.5 % of all words with a reference, one without, and no language."""
+    import duckdb
+
+    from tabsieve.llm.queries import ORACLE, QUERIES
+    rng = np.random.default_rng(3)
+
+    def text(prefix, n):
+        return " ".join(prefix + "aeiou"[k % 5] * (1 + k % 3) for k in rng.zipf(1.3, n) % 40) + "."
+    rows = [(i, text("k", 900), "big") for i in range(500)] + [(600 + i, text("zu", 750), "rare") for i in range(3)]
+    rows += [(700, text("wo", 300), "tiny"), (701, text("k", 300), None), (702, None, "big"), (703, "", "rare"), (704, text("zu", 200), "big")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op4_divergence_rules"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    names = got.columns
+    want = con.sql(f"SELECT {', '.join(names)} FROM ({ORACLE['op4_divergence_rules']})").fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    by = {r.doc_id: r for r in got.collect()}
+    assert by[700].nearest_lang is None and by[700].kept and by[600].nearest_lang == "rare" and by[600].kept
+    assert by[701].nearest_lang == "big" and not by[704].kept
