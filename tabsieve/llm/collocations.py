@@ -27,7 +27,6 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -158,24 +157,26 @@ def tile_cells(rows: np.ndarray, cols: np.ndarray, n_cols: int, dense: int = DEN
 class Ids:
     """Word ids by rank and pair ranks, as the tasks hold them."""
 
-    def __init__(self, head: pd.DataFrame, all_words: bool):
+    def __init__(self, head: pa.Table, all_words: bool):
         self.all_words = all_words
         self.size = max(1, len(head))
         self.of: dict[str, dict[bytes, int]] = defaultdict(dict)
-        for i, (lang, word) in enumerate(zip(head["lang"], head["word"])):
-            self.of[lang][word.encode()] = i
+        at = 0
+        for batch in head.select(["lang", "word"]).to_batches(max_chunksize=1 << 14):
+            words = batch.column("word").cast(pa.binary()).to_pylist()
+            for i, (lang, word) in enumerate(zip(batch.column("lang").to_pylist(), words), at):
+                self.of[lang][word] = i
+            at += batch.num_rows
         self.of = dict(self.of)
         self.pair_codes = self.pair_ranks = np.zeros(0, dtype=np.int64)
         self.all_pairs = False
 
-    def set_pairs(self, left: np.ndarray, right: np.ndarray, n: np.ndarray, all_pairs: bool) -> None:
-        code = left.astype(np.int64) * self.size + right
-        rank = np.empty(len(code), dtype=np.int64)
-        rank[np.lexsort((code, -n))] = np.arange(len(code))
+    def set_pairs(self, pairs: pa.Table, all_pairs: bool) -> None:
+        code = pairs.column("id1").to_numpy().astype(np.int64) * self.size + pairs.column("id2").to_numpy()
+        code = code[np.lexsort((code, -pairs.column("n").to_numpy()))]
+        self.code_of_rank = code  # the most frequent first
         order = np.argsort(code)
-        self.pair_codes, self.pair_ranks, self.all_pairs = code[order], rank[order], all_pairs
-        self.code_of_rank = np.empty_like(code)
-        self.code_of_rank[rank] = code
+        self.pair_codes, self.pair_ranks, self.all_pairs = code[order], order.astype(np.int32), all_pairs
 
     def encode(self, lang: str, tokens: list[bytes]) -> np.ndarray:
         get = self.of.get(lang, {}).get
@@ -262,7 +263,9 @@ def _count_phrases(docs: DataFrame, ids: Ids, words: int, min_count: int) -> Dat
     names = [*(f"id{k + 1}" for k in range(words)), "lang", *(f"word{k + 1}" for k in range(words))]
     schema = ", ".join(f"{c} {'int' if c.startswith('id') else 'string'}" for c in names) + ", n long"
     counted = docs.mapInArrow(lambda batches: _phrases(shared.value, words, batches), schema)
-    return counted.groupBy(*names).agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).checkpoint()
+    done = counted.groupBy(*names).agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count).checkpoint()
+    shared.unpersist()
+    return done
 
 
 # ---- scores -----------------------------------------------------------------
@@ -313,16 +316,17 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, co
     words = counted.filter("word is not null")
     short, all_short = most_frequent(words.filter(F.octet_length("word") <= MAX_WORD_BYTES), head_words)
     n_short = short.count()
-    table = short.toPandas().sort_values(["n", "lang", "word"], ascending=[False, True, True], ignore_index=True)
     all_words = all_short and n_short == words.count()
+    table = short.toArrow().sort_by([("n", "descending"), ("lang", "ascending"), ("word", "ascending")])
     ids = Ids(table, all_words)
-    head = spark.createDataFrame(table.assign(id=np.arange(len(table))), "lang string, word string, n long, id int")
+    head = spark.createDataFrame(table.append_column("id", pa.array(np.arange(len(table)), pa.int32()))).checkpoint()
+    del table
 
     pair_cells = _count_phrases(docs, ids, 2, min_count)
     ranked, all_ranked = most_frequent(pair_cells.filter("id1 is not null").select("id1", "id2", "n"), head_pairs)
-    got = ranked.toPandas()
-    ids.set_pairs(got["id1"].to_numpy(), got["id2"].to_numpy(), got["n"].to_numpy(), all_ranked)
+    ids.set_pairs(ranked.toArrow(), all_ranked)
     triple_cells = _count_phrases(docs, ids, 3, min_count)
+    del ids
 
     pairs = _spell(pair_cells, head, words, 2, all_words)
     triples = _spell(triple_cells, head, words, 3, all_words)
