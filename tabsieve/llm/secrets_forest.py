@@ -76,7 +76,7 @@ SAMPLE_PER_CLASS = 8_000
 PLANTED_PER_CLASS = 4_000
 #: Labelled findings that a neighbouring word needs to count.
 MIN_NEIGHBOURS = 5
-TREES, DEPTH, SEED = 24, 6, 7
+TREES, DEPTH, SEED = 24, 9, 7
 
 FEATURES = ["f_length", "f_changes", "f_digits", "f_capitals", "f_hex", "f_distinct", "f_dictionary", "f_path",
             "f_in_path", "f_before", "f_after", "f_assigned", "f_quoted"]
@@ -132,14 +132,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def dictionary(docs: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
-    """(word): words that make up at least ``share`` of all words of the corpus;
-    at most 1 / share words."""
+    """(word): words that make up at least ``share`` of all words of the corpus
+    and stand there twice or more; at most 1 / share words."""
     return _common(word_counts(docs), share)
 
 
 def _common(counts: DataFrame, share: float = DICTIONARY_SHARE) -> DataFrame:
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.filter(F.col("n") >= share * total).select("word")
+    return counts.filter((F.col("n") >= share * total) & (F.col("n") >= 2)).select("word")
 
 
 def planted(counts: DataFrame, per_class: int = PLANTED_PER_CLASS) -> DataFrame:
@@ -157,7 +157,7 @@ def planted(counts: DataFrame, per_class: int = PLANTED_PER_CLASS) -> DataFrame:
     order = Window.orderBy(F.xxhash64("word"), "word")  # at most per_class rows
     near = (words.select("word", F.coalesce(F.lead("word", 1).over(order), F.lit("alpha")).alias("second"),
                          F.coalesce(F.lead("word", 2).over(order), F.lit("omega")).alias("third"))
-            .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(min(500, per_class // 2 // n))))))
+            .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(min(500, per_class // n))))))
 
     def draw(salt: int, n: int) -> Column:
         return F.pmod(F.xxhash64("word", "copy", F.lit(salt)), F.lit(n)).cast("int")
@@ -168,7 +168,7 @@ def planted(counts: DataFrame, per_class: int = PLANTED_PER_CLASS) -> DataFrame:
     digits = lambda low, high, salt: F.rpad(F.substring(
         F.regexp_replace(digest, "[a-f]", ""), F.lit(1), F.lit(low) + draw(salt, high - low + 1)), low, "7")
     secret = [upto(digest, 16, 64, 1), upto(mixed, 8, 40, 2), upto(F.translate(mixed, "aeiouAEIO", "!@#$%^&*?"), 6, 24, 3),
-              F.concat(upto(F.col("word"), 4, 8, 8), upto(F.col("second"), 4, 8, 9), upto(F.col("third"), 4, 8, 10)),
+              *2 * [F.concat(upto(F.col("word"), 4, 8, 8), upto(F.col("second"), 4, 8, 9), upto(F.col("third"), 4, 8, 10))],
               F.concat("word", digits(1, 4, 4)),
               upto(F.translate(mixed, "0123456789", "qWzXvBnMkJ"), 12, 40, 5),
               F.concat_ws("-", F.substring(digest, 1, 8), F.substring(digest, 9, 4), F.substring(digest, 13, 12)),
