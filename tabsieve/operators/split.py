@@ -7,7 +7,7 @@ holds most rows is still spread over many tasks."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranks import checked_broadcast, running_counts, same_group
@@ -47,12 +47,16 @@ def class_ranks(df: DataFrame, key: str, label: str, seed: str | int) -> DataFra
     return ranked.withColumnRenamed("rows_before", RANK).drop("_one", "group_total", HASH)
 
 
-def quota_column(counts: DataFrame, label: str, size: str, total: int, name: str) -> DataFrame:
+# Classes whose remainders are ordered in one window; more are ranked in ranges.
+WINDOW_CLASSES = 10_000
+
+
+def quota_column(counts: DataFrame, label: str, size: str, total: int, name: str,
+                 facts: tuple[int, int] | None = None) -> DataFrame:
     """``counts`` (a row a class, ``size`` rows each) with the class's quota of
     ``total`` as ``name``: :func:`allocate` for any number of classes, none of
-    which reach the driver.  The classes that get one more are found by
-    distributed ranks."""
-    n = counts.agg(F.sum(size)).first()[0] or 0
+    which reach the driver.  ``facts``: rows and classes, if known."""
+    n, classes = facts or counts.agg(F.coalesce(F.sum(size), F.lit(0)), F.count(F.lit(1))).first()
     if total > n:
         raise ValueError(f"cannot take {total} rows out of {n}")
     if not n:
@@ -60,11 +64,16 @@ def quota_column(counts: DataFrame, label: str, size: str, total: int, name: str
     wide = F.lit(total).cast("decimal(19,0)") * F.col(size).cast("decimal(19,0)")
     based = counts.withColumns({"_base": F.call_function("div", wide, F.lit(n).cast("decimal(19,0)")),
                                 "_rest": (-(wide % F.lit(n).cast("decimal(19,0)"))).cast("bigint"),
-                                "_some": F.col(label).isNotNull(), "_one": F.lit(1)}).checkpoint(eager=True)
-    left = total - based.agg(F.sum("_base")).first()[0]
-    ranked = running_counts(based, [], ["_rest", "_some", label], "_one")
-    return (ranked.withColumn(name, (F.col("_base") + (F.col("rows_before") < left).cast("int")).cast("bigint"))
-            .drop("_base", "_rest", "_some", "_one", "rows_before", "group_total"))
+                                "_some": F.col(label).isNotNull(), "_one": F.lit(1)})
+    order = ["_rest", "_some", label]
+    if classes <= WINDOW_CLASSES:
+        ranked = based.withColumns({"rows_before": F.row_number().over(Window.orderBy(*order)) - 1,
+                                    "_left": F.lit(total) - F.sum("_base").over(Window.partitionBy())})
+    else:
+        based = based.checkpoint(eager=True)
+        ranked = running_counts(based, [], order, "_one").withColumn("_left", F.lit(total - based.agg(F.sum("_base")).first()[0]))
+    return (ranked.withColumn(name, (F.col("_base") + (F.col("rows_before") < F.col("_left")).cast("int")).cast("bigint"))
+            .drop("_base", "_rest", "_some", "_one", "rows_before", "group_total", "_left"))
 
 
 def stratified_split(df: DataFrame, key: str, label: str | None, test_size: int, dev_size: int,
@@ -76,8 +85,9 @@ def stratified_split(df: DataFrame, key: str, label: str | None, test_size: int,
     base = df if label else df.withColumn(lab, F.lit(0))
     ensure_checkpoint_dir(df.sparkSession)
     counts = base.groupBy(lab).agg(F.count(F.lit(1)).alias("_n"))
-    counts = quota_column(counts, lab, "_n", test_size, "_tq").withColumn("_rest_n", F.col("_n") - F.col("_tq"))
-    quota = quota_column(counts, lab, "_rest_n", dev_size, "_dq").drop("_n", "_rest_n").checkpoint(eager=True)
+    n, classes = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count(F.lit(1))).first()
+    counts = quota_column(counts, lab, "_n", test_size, "_tq", (n, classes)).withColumn("_rest_n", F.col("_n") - F.col("_tq"))
+    quota = quota_column(counts, lab, "_rest_n", dev_size, "_dq", (n - test_size, classes)).drop("_n", "_rest_n").checkpoint(eager=True)
     ranked = class_ranks(base, key, lab, seed)
     right, on = same_group(ranked, quota, [lab], "_quota_")
     out = ranked.join(checked_broadcast(right), on).drop(f"_quota_{lab}")
