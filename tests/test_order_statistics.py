@@ -96,7 +96,7 @@ def test_inverse_normal_in_both_engines(spark):
     ps = [1e-300, 1e-20, 1e-9, 0.001, 0.07, 0.0751, 0.3, 0.5, 0.6, 0.925, 0.93, 0.9999, 1 - 1e-12]
     sql = stats.inverse_normal_sql("p")
     got = [r[0] for r in spark.createDataFrame([(p,) for p in ps], "p double").selectExpr(sql).collect()]
-    duck = [duckdb.sql(f"SELECT {sql} FROM (SELECT CAST({p!r} AS DOUBLE) AS p)").fetchone()[0] for p in ps]
+    duck = [duckdb.sql(f"SELECT {sql} FROM (SELECT CAST({p!r} AS DOUBLE) AS p)").fetchall()[0][0] for p in ps]
     want = [NormalDist().inv_cdf(p) for p in ps]
     assert got == pytest.approx(want, rel=1e-12, abs=1e-12) and duck == pytest.approx(want, rel=1e-12, abs=1e-12)
 
