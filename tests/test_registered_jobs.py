@@ -31,8 +31,7 @@ def test_leaderboard_query_trains_whole_runs(monkeypatch):
     assert seen.get("cv_folds", 10) == 10 and seen.get("importance", True)
 
 
-def test_search_and_leaderboard_do_their_whole_work(spark):
-    """Real fits on the smallest tables: all trials, all learners."""
-    sf = "/root/testdata/sf0.001"
-    trials = registry.QUERIES["l10_random_search"](spark, sf).collect()
+def test_search_does_its_whole_work(spark, sf001):
+    """Real fits: all trials of the registered search."""
+    trials = registry.QUERIES["l10_random_search"](spark, sf001).collect()
     assert sorted(r["trial"] for r in trials) == list(range(50)) and all(0 <= r["score"] <= 1 for r in trials)
