@@ -20,28 +20,36 @@ from tabsieve.llm.queries import vocabulary
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts.  A null text is judged as
+    an empty one, a null id is an id like any other, and of rows that repeat
+    each is judged for itself; other columns are not read.  No rows give none."""
     return quality_gam.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the smallest doc_id."""
+    """One document of each group of near-duplicates: the smallest doc_id; a row
+    without an id only where no other has one.  Null and empty texts have
+    fingerprint zero and are one group with what lies near it; of rows that
+    repeat an id the one with the smallest fingerprint and row hash stays."""
     return simhash_anchor.keep_one(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced."""
+    """All documents, secrets in their texts replaced.  Null and empty texts and
+    texts without a secret come back as they are, repeated rows each."""
     return secrets_forest.redact(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, sources interleaved to their target weights: the files of
-    the result follow one another in that order."""
+    the result follow one another in that order.  A null source is a source;
+    rows that tie or repeat all stay, as do null and empty texts."""
     return pfair_mix.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every document, a row
+    for each that repeats; null and empty texts have no tokens."""
     import public_tokenizers
 
     ranks, pattern = vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
