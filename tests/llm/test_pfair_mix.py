@@ -123,3 +123,49 @@ def test_query_mixes_whole_rows(spark):
     want = P.mix(docs).select("row.doc_id", F.xxhash64("row.text"), "position").collect()
     got = op9_pfair_mix(spark, small).select("doc_id", "text_hash", "position").collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def plain_run(n, weights, block_rows):
+    """The schedule with unrounded weights in fractions, slot by slot: shares grow
+    as weight * v up to a source's blocks; of the sources whose share has passed
+    their blocks, the one whose next block is due first."""
+    from fractions import Fraction
+    blocks = {s: math.ceil(c / block_rows) for s, c in n.items()}
+    given = {s: Fraction(weights.get(s, 0)) for s in n if weights.get(s, 0) > 0}
+    small = sum(given.values()) / P.PERIOD
+    w = {s: given.get(s, small) for s in n}
+    total, done, order, worst = sum(blocks.values()), Counter(), [], Fraction(0)
+
+    def level(t):
+        full, rest = Fraction(t), sorted(n, key=lambda s: blocks[s] / w[s])
+        while rest:
+            v = full / sum(w[s] for s in rest)
+            if w[rest[0]] * v <= blocks[rest[0]]:
+                return v
+            full -= blocks[rest[0]]
+            rest = rest[1:]
+        return None
+    for t in range(total):
+        v = level(t + 1)
+        share = {s: min(blocks[s], w[s] * v) if v is not None else blocks[s] for s in n}
+        ready = [s for s in n if done[s] < blocks[s] and share[s] - done[s] > Fraction(1, 10 ** 6)]
+        s = min(ready, key=lambda s: ((done[s] + 1) / w[s], key(s)))
+        order.append((s, done[s]))
+        done[s] += 1
+        worst = max(worst, *(abs(done[x] - share[x]) for x in n))
+    return order, worst
+
+
+@pytest.mark.parametrize("block_rows, given", [(4, {"a": 5, "b": 1, None: 2, "d": 3}), (1, {"a": 7, "b": 7, "c": 1, None: 3}),
+                                               (3, {"a": 1, "d": 16}), (2, {s: 1 for s in ("a", "b", "c", "d", None)})])
+def test_unrounded_slots_equal_a_plain_scheduler(spark, monkeypatch, block_rows, given):
+    """The path that the query takes (no period), over several stretches."""
+    monkeypatch.setattr(P, "STRETCH", 7)
+    sizes = {"a": 130, "b": 61, "c": 60, "d": 7, None: 33}
+    rows = [(100 * k + i, f"text {i % 40}", s) for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    weights = spark.createDataFrame([(s, float(w)) for s, w in given.items()], "source string, weight double")
+    got = P.mix(docs, weights, block_rows=block_rows, period=None).collect()
+    slots = {r.slot: (r.row.source, r.block) for r in got}
+    order, worst = plain_run(sizes, given, block_rows)
+    assert worst < 1 and [slots[i] for i in range(len(slots))] == order
