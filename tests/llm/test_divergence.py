@@ -125,4 +125,4 @@ def test_oracle_states_the_rule_of_the_code(spark, tmp_path):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
     by = {r.doc_id: r for r in got.collect()}
     assert by[700].nearest_lang is None and by[700].kept and by[600].nearest_lang == "rare" and by[600].kept
-    assert by[701].nearest_lang == "big" and not by[704].kept
+    assert by[701].nearest_lang == "big" and by[704].nearest_lang == "rare"
