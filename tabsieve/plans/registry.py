@@ -1527,3 +1527,71 @@ def _m17(spark, d):
     FROM cum""", ["x", "y", "threshold"]))
 def _d08(spark, d):
     return mt.model_plot_data(_scored_runs(spark, d), ["model"])
+
+
+# =========================================================== attributions, learning curve, neighbours, oversampling
+
+from ..operators import attribution as att  # noqa: E402
+from ..operators import learning_curve as lcv  # noqa: E402
+from ..operators import neighbours as nbr  # noqa: E402
+
+
+@register("m20_shap_values")
+def _m20(spark, d):
+    splits, feats = _prepared_docs(spark, d)
+    model = trn.fit_model("xgboost", splits["train"], feats, "quality", key="doc_id")
+    return att.shap_values(model, splits["dev"], feats, "doc_id", background=splits["train"])
+
+
+@register("m21_shap_summary")
+def _m21(spark, d):
+    splits, feats = _prepared_docs(spark, d)
+    model = trn.fit_model("random_forest", splits["train"], feats, "quality", key="doc_id")
+    return att.shap_summary(att.shap_values(model, splits["dev"], feats, "doc_id", background=splits["train"]))
+
+
+@register("l14_learning_curve")
+def _l14(spark, d):
+    splits, feats = _prepared_docs(spark, d)
+    return lcv.learning_curve([(n, {}) for n in trn.PRESETS], splits["train"], splits["dev"], feats, "quality", "doc_id",
+                              metrics=("f1_score", "accuracy", "log_loss"))
+
+
+_POINTS = """p AS (SELECT c_custkey AS k, CAST(c_acctbal AS DOUBLE) AS a, CAST(c_nationkey AS DOUBLE) AS b, c_mktsegment AS y
+              FROM customer)"""
+
+
+@register("d09_nearest_neighbours", R(f"""
+    WITH {_POINTS},
+    j AS (SELECT x.k, z.k AS other, (x.a - z.a) * (x.a - z.a) + (x.b - z.b) * (x.b - z.b) AS sq
+          FROM p AS x JOIN p AS z ON x.k <> z.k),
+    r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY sq, other) AS place FROM j)
+    SELECT k AS c_custkey, other AS neighbour, sqrt(sq) AS distance, CAST(place AS INTEGER) AS place FROM r WHERE place <= 5""",
+    ["distance"]))
+def _d09(spark, d):
+    return nbr.nearest_neighbours(table(spark, d, "customer"), "c_custkey", ["c_acctbal", "c_nationkey"], 5)
+
+
+def _draw_sql(tag: str) -> str:
+    return f"CAST('0x' || substr(md5(CAST(k AS VARCHAR) || '/' || CAST(i AS VARCHAR) || '/{tag}/42'), 1, 8) AS BIGINT)"
+
+
+@register("c12_smote", R(f"""
+    WITH {_POINTS},
+    n AS (SELECT y, count(*) AS n FROM p GROUP BY y),
+    need AS (SELECT y, n, (SELECT max(n) FROM n) - n AS need FROM n),
+    r AS (SELECT p.*, need.n, need.need,
+                 row_number() OVER (PARTITION BY p.y ORDER BY md5(CAST(k AS VARCHAR) || '42'), k) - 1 AS rk
+          FROM p JOIN need ON p.y = need.y),
+    j AS (SELECT x.k, z.a AS ta, z.b AS tb, row_number() OVER (PARTITION BY x.k ORDER BY
+                 (x.a - z.a) * (x.a - z.a) + (x.b - z.b) * (x.b - z.b), z.k) AS place
+          FROM p AS x JOIN p AS z ON x.y = z.y AND x.k <> z.k),
+    c AS (SELECT r.*, unnest(generate_series(1, need // n + CASE WHEN rk < need % n THEN 1 ELSE 0 END)) AS i FROM r),
+    g AS (SELECT c.*, {_draw_sql('neighbour')} % least(5, n - 1) + 1 AS pick, {_draw_sql('gap')} / 4294967296.0 AS gap FROM c)
+    SELECT CAST(NULL AS BIGINT) AS c_custkey, g.y AS c_mktsegment, g.a + gap * (j.ta - g.a) AS c_acctbal,
+           g.b + gap * (j.tb - g.b) AS c_nationkey, true AS synthetic, g.k AS base, CAST(g.i AS INTEGER) AS "copy"
+    FROM g JOIN j ON g.k = j.k AND j.place = g.pick
+    UNION ALL
+    SELECT k, y, a, b, false, NULL, NULL FROM p""", ["c_acctbal", "c_nationkey"]))
+def _c12(spark, d):
+    return nbr.smote(table(spark, d, "customer"), ["c_acctbal", "c_nationkey"], "c_mktsegment", "c_custkey")
