@@ -10,6 +10,11 @@ to those cells, and each cell is joined alone.  A pair meets once: across cells
 in the one with the smaller number, inside a cell where the block numbers
 decide.
 
+Where the table needs more cells than the ``max_pivots`` that go to every task,
+each cell is cut again by pivots of its own members, which reach only the tasks
+of that cell.  Members follow the same rule among the cell's parts; vectors of
+other cells visit every part within reach, where they meet members only.
+
 A cell's home vectors come in blocks of ``block_rows``; a block is held as a
 matrix while the cell's candidates stream past in batches, so neither a crowded
 cell nor its replicas are gathered, and the blocks of a cell go to several
@@ -29,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsieve.llm.common import LocalForest, connected_components, join_facts, prepare, segments
@@ -39,10 +44,14 @@ COSINE = 0.9
 BLOCK_ROWS = 2048
 #: Vectors that a cell holds on average; sets the number of pivots.
 CELL_ROWS = 4096
-#: Pivots at most: they go to every task.  Beyond, cells grow and have more blocks.
+#: Pivots of a level at most: the first level's go to every task, a cell's own to
+#: the tasks of that cell.  Beyond their product, cells have more blocks.
 MAX_PIVOTS = 1024
+#: Rows of a first-level cell that one task cuts into its parts, about.
+CUT_ROWS = 200_000
 #: Distances are compared with this much slack, links by the cosine itself.
 SLACK = 1e-9
+_PLACED = "cell bigint, home boolean, class_id bigint, copies bigint, vec array<double>"
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -85,13 +94,77 @@ def _cells(pivots: np.ndarray, radius: float):
                 row, cell = np.nonzero(near)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cell.astype(np.int32)), pa.array(cell == home[row])]
+                    [pa.array(cell.astype(np.int64)), pa.array(cell == home[row])]
                     + [part.column(c).take(take) for c in ("class_id", "copies", "vec")],
                     names=["cell", "home", "class_id", "copies", "vec"])
 
     return run
 
 
+def _parts(max_pivots: int, radius: float):
+    """Streams rows sorted by (cell, salt, place): a cell's own pivots (place from
+    0), then its rows (place ``max_pivots``).  Yields the rows of :func:`_cells`
+    with the cell's part in the cell number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, held, pivots, gaps = None, [], None, None
+        for (cell, salt, place), part in segments(batches, ["cell", "salt", "place"]):
+            if (cell, salt) != unit:
+                unit, held, pivots = (cell, salt), [], None
+            if place < max_pivots:
+                held.append(_unit(_matrix(part.column("vec"))))
+                continue
+            if pivots is None:
+                pivots = np.concatenate(held)
+                gaps = np.sqrt(np.maximum(0, 2 - 2 * pivots @ pivots.T))
+            for at in range(0, part.num_rows, 1024):
+                piece = part.slice(at, 1024)
+                x = _unit(_matrix(piece.column("vec")))
+                sq = np.maximum(0, 2 - 2 * x @ pivots.T)
+                d = np.sqrt(sq)
+                nearest, rows = sq.argmin(axis=1), np.arange(len(x))
+                member = piece.column("home").to_numpy(zero_copy_only=False)
+                near = d - d[rows, nearest][:, None] <= 2 * radius + SLACK
+                near &= sq - sq[rows, nearest][:, None] <= 2 * gaps[nearest] * (radius + SLACK) + SLACK
+                near &= ~member[:, None] | (np.arange(len(pivots))[None, :] <= nearest[:, None])
+                row, sub = np.nonzero(near)
+                take = pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell * max_pivots + sub), pa.array(member[row] & (sub == nearest[row]))]
+                    + [piece.column(c).take(take) for c in ("class_id", "copies", "vec")],
+                    names=["cell", "home", "class_id", "copies", "vec"])
+
+    return run
+
+
+def _cut_cells(placed: DataFrame, radius: float, cell_rows: int, max_pivots: int) -> DataFrame:
+    """Rows of :func:`_cells`, each cell cut into parts by its own pivots: about
+    one member in ``cell_rows``, at least one, at most ``max_pivots``."""
+    placed = placed.checkpoint()
+    # one row a first-level cell
+    sizes = placed.groupBy("cell").agg(F.count_if("home").alias("n"), F.count("*").alias("rows")).filter("n > 0").checkpoint()
+    wanted = F.least(F.lit(max_pivots), F.ceil(F.col("n") / cell_rows)).cast("bigint")
+    order = F.struct(F.xxhash64("class_id", F.lit(7)), "class_id")
+    members = placed.filter("home").join(F.broadcast(sizes), "cell").select("cell", "class_id", "vec", "n", wanted.alias("wanted"), order.alias("h"))
+    # four times the pivots wanted pass by hash, and the first of each cell always
+    few = members.filter(F.pmod(F.xxhash64("class_id", F.lit(8)), F.col("n")) < 4 * F.col("wanted")).select("cell", "h", "wanted", "vec")
+    first = members.groupBy("cell").agg(F.min(F.struct("h", "wanted", "vec")).alias("m")).select("cell", "m.*")
+    pivots = (few.unionByName(first).dropDuplicates(["cell", "h"])
+              .withColumn("place", F.row_number().over(Window.partitionBy("cell").orderBy("h")) - 1)
+              .filter("place < wanted").select("cell", "place", "vec").checkpoint())
+    salts = F.ceil(F.col("rows") / CUT_ROWS).cast("int")
+    empty = [F.lit(False).alias("home"), F.lit(0).cast("bigint").alias("class_id"), F.lit(0).cast("bigint").alias("copies")]
+    heads = pivots.join(F.broadcast(sizes), "cell").select(
+        "cell", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), "place", *empty, "vec")
+    # a cell without members has none to meet
+    rows = placed.join(F.broadcast(sizes), "cell").select(
+        "cell", F.pmod(F.xxhash64("class_id", F.lit(9)), salts).cast("int").alias("salt"), F.lit(max_pivots).alias("place"),
+        "home", "class_id", "copies", "vec")
+    units = (heads.unionByName(rows).repartition(max(shuffle_partitions(placed.sparkSession), max_pivots), "cell", "salt")
+             .sortWithinPartitions("cell", "salt", "place"))
+    return units.mapInArrow(_parts(max_pivots, radius), _PLACED)
+
+
 def _join_blocks(cosine: float):
     """Streams rows sorted by (cell, block, stream): a block's home vectors,
     then its candidates.  Yields (class_id, links, root): how many vectors the
@@ -188,7 +261,7 @@ def choose_pivots(classes: DataFrame, n: int) -> np.ndarray:
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, cell_rows: int = CELL_ROWS,
-                 block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 block_rows: int = BLOCK_ROWS, max_pivots: int = MAX_PIVOTS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of (vec_id,
     embedding).
 
@@ -202,13 +275,13 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cell_rows: int = CE
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vec"))
     sound = (rows.filter(usable(F.col("vec")))
              .select("vec_id", F.transform("vec", lambda x: x + F.lit(0.0)).alias("vec")))  # -0.0 is 0.0
+    # classes are numbered and written once; rows find theirs by 128 bits of hash
+    key = F.struct(F.xxhash64("vec"), F.xxhash64(F.lit(2), "vec"))
     classes = (sound.groupBy("vec").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first_id"))
-               .withColumn("class_id", F.xxhash64("vec", F.lit(1)))).checkpoint()
-    if classes.groupBy("class_id").count().filter("count > 1").count():
-        raise RuntimeError("two vectors share a 64-bit key; choose another seed")
+               .withColumns({"class_id": F.monotonically_increasing_id(), "key": key})).checkpoint()
     parts = []
     for size in [r["k"] for r in classes.select(F.size("vec").alias("k")).distinct().orderBy("k").collect()]:
-        parts.append(_links(classes.filter(F.size("vec") == size), cosine, cell_rows, block_rows))
+        parts.append(_links(classes.filter(F.size("vec") == size), cosine, cell_rows, block_rows, max_pivots))
     if not parts:
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
@@ -218,29 +291,30 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, cell_rows: int = CE
     found = found.checkpoint()
     links = found.groupBy("class_id").agg(F.sum("links").alias("links"))
     component = connected_components(found.select(F.col("class_id").alias("a"), F.col("root").alias("b")))
-    named = (classes.select("class_id", "copies", "first_id")
+    named = (classes.select("class_id", "key", "copies", "first_id")
              .join(links, "class_id", "left")
              .join(component.withColumnRenamed("node", "class_id"), "class_id", "left")
-             .select("class_id", F.coalesce("component", "class_id").alias("component"), "first_id",
+             .select("key", F.coalesce("component", "class_id").alias("component"), "first_id",
                      (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))).checkpoint()
     lowest = named.groupBy("component").agg(F.min("first_id").alias("component_id")).checkpoint()
-    by_class = join_facts(named, lowest, "component").select("class_id", "n_links", "component_id").checkpoint()
-    members = sound.select("vec_id", F.xxhash64("vec", F.lit(1)).alias("class_id")).checkpoint()
-    linked = join_facts(members, by_class, "class_id").select("vec_id", "n_links", "component_id")
+    by_class = join_facts(named, lowest, "component").select("key", "n_links", "component_id").checkpoint()
+    members = sound.select("vec_id", key.alias("key")).checkpoint()
+    linked = join_facts(members, by_class, "key").select("vec_id", "n_links", "component_id")
     alone = rows.filter(~usable(F.col("vec"))).select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(classes: DataFrame, cosine: float, cell_rows: int, block_rows: int) -> DataFrame:
+def _links(classes: DataFrame, cosine: float, cell_rows: int, block_rows: int, max_pivots: int) -> DataFrame:
     """(class_id, links, root) over the cells of classes of one vector length."""
     spark = classes.sparkSession
     n = classes.count()
-    pivots = choose_pivots(classes, min(MAX_PIVOTS, max(1, math.ceil(n / cell_rows))))
-    placed = classes.select("class_id", "copies", "vec").mapInArrow(
-        _cells(pivots, math.sqrt(max(0.0, 2 - 2 * cosine))),
-        "cell int, home boolean, class_id bigint, copies bigint, vec array<double>")
-    # one row a cell: as many as there are pivots
+    wanted, radius = max(1, math.ceil(n / cell_rows)), math.sqrt(max(0.0, 2 - 2 * cosine))
+    pivots = choose_pivots(classes, min(max_pivots, wanted))
+    placed = classes.select("class_id", "copies", "vec").mapInArrow(_cells(pivots, radius), _PLACED)
+    if wanted > max_pivots:
+        placed = _cut_cells(placed, radius, cell_rows, max_pivots).checkpoint()
+    # one row a cell
     sizes = (placed.filter("home").groupBy("cell").agg(F.count("*").alias("n"))
              .select("cell", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")))
     dealt = placed.join(sizes, "cell").withColumn(

@@ -43,7 +43,8 @@ def fixture():
     return [(int(order[i]), v) for i, v in enumerate(rows)]
 
 
-@pytest.mark.parametrize("options", [{}, {"cell_rows": 20, "block_rows": 6}])
+@pytest.mark.parametrize("options", [{}, {"cell_rows": 20, "block_rows": 6}, {"cell_rows": 8, "block_rows": 6, "max_pivots": 4},
+                                     {"cell_rows": 3, "block_rows": 4, "max_pivots": 6}])
 def test_links_equal_brute_force(spark, options):
     rows = fixture()
     df = spark.createDataFrame([(k, v, 1, "x") for k, v in rows],
@@ -51,5 +52,12 @@ def test_links_equal_brute_force(spark, options):
     assert sorted(map(tuple, M.near_vectors(df, **options).collect())) == brute(rows)
 
 
+def test_cells_are_cut_over_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(M, "CUT_ROWS", 10)
+    rows = fixture()
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
+    assert sorted(map(tuple, M.near_vectors(df, cell_rows=6, block_rows=5, max_pivots=3).collect())) == brute(rows)
+
+
 def test_empty_table(spark):
     assert M.near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>")).count() == 0
