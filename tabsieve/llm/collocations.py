@@ -136,6 +136,7 @@ def most_frequent(table: DataFrame, bound: int) -> tuple[DataFrame, bool]:
 def tile_cells(rows: np.ndarray, cols: np.ndarray, n_cols: int, dense: int = DENSE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, column, count) of the cells that occur: full tiles by dense
     bincount, the others as sorted coordinates."""
+    rows, cols = rows.astype(np.int64, copy=False), cols.astype(np.int64, copy=False)
     across = n_cols // TILE + 1
     tile = (rows // TILE) * across + cols // TILE
     ids, size = np.unique(tile, return_counts=True)
@@ -190,7 +191,8 @@ class Ids:
         if not len(self.pair_codes):
             return np.full(len(code), -1, dtype=np.int64)
         at = np.minimum(np.searchsorted(self.pair_codes, code), len(self.pair_codes) - 1)
-        return np.where(self.pair_codes[at] == code, self.pair_ranks[at], -1)
+        # 64 bits: a rank times the number of words passes 32
+        return np.where(self.pair_codes[at] == code, self.pair_ranks[at].astype(np.int64), -1)
 
 
 def _phrases(ids: Ids, words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

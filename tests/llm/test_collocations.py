@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,6 +81,20 @@ def test_tiles_count_every_cell(cells, dense):
     assert dict(zip(zip(r.tolist(), c.tolist()), n.tolist())) == dict(Counter(cells))
 
 
+@pytest.mark.parametrize("dense", [1, 10 ** 6])
+def test_tiles_of_cells_beyond_32_bits(dense):
+    rows, cols = np.array([39_202, 39_202, 7], dtype=np.int32), np.array([54_003, 54_003, 1], dtype=np.int32)
+    r, c, n = C.tile_cells(rows, cols, 58_057, dense)
+    assert sorted(zip(r.tolist(), c.tolist(), n.tolist())) == [(7, 1, 1), (39_202, 54_003, 2)]
+
+
+def test_pair_ranks_have_64_bits():
+    ids = C.Ids(pa.table({"lang": ["en"] * 2, "word": ["a", "b"]}), True)
+    ids.set_pairs(pa.table({"id1": pa.array([0, 1], pa.int32()), "id2": pa.array([1, 1], pa.int32()), "n": [10, 20]}), True)
+    ranks = ids.ranks(np.array([1, 3, 2]))
+    assert ranks.tolist() == [1, 0, -1] and ranks.dtype == np.int64
+
+
 def test_score_is_exact_beyond_64_bits(spark):
     cases = [(10 ** 14 - 1, 10 ** 14 + 7, 10 ** 14 - 1), (10 ** 14, 10 ** 14, 10 ** 14), (10, 10 ** 15 - 1, 10 ** 15 - 1),
              (3, 7, 9), (987654321987654, 999999999999999, 987654321987655)]
