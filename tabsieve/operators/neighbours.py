@@ -28,7 +28,7 @@ from .split import order_hash
 CELL_ROWS = 2048
 BLOCK_ROWS = 2048
 #: Pivots at most: they go to every task.  Beyond, cells grow and have more blocks.
-MAX_PIVOTS = 256
+MAX_PIVOTS = 2048
 #: Differences that a task holds at a time.
 DIFFERENCES = 1 << 22
 #: A vector with more than one in so many rows meets its copies by broadcast.
@@ -118,6 +118,17 @@ def _spread(cells: Cells):
     return run
 
 
+def _first_of(sq: np.ndarray, other: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k first entries of each row by (sq, other).  Only those up to the
+    row's k-th smallest ``sq`` are put in order."""
+    row, at = np.nonzero(sq <= np.partition(sq, k - 1, axis=1)[:, k - 1:k])
+    near, who = sq[row, at], other[row, at]
+    order = np.lexsort((who, near, row))
+    size = np.bincount(row, minlength=len(sq))
+    take = order[((np.cumsum(size) - size)[:, None] + np.arange(k)).ravel()]
+    return near[take].reshape(-1, k), who[take].reshape(-1, k)
+
+
 def _keep_best(k: int):
     """Streams rows sorted by (cell, block, stream); yields the k best (vid,
     other, sq) of each member."""
@@ -164,13 +175,10 @@ def _keep_best(k: int):
                 sq = _distances(state["x"], _matrix(piece.column("vec")))
                 sq[state["vid"][:, None] == ids[None, :]] = np.inf
                 hit = np.flatnonzero((sq <= state["sq"][:, -1:]).any(axis=1))
-                if not len(hit):
-                    continue
-                both = np.concatenate([state["sq"][hit], sq[hit]], axis=1)
-                other = np.concatenate([state["other"][hit], np.broadcast_to(ids, (len(hit), len(ids)))], axis=1)
-                order = np.lexsort((other, both), axis=-1)[:, :k]
-                state["sq"][hit] = np.take_along_axis(both, order, axis=1)
-                state["other"][hit] = np.take_along_axis(other, order, axis=1)
+                if len(hit):
+                    state["sq"][hit], state["other"][hit] = _first_of(
+                        np.concatenate([state["sq"][hit], sq[hit]], axis=1),
+                        np.concatenate([state["other"][hit], np.broadcast_to(ids, (len(hit), len(ids)))], axis=1), k)
         yield from close()
     return run
 

@@ -124,3 +124,18 @@ def test_smote_balances_and_stays_on_the_lines(spark):
     again = nn.smote(df.repartition(5), FEATS, "y", "k", k=3).where(F.col("synthetic")).toPandas()
     cols = ["base", "copy", *FEATS]
     assert sorted(map(tuple, again[cols].to_numpy().tolist())) == sorted(map(tuple, out[out["synthetic"]][cols].to_numpy().tolist()))
+
+
+def test_first_entries_go_by_distance_then_number():
+    rng = np.random.default_rng(3)
+    for rows, width, k in ((40, 60, 5), (7, 5, 5), (3, 30, 1)):
+        sq = rng.integers(0, 6, (rows, width)).astype(float)
+        sq[rng.random((rows, width)) < 0.3] = np.inf
+        other = np.argsort(rng.random((rows, width)), axis=1)
+        order = np.lexsort((other, sq), axis=-1)[:, :k]
+        near, who = nn._first_of(sq, other, k)
+        assert (near == np.take_along_axis(sq, order, axis=1)).all() and (who == np.take_along_axis(other, order, axis=1)).all()
+
+
+def test_cells_of_a_million_vectors_keep_their_size():
+    assert nn.MAX_PIVOTS * nn.CELL_ROWS >= 4_000_000
