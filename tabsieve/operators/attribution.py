@@ -15,8 +15,9 @@ table of root-to-leaf paths, and all rows of a batch pass each path at once.
 The attributions of a row add up to its score less the base value: in a forest
 of probabilities, in boosted trees and the logistic model of log-odds.
 
-The paths go to every task; their size is that of the model, which the driver
-holds already.  Work is rows x leaves x features on a path."""
+The trees go to every task, which makes the paths of one tree at a time, so
+neither the driver nor a task holds those of the whole model.  Work is rows x
+leaves x features on a path."""
 
 from __future__ import annotations
 
@@ -31,10 +32,15 @@ from pyspark.sql import functions as F
 
 from ..functions import tree_kernel as K
 from ..functions.columns import clean_double
+from ..session import ensure_checkpoint_dir, shuffle_partitions
 from .tree_model import TreeModel
 
 #: Rows that pass the paths at a time.
 ROWS = 4096
+#: Trees whose attributions one task adds up for its rows.
+TREES = 2
+#: Numbers (rows x paths x features of a path) held at a time.
+PASSED = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -57,8 +63,8 @@ def _values(batch: pa.RecordBatch, width: int) -> np.ndarray:
     return np.stack([batch.column(f"_x{i}").to_numpy(zero_copy_only=False).astype(np.float64) for i in range(width)], axis=1)
 
 
-def leaf_counts(model: TreeModel, background: DataFrame) -> dict[tuple[int, int], int]:
-    """Background rows in each leaf by (tree, leaf): summed in the tasks, then by Spark."""
+def leaf_counts(model: TreeModel, background: DataFrame) -> list[np.ndarray]:
+    """Background rows in each leaf, an array for each tree: summed in the tasks, then by Spark."""
     shared = background.sparkSession.sparkContext.broadcast(model)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,17 +81,28 @@ def leaf_counts(model: TreeModel, background: DataFrame) -> dict[tuple[int, int]
 
     sums = (background.select(*_float_columns(background, model.features))
             .mapInArrow(count, "tree int, node int, n long").groupBy("tree", "node").agg(F.sum("n").alias("n")))
-    return {(r["tree"], r["node"]): r["n"] for r in sums.collect()}  # at most one row a leaf
+    out = [np.zeros(len(t.feature), dtype=np.int64) for t in model.trees]
+    found = sums.toArrow()  # 16 bytes a leaf at most
+    tree, node, n = (found.column(c).to_numpy() for c in ("tree", "node", "n"))
+    for i in np.unique(tree):
+        out[i][node[tree == i]] = n[tree == i]
+    return out
 
 
-def tree_paths(tree: K.Tree, counts: dict[int, int]) -> list[Path]:
-    """All root-to-leaf paths of a tree.  A node that no background row reaches
-    shares evenly between its children."""
+def _covers(tree: K.Tree, counts: dict[int, int]) -> list[int]:
+    """Background rows in each node, from those in its leaves."""
     cover = [counts.get(i, 0) if f < 0 else 0 for i, f in enumerate(tree.feature)]
     # children are numbered after their parents
     for i in range(len(cover) - 1, -1, -1):
         if tree.feature[i] >= 0:
             cover[i] = cover[tree.left[i]] + cover[tree.right[i]]
+    return cover
+
+
+def tree_paths(tree: K.Tree, counts: dict[int, int]) -> list[Path]:
+    """All root-to-leaf paths of a tree.  A node that no background row reaches
+    shares evenly between its children."""
+    cover = _covers(tree, counts)
     out: list[Path] = []
     open_nodes: list[tuple[int, dict[int, tuple[float, float, float]]]] = [(0, {})]
     while open_nodes:
@@ -104,6 +121,20 @@ def tree_paths(tree: K.Tree, counts: dict[int, int]) -> list[Path]:
     return out
 
 
+def tree_base(tree: K.Tree, counts: dict[int, int]) -> float:
+    """The tree's value over the background: that of each leaf by the share that reaches it."""
+    cover = _covers(tree, counts)
+    reach, total = np.zeros(len(cover)), 0.0
+    reach[0] = 1.0
+    for node, f in enumerate(tree.feature):
+        if f < 0:
+            total += tree.value[node] * reach[node]
+            continue
+        for child in (tree.left[node], tree.right[node]):
+            reach[child] = reach[node] * (cover[child] / cover[node] if cover[node] else 0.5)
+    return float(total)
+
+
 def _nodes(n_features: int) -> tuple[np.ndarray, np.ndarray]:
     """Gauss-Legendre nodes on [0, 1], exact for the product over the other features."""
     x, w = np.polynomial.legendre.leggauss(max(1, (n_features + 1) // 2))
@@ -111,50 +142,90 @@ def _nodes(n_features: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def path_attributions(cells: np.ndarray, paths: Sequence[Path], n_features: int) -> np.ndarray:
-    """(rows, features): what each feature adds to the sum of the paths' trees."""
+    """(rows, features): what each feature adds to the sum of the paths' trees.
+    Paths of as many features pass together, ``PASSED`` numbers at a time."""
     out = np.zeros((len(cells), n_features))
+    by_length: dict[int, list[Path]] = {}
     for p in paths:
-        m = len(p.features)
-        if not m or p.value == 0.0:
-            continue
-        c = cells[:, list(p.features)]
-        stays = ((c > p.low) & (c <= p.high)).astype(np.float64)
-        total = np.zeros(stays.shape)
-        for t, w in zip(*_nodes(m)):
-            factor = t * stays + (1 - t) * p.share
-            # product of the factors before and after each feature: no division, as a share may be 0
-            before = np.cumprod(np.concatenate([np.ones((len(c), 1)), factor[:, :-1]], axis=1), axis=1)
-            after = np.cumprod(np.concatenate([np.ones((len(c), 1)), factor[:, :0:-1]], axis=1), axis=1)[:, ::-1]
-            total += w * before * after
-        out[:, list(p.features)] += p.value * (stays - p.share) * total
+        if p.features and p.value != 0.0:
+            by_length.setdefault(len(p.features), []).append(p)
+    for m, alike in by_length.items():
+        step = max(1, PASSED // (m * max(1, len(cells))))
+        for lo in range(0, len(alike), step):
+            some = alike[lo:lo + step]
+            on = np.array([p.features for p in some])
+            low, high, share = (np.array([getattr(p, c) for p in some]) for c in ("low", "high", "share"))
+            c = cells[:, on]  # rows x paths x features of a path
+            stays = ((c > low) & (c <= high)).astype(np.float64)
+            total = np.zeros(stays.shape)
+            for t, w in zip(*_nodes(m)):
+                factor = t * stays + (1 - t) * share
+                # product of the factors before and after each feature: no division, as a share may be 0
+                before, after = np.ones_like(factor), np.ones_like(factor)
+                np.cumprod(factor[:, :, :-1], axis=2, out=before[:, :, 1:])
+                after[:, :, :-1] = np.cumprod(factor[:, :, :0:-1], axis=2)[:, :, ::-1]
+                total += w * before * after
+            adds = np.array([p.value for p in some])[:, None] * (stays - share) * total
+            at = np.zeros((on.size, n_features))
+            at[np.arange(on.size), on.ravel()] = 1.0
+            out += adds.reshape(len(cells), -1) @ at
     return out
 
 
 def _tree_attributions(model: TreeModel, df: DataFrame, background: DataFrame, key: str) -> DataFrame:
-    counts = leaf_counts(model, background)
-    per_tree: list[dict[int, int]] = [{} for _ in model.trees]
-    for (t, node), n in counts.items():
-        per_tree[t][node] = n
-    paths = [p for t, c in zip(model.trees, per_tree) for p in tree_paths(t, c)]
+    """A task holds the paths of one tree at a time; the rows go to each of
+    several chunks of trees, whose parts are added up."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     scale = 1.0 / max(1, len(model.trees)) if model.grow.kind == K.FOREST else 1.0
     start = 0.0 if model.grow.kind == K.FOREST else model.grow.base_margin
-    base = start + scale * sum(p.value * float(np.prod(p.share)) for p in paths)
-    shared = df.sparkSession.sparkContext.broadcast((model.layout, paths))
-    width = len(model.features)
+    per_tree = leaf_counts(model, background)
+    shared = spark.sparkContext.broadcast((model.layout, model.trees, per_tree))
+    width, n_trees = len(model.features), len(model.trees)
     key_type = df.schema[key].dataType.simpleString()
+    chunks = [list(range(lo, min(lo + TREES, n_trees))) for lo in range(0, n_trees, TREES)] or [[]]
+
+    def of_shared(make, i: int):
+        _, trees, counts = shared.value
+        return make(trees[i], dict(enumerate(counts[i].tolist())))
+
+    def bases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids = b.column("id").to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array([of_shared(tree_base, i) for i in ids], pa.float64())],
+                ["id", "base"])
+
+    of_tree = {r["id"]: r["base"] for r in spark.range(n_trees, numPartitions=max(1, len(chunks)))
+               .mapInArrow(bases, "id long, base double").collect()}  # a number a tree
+    base = start + scale * sum(of_tree[i] for i in range(n_trees))
 
     def attribute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        layout, paths = shared.value
+        layout = shared.value[0]
         for b in batches:
-            for at in range(0, b.num_rows, ROWS):
-                part = b.slice(at, ROWS)
-                phi = path_attributions(layout.cells(_values(part, width)), paths, width) * scale
-                rows = pa.ListArray.from_arrays(pa.array(np.arange(len(phi) + 1) * width, pa.int32()), pa.array(phi.ravel()))
-                yield pa.RecordBatch.from_arrays([part.column("_key"), rows], ["_key", "_phi"])
-
-    found = (df.select(F.col(key).alias("_key"), *_float_columns(df, model.features))
-             .mapInArrow(attribute, f"_key {key_type}, _phi array<double>"))
-    return found.withColumn("base_value", F.lit(float(base)))
+            chunk = b.column("_chunk").to_numpy()
+            for which in np.unique(chunk):
+                mine = b.filter(pa.array(chunk == which))
+                cells = layout.cells(_values(mine, width))
+                phi = np.zeros((len(cells), width))
+                for i in chunks[which]:
+                    paths = of_shared(tree_paths, i)
+                    for at in range(0, len(cells), ROWS):
+                        phi[at:at + ROWS] += path_attributions(cells[at:at + ROWS], paths, width)
+                yield pa.RecordBatch.from_arrays([mine.column("_row"), mine.column("_key"), *(pa.array(phi[:, f] * scale) for f in range(width))],
+                                                 ["_row", "_key", *(f"_p{f}" for f in range(width))])
+
+    # frozen: the rows' numbers join the parts
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), *_float_columns(df, model.features)).checkpoint()
+    groups = rows.count() // ROWS + 1  # the paths of a tree are made once for each group of rows
+    sent = (rows.withColumns({"_chunk": F.explode(F.array(*[F.lit(i) for i in range(len(chunks))])),
+                              "_group": F.pmod(F.xxhash64("_row"), F.lit(groups))})
+            .repartition(min(len(chunks) * groups, 4 * max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark))), "_chunk", "_group")
+            .sortWithinPartitions("_chunk"))
+    schema = f"_row long, _key {key_type}, " + ", ".join(f"_p{f} double" for f in range(width))
+    added = (sent.mapInArrow(attribute, schema).groupBy("_row")
+             .agg(F.first("_key").alias("_key"), *[F.sum(f"_p{f}").alias(f"_p{f}") for f in range(width)]))
+    return added.select("_key", F.array(*[F.col(f"_p{f}") for f in range(width)]).alias("_phi"), F.lit(float(base)).alias("base_value"))
 
 
 def _linear_attributions(model: PipelineModel, df: DataFrame, background: DataFrame, features: Sequence[str], key: str) -> DataFrame:
