@@ -15,7 +15,7 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_stages_and_queries_are_registered():
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {k.split("_")[0] + "_" for k in names if k.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} == {k.split("_")[0] + "_" for k in names if k.startswith("op")}
     assert "pipeline" in names and len(corpus_pipeline.STAGES) == 5
 
 
