@@ -53,7 +53,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks, pattern = vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return chunked_bpe.digest(chunked_bpe.encode(docs, ranks, pattern), ranks, pattern)
+    return chunked_bpe.encode_digest(docs, ranks, pattern)
 
 
 STAGES = [

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +61,7 @@ class PieceEncoder:
         self.bytes_of = [b""] * (max(ranks.values()) + 1 if ranks else 0)
         for token, i in ranks.items():
             self.bytes_of[i] = token
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}
 
     @classmethod
     def get(cls, ranks_path: str, pattern: str) -> "PieceEncoder":
@@ -71,18 +71,18 @@ class PieceEncoder:
             cls._loaded[key] = cls(ranks_path, pattern)
         return cls._loaded[key]
 
-    def ids(self, pieces: list[str]) -> list[int]:
-        out: list[int] = []
-        cache, grow = self.cache, out.extend
-        for p in pieces:
-            got = cache.get(p)
-            if got is None:
-                # a piece alone is one match of the pattern again, so it is merged as a whole
-                got = self.encoding.encode_ordinary(p)
-                if len(cache) < CACHE_PIECES and len(p) <= 64:
-                    cache[p] = got
-            grow(got)
-        return out
+    def _piece(self, piece: str) -> bytes:
+        # a piece alone is one match of the pattern again, so it is merged as a whole
+        got = np.array(self.encoding.encode_ordinary(piece), dtype="<u4").tobytes()
+        if len(self.cache) < CACHE_PIECES and len(piece) <= 64:
+            self.cache[piece] = got
+        return got
+
+    def coded(self, pieces: list[str]) -> bytes:
+        """Ids of the pieces in a row, four little-endian bytes each: kept as
+        bytes, a remembered piece takes less than half of a list of numbers."""
+        known = self.cache
+        return b"".join([known[p] if p in known else self._piece(p) for p in pieces])
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -137,7 +137,7 @@ def _encode_single(ranks_path: str, pattern: str):
         enc = PieceEncoder.get(_file(ranks_path), pattern)
         for batch in batches:
             for part in text_slices(batch, 64):
-                ids = [np.array(enc.ids(enc.pattern.findall(t)), dtype="<u4").tobytes() for t in texts_of(part)]
+                ids = [enc.coded(enc.pattern.findall(t)) for t in texts_of(part)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())],
                                                  names=["doc_id", "ids"])
 
@@ -182,7 +182,7 @@ def _encode_between(ranks_path: str, pattern: str):
                                         part.column("from").to_pylist(), part.column("until").to_pylist()):
                     cut = [*boundaries(enc.pattern, t, lo - s), len(t)]
                     pieces = [t[a:b] for a, b in zip(cut[:-1], cut[1:]) if hi is None or a + s < hi]
-                    out.append(np.array(enc.ids(pieces), dtype="<u4").tobytes())
+                    out.append(enc.coded(pieces))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in ("doc_id", "uid", "chunk", "times")] + [pa.array(out, pa.binary())],
                     names=["doc_id", "uid", "chunk", "times", "ids"])
@@ -196,12 +196,28 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk_chars: int = CH
 
     A null text counts as empty (no ids); repeated rows each get their row; a
     null doc_id is kept; extra columns are not read."""
+    return _encoded(docs, ranks_path, pattern, chunk_chars, overlap_chars, lambda coded: coded, "ids binary")
+
+
+def encode_digest(docs: DataFrame, ranks_path: str, pattern: str, chunk_chars: int = CHUNK_CHARS,
+                  overlap_chars: int = OVERLAP_CHARS) -> DataFrame:
+    """The rows of ``digest(encode(docs))``.  The worker that has a text's ids
+    hashes them: one Python worker a task with one vocabulary, where two steps
+    in a row keep two."""
+    return _encoded(docs, ranks_path, pattern, chunk_chars, overlap_chars, _digests(ranks_path, pattern), DIGEST_COLUMNS)
+
+
+def _encoded(docs: DataFrame, ranks_path: str, pattern: str, chunk_chars: int, overlap_chars: int,
+             finish: Callable, columns: str) -> DataFrame:
+    """(doc_id, ``columns``): ``finish`` takes the batches of (doc_id, ids) in
+    the step that made them."""
     spark = docs.sparkSession
     prepare(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
+    encode_single = _encode_single(ranks_path, pattern)
     rows = docs.select("doc_id", "text")
     is_long = F.coalesce(F.length("text") > chunk_chars, F.lit(False))
-    single = rows.filter(~is_long).mapInArrow(_encode_single(ranks_path, pattern), f"doc_id {kind}, ids binary")
+    single = rows.filter(~is_long).mapInArrow(lambda batches: finish(encode_single(batches)), f"doc_id {kind}, {columns}")
 
     cut = rows.filter(is_long).mapInArrow(_cut(chunk_chars, overlap_chars), CHUNK_SCHEMA.format(id=kind))
     # chunks of one text to different tasks; equal texts of one id share their chunks
@@ -235,7 +251,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk_chars: int = CH
              .agg(F.max("times").alias("times"), F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
              .select("doc_id", "parts", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("copy"))
              .select("doc_id", F.col("parts.ids").alias("parts"))
-             .mapInArrow(_join_parts, f"doc_id {kind}, ids binary"))
+             .mapInArrow(lambda batches: finish(_join_parts(batches)), f"doc_id {kind}, {columns}"))
     return single.unionByName(whole)
 
 
@@ -247,9 +263,11 @@ def _join_parts(batches):
                                              names=["doc_id", "ids"])
 
 
-def digest(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids): hashes
-    of the decimal ids joined by spaces and of the decoded bytes."""
+DIGEST_COLUMNS = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+
+
+def _digests(ranks_path: str, pattern: str):
+    """Per text with its ids: their number and the hashes."""
 
     def run(batches):
         enc = PieceEncoder.get(_file(ranks_path), pattern)
@@ -265,8 +283,14 @@ def digest(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                     [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()),
                      pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    return run
+
+
+def digest(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids): hashes
+    of the decimal ids joined by spaces and of the decoded bytes."""
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return encoded.mapInArrow(_digests(ranks_path, pattern), f"doc_id {kind}, {DIGEST_COLUMNS}")
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -46,3 +47,34 @@ def test_decoding_gives_the_bytes_back(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert C.digest(C.encode(docs, RANKS, P.PATTERN), RANKS, P.PATTERN).count() == 0
+
+
+@pytest.mark.parametrize("chunk,overlap", [(50, 12), (32768, 1024)])
+def test_digests_made_with_the_ids_are_the_same(spark, chunk, overlap):
+    docs = spark.createDataFrame(fixture(), "doc_id bigint, text string")
+    want = C.digest(C.encode(docs, RANKS, P.PATTERN, chunk, overlap), RANKS, P.PATTERN)
+    got = C.encode_digest(docs, RANKS, P.PATTERN, chunk, overlap)
+    assert got.schema == want.schema
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_task_of_the_last_stage_keeps_one_python_worker(spark):
+    """A Python step that feeds another without a shuffle between them keeps
+    two workers a task, each with a vocabulary."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame(fixture(), "doc_id bigint, text string")
+    plan = corpus_pipeline.tokens(spark, docs, "")._jdf.queryExecution().executedPlan().toString().split("\n")
+    steps = [i for i, line in enumerate(plan) if "MapInArrow" in line]
+    assert len(steps) >= 4
+    for i in steps:
+        below = next((x for x in plan[i + 1:] if any(k in x for k in ("MapInArrow", "Exchange", "Scan"))), "")
+        assert "MapInArrow" not in below or below.index("MapInArrow") <= plan[i].index("MapInArrow")
+
+
+def test_remembered_pieces_are_packed(spark):
+    enc = C.PieceEncoder(RANKS, P.PATTERN)
+    pieces = ["tabsieve", " xyzzy", "漢字", " " * 70]
+    coded = enc.coded(pieces + pieces)
+    assert coded == np.array(2 * [i for p in pieces for i in enc.encoding.encode_ordinary(p)], dtype="<u4").tobytes()
+    assert set(enc.cache) == set(pieces[:3]) and all(type(v) is bytes for v in enc.cache.values())
