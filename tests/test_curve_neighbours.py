@@ -1,6 +1,8 @@
 """Learning curve against fits on each part alone; neighbours and new rows
 against plain numpy."""
 
+import pickle
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from tabsieve.operators import learning_curve as lc
 from tabsieve.operators import many_fits as mf
 from tabsieve.operators import neighbours as nn
 from tabsieve.operators.logistic_path import LogisticUnit, fit_path, matrix_table
+from tabsieve.operators.tree_model import TreeModel
 
 FEATS = ["a", "b", "c"]
 
@@ -67,6 +70,40 @@ def test_curve_has_every_point(spark):
     assert (full["value"] > 0.7).all()
 
 
+@pytest.mark.parametrize("handover", [50_000, 60])
+def test_trees_scored_in_rounds_equal_whole_models(spark, monkeypatch, handover):
+    monkeypatch.setattr(mf, "ROUND_BYTES", 500)
+    df = frame(spark)
+    layout = mf.layout_of(df, FEATS)
+    table = mf.bin_table(lc.nested_stages(df, "k", "y", (0.4, 1.0)), FEATS, "y", "k", layout, "_stage")
+    counts = mf.class_facts(table)[None]
+    units = [mf.Unit(mf.make_grow(name, lc._settings(name, {"n_estimators": 4}), counts, 3, 42), None, upto)
+             for name in ("random_forest", "lightgbm") for upto in (0, 1)]
+    grown, _ = mf.grow_units(table, units, layout, handover)
+    got = {bytes(r["cells"]): r["probability"] for r in mf.score_units(table, grown, units, 3).collect()}
+    trees, _ = mf.fit_units(table, units, layout, handover)
+    x = df.select(*FEATS).toPandas().to_numpy()
+    cells = [r.tobytes() for r in layout.cells(x)]
+    assert set(got) == set(cells)
+    for u, unit in enumerate(units):
+        want = TreeModel("m", FEATS, layout, unit.grow, trees[u]).probability(x)
+        assert [got[c][u] for c in cells] == want.tolist()
+
+
+def test_curve_holds_few_trees_at_a_time(spark, monkeypatch):
+    sizes, plain = [], type(spark.sparkContext).broadcast
+
+    def sized(self, value):
+        sizes.append(len(pickle.dumps(value)))
+        return plain(self, value)
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", sized)
+    monkeypatch.setattr(mf, "ROUND_BYTES", 20_000, raising=False)
+    df = frame(spark)
+    lc.learning_curve([("random_forest", {"n_estimators": 40})], df, df, FEATS, "y", "k", (0.5, 1.0)).collect()
+    assert len(sizes) > 8 and max(sizes) < 50_000  # the forests: 300,000
+
+
 def brute(points, k):
     out = []
     for key, x in points:
