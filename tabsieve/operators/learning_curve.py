@@ -5,7 +5,7 @@ a size takes the first of them, so each subset holds the smaller ones and keeps
 the class shares.  A row carries the first size that takes it, and a model of one
 size gives weight zero to the rows of later ones.  So all sizes and learners are
 fitted side by side over one binned table and scored together.  Tree models stay
-in the checkpoint folder and pass the driver one tree at a time."""
+in the checkpoint folder and pass the driver a few trees at a time."""
 
 from __future__ import annotations
 
